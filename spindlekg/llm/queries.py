@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id
+from . import language_id, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,8 +28,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model, F.col("text"), doc_id=F.col("doc_id"), held_out=held_out)
 
 
+def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.components(table(spark, sf_dir, "documents"), F.col("doc_id"), F.col("text"), size=3, radius=2)
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_language_id": op1_language_id}
+    return {"op1_language_id": op1_language_id, "op8_simhash_dedup": op8_simhash_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
