@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, simhash
+from . import bpe, ctph, language_id, media, simhash, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,14 +28,34 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model, F.col("text"), doc_id=F.col("doc_id"), held_out=held_out)
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), F.col("page_id"), F.col("url"))
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pattern = importlib.import_module("public_tokenizers").PATTERN
+    return bpe.round_trip(table(spark, sf_dir, "documents"), F.col("text"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), pattern, doc_id=F.col("doc_id"))
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(table(spark, sf_dir, "documents"), F.col("doc_id"), F.col("text"), size=3, radius=2)
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_ctph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ctph.edited_neighbours(table(spark, sf_dir, "documents"), F.col("doc_id"), F.col("text"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = media.read_back(*media.store(table(spark, sf_dir, "documents"), F.col("doc_id"), F.col("text")))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_language_id": op1_language_id, "op8_simhash_dedup": op8_simhash_dedup}
+    found = (op1_language_id, op2_url_filter, op6_byte_bpe, op8_simhash_dedup, op9_ctph, op10_media_columns)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_url_filter": url_filter.oracle()}
