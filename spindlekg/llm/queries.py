@@ -8,7 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ctph, language_id, media, simhash, url_filter
+from . import bpe, chat_format, ctph, language_id, media, pii, simhash, url_filter
+
+#: For the registered queries only: a deployment passes a secret of its own.
+PSEUDONYM_KEY = b"registered queries"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +35,19 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), F.col("page_id"), F.col("url"))
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.sql(f"SELECT * FROM VALUES (-7L, 0L, 'user', '{said}'), (-7L, 1L, 'assistant', '{said}') AS t(conv_id, turn, role, text)")
+    events = rows.unionByName(more).select("conv_id", F.monotonically_increasing_id().alias("message"), F.col("turn").alias("seq"), F.lit("message").alias("kind"), "role", "text")
+    return chat_format.digests(chat_format.read_back(chat_format.render(chat_format.reconstruct(events))))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PSEUDONYM_KEY, found_col="found")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     pattern = importlib.import_module("public_tokenizers").PATTERN
     return bpe.round_trip(table(spark, sf_dir, "documents"), F.col("text"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), pattern, doc_id=F.col("doc_id"))
@@ -53,9 +69,9 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_language_id, op2_url_filter, op6_byte_bpe, op8_simhash_dedup, op9_ctph, op10_media_columns)
+    found = (op1_language_id, op2_url_filter, op3_chat_format, op5_pii, op6_byte_bpe, op8_simhash_dedup, op9_ctph, op10_media_columns)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": url_filter.oracle()}
+    return {"op2_url_filter": url_filter.oracle(), "op3_chat_format": chat_format.oracle()}
