@@ -5,13 +5,16 @@ from __future__ import annotations
 import importlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, ctph, language_id, media, pii, simhash, url_filter
+from . import bpe, chat_format, ctph, html_extract, language_id, media, mixing, pii, simhash, url_filter
+from .common import materialize
 
 #: For the registered queries only: a deployment passes a secret of its own.
 PSEUDONYM_KEY = b"registered queries"
+#: Shares of all tokens that are wanted of each domain.
+TARGET_WEIGHTS = {"good": 0.92, "poor": 0.06, "toxic": 0.02}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +46,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.read_back(chat_format.render(chat_format.reconstruct(events))))
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"), F.col("html"), page_id=F.col("page_id"), url=F.col("url"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymise(docs, PSEUDONYM_KEY, found_col="found")
@@ -53,6 +60,20 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), F.col("text"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), pattern, doc_id=F.col("doc_id"))
 
 
+def labelled_domain() -> Column:
+    """Domains of the labels table, by toxicity and quality."""
+    return F.when(F.col("toxic") > 0, F.lit("toxic")).when(F.col("quality") > 0, F.lit("good")).when(F.col("quality") == 0, F.lit("poor"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = mixing.fit(docs, table(spark, sf_dir, "labels"), labelled_domain())
+    weighed = materialize(mixing.with_posteriors(docs, model, F.col("text")).drop("text"))
+    rated = mixing.fit_rates(weighed, model, TARGET_WEIGHTS)
+    shares = [F.get("__p", d).alias(f"p_{name}") for d, name in enumerate(model.domains)]
+    return rated.select("doc_id", F.col("__tokens").alias("n_tokens"), *shares, F.col("__rate").alias("rate"), mixing.copies(F.col("__rate"), F.col("doc_id")).alias("copies"))
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(table(spark, sf_dir, "documents"), F.col("doc_id"), F.col("text"), size=3, radius=2)
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -69,7 +90,7 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_language_id, op2_url_filter, op3_chat_format, op5_pii, op6_byte_bpe, op8_simhash_dedup, op9_ctph, op10_media_columns)
+    found = (op1_language_id, op2_url_filter, op3_chat_format, op4_html_extract, op5_pii, op6_byte_bpe, op7_mixing, op8_simhash_dedup, op9_ctph, op10_media_columns)
     return {f.__name__: f for f in found}
 
 
