@@ -14,7 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from functools import lru_cache
 
 import pyarrow as pa
@@ -70,7 +70,7 @@ def _round_trip(path: str, pattern: str, keep_ids: bool):
     return run
 
 
-def round_trip(docs: DataFrame, text: Column, path: str, pattern: str, keep_ids: bool = False, **keep: Column) -> DataFrame:
+def round_trip(docs: DataFrame, text: Column, path: str, pattern: str, keep: Mapping[str, Column], keep_ids: bool = False) -> DataFrame:
     """Encode and decode every text: the columns in keep, n_tokens, ids_sha256, decoded_sha256, and with keep_ids the
     ids and the decoded bytes too. A row per input row, no shuffle."""
     rows = docs.select(text.cast("string").alias("__text"), *[c.alias(k) for k, c in keep.items()])

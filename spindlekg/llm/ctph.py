@@ -13,7 +13,7 @@ Edges, all tested: null and empty texts have the fingerprint `3::`, which is lik
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -105,7 +105,7 @@ def likeness(a: str, b: str) -> float:
     return _alike(one_a, two_b) if ratio == 2 else _alike(two_a, one_b) if ratio == 0.5 else 0.0
 
 
-def fingerprints(docs: DataFrame, text: Column, **keep: Column) -> DataFrame:
+def fingerprints(docs: DataFrame, text: Column, keep: Mapping[str, Column]) -> DataFrame:
     """The columns in keep and `fingerprint`, a row per input row, without a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

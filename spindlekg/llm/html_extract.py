@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -304,7 +304,7 @@ def texts(pages: list[str | None], model: tuple[np.ndarray, np.ndarray]) -> list
     return ["\n\n".join(x) for x in out]
 
 
-def extract(pages: DataFrame, html_col: Column, **keep: Column) -> DataFrame:
+def extract(pages: DataFrame, html_col: Column, keep: Mapping[str, Column]) -> DataFrame:
     """The columns in keep, text and n_chars, a row per input row, without a shuffle."""
     model = train()
 

@@ -16,7 +16,7 @@ import base64
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -240,7 +240,7 @@ def _predictor(model: LanguageModel):
     return predict
 
 
-def predict(docs: DataFrame, model: LanguageModel, text: Column, **keep: Column) -> DataFrame:
+def predict(docs: DataFrame, model: LanguageModel, text: Column, keep: Mapping[str, Column]) -> DataFrame:
     """A row per input row: the columns named in keep, lang_pred and score (the winner's posterior). No shuffle."""
     rows = docs.select(*[c.alias(k) for k, c in keep.items()], text.alias("__text"))
     fields = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keep)

@@ -27,11 +27,15 @@ def tokenizer_path(name: str) -> str:
     return importlib.import_module("public_tokenizers").path(name)
 
 
+def splitting_pattern() -> str:
+    return importlib.import_module("public_tokenizers").PATTERN
+
+
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     model = language_id.fit(docs.where(~held_out), tokenizer_path("byte_bpe_multi_50k.tiktoken"))
-    return language_id.predict(docs, model, F.col("text"), doc_id=F.col("doc_id"), held_out=held_out)
+    return language_id.predict(docs, model, F.col("text"), {"doc_id": F.col("doc_id"), "held_out": held_out})
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +51,7 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_extract.extract(table(spark, sf_dir, "pages"), F.col("html"), page_id=F.col("page_id"), url=F.col("url"))
+    return html_extract.extract(table(spark, sf_dir, "pages"), F.col("html"), {"page_id": F.col("page_id"), "url": F.col("url")})
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,8 +60,8 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pattern = importlib.import_module("public_tokenizers").PATTERN
-    return bpe.round_trip(table(spark, sf_dir, "documents"), F.col("text"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), pattern, doc_id=F.col("doc_id"))
+    pattern = splitting_pattern()
+    return bpe.round_trip(table(spark, sf_dir, "documents"), F.col("text"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), pattern, {"doc_id": F.col("doc_id")})
 
 
 def labelled_domain() -> Column:

@@ -24,8 +24,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import connected_components, materialize, shuffle_partitions
 
@@ -74,7 +75,7 @@ def _fingerprints(size: int):
 def fingerprints(docs: DataFrame, id_col: Column, text: Column, size: int = 3) -> DataFrame:
     """Columns id and fp (the 64 bits as a signed long), a row per input row; no shuffle."""
     rows = docs.select(id_col.alias("id"), text.cast("string").alias("text"))
-    return rows.mapInArrow(_fingerprints(size), f"id {rows.schema['id'].dataType.simpleString()}, fp long")
+    return rows.mapInArrow(_fingerprints(size), T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("fp", T.LongType())]))
 
 
 class _Forest:
@@ -210,3 +211,88 @@ def components(docs: DataFrame, id_col: Column, text: Column, size: int = 3, rad
     joined = roots.join(lows, "root").select(F.col("node").alias("fp"), "joined")
     nodes = materialize(nodes.join(joined, "fp", "left").select("fp", F.coalesce("joined", "low").alias("component_id")))
     return prints.join(nodes, "fp").select("id", "fp", "component_id")
+
+
+#: Rows of a key-only table that may be sent to every executor; beyond it the join shuffles.
+BROADCAST_ROWS = 400_000
+
+
+def _sent_if_small(keys: DataFrame) -> DataFrame:
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+
+
+def _shingle_sets(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                sets = []
+                for text in part.column(1).to_pylist():
+                    words = (text or "").encode().lower().split()
+                    hashes = np.frombuffer(b"".join([xxhash.xxh64_digest(s, SEED) for s in shingles(words, size)]), dtype=np.int64)
+                    sets.append(np.unique(hashes))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "hashes"])
+
+    return run
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b, nodes) whose shingle sets have at least this Jaccard similarity."""
+    left, right = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
+    both = F.size(F.array_intersect("ha", "hb"))
+    found = pairs.join(left, "a").join(right, "b").withColumn("both", both)
+    union = F.size("ha") + F.size("hb") - F.col("both")
+    return found.where((F.col("both") >= similarity * union) | (union == 0)).select("a", "b")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 12, verify_size: int = 5, similarity: float = 0.8, dense: int = 16) -> DataFrame:
+    """docs without all but one row of each group of near duplicates: the one with the smallest id stays (nulls last).
+
+    Fingerprints within the radius are candidates; a link is a candidate whose sets of verify_size-word shingles have
+    the Jaccard similarity asked for; groups are the components over links. A text is one node, however many rows hold
+    it. Texts of one fingerprint are compared with that fingerprint's first text, those that are not alike with the
+    next one left, and so on; leaders of near fingerprints are compared with each other. In a tile pair, a fingerprint
+    with over `dense` near ones is compared along a spanning forest, nearest first, instead of with each of them.
+    """
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    ident = F.col(f"`{id_col}`")
+    keyed = docs.withColumn("__node", F.md5(text))
+    prints = materialize(fingerprints(keyed, F.struct(ident.alias("id"), F.col("__node").alias("node")), text, size).select("id.id", "id.node", "fp"))
+    nodes = materialize(prints.groupBy("node", "fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("low")))
+    pairs = materialize(near_pairs(nodes.select("fp").distinct(), radius, dense))
+    shared = nodes.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
+    involved = nodes.join(shared.union(pairs.select("a")).union(pairs.select("b")).distinct(), "fp").select("node", "fp", "low")
+    involved = materialize(involved)
+    wanted = _sent_if_small(involved.select(F.col("node").alias("__node")))
+    rows = keyed.select("__node", text.alias("t")).join(wanted, "__node", "left_semi")
+    sets = materialize(rows.mapInArrow(_shingle_sets(verify_size), "node string, hashes array<long>").dropDuplicates(["node"]))
+
+    links, leaders, left = [], [], involved
+    while True:
+        lead = left.groupBy("fp").agg(F.min(F.struct("low", "node")).alias("lead")).select("fp", F.col("lead.node").alias("a"))
+        lead = materialize(lead)
+        leaders.append(lead)
+        others = left.join(lead, "fp").where("a <> node").select("fp", "low", F.col("node").alias("b"), "a")
+        good = materialize(_alike(others.select("a", "b"), sets, similarity))
+        links.append(good)
+        left = materialize(others.join(good.select("b"), "b", "left_anti").select(F.col("b").alias("node"), "fp", "low"))
+        if left.isEmpty():
+            break
+    every = leaders[0]
+    for more in leaders[1:]:
+        every = every.union(more)
+    one, two = every.select(F.col("fp").alias("a"), F.col("a").alias("x")), every.select(F.col("fp").alias("b"), F.col("a").alias("y"))
+    near = pairs.join(one, "a").join(two, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    edges = _alike(near, sets, similarity)
+    for more in links:
+        edges = edges.union(more)
+    roots = materialize(connected_components(edges))
+    grouped = nodes.join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
+    keepers = grouped.groupBy("root").agg(F.min(F.struct("low", "node")).alias("keep"))
+    placed = materialize(grouped.join(keepers, "root").select("node", F.col("keep.low.id").alias("keep_id"), F.col("keep.node").alias("keep_node")))
+    gone = prints.join(placed, "node").where(~(F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("node") == F.col("keep_node"))))
+    gone = materialize(gone.select(F.col("id").alias("__id"), F.col("node").alias("__gone")).distinct())
+    kept = keyed.join(_sent_if_small(gone), ident.eqNullSafe(F.col("__id")) & (F.col("__node") == F.col("__gone")), "left_anti")
+    if not prints.groupBy("id", "node").agg(F.count("*").alias("n")).where("n > 1").isEmpty():  # rows that are repeated whole
+        kept = kept.withColumn("__nth", F.row_number().over(Window.partitionBy(ident, "__node").orderBy(*[F.col(f"`{c}`") for c in docs.columns]))).where("__nth = 1")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
