@@ -1,17 +1,20 @@
-"""Every registered query of the graph library, by name."""
+"""Every registered query of the graph library, by name, and the flagship."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import text_queries  # noqa: F401  registers its queries
+from .catalog import ORACLES, QUERIES, Query
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return QUERIES["n7_merge_entities"](spark, sf_dir)
 
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
