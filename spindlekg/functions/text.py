@@ -43,6 +43,13 @@ def lookup(mapping: dict[str, str], key: Column) -> Column:
     return F.coalesce(F.try_element_at(pairs, key), key)
 
 
+def is_json(text: Column) -> Column:
+    """Whether the whole text is one JSON value. The parser takes a value with anything behind it, so the text is tried
+    within an array and within an object: what follows a value breaks one of them."""
+    within = lambda before, after: F.try_parse_json(F.concat(F.lit(before), text, F.lit(after))).isNotNull()
+    return (utrim(text) != "") & within("[", "]") & within('{"v":', "}")
+
+
 def one_of(values: Sequence[str], column: Column) -> Column:
     return F.coalesce(column.isin(*values), F.lit(False))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.patterns import PROCESS_KEYWORDS, STAGE_KEYS
-from ..functions.text import utrim
+from ..functions.text import is_json, utrim
 
 COMPOSITION_NODE, NOT_GIVEN, PROPERTY = "合金成分", "未提供", "性能"
 RAW_MATERIAL, FLOW, EFFECT = "原材料", "工艺流程", "影响"
@@ -52,12 +52,12 @@ def normalize_responses(answers: DataFrame, keys: Sequence[str], response_col: s
         return F.from_json(mended, "array<string>")
 
     text = F.col(response_col)
-    valid = F.when(F.try_parse_json(text).isNotNull(), text)
+    valid = F.when(is_json(text), text)
     rest = [c for c in answers.columns if c != response_col]
     rows = answers.withColumn("__j", valid)
     keyed = F.coalesce(*[F.get_json_object("__j", f"$.{k}") for k in answer_keys(*keys)])
     rows = rows.withColumn("__v", keyed)
-    inner = F.when(F.try_parse_json(F.col("__v")).isNotNull(), as_array(F.col("__v")))
+    inner = F.when(is_json(F.col("__v")), as_array(F.col("__v")))
     lone = F.get_json_object("__j", "$.from").isNotNull() & F.get_json_object("__j", "$.to").isNotNull() & F.get_json_object("__j", "$.type").isNotNull()
     items = F.when(utrim(F.col("__j")).startswith("["), as_array(F.col("__j"))).when(F.col("__v").isNotNull(), F.coalesce(inner, F.array("__v"))).when(lone, F.array("__j"))
     return rows.select(*rest, F.posexplode(items).alias("item_no", "item"))

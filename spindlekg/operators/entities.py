@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.patterns import PROPERTIES, TREATMENTS, PropertyRule, TreatmentRule
-from ..functions.text import canonical_map, collapse_spaces, utrim
+from ..functions.text import canonical_map, collapse_spaces, is_json, utrim
 
 ENTITY = "struct<text: string, type: string, attributes: map<string, string>>"
 
@@ -54,10 +54,6 @@ def strip_fences(text: Column) -> Column:
     return F.when(text.startswith("```json"), utrim(F.replace(F.replace(text, F.lit("```json"), F.lit("")), F.lit("```"), F.lit("")))).otherwise(text)
 
 
-def _is_json(text: Column) -> Column:
-    return F.try_parse_json(text).isNotNull()
-
-
 def _shape(text: Column) -> Column:
     """The first character of valid JSON: `[` or `{`."""
     return F.substring(utrim(text), 1, 1)
@@ -82,11 +78,11 @@ def recover_json_objects(text: Column) -> Column:
     every innermost-ending `{...}` that parses; else every line that does."""
     bare = F.regexp_replace(text, r"(?U)^[,\s]+|[,\s]+$", "")
     mended = F.when(bare.startswith("{"), F.concat(F.lit("["), bare, F.lit("]"))).otherwise(bare)
-    parsed = lambda items: _strict(F.transform(F.filter(items, _is_json), lambda m: F.from_json(m, ENTITY)))
+    parsed = lambda items: _strict(F.transform(F.filter(items, is_json), lambda m: F.from_json(m, ENTITY)))
     objects = parsed(F.regexp_extract_all(mended, F.lit(r"(\{[\s\S]*?\})"), F.lit(1)))
     lines = F.transform(F.split(mended, r"\r?\n"), lambda x: F.regexp_replace(utrim(x), ",+$", ""))
     by_line = parsed(F.filter(lines, lambda x: x.startswith("{")))
-    return F.when(_is_json(mended), _standard_answer(mended)).when(F.size(objects) > 0, objects).otherwise(by_line)
+    return F.when(is_json(mended), _standard_answer(mended)).when(F.size(objects) > 0, objects).otherwise(by_line)
 
 
 def parse_ner_responses(answers: DataFrame, response_col: str = "response") -> DataFrame:
@@ -95,7 +91,7 @@ def parse_ner_responses(answers: DataFrame, response_col: str = "response") -> D
     recover_json_objects."""
     text = strip_fences(F.col(response_col))
     rows = answers.withColumn("__json", text)
-    found = F.when(_is_json(F.col("__json")), _standard_answer(F.col("__json"))).otherwise(recover_json_objects(F.col("__json")))
+    found = F.when(is_json(F.col("__json")), _standard_answer(F.col("__json"))).otherwise(recover_json_objects(F.col("__json")))
     rest = [c for c in answers.columns if c not in (response_col, "chunk_text", "seq", "text", "type", "attributes", "source_text")]
     rows = rows.select(*rest, *([F.col("chunk_text").alias("source_text")] if "chunk_text" in answers.columns else []), F.posexplode(found).alias("seq", "e"))
     rows = rows.where("e.text IS NOT NULL AND e.type IS NOT NULL")

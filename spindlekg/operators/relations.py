@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.patterns import RELATION_PRIORITY, RELATION_PROPERTIES, RELATION_TREATMENTS, PropertyRule, TreatmentRule
-from ..functions.text import utrim
+from ..functions.text import is_json, utrim
 from .entities import dedup_records, fill_template, property_hits, strip_fences, treatment_hits
 
 CHUNK = ("doc_id", "para_no", "chunk_no")
@@ -70,7 +70,7 @@ def parse_re_responses(answers: DataFrame, response_col: str = "response") -> Da
     """Answers to a row per relation: an array, or an object with `relations`; anything else gives none. subject and
     object stand in for missing head and tail texts."""
     text = strip_fences(F.col(response_col))
-    rows = answers.withColumn("__json", F.when(F.try_parse_json(text).isNotNull(), text))
+    rows = answers.withColumn("__json", F.when(is_json(text), text))
     array = F.from_json(F.col("__json"), f"array<{RELATION}>")
     keyed = F.from_json(F.get_json_object("__json", "$.relations"), f"array<{RELATION}>")
     found = F.when(F.col("__json").startswith("["), array).otherwise(keyed)

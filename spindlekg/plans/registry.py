@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import text_queries  # noqa: F401  registers its queries
+from . import graph_queries, text_queries  # noqa: F401  they register their queries
 from .catalog import ORACLES, QUERIES, Query
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES["n7_merge_entities"](spark, sf_dir)
+    return QUERIES["w1_corpus_to_graph"](spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.patterns import PROPERTIES, RELATION_PROPERTIES, RELATION_TREATMENTS, TREATMENTS
-from ..functions.text import map_text
+from ..functions.text import is_json, map_text
 from ..operators import chunking, entities, layout, relations
 from .catalog import query
 
@@ -132,7 +132,7 @@ def _(t):
 
 @query("n4_recover_json_objects", "SELECT doc_id, seq AS chunk_no, concat('E', CAST(pk % 50 AS VARCHAR)) AS text, 'MaterialAlloy' AS type FROM fx_rows WHERE sk % 6 = 4")
 def _(t):
-    broken = t("fx_responses").where(F.try_parse_json(entities.strip_fences(F.col("response"))).isNull())
+    broken = t("fx_responses").where(~is_json(entities.strip_fences(F.col("response"))))
     return broken.select("doc_id", "chunk_no", F.explode(entities.recover_json_objects(F.col("response"))).alias("e")).select("doc_id", "chunk_no", "e.text", "e.type")
 
 

@@ -39,7 +39,7 @@ def read_json_records(spark: SparkSession, glob: str, schema: str, suffix: str =
 
 def read_error_logs(spark: SparkSession, glob: str) -> DataFrame:
     """file, line_no from 0, line, for every line of every log, blank ones too."""
-    whole = spark.read.option("wholetext", True).text(glob)
+    whole = spark.read.text(glob, wholetext=True)
     whole = whole.where("value <> ''")
     lines = F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")
     return whole.select(F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1).alias("file"), F.posexplode(lines).alias("line_no", "line"))
