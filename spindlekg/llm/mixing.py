@@ -16,7 +16,7 @@ of domains that no label has are spread over the rest; repeated rows are weighed
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -95,10 +95,20 @@ def target_totals(model: DomainModel, weights: Mapping[str, float], budget: floa
     return budget * w / w.sum()
 
 
-def fit_rates(weighed: DataFrame, model: DomainModel, weights: Mapping[str, float], budget: float | None = None, steps: int = 40, tolerance: float = 1e-6, cut_every: int = 8) -> DataFrame:
-    """weighed: a table with __tokens and __p (see with_posteriors). Returns it with a column __rate of doubles.
+def rate(moves: Sequence[np.ndarray]) -> Column:
+    """The rate of a row with __p after these steps from one."""
+    if not moves:
+        return F.lit(1.0)
+    listed = F.array(*[F.array(*[F.lit(float(x)) for x in move]) for move in moves])
+    gain = lambda move: F.aggregate(F.zip_with("__p", move, lambda p, m: p * m), F.lit(0.0), lambda a, x: a + x)
+    return F.aggregate(listed, F.lit(1.0), lambda r, move: F.greatest(F.lit(0.0), r - gain(move)))
 
-    budget: tokens in all; by default as many as there are. Stops when every domain is within tolerance of the budget
+
+def fit_rates(weighed: DataFrame, model: DomainModel, weights: Mapping[str, float], budget: float | None = None, steps: int = 40, tolerance: float = 1e-6, cut_every: int = 8) -> list[np.ndarray]:
+    """weighed: a table with __tokens and __p (see with_posteriors). Returns the steps that `rate` takes.
+
+    A row's rate depends on its probabilities and the steps alone, so it can be had on any table with posteriors, and
+    only tokens, probabilities and rates are ever cut into a table here. budget: tokens in all; by default as many as there are. Stops when every domain is within tolerance of the budget
     of its target, or no step helps any more (targets that no rates meet are met as nearly as they can be).
     """
     k = len(model.domains)
@@ -109,21 +119,22 @@ def fit_rates(weighed: DataFrame, model: DomainModel, weights: Mapping[str, floa
     gram = np.array([[row[f"g{min(a, b)}_{max(a, b)}"] or 0.0 for b in range(k)] for a in range(k)])
     inverse = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
     target = target_totals(model, weights, budget)
-    rows, rate, last = weighed.withColumn("__rate", F.lit(1.0)), F.col("__rate"), np.inf
+    rows, now_rate, last, moves = weighed.select("__tokens", "__p", F.lit(1.0).alias("__rate")), F.col("__rate"), np.inf, []
     if budget <= 0:
-        return rows
+        return moves
     for step in range(steps):
-        now = rows.agg(*[F.sum(n * p[d] * rate).alias(f"c{d}") for d in range(k)]).first()
+        now = rows.agg(*[F.sum(n * p[d] * now_rate).alias(f"c{d}") for d in range(k)]).first()
         gap = np.array([now[f"c{d}"] or 0.0 for d in range(k)]) - target
         distance = float(gap @ inverse @ gap)
         if np.abs(gap).max() <= tolerance * budget or distance >= last * (1 - 1e-6):
             break
         last = distance
         move = inverse @ gap
-        rate = F.greatest(F.lit(0.0), rate - sum((p[d] * float(move[d]) for d in range(1, k)), p[0] * float(move[0])))
+        moves.append(move)
+        now_rate = F.greatest(F.lit(0.0), now_rate - sum((p[d] * float(move[d]) for d in range(1, k)), p[0] * float(move[0])))
         if (step + 1) % cut_every == 0:
-            rows, rate = materialize(rows.withColumn("__rate", rate)), F.col("__rate")
-    return rows.withColumn("__rate", rate)
+            rows, now_rate = materialize(rows.withColumn("__rate", now_rate)), F.col("__rate")
+    return moves
 
 
 def copies(rate: Column, key: Column) -> Column:

@@ -73,7 +73,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = mixing.fit(docs, table(spark, sf_dir, "labels"), labelled_domain())
     weighed = materialize(mixing.with_posteriors(docs, model, F.col("text")).drop("text"))
-    rated = mixing.fit_rates(weighed, model, TARGET_WEIGHTS)
+    rated = weighed.withColumn("__rate", mixing.rate(mixing.fit_rates(weighed, model, TARGET_WEIGHTS)))
     shares = [F.get("__p", d).alias(f"p_{name}") for d, name in enumerate(model.domains)]
     return rated.select("doc_id", F.col("__tokens").alias("n_tokens"), *shares, F.col("__rate").alias("rate"), mixing.copies(F.col("__rate"), F.col("doc_id")).alias("copies"))
 
