@@ -34,6 +34,7 @@ SEED = 42
 #: A tile holds this many fingerprints at least (but for small inputs) and at most; there are TILES at least.
 TILE_LEAST, TILE_MOST, TILES = 4_096, 65_536, 10
 BLOCK_ROWS, BLOCK_COLUMNS = 128, 2_048
+HELD_LINKS = 4_000_000
 #: Each possible byte with its bits dealt to the eight bytes of a word, the highest bit first in memory order.
 SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8).reshape(-1, 1), axis=1).view(np.uint64).reshape(256)
 
@@ -97,50 +98,70 @@ class _Forest:
 def tile_links(left: np.ndarray, right: np.ndarray | None, radius: int, dense: int = 0) -> list[tuple[int, int]]:
     """Links (distance of radius or less) within a tile (right: None) or between two, as pairs of fingerprints.
 
-    Returns a spanning forest of them with the nearest links first, and every link of which an end has at most dense.
+    Returns a spanning forest of them, made of near links before far ones, and every link of which an end has at most
+    `dense` in this pair of tiles. Links are held while they are at most HELD_LINKS, else found again for each level.
     """
-    rows = np.sort(left)
-    columns = rows if right is None else np.sort(right)
-    order_r, order_c = np.argsort(np.bitwise_count(rows), kind="stable"), np.argsort(np.bitwise_count(columns), kind="stable")
-    rows, columns = rows[order_r], columns[order_c]
+    by_count = lambda x: x[np.lexsort((x, np.bitwise_count(x)))]
+    rows = by_count(left)
+    columns = rows if right is None else by_count(right)
     count_r, count_c = np.bitwise_count(rows).astype(np.int16), np.bitwise_count(columns).astype(np.int16)
     differ, counted = np.empty((BLOCK_ROWS, BLOCK_COLUMNS), np.uint64), np.empty((BLOCK_ROWS, BLOCK_COLUMNS), np.uint8)
-    forest, index, links = _Forest(len(rows) + len(columns)), {}, {}
-
-    def node(value: int) -> int:
-        return index.setdefault(value, len(index))
-
-    for r in range(0, len(rows), BLOCK_ROWS):
-        some, low, high = rows[r : r + BLOCK_ROWS], count_r[r] - radius, count_r[min(r + BLOCK_ROWS, len(rows)) - 1] + radius
-        first, last = int(np.searchsorted(count_c, low, "left")), int(np.searchsorted(count_c, high, "right"))
-        if right is None:
-            first = max(first, r)
-        found = []
-        for c in range(first, last, BLOCK_COLUMNS):
-            stop = min(c + BLOCK_COLUMNS, last)
+    hits: list[tuple[int, int, int]] = []
+
+    def every_block() -> Iterator[tuple[int, int, int]]:
+        for r in range(0, len(rows), BLOCK_ROWS):
+            low, high = count_r[r] - radius, count_r[min(r + BLOCK_ROWS, len(rows)) - 1] + radius
+            first, last = int(np.searchsorted(count_c, low, "left")), int(np.searchsorted(count_c, high, "right"))
+            for c in range(max(first, r) if right is None else first, last, BLOCK_COLUMNS):
+                yield r, c, min(c + BLOCK_COLUMNS, last)
+
+    def compare(blocks: Iterator[tuple[int, int, int]], level: int) -> Iterator[tuple]:
+        for r, c, stop in blocks:
+            some = rows[r : r + BLOCK_ROWS]
             apart = np.bitwise_xor(some[:, None], columns[None, c:stop], out=differ[: len(some), : stop - c])
             bits = np.bitwise_count(apart, out=counted[: len(some), : stop - c])
-            if bits.min() > radius:
+            if bits.min() > level:
                 continue
-            i, j = np.nonzero(bits <= radius)
-            j = j + c
+            i, j = np.nonzero(bits <= level)
+            distance, i, j = bits[i, j], i + r, j + c
             if right is None:
-                upper = j > i + r
-                i, j = i[upper], j[upper]
+                upper = j > i
+                distance, i, j = distance[upper], i[upper], j[upper]
             if len(i):
-                found.append((np.bitwise_count(some[i] ^ columns[j]), some[i], columns[j]))
-        if found:  # one block of rows at a time, so that what is held stays within a block of links
-            distance, a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-            order = np.lexsort((b, a, distance))
-            a, b = a[order], b[order]
-            few = np.zeros(len(a), bool)
-            if dense:
-                for side in (a, b):
-                    _, inverse, counts = np.unique(side, return_inverse=True, return_counts=True)
-                    few |= counts[inverse] <= dense
-            for x, y, keep in zip(a.tolist(), b.tolist(), few.tolist(), strict=True):
-                if forest.join(node(x), node(y)) or keep:
-                    links[(x, y)] = True
+                yield (r, c, stop), distance, i, j
+
+    degree_r, degree_c = np.zeros(len(rows), np.int64), np.zeros(len(columns), np.int64)
+    held: list[tuple] | None = []
+    n = 0
+    for block, distance, i, j in compare(every_block(), radius):
+        hits.append(block)
+        np.add.at(degree_r, i, 1)
+        np.add.at(degree_r if right is None else degree_c, j, 1)
+        n += len(i)
+        if held is not None:
+            held.append((distance, i.astype(np.int32), j.astype(np.int32)))
+            held = held if n <= HELD_LINKS else None
+    if right is None:
+        degree_c = degree_r
+    forest, links = _Forest(len(rows) + (0 if right is None else len(columns))), {}
+    shift = 0 if right is None else len(rows)
+
+    def take(i: np.ndarray, j: np.ndarray) -> None:
+        few = (degree_r[i] <= dense) | (degree_c[j] <= dense)
+        for x, y, keep in zip(i.tolist(), j.tolist(), few.tolist(), strict=True):
+            if forest.join(x, y + shift) or keep:
+                links[(int(rows[x]), int(columns[y]))] = True
+
+    if held is not None:
+        if held:
+            distance, i, j = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.lexsort((j, i, distance))
+            take(i[order], j[order])
+    else:
+        for level in (radius // 3, radius):
+            for _, distance, i, j in compare(iter(hits), level):
+                order = np.lexsort((j, i, distance))
+                take(i[order], j[order])
     return list(links)
 
 
@@ -229,23 +250,27 @@ def _shingle_sets(size: int):
                 sets = []
                 for text in part.column(1).to_pylist():
                     words = (text or "").encode().lower().split()
-                    hashes = np.frombuffer(b"".join([xxhash.xxh64_digest(s, SEED) for s in shingles(words, size)]), dtype=np.int64)
+                    hashes = np.frombuffer(b"".join([xxhash.xxh32_digest(s, SEED) for s in shingles(words, size)]), dtype=np.int32)
                     sets.append(np.unique(hashes))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "hashes"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int32()))], names=["node", "hashes"])
 
     return run
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b, nodes) whose shingle sets have at least this Jaccard similarity."""
+    """The pairs (a, b, nodes) whose sets of shingles (as 32-bit hashes) have at least this Jaccard similarity.
+
+    Sets of sizes too far apart are never joined.
+    """
+    sizes = sets.select("node", F.size("hashes").alias("n"))
+    sized = pairs.join(sizes.withColumnsRenamed({"node": "a", "n": "na"}), "a").join(sizes.withColumnsRenamed({"node": "b", "n": "nb"}), "b")
+    sized = sized.where(F.least("na", "nb") >= similarity * F.greatest("na", "nb")).select("a", "b", "na", "nb")
     left, right = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
-    both = F.size(F.array_intersect("ha", "hb"))
-    found = pairs.join(left, "a").join(right, "b").withColumn("both", both)
-    union = F.size("ha") + F.size("hb") - F.col("both")
-    return found.where((F.col("both") >= similarity * union) | (union == 0)).select("a", "b")
+    found = sized.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("ha", "hb")))
+    return found.where(F.col("both") >= similarity * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 12, verify_size: int = 5, similarity: float = 0.8, dense: int = 16) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 12, verify_size: int = 5, similarity: float = 0.8, dense: int = 8) -> DataFrame:
     """docs without all but one row of each group of near duplicates: the one with the smallest id stays (nulls last).
 
     Fingerprints within the radius are candidates; a link is a candidate whose sets of verify_size-word shingles have
@@ -265,7 +290,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     involved = materialize(involved)
     wanted = _sent_if_small(involved.select(F.col("node").alias("__node")))
     rows = keyed.select("__node", text.alias("t")).join(wanted, "__node", "left_semi")
-    sets = materialize(rows.mapInArrow(_shingle_sets(verify_size), "node string, hashes array<long>").dropDuplicates(["node"]))
+    sets = materialize(rows.mapInArrow(_shingle_sets(verify_size), "node string, hashes array<int>").dropDuplicates(["node"]))
 
     links, leaders, left = [], [], involved
     while True:
