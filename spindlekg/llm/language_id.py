@@ -13,6 +13,7 @@ length are scored whole. Extra columns of the input are not read and not returne
 from __future__ import annotations
 
 import base64
+import hashlib
 import math
 import re
 from collections import Counter
@@ -32,7 +33,7 @@ UNKNOWN = "und"
 LONGEST_PIECE = 12
 #: Words up to this many bytes go through the batched pass; longer ones through a rescaled one.
 SHORT_WORD = 24
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -59,18 +60,16 @@ def pieces(path: str) -> dict[bytes, int]:
     return {piece: i for i, piece in enumerate(sorted(kept))}
 
 
-def _ids(words: list[bytes], vocabulary: dict[bytes, int]) -> np.ndarray:
-    """For words of one length n: [word, end, k] is the piece of k + 1 bytes that ends there."""
-    n, none, get = len(words[0]), len(vocabulary), vocabulary.get
-    flat = [get(w[j - k - 1 : j], none) if k < j else none for w in words for j in range(1, n + 1) for k in range(LONGEST_PIECE)]
-    return np.array(flat, dtype=np.int32).reshape(len(words), n, LONGEST_PIECE)
+def _ids(words: list[bytes], vocabulary: dict[bytes, int]) -> list[list[np.ndarray]]:
+    """For words of one length: at [end - 1][k] the words' pieces of k + 1 bytes that end there."""
+    none, get, n = len(vocabulary), vocabulary.get, len(words)
+    return [[np.fromiter([get(w[j - k - 1 : j], none) for w in words], np.int32, n) for k in range(min(j, LONGEST_PIECE))] for j in range(1, len(words[0]) + 1)]
 
 
-def _forward(ids: np.ndarray, p: np.ndarray) -> list[np.ndarray]:
-    words, n, _ = ids.shape
-    alpha = [np.ones((words, p.shape[1]))]
-    for j in range(1, n + 1):
-        alpha.append(sum(alpha[j - k - 1] * p[ids[:, j - 1, k]] for k in range(min(j, LONGEST_PIECE))))
+def _forward(ids: list[list[np.ndarray]], p: np.ndarray) -> list[np.ndarray]:
+    alpha = [np.ones((len(ids[0][0]), p.shape[1]))]
+    for j, ending in enumerate(ids, 1):
+        alpha.append(sum(alpha[j - k - 1] * p[piece] for k, piece in enumerate(ending)))
     return alpha
 
 
@@ -121,8 +120,7 @@ def expected_counts(words: list[bytes], weights: np.ndarray, p: np.ndarray, voca
             beta = [np.zeros((len(at), 1)) for _ in range(n)] + [np.ones((len(at), 1))]
             share = (weights[at] / alpha[n][:, 0]).reshape(-1, 1)
             for j in range(n, 0, -1):
-                for k in range(min(j, LONGEST_PIECE)):
-                    piece = ids[:, j - 1, k]
+                for k, piece in enumerate(ids[j - 1]):
                     step = column[piece] * beta[j]
                     beta[j - k - 1] = beta[j - k - 1] + step
                     total += np.bincount(piece, weights=(alpha[j - k - 1] * step * share)[:, 0], minlength=len(total))
@@ -190,11 +188,23 @@ def fit(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
     return LanguageModel(vocabulary, labels, np.log(shares / shares.sum()), p)
 
 
+#: The last model that this Python worker used, and its words' places and scores: workers are used for many tasks.
+_worker: tuple[str, dict[str, int], np.ndarray] | None = None
+
+
+def _cache(name: str, labels: int) -> tuple[dict[str, int], np.ndarray]:
+    global _worker
+    if _worker is None or _worker[0] != name:
+        _worker = (name, {}, np.zeros((CACHED_WORDS + 1, labels)))
+    return _worker[1], _worker[2]
+
+
 def _predictor(model: LanguageModel):
+    name = hashlib.sha256(model.probabilities.tobytes() + "\0".join((model.vocabulary, *model.labels)).encode()).hexdigest()
+
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = pieces(model.vocabulary)
-        known: dict[str, int] = {}
-        scores = np.zeros((CACHED_WORDS + 1, len(model.labels)))
+        known, scores = _cache(name, len(model.labels))
 
         def learn(words: set[str]) -> None:
             new = [w for w in words if w not in known]
@@ -202,12 +212,11 @@ def _predictor(model: LanguageModel):
                 known.clear()
                 new = list(words)
             if new:
-                good = [w for w in new if any(c.isalpha() for c in w)]
-                known.update((w, CACHED_WORDS) for w in new)
-                at = len(known) - len(new)
-                known.update((w, at + i) for i, w in enumerate(good))
+                good, at = [w for w in new if any(c.isalpha() for c in w)], len(known)
                 if good:
                     scores[at : at + len(good)] = word_scores([(" " + w).encode() for w in good], model.probabilities, vocabulary)
+                known.update((w, CACHED_WORDS) for w in new)
+                known.update((w, at + i) for i, w in enumerate(good))
 
         def judge(words: list[str]) -> tuple[str, float]:
             if not words or not model.labels:
