@@ -61,19 +61,18 @@ def split_sections(df: DataFrame, text_col: str = "text", headings: Sequence[str
 
     section_title is `heading sub-heading`; text before the first heading has the title ''.
     """
-    heading = rf"\n\s*(?:{'|'.join(headings)})\s*\n"
-    text = F.concat(F.lit("\n"), F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), "\n", "\n\n"), F.lit("\n"))
-    # every line break is doubled while cutting, so that neighbouring headings each have breaks of their own
-    undouble = lambda c: F.regexp_replace(c, "\n\n", "\n")
+    # the line break behind a heading is only looked at, so that the next heading can begin with it
+    heading = rf"\n\s*(?:{'|'.join(headings)})[^\S\n]*(?=\n)"
+    text = F.concat(F.lit("\n"), F.coalesce(F.col(text_col), F.lit("")), F.lit("\n"))
 
     def pieces(whole: Column, pattern: str) -> Column:
         bodies = F.split(whole, pattern)
         titles = F.concat(F.array(F.lit("")), F.regexp_extract_all(whole, F.lit(f"({pattern})"), F.lit(1)))
         return F.zip_with(titles, bodies, lambda t, b: F.struct(utrim(t).alias("title"), F.coalesce(b, F.lit("")).alias("body")))
 
-    sub_heading = r"\n\s*\d+\.\d+[ \t]+[^\n]+\n"
+    sub_heading = r"\n\s*\d+\.\d+[^\S\n]+[^\n]+(?=\n)"
     sections = F.transform(pieces(text, heading), lambda s: F.struct(s["title"].alias("title"), pieces(F.concat(F.lit("\n"), s["body"], F.lit("\n")), sub_heading).alias("subs")))
-    flat = F.flatten(F.transform(sections, lambda s: F.transform(s["subs"], lambda x: F.struct(utrim(F.concat_ws(" ", s["title"], x["title"])).alias("title"), undouble(x["body"]).alias("body")))))
+    flat = F.flatten(F.transform(sections, lambda s: F.transform(s["subs"], lambda x: F.struct(utrim(F.concat_ws(" ", s["title"], x["title"])).alias("title"), x["body"].alias("body")))))
 
     def chunks(piece: Column) -> Column:
         packed = _pack_paragraphs(nonblank_parts(piece["body"], "\n\n"), max_size)

@@ -107,6 +107,7 @@ def _graphs(t):
     ents, rels = t(ENTITY_ROWS), t("fx_relations")
     part = lambda df, odd: df.where(F.col("doc_id") % 2 == odd)
     old, _ = graph.import_batch(graph.empty_graph(t.spark), part(ents, 0), part(rels, 0), "old", _at(BEFORE))
+    old = graph.Graph(tables.materialize(old.nodes), tables.materialize(old.edges))  # as a graph is kept between imports
     new, stats = graph.import_batch(old, part(ents, 1), part(rels, 1), "new", _at(NOW))
     return old, new, stats
 
