@@ -1,33 +1,13 @@
-"""Shared helpers: the shared scratch folder, materialised cuts, connected components."""
+"""Shared helpers: hash shares, connected components."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_OWN_DIRS: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN_DIRS:
-        _OWN_DIRS[app] = "file://" + tempfile.mkdtemp(prefix="spindlekg-")
-    return _OWN_DIRS[app]
-
+from ..sources.tables import materialize
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: cuts the lineage, and outlives any executor."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/spindlekg/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["connected_components", "hash_share", "materialize", "shuffle_partitions"]
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
