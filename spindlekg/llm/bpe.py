@@ -20,6 +20,7 @@ from functools import lru_cache
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import types as T
 
 #: Characters of a text that are encoded at once, about.
 AT_ONCE = 50_000
@@ -74,5 +75,6 @@ def round_trip(docs: DataFrame, text: Column, path: str, pattern: str, keep: Map
     """Encode and decode every text: the columns in keep, n_tokens, ids_sha256, decoded_sha256, and with keep_ids the
     ids and the decoded bytes too. A row per input row, no shuffle."""
     rows = docs.select(text.cast("string").alias("__text"), *[c.alias(k) for k, c in keep.items()])
-    fields = "".join(f"`{k}` {rows.schema[k].dataType.simpleString()}, " for k in keep)
-    return rows.mapInArrow(_round_trip(path, pattern, keep_ids), f"{fields}n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded binary" * keep_ids)
+    made = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
+    made += [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())] * keep_ids
+    return rows.mapInArrow(_round_trip(path, pattern, keep_ids), T.StructType([*rows.schema.fields[1:], *made]))

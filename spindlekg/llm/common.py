@@ -7,7 +7,18 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import materialize
 
-__all__ = ["connected_components", "hash_share", "materialize", "shuffle_partitions"]
+__all__ = ["connected_components", "fresh", "hash_share", "materialize", "shuffle_partitions"]
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores behind those that df has (in any case), so that no column of its own is lost."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import shuffle_partitions
 
@@ -114,7 +115,7 @@ def fingerprints(docs: DataFrame, text: Column, keep: Mapping[str, Column]) -> D
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found, pa.string())], names=[*batch.schema.names[1:], "fingerprint"])
 
     rows = docs.select(text.cast("string").alias("__text"), *[c.alias(k) for k, c in keep.items()])
-    return rows.mapInArrow(run, "".join(f"`{k}` {rows.schema[k].dataType.simpleString()}, " for k in keep) + "fingerprint string")
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[1:], T.StructField("fingerprint", T.StringType())]))
 
 
 def _bucket(key: Column, bounds: list[int], first: int = 0) -> Column:

@@ -26,6 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import hash_share, materialize
 
@@ -238,7 +239,7 @@ def _predictor(model: LanguageModel):
             texts = batch.column(batch.schema.get_field_index("__text")).to_pylist()
             for start in range(0, len(texts), 256):
                 words = [_words(t or "") for t in texts[start : start + 256]]
-                if len(together := set().union(*words)) < CACHED_WORDS // 2:
+                if model.labels and len(together := set().union(*words)) < CACHED_WORDS // 2:
                     learn(together)  # the new words of many texts go through the batched pass together
                 found = [judge(w) for w in words]
                 part = batch.slice(start, 256)
@@ -252,5 +253,5 @@ def _predictor(model: LanguageModel):
 def predict(docs: DataFrame, model: LanguageModel, text: Column, keep: Mapping[str, Column]) -> DataFrame:
     """A row per input row: the columns named in keep, lang_pred and score (the winner's posterior). No shuffle."""
     rows = docs.select(*[c.alias(k) for k, c in keep.items()], text.alias("__text"))
-    fields = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keep)
-    return rows.mapInArrow(_predictor(model), f"{fields}, lang_pred string, score double")
+    kept = [f for f in rows.schema.fields if f.name != "__text"]
+    return rows.mapInArrow(_predictor(model), T.StructType([*kept, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))

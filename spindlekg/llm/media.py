@@ -85,34 +85,47 @@ def features(payload: bytes) -> str:
     return f"rms={np.sqrt((counts * levels**2).sum() / len(x)):.4f};cross={1000 * crossings / len(x):.3f};entropy={max(0.0, -(share * np.log2(share)).sum()):.4f}"
 
 
-def _slot(digest: bytes) -> int:
-    return int.from_bytes(digest[:8], "big") >> (64 - BITMAP_BITS)
+def _slot(digest: bytes, bits: int) -> int:
+    """A digest's place in a bitmap of 2 ** bits."""
+    return int.from_bytes(digest[:8], "big") >> (64 - bits)
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for start in range(0, batch.num_rows, 512):
-            texts = batch.column(0).slice(start, 512).to_pylist()
-            found = [d for t in texts for d, _ in chunks(to_wave(pad((t or "").encode())))]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array([_slot(d) for d in found], pa.int64())], names=["digest", "slot"])
+def _digests(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                texts = batch.column(0).slice(start, 512).to_pylist()
+                found = [d for t in texts for d, _ in chunks(to_wave(pad((t or "").encode())))]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array([_slot(d, bits) for d in found], pa.int64())], names=["digest", "slot"])
+
+    return run
+
+
+class _Bitmap:
+    def __init__(self, packed: bytes):
+        self.packed, self.bits = packed, (8 * len(packed)).bit_length() - 1
+
+    def __contains__(self, digest: bytes) -> bool:
+        slot = _slot(digest, self.bits)
+        return bool(self.packed[slot >> 3] >> (slot & 7) & 1)
 
 
-def _shared_chunks(bitmap: bytes):
-    bits = np.frombuffer(bitmap, dtype=np.uint8)
+def _shared_chunks(packed: bytes):
+    bitmap = _Bitmap(packed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 found = {}
                 for t in batch.column(0).slice(start, 512).to_pylist():
-                    found.update((d, part) for d, part in chunks(to_wave(pad((t or "").encode()))) if bits[(s := _slot(d)) >> 3] >> (s & 7) & 1)
+                    found.update((d, part) for d, part in chunks(to_wave(pad((t or "").encode()))) if d in bitmap)
                 yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.binary())], names=["digest", "bytes"])
 
     return run
 
 
-def _stored(bitmap: bytes):
-    bits = np.frombuffer(bitmap, dtype=np.uint8)
+def _stored(packed: bytes):
+    bitmap = _Bitmap(packed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,7 +137,7 @@ def _stored(bitmap: bytes):
                     media = to_wave(pad(data))
                     listed, own = [], []
                     for d, piece in chunks(media):
-                        shared = bool(bits[(s := _slot(d)) >> 3] >> (s & 7) & 1)
+                        shared = d in bitmap
                         listed.append({"digest": d, "size": len(piece), "shared": shared})
                         own += [] if shared else [piece]
                     rows.append((len(data), len(media), hashlib.sha256(media).digest(), listed, b"".join(own)))
@@ -165,7 +178,7 @@ def store(docs: DataFrame, id_col: Column, text: Column) -> tuple[DataFrame, Dat
     """Two tables in the shared folder: media (id, n_bytes, media_bytes, media, chunks, own), a row per input row, and
     shared chunks (digest, bytes), a row per digest."""
     texts = docs.select(text.cast("string").alias("__text"), id_col.alias("id"))
-    digests = texts.select("__text").mapInArrow(_digests, "digest binary, slot long")
+    digests = texts.select("__text").mapInArrow(_digests(BITMAP_BITS), "digest binary, slot long")
     repeated = digests.groupBy("digest", "slot").agg(F.count("*").alias("n")).where("n > 1")
     words = repeated.groupBy(F.shiftright("slot", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 32 AS int))")).alias("bits")).toPandas()
     bitmap = np.zeros(1 << (BITMAP_BITS - 5), dtype="<u4")

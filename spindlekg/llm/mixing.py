@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_share, materialize
+from .common import fresh, hash_share, materialize
 
 BUCKETS = 4_096
 #: A text's words tell no more than this many would: beyond it, their evidence is averaged.
@@ -74,18 +74,20 @@ def _adder(odds: Column):
 
 
 def with_posteriors(docs: DataFrame, model: DomainModel, text: Column, tokens: str = "__tokens", posterior: str = "__p") -> DataFrame:
-    """docs with two more columns: the number of words, and an array of each domain's probability. No shuffle."""
+    """docs with two more columns: the number of words, and an array of each domain's probability. No shuffle. The two
+    names must be new; every column of docs stays."""
+    if {tokens.lower(), posterior.lower()} & {c.lower() for c in docs.columns}:
+        raise ValueError(f"docs already has a column {tokens} or {posterior}")
+    buckets, powers = fresh(docs, "__buckets", "__powers")
     table = lambda row: F.split(F.lit(",".join(f"{x:.5f}" for x in row)), ",").cast("array<double>")  # noqa: E731  folded to a constant
-    found = docs.withColumn("__b", F.transform(words(text), _bucket)).withColumn(tokens, F.size("__b").cast("long"))
+    found = docs.withColumn(buckets, F.transform(words(text), _bucket)).withColumn(tokens, F.size(buckets).cast("long"))
     calm = F.least(F.lit(1.0), F.lit(float(EVIDENCE_WORDS)) / F.greatest(F.col(tokens), F.lit(1)))
     scores = [F.lit(float(model.log_shares[0]))]
     for share, row in zip(model.log_shares[1:], model.log_odds[1:], strict=True):
-        odds = table(row)
-        scores.append(F.lit(float(share)) + calm * F.aggregate("__b", F.lit(0.0), _adder(odds)))
-    found = found.withColumn("__s", F.array(*scores)).drop("__b")
-    powers = F.transform("__s", lambda s: F.exp(s - F.array_max("__s")))
-    found = found.withColumn("__s", powers)
-    return found.withColumn(posterior, F.transform("__s", lambda s: s / F.aggregate("__s", F.lit(0.0), lambda a, x: a + x))).drop("__s")
+        scores.append(F.lit(float(share)) + calm * F.aggregate(buckets, F.lit(0.0), _adder(table(row))))
+    found = found.withColumn(powers, F.array(*scores)).drop(buckets)
+    found = found.withColumn(powers, F.transform(powers, lambda s: F.exp(s - F.array_max(powers))))
+    return found.withColumn(posterior, F.transform(powers, lambda s: s / F.aggregate(powers, F.lit(0.0), lambda a, x: a + x))).drop(powers)
 
 
 def target_totals(model: DomainModel, weights: Mapping[str, float], budget: float) -> np.ndarray:

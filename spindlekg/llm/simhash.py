@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import connected_components, materialize, shuffle_partitions
+from .common import connected_components, fresh, materialize, shuffle_partitions
 
 SEED = 42
 #: A tile holds this many fingerprints at least (but for small inputs) and at most; there are TILES at least.
@@ -281,15 +281,15 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     ident = F.col(f"`{id_col}`")
-    keyed = docs.withColumn("__node", F.md5(text))
-    prints = materialize(fingerprints(keyed, F.struct(ident.alias("id"), F.col("__node").alias("node")), text, size).select("id.id", "id.node", "fp"))
+    node, nth, gone_id, gone_node = fresh(docs, "__node", "__nth", "__gone_id", "__gone_node")
+    keyed = docs.withColumn(node, F.md5(text))
+    prints = materialize(fingerprints(keyed, F.struct(ident.alias("id"), F.col(node).alias("node")), text, size).select("id.id", "id.node", "fp"))
     nodes = materialize(prints.groupBy("node", "fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("low")))
     pairs = materialize(near_pairs(nodes.select("fp").distinct(), radius, dense))
     shared = nodes.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
     involved = nodes.join(shared.union(pairs.select("a")).union(pairs.select("b")).distinct(), "fp").select("node", "fp", "low")
     involved = materialize(involved)
-    wanted = _sent_if_small(involved.select(F.col("node").alias("__node")))
-    rows = keyed.select("__node", text.alias("t")).join(wanted, "__node", "left_semi")
+    rows = keyed.select(F.col(node).alias("node"), text.alias("t")).join(_sent_if_small(involved.select("node")), "node", "left_semi")
     sets = materialize(rows.mapInArrow(_shingle_sets(verify_size), "node string, hashes array<int>").dropDuplicates(["node"]))
 
     links, leaders, left = [], [], involved
@@ -316,8 +316,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     keepers = grouped.groupBy("root").agg(F.min(F.struct("low", "node")).alias("keep"))
     placed = materialize(grouped.join(keepers, "root").select("node", F.col("keep.low.id").alias("keep_id"), F.col("keep.node").alias("keep_node")))
     gone = prints.join(placed, "node").where(~(F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("node") == F.col("keep_node"))))
-    gone = materialize(gone.select(F.col("id").alias("__id"), F.col("node").alias("__gone")).distinct())
-    kept = keyed.join(_sent_if_small(gone), ident.eqNullSafe(F.col("__id")) & (F.col("__node") == F.col("__gone")), "left_anti")
+    gone = materialize(gone.select(F.col("id").alias(gone_id), F.col("node").alias(gone_node)).distinct())
+    kept = keyed.join(_sent_if_small(gone), ident.eqNullSafe(F.col(gone_id)) & (F.col(node) == F.col(gone_node)), "left_anti")
     if not prints.groupBy("id", "node").agg(F.count("*").alias("n")).where("n > 1").isEmpty():  # rows that are repeated whole
-        kept = kept.withColumn("__nth", F.row_number().over(Window.partitionBy(ident, "__node").orderBy(*[F.col(f"`{c}`") for c in docs.columns]))).where("__nth = 1")
+        first = Window.partitionBy(ident, node).orderBy(*[F.col(f"`{c}`") for c in docs.columns])
+        kept = kept.withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1)
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
