@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.patterns import ENTITY_TYPE_ALIASES, ENTITY_TYPES, RELATION_TYPE_ALIASES, RELATION_TYPES
 from ..functions.text import is_blank, lookup, one_of, overlay, without_keys
+from ..sources.scratch import materialize
 
 NODE = ("label", "text")
 EDGE = ("head_label", "head_text", "rel_type", "tail_label", "tail_text")
@@ -186,11 +187,13 @@ def as_edges(relations: DataFrame) -> DataFrame:
 
 
 def import_batch(graph: Graph, entities: DataFrame, relations: DataFrame, batch_id: str | Column, now: Column) -> tuple[Graph, DataFrame]:
-    """The graph after an import, and its statistics (see import_stats)."""
+    """The graph after an import, and its statistics (see import_stats). Records that are used more than once, and the
+    new nodes, are cut into tables, so that none is prepared twice."""
     good, bad = prepare_entities(entities)
-    kept = prepare_relations(relations, good)
+    good = materialize(good)
+    kept = materialize(prepare_relations(relations, good))
     source = F.col("doc_id").cast("string")
-    nodes = upsert_nodes(graph.nodes, stamp_batch(as_nodes(good), batch_id, source), now)
+    nodes = materialize(upsert_nodes(graph.nodes, stamp_batch(as_nodes(good), batch_id, source), now))
     new_edges = stamp_batch(as_edges(kept), batch_id, source)
     edges = upsert_edges(graph.edges, new_edges, nodes, now)
     return Graph(nodes, edges), import_stats(entities, relations, good, bad, kept, with_endpoints(new_edges, nodes))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.patterns import DEFAULT_COLOUR, LABEL_COLOURS
 from ..functions.text import lookup
-from ..sources.tables import materialize
+from ..sources.scratch import materialize
 
 SEARCH_FIELDS = ("text", "name_zh", "name_en", "description_zh")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import map_text
 from ..operators import chains, entities, graph, relations, search, summary
-from ..sources import files, tables
+from ..sources import files, scratch, tables
 from ..streaming.imports import stream_import
 from .catalog import query
 from .text_queries import TRIM, _rules
@@ -107,7 +107,7 @@ def _graphs(t):
     ents, rels = t(ENTITY_ROWS), t("fx_relations")
     part = lambda df, odd: df.where(F.col("doc_id") % 2 == odd)
     old, _ = graph.import_batch(graph.empty_graph(t.spark), part(ents, 0), part(rels, 0), "old", _at(BEFORE))
-    old = graph.Graph(tables.materialize(old.nodes), tables.materialize(old.edges))  # as a graph is kept between imports
+    old = graph.Graph(old.nodes, scratch.materialize(old.edges))  # as a graph is kept between imports
     new, stats = graph.import_batch(old, part(ents, 1), part(rels, 1), "new", _at(NOW))
     return old, new, stats
 
@@ -370,7 +370,7 @@ def _(t):
 
 
 def _place(t) -> str:
-    return f"{tables.shared_dir(t.spark)}/spindlekg/{uuid.uuid4().hex}"
+    return f"{scratch.shared_dir(t.spark)}/spindlekg/{uuid.uuid4().hex}"
 
 
 @query("s1_read_document_files")
