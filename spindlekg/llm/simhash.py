@@ -95,11 +95,21 @@ class _Forest:
         return a != b
 
 
-def tile_links(left: np.ndarray, right: np.ndarray | None, radius: int, dense: int = 0) -> list[tuple[int, int]]:
+def _nth(keys: np.ndarray) -> np.ndarray:
+    """How many equal keys come before each."""
+    order = np.argsort(keys, kind="stable")
+    ordered = keys[order]
+    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.arange(len(keys)) - np.repeat(first, np.diff(np.append(first, len(keys))))
+    return out
+
+
+def tile_links(left: np.ndarray, right: np.ndarray | None, radius: int, dense: int = 0, nearest: int = 0) -> list[tuple[int, int]]:
     """Links (distance of radius or less) within a tile (right: None) or between two, as pairs of fingerprints.
 
-    Returns a spanning forest of them, made of near links before far ones, and every link of which an end has at most
-    `dense` in this pair of tiles. Links are held while they are at most HELD_LINKS, else found again for each level.
+    Returns a spanning forest of them, made of near links before far ones; every link of which an end has at most `dense`
+    in this pair of tiles; and every link that is among the `nearest` ones of an end. Links are held while they are at most HELD_LINKS, else found again for each level.
     """
     by_count = lambda x: x[np.lexsort((x, np.bitwise_count(x)))]
     rows = by_count(left)
@@ -145,9 +155,15 @@ def tile_links(left: np.ndarray, right: np.ndarray | None, radius: int, dense: i
         degree_c = degree_r
     forest, links = _Forest(len(rows) + (0 if right is None else len(columns))), {}
     shift = 0 if right is None else len(rows)
+    met = np.zeros(len(rows) + len(columns), np.int64)
 
     def take(i: np.ndarray, j: np.ndarray) -> None:
         few = (degree_r[i] <= dense) | (degree_c[j] <= dense)
+        if nearest and len(i):
+            ends = np.concatenate((i, j + shift))
+            place = _nth(ends) + met[ends]
+            few |= (place[: len(i)] < nearest) | (place[len(i) :] < nearest)
+            np.add.at(met, ends, 1)
         for x, y, keep in zip(i.tolist(), j.tolist(), few.tolist(), strict=True):
             if forest.join(x, y + shift) or keep:
                 links[(int(rows[x]), int(columns[y]))] = True
@@ -165,7 +181,7 @@ def tile_links(left: np.ndarray, right: np.ndarray | None, radius: int, dense: i
     return list(links)
 
 
-def _compare(radius: int, dense: int):
+def _compare(radius: int, dense: int, nearest: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for tiles in batch["tiles"]:
@@ -173,7 +189,7 @@ def _compare(radius: int, dense: int):
                 for t in tiles:
                     sides.setdefault(t["tile"], []).append(np.frombuffer(t["packed"], dtype=np.uint64))
                 parts = [np.concatenate(sides[k]) for k in sorted(sides)]
-                links = tile_links(parts[0], parts[1] if len(parts) == 2 else None, radius, dense)
+                links = tile_links(parts[0], parts[1] if len(parts) == 2 else None, radius, dense, nearest)
                 a = np.array([x for x, _ in links], dtype=np.uint64).view(np.int64)
                 b = np.array([y for _, y in links], dtype=np.uint64).view(np.int64)
                 yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
@@ -187,7 +203,7 @@ def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"tile": [tile], "packed": [some["fp"].to_numpy(np.int64).tobytes()]})
 
 
-def near_pairs(distinct: DataFrame, radius: int, dense: int = 0) -> DataFrame:
+def near_pairs(distinct: DataFrame, radius: int, dense: int = 0, nearest: int = 0) -> DataFrame:
     """Links between different fingerprints. distinct: column fp without repeats. Returns a < b (signed longs).
 
     The links' components are those of all pairs within the radius; see tile_links for which of them are returned.
@@ -219,7 +235,7 @@ def near_pairs(distinct: DataFrame, radius: int, dense: int = 0) -> DataFrame:
     pairs = packed.select(F.least("tile", "other").alias("x"), F.greatest("tile", "other").alias("y"), F.struct("tile", "packed").alias("t"))
     n_pairs = sum(b[2] for b in bands) ** 2 // 2 + 1
     pairs = pairs.repartition(min(n_pairs, 8 * shuffle_partitions(spark)), "x", "y").groupBy("x", "y").agg(F.collect_list("t").alias("tiles"))
-    return pairs.select("tiles").mapInPandas(_compare(radius, dense), "a long, b long").distinct()
+    return pairs.select("tiles").mapInPandas(_compare(radius, dense, nearest), "a long, b long").distinct()
 
 
 def components(docs: DataFrame, id_col: Column, text: Column, size: int = 3, radius: int = 2) -> DataFrame:
@@ -258,26 +274,23 @@ def _shingle_sets(size: int):
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b, nodes) whose sets of shingles (as 32-bit hashes) have at least this Jaccard similarity.
-
-    Sets of sizes too far apart are never joined.
-    """
-    sizes = sets.select("node", F.size("hashes").alias("n"))
-    sized = pairs.join(sizes.withColumnsRenamed({"node": "a", "n": "na"}), "a").join(sizes.withColumnsRenamed({"node": "b", "n": "nb"}), "b")
-    sized = sized.where(F.least("na", "nb") >= similarity * F.greatest("na", "nb")).select("a", "b", "na", "nb")
+    """The pairs (a, b, nodes; na, nb, the sizes of their sets) whose sets of shingles, as 32-bit hashes, have at least
+    this Jaccard similarity. Sets of sizes too far apart are never joined."""
+    sized = pairs.where(F.least("na", "nb") >= similarity * F.greatest("na", "nb"))
     left, right = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
     found = sized.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("ha", "hb")))
     return found.where(F.col("both") >= similarity * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 12, verify_size: int = 5, similarity: float = 0.8, dense: int = 8) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 12, verify_size: int = 5, similarity: float = 0.8, dense: int = 8, nearest: int = 1) -> DataFrame:
     """docs without all but one row of each group of near duplicates: the one with the smallest id stays (nulls last).
 
     Fingerprints within the radius are candidates; a link is a candidate whose sets of verify_size-word shingles have
     the Jaccard similarity asked for; groups are the components over links. A text is one node, however many rows hold
     it. Texts of one fingerprint are compared with that fingerprint's first text, those that are not alike with the
     next one left, and so on; leaders of near fingerprints are compared with each other. In a tile pair, a fingerprint
-    with over `dense` near ones is compared along a spanning forest, nearest first, instead of with each of them.
+    with over `dense` near ones is compared with its `nearest` ones and along a spanning forest, nearest first, instead
+    of with each of them.
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     ident = F.col(f"`{id_col}`")
@@ -285,29 +298,31 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     keyed = docs.withColumn(node, F.md5(text))
     prints = materialize(fingerprints(keyed, F.struct(ident.alias("id"), F.col(node).alias("node")), text, size).select("id.id", "id.node", "fp"))
     nodes = materialize(prints.groupBy("node", "fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("low")))
-    pairs = materialize(near_pairs(nodes.select("fp").distinct(), radius, dense))
+    pairs = materialize(near_pairs(nodes.select("fp").distinct(), radius, dense, nearest))
     shared = nodes.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
     involved = nodes.join(shared.union(pairs.select("a")).union(pairs.select("b")).distinct(), "fp").select("node", "fp", "low")
     involved = materialize(involved)
     rows = keyed.select(F.col(node).alias("node"), text.alias("t")).join(_sent_if_small(involved.select("node")), "node", "left_semi")
     sets = materialize(rows.mapInArrow(_shingle_sets(verify_size), "node string, hashes array<int>").dropDuplicates(["node"]))
 
+    involved = materialize(involved.join(sets.select("node", F.size("hashes").alias("n")), "node"))
+
     links, leaders, left = [], [], involved
     while True:
-        lead = left.groupBy("fp").agg(F.min(F.struct("low", "node")).alias("lead")).select("fp", F.col("lead.node").alias("a"))
+        lead = left.groupBy("fp").agg(F.min(F.struct("low", "node", "n")).alias("lead")).select("fp", F.col("lead.node").alias("a"), F.col("lead.n").alias("na"))
         lead = materialize(lead)
         leaders.append(lead)
-        others = left.join(lead, "fp").where("a <> node").select("fp", "low", F.col("node").alias("b"), "a")
-        good = materialize(_alike(others.select("a", "b"), sets, similarity))
+        others = left.join(lead, "fp").where("a <> node").select("fp", "low", F.col("node").alias("b"), F.col("n").alias("nb"), "a", "na")
+        good = materialize(_alike(others.select("a", "b", "na", "nb"), sets, similarity))
         links.append(good)
-        left = materialize(others.join(good.select("b"), "b", "left_anti").select(F.col("b").alias("node"), "fp", "low"))
+        left = materialize(others.join(good.select("b"), "b", "left_anti").select(F.col("b").alias("node"), "fp", "low", F.col("nb").alias("n")))
         if left.isEmpty():
             break
     every = leaders[0]
     for more in leaders[1:]:
         every = every.union(more)
-    one, two = every.select(F.col("fp").alias("a"), F.col("a").alias("x")), every.select(F.col("fp").alias("b"), F.col("a").alias("y"))
-    near = pairs.join(one, "a").join(two, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    one, two = every.select(F.col("fp").alias("a"), F.col("a").alias("x"), "na"), every.select(F.col("fp").alias("b"), F.col("a").alias("y"), F.col("na").alias("nb"))
+    near = pairs.join(one, "a").join(two, "b").select(F.col("x").alias("a"), F.col("y").alias("b"), "na", "nb")
     edges = _alike(near, sets, similarity)
     for more in links:
         edges = edges.union(more)
