@@ -34,7 +34,7 @@ UNKNOWN = "und"
 LONGEST_PIECE = 12
 #: Words up to this many bytes go through the batched pass; longer ones through a rescaled one.
 SHORT_WORD = 24
-CACHED_WORDS = 600_000
+CACHED_WORDS = 300_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -236,13 +236,12 @@ def _predictor(model: LanguageModel):
             return model.labels[best], 1.0 / sum(math.exp(min(0.0, x)) for x in total - total[best])
 
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("__text")).to_pylist()
-            for start in range(0, len(texts), 256):
-                words = [_words(t or "") for t in texts[start : start + 256]]
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                words = [_words(t or "") for t in part.column("__text").to_pylist()]
                 if model.labels and len(together := set().union(*words)) < CACHED_WORDS // 2:
                     learn(together)  # the new words of many texts go through the batched pass together
                 found = [judge(w) for w in words]
-                part = batch.slice(start, 256)
                 rest = [part.column(i) for i, f in enumerate(part.schema) if f.name != "__text"]
                 names = [f.name for f in part.schema if f.name != "__text"]
                 yield pa.RecordBatch.from_arrays([*rest, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=[*names, "lang_pred", "score"])
