@@ -74,7 +74,7 @@ class Page:
         if kind == "form":
             inner = f"<label>{self.say(self.words(1, 4), False)}</label><input name=q><p>{self.say(self.sentences(1, 2), False)}</p><button>{self.say(self.word(), False)}</button>"
             return f"<form action=/s>{inner}</form>" if r.random() < 0.7 else f"<div{self.names('form')}><form>{inner}</form></div>"
-        items = "".join(r.choice((f"<li><b>{self.say(self.word(), False)}</b><p>{self.say(self.sentences(1, 5), False)}</p></li>", f'<div class="comment"><p>{self.say(self.sentences(1, 5), False)}</p></div>', f"<article{self.names('talk')}><p>{self.say(self.sentences(1, 5), False)}</p></article>")) for _ in range(r.randint(1, 5)))
+        items = "".join(r.choice((f"<li><b>{self.say(self.word(), False)}</b><p>{self.say(self.sentences(1, 5), False)}</p></li>", f'<div class="comment"><p>{self.say(self.sentences(1, 5), False)}</p></div>', f"<article{self.names('talk')}><p>{self.say(self.sentences(1, 5), False)}</p></article>", f"<{(e := r.choice(('article', 'div', 'li')))}><p>{self.say(self.sentences(1, 5), False)}</p></{e}>")) for _ in range(r.randint(1, 5)))
         inner = f"<h3>{self.say(self.words(1, 3), False)}</h3>{items}"
         return f"<{(t := r.choice(('section', 'div', 'ol')))}{self.names('talk')}>{inner}</{t}>"
 
