@@ -5,7 +5,7 @@ document a probability of each domain. Every document then gets a rate, zero or
 rates minimise the squared distance between the expected tokens of each domain (tokens x rate x probability, summed
 over all documents) and the target totals, by projected gradient descent. Distances are weighted by the inverse of
 G = sum(tokens x p x p'), and a step for a document is divided by its tokens, so that a step of one is the largest
-that is safe and a problem without bounds is solved in one. Only a vector and a matrix of the domains' number reach the
+that is safe and a problem without bounds is solved in one; with bounds, momentum speeds the rest. Only a vector and a matrix of the domains' number reach the
 driver; each step is one aggregation over (tokens, probabilities, rate) columns, which are cut into a table in the
 shared folder every few steps.
 
@@ -98,20 +98,24 @@ def target_totals(model: DomainModel, weights: Mapping[str, float], budget: floa
 
 
 def rate(moves: Sequence[np.ndarray]) -> Column:
-    """The rate of a row with __p after these steps from one."""
+    """The rate of a row with __p after these steps (momentum, then a gradient by domain) from one."""
     if not moves:
         return F.lit(1.0)
     listed = F.array(*[F.array(*[F.lit(float(x)) for x in move]) for move in moves])
-    gain = lambda move: F.aggregate(F.zip_with("__p", move, lambda p, m: p * m), F.lit(0.0), lambda a, x: a + x)
-    return F.aggregate(listed, F.lit(1.0), lambda r, move: F.greatest(F.lit(0.0), r - gain(move)))
+    gain = lambda move: F.aggregate(F.zip_with("__p", F.slice(move, 2, move_size), lambda p, m: p * m), F.lit(0.0), lambda a, x: a + x)
+    move_size = len(moves[0]) - 1
+    start = F.struct(F.lit(1.0).alias("now"), F.lit(1.0).alias("last"))
+    step = lambda s, move: F.struct(F.greatest(F.lit(0.0), s["now"] + move[0] * (s["now"] - s["last"]) - gain(move)).alias("now"), s["now"].alias("last"))
+    return F.aggregate(listed, start, step, lambda s: s["now"])
 
 
-def fit_rates(weighed: DataFrame, model: DomainModel, weights: Mapping[str, float], budget: float | None = None, steps: int = 40, tolerance: float = 1e-6, cut_every: int = 8) -> list[np.ndarray]:
+def fit_rates(weighed: DataFrame, model: DomainModel, weights: Mapping[str, float], budget: float | None = None, steps: int = 60, tolerance: float = 1e-4, cut_every: int = 8) -> list[np.ndarray]:
     """weighed: a table with __tokens and __p (see with_posteriors). Returns the steps that `rate` takes.
 
     A row's rate depends on its probabilities and the steps alone, so it can be had on any table with posteriors, and
-    only tokens, probabilities and rates are ever cut into a table here. budget: tokens in all; by default as many as there are. Stops when every domain is within tolerance of the budget
-    of its target, or no step helps any more (targets that no rates meet are met as nearly as they can be).
+    only tokens, probabilities and rates are ever cut into a table here. Steps carry momentum, which is dropped whenever
+    the distance grows. budget: tokens in all; by default as many as there are. Stops when every domain is within
+    tolerance of the budget of its target; targets that no rates meet are approached for all the steps.
     """
     k = len(model.domains)
     p = [F.col("__p")[d] for d in range(k)]
@@ -121,21 +125,30 @@ def fit_rates(weighed: DataFrame, model: DomainModel, weights: Mapping[str, floa
     gram = np.array([[row[f"g{min(a, b)}_{max(a, b)}"] or 0.0 for b in range(k)] for a in range(k)])
     inverse = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
     target = target_totals(model, weights, budget)
-    rows, now_rate, last, moves = weighed.select("__tokens", "__p", F.lit(1.0).alias("__rate")), F.col("__rate"), np.inf, []
+    rows = weighed.select("__tokens", "__p", F.lit(1.0).alias("__now"), F.lit(1.0).alias("__last"))
+    now, last, moves = F.col("__now"), F.col("__last"), []
+    before, nearest, age = None, np.inf, 1.0
     if budget <= 0:
         return moves
     for step in range(steps):
-        now = rows.agg(*[F.sum(n * p[d] * now_rate).alias(f"c{d}") for d in range(k)]).first()
-        gap = np.array([now[f"c{d}"] or 0.0 for d in range(k)]) - target
-        distance = float(gap @ inverse @ gap)
-        if np.abs(gap).max() <= tolerance * budget or distance >= last * (1 - 1e-6):
+        sums = rows.agg(*[F.sum(n * p[d] * now).alias(f"c{d}") for d in range(k)]).first()
+        gap = np.array([sums[f"c{d}"] or 0.0 for d in range(k)]) - target
+        if np.abs(gap).max() <= tolerance * budget:
             break
-        last = distance
-        move = inverse @ gap
-        moves.append(move)
-        now_rate = F.greatest(F.lit(0.0), now_rate - sum((p[d] * float(move[d]) for d in range(1, k)), p[0] * float(move[0])))
+        distance = float(gap @ inverse @ gap)
+        if distance > nearest:
+            age = 1.0
+        nearest, older = distance, age
+        age = (1 + np.sqrt(1 + 4 * age * age)) / 2
+        momentum = (older - 1) / age if before is not None else 0.0
+        ahead = gap if before is None else gap + momentum * (gap - before)
+        before, gradient = gap, inverse @ ahead
+        moves.append(np.concatenate(([momentum], gradient)))
+        further = now + F.lit(momentum) * (now - last) - sum((p[d] * float(gradient[d]) for d in range(1, k)), p[0] * float(gradient[0]))
+        rows = rows.select("__tokens", "__p", F.greatest(F.lit(0.0), further).alias("__now"), now.alias("__last"))
         if (step + 1) % cut_every == 0:
-            rows, now_rate = materialize(rows.withColumn("__rate", now_rate)), F.col("__rate")
+            rows = materialize(rows)
+        now, last = F.col("__now"), F.col("__last")
     return moves
 
 
