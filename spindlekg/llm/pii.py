@@ -6,6 +6,9 @@ such as `token` or `password`. A value is read as a number in the domain of its
 that domain without fixed points, and written back in the same format with its check digits made right again. So equal
 values, however they are punctuated, have equal pseudonyms in every document, different values different ones, and
 whoever holds the key can undo them. Numbers that fail their check are left alone.
+Where numbers stand side by side, each place is tried with every kind and, for cards and phones, every end at a group of
+digits until one passes; a failed try takes nothing from what begins one character on. Digits alone do not always tell
+where one of two neighbours ends, so pseudonyms beside other numbers can read, and undo, as a different split.
 
 Edges, all tested: null stays null and empty stays empty; texts of any length are treated whole; repeated rows each
 return a row; an empty table returns no rows. Where matches overlap, the one that is looked for first (secrets, mail
@@ -30,15 +33,21 @@ ROUNDS = 8
 FIRST_DAY, DAYS = datetime.date(1900, 1, 1).toordinal(), 73_049
 
 RUN = re.compile(r"[0-9][0-9 ().\-/]*[0-9]")
-NUMBER = re.compile(
-    r"(?<![\w.])(?P<ip>(?:\d{1,3}\.){3}\d{1,3})(?![\w]|\.\d)"
-    r"|(?<![\w/.-])(?P<iso>\d{4}([-/.])\d{1,2}\3\d{1,2})(?![\w/-])"
-    r"|(?<![\w/.-])(?P<day>\d{1,2}([-/.])\d{1,2}\5\d{4})(?![\w/-])"
-    r"|(?<![\w-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
-    r"|(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4})(?![\w])"
-    r"|(?<![\w])(?P<card>\d(?:[ -]?\d){12,18})(?!\d)",
-    re.ASCII,
-)
+#: In the order in which they are tried at one place.
+NUMBERS = {
+    "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)",
+    "iso": r"(?<![\w/.-])\d{4}(?P<i>[-/.])\d{1,2}(?P=i)\d{1,2}(?![\w/-])",
+    "day": r"(?<![\w/.-])\d{1,2}(?P<d>[-/.])\d{1,2}(?P=d)\d{4}(?![\w/-])",
+    "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
+    "phone": r"(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4})(?![\w])",
+    "card": r"(?<![\w])\d(?:[ -]?\d){12,18}(?!\d)",
+}
+NUMBER = re.compile("|".join(NUMBERS.values()), re.ASCII)
+NUMBERS = {kind: re.compile(pattern, re.ASCII) for kind, pattern in NUMBERS.items()}
+DIGITS = re.compile(r"[0-9]+")
+YEAR = re.compile(r"(?<= )(?:19|20)\d\d(?!\w)", re.ASCII)
+#: What a number most likely is as a whole, if more digits follow: a card in its usual groups, a North American phone.
+USUAL = {"card": re.compile(r"\d{4}([ -])(?:\d{4}\1\d{4}\1\d{4}|\d{6}\1\d{4,5})(?!\d)|\d{13,19}(?!\d)", re.ASCII), "phone": re.compile(r"\+1(?:\D*\d){10}", re.ASCII)}
 IBAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])", re.ASCII)
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-'")
 DOMAIN = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+")
@@ -182,6 +191,40 @@ class Pseudonyms:
         out = dict(zip(order, (f"{found.year:04d}", f"{found.month:0{2 if wide else 1}d}", f"{found.day:0{2 if wide else 1}d}"), strict=True))
         return mark.join(out[i] for i in range(3))
 
+    def _ends(self, text: str, start: int, limit: int, kind: str) -> list[int]:
+        """Where a number of this kind that starts here can end: usual forms first, then from the longest to the
+        shortest; never behind a group of digits that begins a number of its own."""
+        m = NUMBERS[kind].match(text, start, limit)
+        if not m or kind not in USUAL:
+            return [m.end()] if m else []
+        groups = [g.span() for g in DIGITS.finditer(text, start, m.end())]
+        ends, whole = [], kind == "card" and self._usual_card(text, start, limit)
+        for k, (at, end) in enumerate(groups):
+            if k and text[at - 1] in " ." and ends and self._begins(text, at, limit, kind):
+                break
+            if k and kind == "card" and not whole and self._usual_card(text, at, limit):
+                break
+            if end == m.end() or NUMBERS[kind].fullmatch(text, start, end):
+                ends.append(end)
+        usual = USUAL[kind]
+        return sorted(ends, key=lambda end: (usual.fullmatch(text, start, end) is None, -end))
+
+    def _usual_card(self, text: str, at: int, limit: int) -> bool:
+        m = USUAL["card"].match(text, at, limit)
+        return bool(m and NUMBERS["card"].match(text, at, m.end()) and self.of("card", m[0]) is not None)
+
+    def _begins(self, text: str, at: int, limit: int, kind: str) -> bool:
+        """Whether another number than a phone begins here, or, behind a phone, a year."""
+        if kind == "phone" and YEAR.match(text, at, limit):
+            return True
+        for other, pattern in NUMBERS.items():
+            m = pattern.match(text, at, limit) if other != "phone" else None
+            if m and other != "card" and self.of(other, m[0]) is not None:
+                return True
+            if m and other == "card" and any(self.of("card", text[at:end]) is not None for end in (g.end() for g in DIGITS.finditer(text, at, m.end())) if pattern.fullmatch(text, at, end)):
+                return True
+        return False
+
     def apply(self, text: str) -> tuple[str, dict[str, int]]:
         """The text with pseudonyms, and how many of each kind."""
         found: list[tuple[int, int, str, str]] = []
@@ -222,9 +265,13 @@ class Pseudonyms:
                     break
                 space = text.rfind(" ", iban.start(), end)
                 iban = IBAN.match(text, iban.start(), space) if space > 0 else None
-            for m in NUMBER.finditer(text, start, min(len(text), run.end() + 2)):
-                note(m.start(), m.end(), m.lastgroup)
-                done = m.end()
+            limit = min(len(text), run.end() + 2)
+            while m := NUMBER.search(text, start, limit):
+                start = m.start() + 1
+                for kind, end in ((kind, end) for kind in NUMBERS for end in self._ends(text, m.start(), limit, kind)):
+                    if note(m.start(), end, kind):
+                        done = start = end
+                        break
         if not found:
             return text, {}
         out, at, counts = [], 0, {}

@@ -87,3 +87,14 @@ def test_edges(spark, edges, nothing):
     assert pii.pseudonymise(spark.createDataFrame([("4111111111111111",)], "text string"), b"key").columns == ["text"]
     long = "x" * 500_000 + " 4111111111111111 " + "y " * 200_000
     assert MAKE.apply(long)[1] == {"card": 1}
+
+
+CARD, PHONE, IP = "4111 1111 1111 1111", "+1 (826) 555-4081", "190.137.223.204"
+
+
+@pytest.mark.parametrize("before, after", [(PHONE, IP), (PHONE, "2024"), (PHONE, "2024-02-29"), (PHONE, CARD), (CARD, "12"), (CARD, "123"), (CARD, IP), (CARD, CARD), ("4111111111111111", "12"), ("+44 20 7946 0958", "2024"), (IP, PHONE), ("12", CARD), ("1234", CARD), ("2023-02-30", CARD), ("999.1.2.3", PHONE)])
+def test_adjacent_numbers_are_as_alone(before, after):
+    one, two = MAKE.apply(before), MAKE.apply(after)
+    made, counts = MAKE.apply(f"call {before} {after} now")
+    assert made == f"call {one[0]} {two[0]} now"
+    assert sum(counts.values()) == sum(one[1].values()) + sum(two[1].values())
