@@ -18,6 +18,7 @@ since the smallest id represents. Extra columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -268,11 +269,93 @@ def _shingle_sets(size: int):
                     words = (text or "").encode().lower().split()
                     hashes = np.frombuffer(b"".join([xxhash.xxh32_digest(s, SEED) for s in shingles(words, size)]), dtype=np.int32)
                     sets.append(np.unique(hashes))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int32()))], names=["node", "hashes"])
+                sizes = pa.array([len(x) for x in sets], pa.int32())
+                yield pa.RecordBatch.from_arrays([part.column(0), sizes, pa.array(sets, pa.list_(pa.int32()))], names=["node", "n", "hashes"])
 
     return run
 
 
+#: Of every SAMPLED sets one is looked at for common shingles: those in COMMON_LEAST of these sets or more, at most
+#: COMMON_MOST. They only decide the order of shingles; any order finds every pair.
+SAMPLED, COMMON_LEAST, COMMON_MOST = 8, 4, 200_000
+
+
+def prefix(hashes: np.ndarray, similarity: float, common: np.ndarray) -> np.ndarray:
+    """The shingles of which two sets of this similarity share one at least: all but similarity * n less one, in an order
+    that is the same for all sets: common ones (sorted) last, else by hash."""
+    if not len(hashes):
+        return hashes
+    rare = ~np.isin(hashes, common, assume_unique=True)
+    ordered = np.concatenate((hashes[rare], hashes[~rare]))
+    return ordered[: len(hashes) - math.ceil(similarity * len(hashes) - 1e-9) + 1]
+
+
+def _prefixes(similarity: float, common: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                heads = [prefix(np.asarray(x.values), similarity, common) for x in part.column(2)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(heads, pa.list_(pa.int32()))], names=["id", "n", "head"])
+
+    return run
+
+
+def prefixes(sets: DataFrame, similarity: float) -> DataFrame:
+    """id, n and head, the prefix of each set (id, node, n, hashes)."""
+    some = sets.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0).select(F.explode("hashes").alias("h"))
+    often = some.groupBy("h").agg(F.count("*").alias("times")).where(F.col("times") >= COMMON_LEAST).orderBy(F.desc("times"), "h").limit(COMMON_MOST)
+    common = np.sort(np.array([r["h"] for r in often.collect()], dtype=np.int32))
+    return sets.select("id", "n", "hashes").mapInArrow(_prefixes(similarity, common), "id long, n int, head array<int>")
+
+
+def _mixed(posts: DataFrame, roots: DataFrame) -> DataFrame:
+    """posts (h, id, n, at) with the root of each id, of those shingles only that occur under two roots or more."""
+    placed = posts.join(roots, "id")
+    spread = placed.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("h")
+    return placed.join(spread, "h")
+
+
+def _apart(mixed: DataFrame, similarity: float, leaders: bool) -> DataFrame:
+    """Pairs (a < b, na, nb) of sets under different roots that share a shingle of their prefixes, less those of which the
+    sizes and the places of that shingle rule out the similarity; with leaders, only pairs with a shingle's first set."""
+    left = mixed.select("h", F.col("id").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"), F.col("root").alias("ra"))
+    if leaders:
+        first = mixed.groupBy("h").agg(F.min(F.struct("root", "id", "n", "at")).alias("first"))
+        right = first.select("h", F.col("first.id").alias("b"), F.col("first.n").alias("nb"), F.col("first.at").alias("ib"), F.col("first.root").alias("rb"))
+        other = F.col("ra") > F.col("rb")
+    else:
+        right = mixed.select("h", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"), F.col("root").alias("rb"))
+        other = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))
+    # of the first shared shingle: it and what lies behind it in both is all that they can share
+    most = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
+    enough = (F.least("na", "nb") >= similarity * F.greatest("na", "nb")) & (most >= similarity * (F.col("na") + F.col("nb") - most))
+    l, r = left.alias("l"), right.alias("r")
+    found = l.join(r, (F.col("l.h") == F.col("r.h")) & other & enough)
+    swap = F.col("a") > F.col("b")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(swap, F.col("nb")).otherwise(F.col("na")).alias("na"), F.when(swap, F.col("na")).otherwise(F.col("nb")).alias("nb")).distinct()
+
+
+def join_the_rest(sets: DataFrame, edges: DataFrame, similarity: float) -> DataFrame:
+    """node, root of the components of edges (a, b: nodes) and of every other pair of sets (id, node, n, hashes) with at
+    least this Jaccard similarity. Pairs within a component are not made: first each shingle's first set is compared
+    with the others, then, when what that finds has been joined, all that are still apart."""
+    ids = sets.select("id", "node")
+    posts = prefixes(sets, similarity).select("id", "n", F.posexplode("head").alias("at", "h"))
+    by_id = sets.select(F.col("id").alias("node"), "hashes")
+    links = edges.join(ids.select(F.col("node").alias("a"), F.col("id").alias("x")), "a").join(ids.select(F.col("node").alias("b"), F.col("id").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    roots = materialize(connected_components(links))
+    for leaders in (True, False):
+        placed = ids.select("id").join(roots.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("root", "id").alias("root"))
+        mixed = materialize(_mixed(posts, placed))
+        found = materialize(_alike(materialize(_apart(mixed, similarity, leaders)), by_id, similarity))
+        if not found.isEmpty():
+            roots = materialize(connected_components(found.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))))
+        posts = mixed.drop("root")
+    named = roots.join(ids.select(F.col("id").alias("node"), F.col("node").alias("name")), "node")
+    return named.join(ids.select(F.col("id").alias("root"), F.col("node").alias("top")), "root").select(F.col("name").alias("node"), F.col("top").alias("root"))
+
+
 def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b, nodes; na, nb, the sizes of their sets) whose sets of shingles, as 32-bit hashes, have at least
     this Jaccard similarity. Sets of sizes too far apart are never joined."""
@@ -285,8 +368,9 @@ def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 12, verify_size: int = 5, similarity: float = 0.8, dense: int = 8, nearest: int = 1) -> DataFrame:
     """docs without all but one row of each group of near duplicates: the one with the smallest id stays (nulls last).
 
-    Fingerprints within the radius are candidates; a link is a candidate whose sets of verify_size-word shingles have
-    the Jaccard similarity asked for; groups are the components over links. A text is one node, however many rows hold
+    Links are pairs of texts whose sets of verify_size-word shingles have the Jaccard similarity asked for; groups are the
+    components over links. Fingerprints within the radius are the first candidates; whatever these leave in different
+    groups is found by join_the_rest, which is exact. A text is one node, however many rows hold
     it. Texts of one fingerprint are compared with that fingerprint's first text, those that are not alike with the
     next one left, and so on; leaders of near fingerprints are compared with each other. In a tile pair, a fingerprint
     with over `dense` near ones is compared with its `nearest` ones and along a spanning forest, nearest first, instead
@@ -299,13 +383,12 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     prints = materialize(fingerprints(keyed, F.struct(ident.alias("id"), F.col(node).alias("node")), text, size).select("id.id", "id.node", "fp"))
     nodes = materialize(prints.groupBy("node", "fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("low")))
     pairs = materialize(near_pairs(nodes.select("fp").distinct(), radius, dense, nearest))
+    rows = keyed.select(F.col(node).alias("node"), text.alias("t"))
+    sets = rows.mapInArrow(_shingle_sets(verify_size), "node string, n int, hashes array<int>").dropDuplicates(["node"])
+    sets = materialize(sets.withColumn("id", F.monotonically_increasing_id()))
     shared = nodes.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
     involved = nodes.join(shared.union(pairs.select("a")).union(pairs.select("b")).distinct(), "fp").select("node", "fp", "low")
-    involved = materialize(involved)
-    rows = keyed.select(F.col(node).alias("node"), text.alias("t")).join(_sent_if_small(involved.select("node")), "node", "left_semi")
-    sets = materialize(rows.mapInArrow(_shingle_sets(verify_size), "node string, hashes array<int>").dropDuplicates(["node"]))
-
-    involved = materialize(involved.join(sets.select("node", F.size("hashes").alias("n")), "node"))
+    involved = materialize(involved.join(sets.select("node", "n"), "node"))
 
     links, leaders, left = [], [], involved
     while True:
@@ -326,7 +409,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     edges = _alike(near, sets, similarity)
     for more in links:
         edges = edges.union(more)
-    roots = materialize(connected_components(edges))
+    roots = materialize(join_the_rest(sets, materialize(edges), similarity))
     grouped = nodes.join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     keepers = grouped.groupBy("root").agg(F.min(F.struct("low", "node")).alias("keep"))
     placed = materialize(grouped.join(keepers, "root").select("node", F.col("keep.low.id").alias("keep_id"), F.col("keep.node").alias("keep_node")))

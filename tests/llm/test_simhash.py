@@ -137,3 +137,24 @@ def test_near_duplicates_by_similarity(spark, monkeypatch, rows):
     want = sorted(made[i][0] for i in range(len(made)) if roots[i] == i)
     got = sorted(r.doc_id for r in simhash.drop_near_duplicates(spark.createDataFrame(made, "doc_id long, text string")).collect())
     assert got == want and len(want) < len(made)
+
+
+def alike(made, size=5, similarity=0.8):
+    sets = [{tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))} for w in (t.split() for _, t in made)]
+    return [(a, b) for a in range(len(made)) for b in range(a) if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])]
+
+
+def kept_ids(spark, made, **options):
+    return sorted(r.doc_id for r in simhash.drop_near_duplicates(spark.createDataFrame(made, "doc_id long, text string"), **options).collect())
+
+
+def test_near_duplicates_beyond_the_radius(spark):
+    """A line repeated many times leaves the set of shingles as it is, all but two or so, and moves the fingerprint far."""
+    rng = np.random.default_rng(11)
+    made = []
+    for i in range(12):
+        words = [f"w{x}" for x in rng.integers(0, 10**6, 300)]
+        made += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words + words[-20:] * 12))]
+    assert max((reference(made[2 * i][1], 3) ^ reference(made[2 * i + 1][1], 3)).bit_count() for i in range(12)) > 12
+    assert len(alike(made)) == 12
+    assert kept_ids(spark, made) == [2 * i for i in range(12)]
