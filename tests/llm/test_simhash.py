@@ -158,3 +158,25 @@ def test_near_duplicates_beyond_the_radius(spark):
     assert max((reference(made[2 * i][1], 3) ^ reference(made[2 * i + 1][1], 3)).bit_count() for i in range(12)) > 12
     assert len(alike(made)) == 12
     assert kept_ids(spark, made) == [2 * i for i in range(12)]
+
+
+def first_of_each(made):
+    roots = groups(len(made), alike(made))
+    return sorted(made[i][0] for i in range(len(made)) if roots[i] == i)
+
+
+def test_near_duplicates_beside_failed_links(spark):
+    """Families with a long passage in common: many candidates in reach, of which a forest holds some that are not links."""
+    rng = np.random.default_rng(3)
+    made = []
+    for _ in range(2):
+        passage = [f"w{x}" for x in rng.integers(0, 10**6, 150)]
+        for _ in range(20):
+            own = [f"v{x}" for x in rng.integers(0, 10**6, 38)]
+            for _ in range(2):
+                words = passage + own
+                for at in rng.choice(len(words), 2, replace=False):
+                    words = [*words[:at], f"x{rng.integers(10**6)}", *words[at + 1 :]]
+                made.append((len(made), " ".join(words)))
+    assert len(first_of_each(made)) < len(made)
+    assert kept_ids(spark, made, dense=0, nearest=0) == first_of_each(made)
