@@ -180,3 +180,13 @@ def test_near_duplicates_beside_failed_links(spark):
                 made.append((len(made), " ".join(words)))
     assert len(first_of_each(made)) < len(made)
     assert kept_ids(spark, made, dense=0, nearest=0) == first_of_each(made)
+
+
+def test_near_duplicates_of_one_fingerprint_in_a_chain(spark):
+    """The repeated words decide the fingerprint; the middle text is alike both others, which are not alike."""
+    tail = [f"t{i}" for i in range(120)]
+    texts = [" ".join(["a b c"] * 200 + [f"y{i}" if i < changed else w for i, w in enumerate(tail)]) for changed in (0, 14, 7)]
+    made = [(1, texts[0]), (2, texts[1]), (3, texts[2])]
+    assert len({reference(t, 3) for t in texts}) == 1
+    assert sorted(alike(made)) == [(2, 0), (2, 1)]
+    assert kept_ids(spark, made) == [1]
