@@ -3,7 +3,9 @@
 Long texts are cut where the splitting pattern always has a match boundary, so that the pieces' ids, one after the
 other, are the whole text's: before a space or line break that follows a letter or digit (no match holds white space
 after anything else), and before the last white space of a run that a letter or digit follows (the pattern leaves that
-one to the next match). Decoding gives raw bytes, so ids that cut a character are no loss.
+one to the next match). A run of LONG_RUN white spaces or more, less its last one if anything follows, is one match;
+it is encoded as such without the pattern, whose engine recurses over runs. Decoding gives raw bytes, so ids that cut a
+character are no loss.
 
 Edges, all tested: null and empty texts have no ids; a text of any length is encoded whole; strings that look like
 special tokens are ordinary text; repeated rows each return a row; an empty table returns no rows.
@@ -26,8 +28,15 @@ from pyspark.sql import types as T
 AT_ONCE = 50_000
 BOUNDARY = re.compile(r"(?<=[0-9A-Za-z])(?=[ \n])|(?<=[ \n])(?=[ \n][0-9A-Za-z])")
 
+#: Unicode's white space, as the pattern's engine has it (Python's own class has four control characters more).
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = 10_000
+RUNS = re.compile(f"[{WHITE}]{{{LONG_RUN},}}")
+#: A pattern that takes a text whole.
+WHOLE = r"(?s:.+)"
 
-@lru_cache(maxsize=2)
+
+@lru_cache(maxsize=4)
 def encoding(path: str, pattern: str) -> tiktoken.Encoding:
     with open(path, "rb") as file:
         ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in file if line.strip())}
@@ -46,9 +55,15 @@ def pieces(text: str, at_once: int = AT_ONCE) -> Iterator[str]:
     yield text[start:] if start else text
 
 
-def encode(text: str | None, coder: tiktoken.Encoding) -> list[int]:
-    ids: list[int] = []
-    for piece in pieces(text or ""):
+def encode(text: str | None, path: str, pattern: str) -> list[int]:
+    coder, text, ids, at = encoding(path, pattern), text or "", [], 0
+    for run in RUNS.finditer(text) if len(text) >= LONG_RUN else ():
+        end = run.end() - (run.end() < len(text))
+        for piece in pieces(text[at : run.start()]):
+            ids += coder.encode_ordinary(piece)
+        ids += encoding(path, WHOLE).encode_ordinary(text[run.start() : end])
+        at = end
+    for piece in pieces(text[at:]):
         ids += coder.encode_ordinary(piece)
     return ids
 
@@ -61,7 +76,7 @@ def _round_trip(path: str, pattern: str, keep_ids: bool):
                 part = batch.slice(start, 256)
                 rows: list[tuple] = []
                 for text in part.column(0).to_pylist():
-                    ids = encode(text, coder)
+                    ids = encode(text, path, pattern)
                     decoded = coder.decode_bytes(ids)
                     rows.append((len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(decoded).hexdigest(), ids if keep_ids else None, decoded if keep_ids else None))
                 kinds = [pa.int64(), pa.string(), pa.string()] + [pa.list_(pa.int32()), pa.binary()] * keep_ids

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -19,7 +21,7 @@ def joined(text, at_once):
 @given(st.text(alphabet="ab1 \n\t'.s!é日  \x1f<|endoftext>", max_size=60), st.integers(1, 7))
 def test_pieces_encode_as_the_whole(text, at_once):
     assert joined(text, at_once) == CODER.encode_ordinary(text)
-    assert CODER.decode_bytes(bpe.encode(text, CODER)) == text.encode()
+    assert CODER.decode_bytes(bpe.encode(text, PATH, PATTERN)) == text.encode()
 
 
 def test_given_documents_in_pieces(small):
@@ -29,7 +31,43 @@ def test_given_documents_in_pieces(small):
 
 @pytest.mark.parametrize("text", ["a" * 300_000, " " * 200_000 + "x", "!" * 100_000, "<|endoftext|>", "ab " * 100_000, "日本" * 50_000, "\U0001f600" * 1000])
 def test_long_and_odd_texts_come_back(text):
-    assert CODER.decode_bytes(bpe.encode(text, CODER)) == text.encode()
+    assert CODER.decode_bytes(bpe.encode(text, PATH, PATTERN)) == text.encode()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["    ", "\xa0\xa0\xa0", "\n\n\n\n", " \t\u3000 ", " ", "a", "é", "!", "1", "'s", "\x1c\x1d\x1e\x1f", "\u200b"]), max_size=12))
+def test_runs_of_white_space_encode_as_the_whole(parts):
+    text = "".join(parts)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(bpe, "LONG_RUN", 2)
+        patch.setattr(bpe, "RUNS", re.compile(f"[{bpe.WHITE}]{{2,}}"))
+        assert bpe.encode(text, PATH, PATTERN) == CODER.encode_ordinary(text)
+
+
+def test_white_space_is_the_engines():
+    import regex
+
+    python = {c for c in map(chr, range(0x10000)) if regex.match(r"\p{White_Space}", c)}
+    assert {c for c in map(chr, range(0x10000)) if re.match(f"[{bpe.WHITE}]", c)} == python
+
+
+@pytest.mark.parametrize("run", [" ", "\xa0", " \n", "\t \u3000\xa0", "\n"])
+@pytest.mark.parametrize("n", [10_000, 100_000])
+@pytest.mark.parametrize("after", ["", "x", "!", "\x1f"])
+def test_long_runs_equal_the_library(run, n, after):
+    text = "one" + run * (n // len(run)) + after
+    assert bpe.encode(text, PATH, PATTERN) == CODER.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("n", [1_000_000, 5_000_000, 20_000_000])
+@pytest.mark.parametrize("run", [" ", "\xa0", " \n\t\xa0"])
+def test_very_long_runs_come_back(run, n):
+    """The library cannot take these whole; a run's ids are a shorter run's with more of what it repeats."""
+    text = "one two" + run * (n // len(run)) + "three" + run
+    ids = bpe.encode(text, PATH, PATTERN)
+    assert CODER.decode_bytes(ids) == text.encode()
+    short = CODER.encode_ordinary("one two" + run * (100_000 // len(run)) + "three" + run)
+    assert ids[:50] == short[:50] and ids[-6:] == short[-6:]
 
 
 def test_query_equals_the_library(spark, small):
