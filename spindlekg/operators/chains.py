@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.patterns import PROCESS_KEYWORDS, STAGE_KEYS
+from ..functions.rows import heavy_keys, spread_join
 from ..functions.text import is_json, utrim
+from ..sources.scratch import materialize
 
 COMPOSITION_NODE, NOT_GIVEN, PROPERTY = "合金成分", "未提供", "性能"
 RAW_MATERIAL, FLOW, EFFECT = "原材料", "工艺流程", "影响"
@@ -143,21 +145,66 @@ def condition_distance(a_temp: Column, a_time: Column, b_temp: Column, b_time: C
     return F.when(empty, F.lit(9999).cast("long")).otherwise(F.coalesce(F.abs(a_temp - b_temp), F.lit(0).cast("long")) + F.coalesce(F.abs(a_time - b_time), F.lit(0).cast("long")))
 
 
-def nearest_conditions(left: DataFrame, right: DataFrame, k: int = 1, band: int = 50) -> DataFrame:
-    """The k rows of right (id, temp, time) nearest to each row of left (id, temp, time), of those that have a
-    temperature within a band's width or so: left_id, right_id, distance, rank.
+def _cell(name: str, width: int) -> Column:
+    return F.expr(f"({name} - pmod({name}, {width}L)) div {width}L")
 
-    Rows of right with equal conditions are one candidate until the end. Left rows meet the candidates of their own
-    band and the two beside it, so this is an equi-join; rows without a temperature meet those without one, by time.
+
+def _first_ids(rows: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
+    nth = Window.partitionBy(*keys).orderBy("id")
+    return rows.select(*keys, "id").distinct().withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= k).drop("nth")
+
+
+def nearest_conditions(left: DataFrame, right: DataFrame, k: int = 1, width: int = 16) -> DataFrame:
+    """The k rows of right (id, temp, time) nearest to each row of left (id, temp, time) by condition_distance, ties by id:
+    left_id, right_id, distance, rank. Every row of left has min(k, rows of right) rows.
+
+    Equal conditions are one on either side until the end. What two conditions share decides where they are compared:
+    both numbers, the temperature or the time. There, the numbers are cut into cells of a width, a condition meets the
+    cells around its own, and is done once its k nearest lie within the width, since what it has not met is farther;
+    the others go on with cells four times as wide. Conditions that share nothing, or of which one is empty, have
+    constant distances, so the k smallest ids of each such kind are enough.
     """
-    slot = lambda temp, time: F.coalesce(F.floor(temp / band), -1 - F.coalesce(F.floor(time / band), F.lit(0)) - (1 << 40))
-    kinds = right.groupBy("temp", "time").agg(F.slice(F.array_sort(F.collect_set("id")), 1, k).alias("ids"))
-    kinds = kinds.select(F.col("temp").alias("r_temp"), F.col("time").alias("r_time"), "ids", slot(F.col("temp"), F.col("time")).alias("slot"))
-    asked = left.groupBy("temp", "time").agg(F.count("*").alias("n"))
-    asked = asked.select("temp", "time", F.explode(F.array(*[slot(F.col("temp"), F.col("time")) + i for i in (-1, 0, 1)])).alias("slot"))
-    pairs = asked.join(kinds, "slot").withColumn("distance", condition_distance(F.col("temp"), F.col("time"), F.col("r_temp"), F.col("r_time")))
-    pairs = pairs.select("temp", "time", "distance", F.explode("ids").alias("right_id"))
-    best = Window.partitionBy("temp", "time").orderBy("distance", "right_id")
-    top = pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    a, b = left.alias("a"), top.alias("b")
-    return a.join(b, F.col("a.temp").eqNullSafe(F.col("b.temp")) & F.col("a.time").eqNullSafe(F.col("b.time"))).select(F.col("a.id").alias("left_id"), "b.right_id", "b.distance", "b.rank")
+    temp, time = F.col("temp"), F.col("time")
+    has = {"both": temp.isNotNull() & time.isNotNull(), "temp": temp.isNotNull() & time.isNull(), "time": temp.isNull() & time.isNotNull(), "none": temp.isNull() & time.isNull()}
+    place = lambda test, name, x, y: F.when(test, F.struct(F.lit(name).alias("space"), x.cast("long").alias("x"), y.cast("long").alias("y")))
+    group = lambda test, name: F.when(test, F.lit(name))
+    listed = lambda *items: F.explode(F.filter(F.array(*items), lambda i: i.isNotNull()))
+    zero = F.lit(0)
+
+    asked = left.groupBy("temp", "time").agg(F.count("*").alias("weight"))
+    asks = materialize(asked.withColumn("ask", F.monotonically_increasing_id()))
+    todo = asks.select("ask", listed(place(has["both"], "both", temp, time), place(has["both"], "temp", temp, zero), place(has["both"], "time", time, zero), place(has["temp"], "any temp", temp, zero), place(has["time"], "any time", time, zero)).alias("p")).select("ask", "p.*")
+    offers = materialize(_first_ids(right, ("temp", "time"), k))
+    spots = offers.select("id", listed(place(has["both"], "both", temp, time), place(has["temp"], "temp", temp, zero), place(has["time"], "time", time, zero), place(temp.isNotNull(), "any temp", temp, zero), place(time.isNotNull(), "any time", time, zero)).alias("p")).select("id", "p.*")
+
+    # constant distances: at most k ids of each of four kinds
+    fixed = offers.select("id", listed(F.lit("every"), group(has["none"], "empty"), group(has["time"], "time alone"), group(has["temp"], "temp alone")).alias("kind"))
+    fixed = _first_ids(fixed, ("kind",), k)
+    kinds = listed(group(has["none"], "every"), group(~has["none"], "empty"), group(has["temp"], "time alone"), group(has["time"], "temp alone"))
+    found = asks.select("ask", kinds.alias("kind")).join(F.broadcast(fixed), "kind").select("ask", F.col("id").alias("right_id"), F.when(F.col("kind").endswith("alone"), 0).otherwise(9999).cast("long").alias("distance"))
+
+    ends = todo.select("x", "y").union(spots.select("x", "y")).agg(*[f(c).alias(f"{n}_{c}") for c in ("x", "y") for n, f in (("low", F.min), ("high", F.max))]).first()
+    span = max(((ends[f"high_{c}"] or 0) - (ends[f"low_{c}"] or 0) for c in ("x", "y")))
+    nth = Window.partitionBy("ask", "space").orderBy("distance", "right_id")
+    while True:
+        step = lambda name: F.explode(F.sequence(F.lit(-1), F.lit(1))).alias(name)
+        around = todo.select("ask", "space", "x", "y", step("i")).select("*", step("j")).select("ask", "space", "x", "y", (_cell("x", width) + F.col("i")).alias("cx"), (_cell("y", width) + F.col("j")).alias("cy"))
+        within = spots.select("space", F.col("x").alias("rx"), F.col("y").alias("ry"), F.col("id").alias("right_id"), _cell("x", width).alias("cx"), _cell("y", width).alias("cy"))
+        met = around.join(within, ["space", "cx", "cy"]).select("ask", "space", "right_id", (F.abs(F.col("x") - F.col("rx")) + F.abs(F.col("y") - F.col("ry"))).alias("distance"))
+        top = materialize(met.withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= k).drop("nth"))
+        if width > span:
+            found = found.unionByName(top.drop("space"))
+            break
+        done = top.where(F.col("distance") <= width).groupBy("ask", "space").agg(F.count("*").alias("n")).where(F.col("n") >= k).drop("n")
+        found = found.unionByName(top.join(done, ["ask", "space"], "left_semi").drop("space"))
+        todo = materialize(todo.join(done, ["ask", "space"], "left_anti"))
+        if todo.isEmpty():
+            break
+        width *= 4
+    best = Window.partitionBy("ask").orderBy("distance", "right_id")
+    top = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    at = F.to_json(F.struct("temp", "time")).alias("at")
+    few = top.groupBy("ask").agg(F.collect_list(F.struct("right_id", "distance", "rank")).alias("t")).join(asks.select("ask", at, "weight"), "ask")
+    few = materialize(few.select("at", "weight", "t"))
+    joined = spread_join(left.select(F.col("id").alias("left_id"), at), few.drop("weight"), "at", heavy_keys(few, "at", "weight"))
+    return joined.select("left_id", F.explode("t").alias("t")).select("left_id", "t.right_id", "t.distance", "t.rank")

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.patterns import PROPERTIES, TREATMENTS, PropertyRule, TreatmentRule
+from ..functions.rows import first_by, fresh
 from ..functions.text import canonical_map, collapse_spaces, is_json, utrim
 
 ENTITY = "struct<text: string, type: string, attributes: map<string, string>>"
@@ -32,21 +33,40 @@ def build_ner_prompts(chunks: DataFrame, template: str, empty: str = "无内容"
 
 
 def complete(prompts: DataFrame, answer: Callable[[list[str]], list[str]], prompt_col: str = "prompt", batch: int = 64) -> DataFrame:
-    """prompts with `response`: the caller's batch function over the different prompts; a failed batch gives "[]"."""
+    """prompts with `response`, and `error` where there is none: the caller's batch function over the different prompts.
+
+    A batch that raises, or that returns another number of answers than it got prompts, is asked again prompt by prompt;
+    a prompt that fails alone, or whose answer is null, has the response "[]" and an error that says why.
+    """
+
+    def one(prompt: str) -> tuple[str, str | None]:
+        try:
+            found = list(answer([prompt]))
+        except Exception as e:  # noqa: BLE001  whatever the caller's model raises is reported with the prompt
+            return "[]", f"{type(e).__name__}: {e}"
+        if len(found) != 1:
+            return "[]", f"{len(found)} answers to one prompt"
+        return ("[]", "no answer") if found[0] is None else (str(found[0]), None)
+
+    def several(part: list[str]) -> list[tuple[str, str | None]]:
+        try:
+            found = list(answer(part))
+        except Exception:  # noqa: BLE001  asked again one by one, which reports what fails
+            found = []
+        return [(str(x), None) for x in found] if len(found) == len(part) and None not in found else [one(p) for p in part]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             for start in range(0, len(rows), batch):
-                part = rows.iloc[start : start + batch]
-                try:
-                    found = list(answer(part[prompt_col].tolist()))
-                except Exception:  # noqa: BLE001  the contract of this stage: what fails has an empty answer
-                    found = ["[]"] * len(part)
-                yield pd.DataFrame({prompt_col: part[prompt_col].tolist(), "response": found})
+                part = rows.iloc[start : start + batch, 0].tolist()
+                found = several(part)
+                yield pd.DataFrame({"prompt": part, "response": [x for x, _ in found], "error": [e for _, e in found]}, dtype=object)
 
-    different = prompts.select(prompt_col).where(F.col(prompt_col).isNotNull()).distinct()
-    answers = different.mapInPandas(run, f"`{prompt_col}` string, response string")
-    return prompts.join(answers, prompt_col, "left").withColumn("response", F.coalesce("response", F.lit("[]")))
+    asked = prompts.select(F.col(f"`{prompt_col}`").alias("prompt")).where("prompt is not null").distinct()
+    answers = asked.mapInPandas(run, "prompt string, response string, error string").withColumnRenamed("prompt", prompt_col)
+    found = prompts.drop("response", "error").join(answers, prompt_col, "left")
+    unasked = F.when(F.col(f"`{prompt_col}`").isNull(), F.lit("no prompt"))
+    return found.withColumn("response", F.coalesce("response", F.lit("[]"))).withColumn("error", F.coalesce("error", unasked))
 
 
 def strip_fences(text: Column) -> Column:
@@ -146,25 +166,27 @@ def merge_entities(model: DataFrame, *rules: DataFrame) -> DataFrame:
 
     rank is 0 for the model, then 1 and on in the order of the rules; (rank, seq) orders a chunk's entities.
     """
-    keys = _keys(model)
-    every = model.withColumn("rank", F.lit(0))
+    found = None
     for i, df in enumerate(rules):
-        every = every.unionByName(df.withColumn("rank", F.lit(i + 1)), allowMissingColumns=True)
-    first = Window.partitionBy(*keys, "text", "type").orderBy("rank", "seq")
-    return every.withColumn("__nth", F.row_number().over(first)).where("rank = 0 OR __nth = 1").drop("__nth")
+        df = df.withColumn("rank", F.lit(i + 1))
+        found = df if found is None else found.unionByName(df, allowMissingColumns=True)
+    own = model.withColumn("rank", F.lit(0))
+    if found is None:
+        return own
+    key = [*_keys(model), "text", "type"]
+    new = first_by(found, key, ("rank", "seq")).join(model.select(*key).distinct(), key, "left_anti")
+    return own.unionByName(new, allowMissingColumns=True)
 
 
 def record_key(df: DataFrame, columns: Sequence[str]) -> Column:
     """A digest of the columns' values in which the order of a map's keys does not count."""
     kinds = dict(df.dtypes)
-    fields = [canonical_map(F.col(c)).alias(c) if kinds[c].startswith("map") else F.col(c) for c in columns]
+    fields = [canonical_map(F.col(f"`{c}`")).alias(c) if kinds[c].startswith("map") else F.col(f"`{c}`") for c in columns]
     return F.sha2(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), 256)
 
 
 def dedup_records(df: DataFrame, scope: Sequence[str] = ("doc_id",), order: Sequence[str] = ("seq",)) -> DataFrame:
     """Of rows that are equal within a scope but for the order columns, the first. Keys shuffle as 32-byte digests."""
+    (key,) = fresh(df, "__key")
     compared = [c for c in df.columns if c not in scope and c not in order]
-    rows = df.withColumn("__key", record_key(df, compared))
-    first = Window.partitionBy(*scope, "__key").orderBy(*order)
-    return rows.withColumn("__nth", F.row_number().over(first)).where("__nth = 1").drop("__key", "__nth")
-
+    return first_by(df.withColumn(key, record_key(df, compared)), [*scope, key], order).drop(key)

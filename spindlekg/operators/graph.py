@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.patterns import ENTITY_TYPE_ALIASES, ENTITY_TYPES, RELATION_TYPE_ALIASES, RELATION_TYPES
+from ..functions.rows import first_by, fresh
 from ..functions.text import is_blank, lookup, one_of, overlay, without_keys
 from ..sources.scratch import materialize
 
@@ -53,33 +54,27 @@ def validate_relations(df: DataFrame, types: Sequence[str] = RELATION_TYPES) ->
     return df.where(one_of(types, F.col("relation_type")) & ~is_blank(F.col("head_entity_text")) & ~is_blank(F.col("tail_entity_text")))
 
 
-def _first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The first row of each key, by an aggregation that combines before it shuffles, so a hot key costs little."""
-    rest = [c for c in df.columns if c not in keys]
-    found = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__row"))
-    return found.select(*[F.col(c) if c in keys else F.col(f"__row.`{c}`").alias(c) for c in df.columns])
-
-
 def dedup_entities(df: DataFrame, scope: Sequence[str] = ("doc_id",), order: Sequence[str] = ("seq",)) -> DataFrame:
     """The first entity of each type and text in a scope."""
-    return _first_by(df, [*scope, "type", "text"], order)
+    return first_by(df, [*scope, "type", "text"], order)
 
 
 def dedup_relations(df: DataFrame, scope: Sequence[str] = ("doc_id",), order: Sequence[str] = ("seq",)) -> DataFrame:
     """The first relation of each head, tail and type in a scope."""
-    return _first_by(df, [*scope, "head_entity_text", "tail_entity_text", "relation_type"], order)
+    return first_by(df, [*scope, "head_entity_text", "tail_entity_text", "relation_type"], order)
 
 
 def fill_endpoint_types(relations: DataFrame, entities: DataFrame, scope: Sequence[str] = ("doc_id",), default: str = "Entity") -> DataFrame:
     """Missing head and tail types from the last entity of that text in the scope, else the default."""
-    types = entities.groupBy(*scope, "text").agg(F.max_by("type", "seq").alias("__type"))
+    (kind,) = fresh(relations, "__type")
+    types = entities.groupBy(*scope, "text").agg(F.max_by("type", "seq").alias(kind))
     for side in ("head", "tail"):
         name = f"{side}_entity_type"
         if name not in relations.columns:
             relations = relations.withColumn(name, F.lit(None).cast("string"))
-        found = types.select(*scope, F.col("text").alias(f"{side}_entity_text"), F.col("__type"))
+        found = types.select(*scope, F.col("text").alias(f"{side}_entity_text"), kind)
         relations = relations.join(found, [*scope, f"{side}_entity_text"], "left")
-        relations = relations.withColumn(name, F.coalesce(F.nullif(name, F.lit("")), "__type", F.lit(default))).drop("__type")
+        relations = relations.withColumn(name, F.coalesce(F.nullif(name, F.lit("")), kind, F.lit(default))).drop(kind)
     return relations
 
 
@@ -112,14 +107,17 @@ def stamp_batch(df: DataFrame, batch_id: str | Column, doc_id: str | Column | No
 
 
 def _reduce(new: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key from several: of each property the last value, as if the rows were imported one by one."""
-    at = F.struct(*order)
-    entries = new.select(*keys, at.alias("__at"), F.explode("props").alias("__k", "__v"))
-    props = entries.groupBy(*keys, "__k").agg(F.max_by(F.struct("__v"), "__at").alias("__v"))
-    props = props.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("__k", "__v.__v"))).alias("props"))
-    last = new.groupBy(*keys).agg(F.max_by(F.struct("batch_id", "source_doc_id"), at).alias("__l"))
-    joined = last.join(props, [*keys], "left")
-    return joined.select(*keys, F.coalesce("props", F.create_map().cast(EMPTY)).alias("props"), "__l.batch_id", "__l.source_doc_id")
+    """One row per key from several: of each property the last value, as if the rows were imported one by one. The batch
+    and document of a key's last row travel as one more property, without a name."""
+    key, last = fresh(new, "__key", "__last")
+    stamp = F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value"))
+    listed = F.concat(F.map_entries(F.coalesce("props", F.create_map().cast(EMPTY))), F.array(stamp))
+    entries = new.select(*keys, F.struct(*order).alias("at"), "batch_id", "source_doc_id", F.explode(listed).alias("e"))
+    each = entries.groupBy(*keys, F.col("e.key").alias(key)).agg(F.max_by(F.struct("e.value", "batch_id", "source_doc_id"), "at").alias(last))
+    named = F.when(F.col(key).isNotNull(), F.struct(F.col(key), F.col(f"{last}.value")))
+    stamped = F.when(F.col(key).isNull(), F.struct(f"{last}.batch_id", f"{last}.source_doc_id"))
+    found = each.groupBy(*keys).agg(F.map_from_entries(F.collect_list(named)).alias("props"), F.first(stamped, ignorenulls=True).alias(last))
+    return found.select(*keys, "props", f"{last}.batch_id", f"{last}.source_doc_id")
 
 
 def _upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], now: Column) -> DataFrame:
@@ -282,8 +280,8 @@ def active_batches(history: DataFrame, doc_id: str | None = None, statuses: Sequ
     active = history.where(F.col("status").isin(*statuses))
     if doc_id is not None:
         return active.where(F.col("doc_id") == doc_id).orderBy(F.desc("created_at"), "batch_id")
-    newest = Window.partitionBy("doc_id").orderBy(F.desc("created_at"), "batch_id")
-    return active.withColumn("__nth", F.row_number().over(newest)).where("__nth = 1").drop("__nth")
+    newest = (F.col("created_at").isNull(), -F.unix_micros(F.col("created_at").cast("timestamp")), F.col("batch_id"))
+    return first_by(active, ["doc_id"], newest)
 
 
 def skip_existing_batches(new: DataFrame, history: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.patterns import RELATION_PRIORITY, RELATION_PROPERTIES, RELATION_TREATMENTS, PropertyRule, TreatmentRule
+from ..functions.rows import first_by, fresh
 from ..functions.text import is_json, utrim
 from .entities import dedup_records, fill_template, property_hits, strip_fences, treatment_hits
 
@@ -22,8 +23,9 @@ def link_entities_to_chunks(chunks: DataFrame, entities: DataFrame, min_entities
     """
     held = entities.where(F.coalesce(F.col("text"), F.lit("")) != "").select("doc_id", "para_no", "text", "type", *(["attributes"] if "attributes" in entities.columns else []), F.col("seq").alias("entity_seq"))
     pairs = chunks.select(*CHUNK, "chunk_text").join(held, ["doc_id", "para_no"]).where(F.contains("chunk_text", "text"))
-    counted = pairs.withColumn("__n", F.count("*").over(Window.partitionBy(*CHUNK)))
-    return counted.where(F.col("__n") >= min_entities).drop("__n")
+    (n,) = fresh(pairs, "__n")
+    counted = pairs.withColumn(n, F.count("*").over(Window.partitionBy(*CHUNK)))
+    return counted.where(F.col(n) >= min_entities).drop(n)
 
 
 def _relation(head: Column, tail: Column, kind: str, confidence: float) -> list[Column]:
@@ -129,8 +131,7 @@ def resolve_multiple_relations(relations: DataFrame, strategy: str = "keep_all",
     rank = F.lit(99)
     for name, value in order.items():
         rank = F.when(F.col("relation_type") == name, value).otherwise(rank)
-    best = Window.partitionBy(*scope, "head_entity_text", "tail_entity_text").orderBy(rank, "seq")
-    return relations.withColumn("__nth", F.row_number().over(best)).where("__nth = 1").drop("__nth")
+    return first_by(relations, [*scope, "head_entity_text", "tail_entity_text"], (rank, "seq"))
 
 
 def tag_relation_source(relations: DataFrame, source: str) -> DataFrame:

@@ -21,6 +21,7 @@ VIEWS: dict[str, str] = {
     "fx_entities": r"""SELECT doc_id, CAST(seq % 3 AS INT) AS para_no, seq AS chunk_no, seq * 2 AS seq, CASE WHEN sk % 17 = 0 THEN '' ELSE concat('E', CAST(pk % 50 AS STRING)) END AS text, CASE pk % 10 WHEN 0 THEN 'MaterialAlloy' WHEN 1 THEN 'Alloy' WHEN 2 THEN '合金' WHEN 3 THEN 'HeatTreatmentProcess' WHEN 4 THEN '工艺' WHEN 5 THEN 'MechanicalProperty' WHEN 6 THEN '性能' WHEN 7 THEN 'AlloyComponent' WHEN 8 THEN 'Gadget' ELSE '' END AS type FROM fx_rows UNION ALL SELECT doc_id, CAST(seq % 3 AS INT), seq, seq * 2 + 1, CASE WHEN pk % 2 = 1 THEN '抗拉强度' WHEN sk % 4 = 0 THEN 'T6' WHEN sk % 4 = 1 THEN '固溶' ELSE '屈服强度' END, CASE WHEN pk % 2 = 0 AND sk % 4 < 2 THEN 'HeatTreatmentProcess' ELSE 'MechanicalProperty' END FROM fx_rows""",
     "fx_relations": r"""SELECT doc_id, CAST(seq % 3 AS INT) AS para_no, seq AS chunk_no, seq, CASE WHEN sk % 4 = 1 AND qty % 3 = 0 THEN '固溶' ELSE concat('E', CAST(pk % 50 AS STRING)) END AS head_entity_text, CASE WHEN sk % 4 = 1 AND qty % 3 = 0 THEN '固溶处理' WHEN qty % 2 = 0 THEN CASE WHEN pk % 2 = 1 THEN '抗拉强度' WHEN sk % 4 = 0 THEN 'T6' WHEN sk % 4 = 1 THEN '固溶' ELSE '屈服强度' END ELSE concat('E', CAST(sk % 60 AS STRING)) END AS tail_entity_text, CASE qty % 6 WHEN 0 THEN 'HAS_PROPERTY' WHEN 1 THEN 'TREATED_BY' WHEN 2 THEN 'HAS_COMPONENT' WHEN 3 THEN 'AFFECTS_PROPERTY' WHEN 4 THEN 'INVESTIGATED' ELSE '' END AS relation_type, concat(CAST(400 + qty AS STRING), '°C ', CAST(qty AS STRING), 'min') AS object FROM fx_rows""",
     "fx_steps": r"""SELECT doc_id, seq, CASE sk % 8 WHEN 0 THEN 'solution treatment' WHEN 1 THEN 'water quench' WHEN 2 THEN '双级时效' WHEN 3 THEN 'annealing' WHEN 4 THEN '均匀化' WHEN 5 THEN 'rolling' WHEN 6 THEN '淬火' ELSE '' END AS name, CASE WHEN pk % 9 = 0 THEN CAST(qty AS STRING) END AS step, concat(CAST(100 + qty AS STRING), '℃/', CAST(pk % 12 + 1 AS STRING), CASE WHEN pk % 2 = 0 THEN 'h' ELSE 'min' END) AS parameters FROM fx_rows""",
+    "fx_conditions": r"""SELECT doc_id * 1000 + seq AS id, CAST(CASE WHEN pk % 11 = 0 THEN NULL ELSE qty * qty * 3 + sk % 3 END AS BIGINT) AS temp, CAST(CASE WHEN sk % 7 = 0 THEN NULL ELSE pk % 23 + CASE WHEN pk % 97 = 1 THEN 20000 ELSE 0 END END AS BIGINT) AS time, doc_id % 2 AS half FROM fx_rows""",
     "fx_history": r"""SELECT concat('batch_', CAST(event_id AS STRING)) AS batch_id, concat('doc_', CAST(user_id AS STRING)) AS doc_id, CASE event_type WHEN 'error' THEN 'failed' WHEN 'view' THEN 'completed' WHEN 'click' THEN 'active' WHEN 'signup' THEN 'superseded' ELSE 'rolledback' END AS status, ts AS created_at FROM events""",
     "fx_log": r"""SELECT concat('error_', CAST(user_id % 7 AS STRING), '.log') AS file, event_id AS line_no, CASE event_type WHEN 'error' THEN concat('LLM调用失败: user ', CAST(user_id AS STRING)) WHEN 'purchase' THEN concat('ParseError : LLM 返回失败 ', props) WHEN 'click' THEN '' ELSE concat(event_type, ': ', props) END AS line FROM events""",
     "fx_nodes": r"""SELECT concat('R', CAST(r_regionkey AS STRING)) AS id, 'Application' AS label, r_name AS text FROM region UNION ALL SELECT concat('N', CAST(n_nationkey AS STRING)), 'ResearchSubject', n_name FROM nation UNION ALL SELECT concat('C', CAST(c_custkey AS STRING)), 'MaterialAlloy', c_name FROM customer UNION ALL SELECT concat('S', CAST(s_suppkey AS STRING)), 'ResearchMethod', s_name FROM supplier""",

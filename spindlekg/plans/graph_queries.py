@@ -293,12 +293,13 @@ def _(t):
     return chains.extract_conditions(t("fx_steps"), "parameters").select("doc_id", "seq", "temp", "time", "time_unit")
 
 
-@query("p7_nearest_conditions", f"""WITH c AS (SELECT doc_id * 1000 + seq AS id, temp, time, doc_id % 2 AS half FROM ({CONDITIONS})), kinds AS (SELECT temp, time, min(id) AS right_id FROM c WHERE half = 0 GROUP BY temp, time), asked AS (SELECT DISTINCT temp, time FROM c WHERE half = 1),
-best AS (SELECT a.temp, a.time, abs(a.temp - k.temp) + abs(a.time - k.time) AS distance, k.right_id, row_number() OVER (PARTITION BY a.temp, a.time ORDER BY abs(a.temp - k.temp) + abs(a.time - k.time), k.right_id) AS nth FROM asked a JOIN kinds k ON abs(a.temp // 50 - k.temp // 50) <= 1)
-SELECT c.id AS left_id, b.right_id, b.distance, CAST(1 AS BIGINT) AS rank FROM c JOIN best b ON c.temp = b.temp AND c.time = b.time AND b.nth = 1 WHERE c.half = 1""")
+@query("p7_nearest_conditions", """WITH k AS (SELECT temp, time, min(id) AS right_id FROM fx_conditions WHERE half = 0 GROUP BY temp, time), a AS (SELECT DISTINCT temp, time FROM fx_conditions WHERE half = 1),
+d AS (SELECT a.temp, a.time, k.right_id, CASE WHEN coalesce(a.temp, a.time) IS NULL OR coalesce(k.temp, k.time) IS NULL THEN 9999 ELSE coalesce(abs(a.temp - k.temp), 0) + coalesce(abs(a.time - k.time), 0) END AS distance FROM a CROSS JOIN k),
+best AS (SELECT temp, time, min((distance, right_id)) AS m FROM d GROUP BY temp, time)
+SELECT c.id AS left_id, m[2] AS right_id, m[1] AS distance, CAST(1 AS BIGINT) AS rank FROM fx_conditions c JOIN best b ON c.temp IS NOT DISTINCT FROM b.temp AND c.time IS NOT DISTINCT FROM b.time WHERE c.half = 1""")
 def _(t):
-    rows = chains.extract_conditions(t("fx_steps"), "parameters").select((F.col("doc_id") * 1000 + F.col("seq")).alias("id"), "temp", "time", (F.col("doc_id") % 2).alias("half"))
-    return _long(chains.nearest_conditions(rows.where("half = 1"), rows.where("half = 0")), "rank")
+    rows = t("fx_conditions")
+    return _long(chains.nearest_conditions(rows.where("half = 1").drop("half"), rows.where("half = 0").drop("half")), "rank")
 
 
 # ---- summaries

@@ -1,10 +1,12 @@
 """Golden and property cases for the graph, search, chains, summaries, files and streams."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from spindlekg.functions import rows
 from spindlekg.operators import chains, graph, search, summary
 from spindlekg.sources import files, tables
 from spindlekg.streaming.imports import stream_import
@@ -116,11 +118,53 @@ def test_chain_of_a_document_without_links(spark):
 
 def test_conditions_and_their_distance(spark):
     df = spark.createDataFrame([(1, "545 ℃/45min"), (2, "190C 12 H"), (3, "30分钟"), (4, ""), (5, "0.35Cu")], "id int, p string")
-    rows = chains.extract_conditions(df, "p")
-    assert [(r.temp, r.time) for r in rows.orderBy("id").collect()] == [(545, 45), (190, 12), (None, 30), (None, None), (35, None)]
+    asked = chains.extract_conditions(df, "p")
+    assert [(r.temp, r.time) for r in asked.orderBy("id").collect()] == [(545, 45), (190, 12), (None, 30), (None, None), (35, None)]
     right = spark.createDataFrame([(10, 540, 40), (11, 545, 100), (12, None, 31)], "id int, temp long, time long")
-    found = {r.left_id: (r.right_id, r.distance) for r in chains.nearest_conditions(rows, right).collect()}
-    assert found[1] == (10, 10) and found[3] == (12, 1)
+    found = {r.left_id: (r.right_id, r.distance) for r in chains.nearest_conditions(asked, right).collect()}
+    assert found == {1: (10, 10), 2: (12, 19), 3: (12, 1), 4: (10, 9999), 5: (12, 0)}
+
+
+def plain_distance(a, b):
+    if a == (None, None) or b == (None, None):
+        return 9999
+    return sum(abs(x - y) for x, y in zip(a, b, strict=True) if x is not None and y is not None)
+
+
+@pytest.mark.parametrize(("k", "width"), [(1, 16), (3, 1), (5, 4)])
+@pytest.mark.parametrize("spread", [9, 2000, 10**12])
+def test_nearest_conditions_equal_brute_force(spark, k, width, spread):
+    rng = random.Random(spread + k)
+    pick = lambda: None if rng.random() < 0.2 else rng.randrange(spread) // rng.choice((1, 1, 50))
+    left, right = [(i, pick(), pick()) for i in range(60)], [(i, pick(), pick()) for i in range(40)]
+    left += [(60, 500, 0), (61, 900, 10), (62, 500, None), (63, -40, 7), (63, -40, 7)]
+    right += [(40, 540, 1000), (41, 650, 0), (42, None, 5), (42, None, 5)]
+    schema = "id long, temp long, time long"
+    got = chains.nearest_conditions(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), k, width).collect()
+    want = []
+    for i, *a in left:
+        ranked = sorted({(plain_distance(tuple(a), tuple(b)), j) for j, *b in right})[:k]
+        want += [(i, j, d, n + 1) for n, (d, j) in enumerate(ranked)]
+    assert sorted(tuple(r) for r in got) == sorted(want)
+
+
+def test_nearest_conditions_of_nothing(spark):
+    some, none = spark.createDataFrame([(1, 5, 6)], "id long, temp long, time long"), spark.createDataFrame([], "id long, temp long, time long")
+    assert chains.nearest_conditions(some, none).count() == chains.nearest_conditions(none, some).count() == chains.nearest_conditions(none, none).count() == 0
+
+
+def test_rows_of_heavy_keys_are_joined_whole(spark):
+    many = spark.range(5000).select("id", F.when(F.col("id") < 4000, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("a.b"), F.lit("x").alias("__part"))
+    few = many.groupBy("`a.b`").agg(F.count("*").alias("n"), F.max("id").alias("top")).where("`a.b` <> 'k7'")
+    plain = many.withColumnRenamed("a.b", "k")
+    few = few.withColumnRenamed("a.b", "k")
+    heavy = rows.heavy_keys(few, "k", "n", shares=8, least=10)
+    assert [(r.k, r.parts) for r in heavy.collect()] == [("hot", 7)]
+    for how in ("inner", "left"):
+        got = rows.spread_join(plain, few.drop("n"), "k", heavy, how)
+        want = plain.join(few.drop("n"), "k", how)
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert rows.heavy_keys(few, "k", "n", shares=1) is None
 
 
 def test_summaries(spark):

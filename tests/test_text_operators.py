@@ -128,7 +128,24 @@ def test_failed_completion_is_an_empty_answer(spark):
     def fail(batch):
         raise RuntimeError("no model")
 
-    assert [r.response for r in entities.complete(spark.createDataFrame([("p",), (None,)], "prompt string"), fail).collect()] == ["[]", "[]"]
+    found = entities.complete(spark.createDataFrame([("p",), (None,)], "prompt string"), fail).collect()
+    assert {(r.prompt, r.response, r.error) for r in found} == {("p", "[]", "RuntimeError: no model"), (None, "[]", "no prompt")}
+
+
+def test_completion_of_the_wrong_length_is_asked_again_one_by_one(spark):
+    def short(batch):
+        if len(batch) > 1:
+            return batch[:-1]
+        return {"p3": [], "p4": [None]}.get(batch[0], batch)
+
+    prompts = spark.createDataFrame([(f"p{i}", "mine", i) for i in range(6)] + [("p0", "mine", 9)], "prompt string, error string, n int").coalesce(1)
+    found = {(r.n, r.response, r.error) for r in entities.complete(prompts, short).collect()}
+    assert found == {(0, "p0", None), (1, "p1", None), (2, "p2", None), (3, "[]", "0 answers to one prompt"), (4, "[]", "no answer"), (5, "p5", None), (9, "p0", None)}
+
+
+def test_first_rows_of_a_hot_key(spark):
+    df = spark.range(20_000).select(F.lit("d").alias("doc_id"), (F.col("id") % 7).alias("k"), F.when(F.col("id") % 2 == 0, "same").otherwise("other").alias("text"), F.col("id").alias("seq"), F.lit(1).alias("__row"), F.lit(2).alias("__key"))
+    assert sorted((r.seq, r["__row"], r["__key"]) for r in entities.dedup_records(df.drop("k")).collect()) == [(0, 1, 2), (1, 1, 2)]
 
 
 KEYS = "doc_id string, para_no int, chunk_no int"
