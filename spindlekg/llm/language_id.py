@@ -17,10 +17,13 @@ import hashlib
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from itertools import groupby
+from operator import itemgetter
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -31,10 +34,12 @@ from pyspark.sql import types as T
 from .common import hash_share, materialize
 
 UNKNOWN = "und"
-LONGEST_PIECE = 12
-#: Words up to this many bytes go through the batched pass; longer ones through a rescaled one.
+#: Words up to this many bytes are summed as they are, words of one length together; longer ones one by one.
 SHORT_WORD = 24
-CACHED_WORDS = 300_000
+#: Training words of more bytes count as runs of at most so many, cut between characters. Scoring takes words whole.
+TRAINED_RUN = 96
+#: Words whose scores a worker holds, and the bytes that these scores take at most, whatever the number of labels.
+CACHED_WORDS, CACHED_BYTES = 300_000, 16 << 20
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -48,23 +53,43 @@ class LanguageModel:
     probabilities: np.ndarray
 
 
+class Vocabulary:
+    """Pieces by number, in order."""
+
+    def __init__(self, pieces: Iterable[bytes]):
+        self.ids = {piece: i for i, piece in enumerate(sorted(pieces))}
+        self.longest = max(map(len, self.ids))
+
+    def __len__(self) -> int:
+        return len(self.ids)
+
+    @cached_property
+    def machine(self) -> ahocorasick.Automaton:
+        """Finds every piece in a text of which each character stands for a byte: its size and number."""
+        found = ahocorasick.Automaton()
+        for piece, i in self.ids.items():
+            found.add_word(piece.decode("latin-1"), (len(piece), i))
+        found.make_automaton()
+        return found
+
+
 @lru_cache(maxsize=2)
-def pieces(path: str) -> dict[bytes, int]:
+def pieces(path: str) -> Vocabulary:
     """The vocabulary's pieces that can occur in a lower-cased word with a space before it, and every single byte."""
     with open(path, "rb") as file:
         found = [base64.b64decode(line.split()[0]) for line in file if line.strip()]
     kept = {bytes([b]) for b in range(256)}
     for piece in found:
         text = piece.decode("utf-8", "ignore")
-        if len(piece) <= LONGEST_PIECE and text == text.lower() and all(c.isalpha() or (i == 0 and c == " ") for i, c in enumerate(text)):
+        if text == text.lower() and all(c.isalpha() or (i == 0 and c == " ") for i, c in enumerate(text)):
             kept.add(piece)
-    return {piece: i for i, piece in enumerate(sorted(kept))}
+    return Vocabulary(kept)
 
 
-def _ids(words: list[bytes], vocabulary: dict[bytes, int]) -> list[list[np.ndarray]]:
+def _ids(words: list[bytes], vocabulary: Vocabulary) -> list[list[np.ndarray]]:
     """For words of one length: at [end - 1][k] the words' pieces of k + 1 bytes that end there."""
-    none, get, n = len(vocabulary), vocabulary.get, len(words)
-    return [[np.fromiter([get(w[j - k - 1 : j], none) for w in words], np.int32, n) for k in range(min(j, LONGEST_PIECE))] for j in range(1, len(words[0]) + 1)]
+    none, get, n = len(vocabulary), vocabulary.ids.get, len(words)
+    return [[np.fromiter([get(w[j - k - 1 : j], none) for w in words], np.int32, n) for k in range(min(j, vocabulary.longest))] for j in range(1, len(words[0]) + 1)]
 
 
 def _forward(ids: list[list[np.ndarray]], p: np.ndarray) -> list[np.ndarray]:
@@ -74,57 +99,101 @@ def _forward(ids: list[list[np.ndarray]], p: np.ndarray) -> list[np.ndarray]:
     return alpha
 
 
-def _long_word(word: bytes, p: np.ndarray, vocabulary: dict[bytes, int]) -> np.ndarray:
-    window, scale = [np.ones(p.shape[1])], np.zeros(p.shape[1])
-    for j in range(1, len(word) + 1):
-        now = np.zeros(p.shape[1])
-        for k in range(min(len(window), LONGEST_PIECE)):
-            piece = vocabulary.get(word[j - k - 1 : j])
-            if piece is not None:
-                now = now + window[-1 - k] * p[piece]
-        window = [*window[-LONGEST_PIECE + 1 :], now]
-        if now.max() < 1e-100 or now.min() < 1e-200:
-            window, scale = [w / now for w in window], scale + np.log(now)
-    return np.log(window[-1]) + scale
-
-
-def word_scores(words: list[bytes], p: np.ndarray, vocabulary: dict[bytes, int]) -> np.ndarray:
+def _long_score(word: bytes, p: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    """The same sum for one word of any length: only a window of it is held, and is scaled as it goes."""
+    span = vocabulary.longest
+    held, scale, at = np.zeros((4096 + span, p.shape[1])), np.zeros(p.shape[1]), span
+    held[at] = 1.0  # held[at - k] is the sum up to k bytes before
+    for _, ending in groupby(vocabulary.machine.iter(word.decode("latin-1")), key=itemgetter(0)):
+        sizes, numbers = zip(*[piece for _, piece in ending], strict=True)
+        at += 1
+        held[at] = (held[at - np.array(sizes)] * p[list(numbers)]).sum(axis=0)
+        if at % 8 == 0 or at == len(held) - 1:
+            top = held[at].copy()
+            held[at - span : at + 1] /= top
+            scale += np.log(top)
+        if at == len(held) - 1:
+            held[: span + 1] = held[at - span :].copy()
+            at = span
+    return np.log(held[at]) + scale
+
+
+def word_scores(words: list[bytes], p: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
     """Log-likelihood of each word, summed over all segmentations, by label."""
     out = np.empty((len(words), p.shape[1]))
     by_length: dict[int, list[int]] = {}
     for i, w in enumerate(words):
-        by_length.setdefault(len(w), []).append(i)
-    for n, at in by_length.items():
-        if n > SHORT_WORD:
-            for i in at:
-                out[i] = _long_word(words[i], p, vocabulary)
-            continue
+        if len(w) <= SHORT_WORD:
+            by_length.setdefault(len(w), []).append(i)
+        else:
+            out[i] = _long_score(w, p, vocabulary)
+    for at in by_length.values():
         for start in range(0, len(at), 4096):
             some = at[start : start + 4096]
             out[some] = np.log(_forward(_ids([words[i] for i in some], vocabulary), p)[-1])
     return out
 
 
-def expected_counts(words: list[bytes], weights: np.ndarray, p: np.ndarray, vocabulary: dict[bytes, int]) -> np.ndarray:
-    """Expected uses of each piece over all segmentations of the weighted words; p: one label's probabilities."""
+def runs(word: bytes, most: int) -> list[bytes]:
+    """The word in even runs of at most `most` bytes (or a few more, where a character is longer), none within a character."""
+    parts, at = -(-len(word) // most), 0
+    out = []
+    for i in range(1, parts + 1):
+        end = len(word) * i // parts
+        while end < len(word) and word[end] & 0xC0 == 0x80:
+            end += 1
+        if end > at:
+            out.append(word[at:end])
+        at = max(at, end)
+    return out
+
+
+def _long_counts(words: list[bytes], weights: np.ndarray, p: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    """Expected uses of each piece in words of one length, by forward and backward sums in logarithms."""
+    n, m, none = len(words[0]), len(words), len(vocabulary)
+    ids, longest = _ids(words, vocabulary), vocabulary.longest
+    alpha, beta = np.zeros((n + 1, m)), np.zeros((n + 1, m))
+    for j in range(1, n + 1):
+        now = sum(p[piece] * np.exp(alpha[j - k - 1] - alpha[j - 1]) for k, piece in enumerate(ids[j - 1]))
+        alpha[j] = alpha[j - 1] + np.log(now)
+    for i in range(n - 1, -1, -1):
+        now = sum(p[ids[i + k][k]] * np.exp(beta[i + k + 1] - beta[i + 1]) for k in range(min(longest, n - i)))
+        beta[i] = beta[i + 1] + np.log(now)
+    total = np.zeros(none + 1)
+    for j in range(1, n + 1):
+        for k, piece in enumerate(ids[j - 1]):
+            if (some := np.flatnonzero(piece != none)).size:
+                share = p[piece[some]] * np.exp(alpha[j - k - 1][some] + beta[j][some] - alpha[n][some]) * weights[some]
+                total += np.bincount(piece[some], weights=share, minlength=len(total))
+    return total
+
+
+def expected_counts(words: list[bytes], weights: np.ndarray, p: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    """Expected uses of each piece over all segmentations of the weighted words; p: one label's probabilities. Words of
+    over TRAINED_RUN bytes count as their runs."""
     total = np.zeros(len(vocabulary) + 1)
-    by_length: dict[int, list[int]] = {}
-    for i, w in enumerate(words):
-        if len(w) <= SHORT_WORD:
-            by_length.setdefault(len(w), []).append(i)
+    by_length: dict[int, list[tuple[bytes, float]]] = {}
+    for w, weight in zip(words, weights.tolist(), strict=True):
+        for part in runs(w, TRAINED_RUN) if len(w) > TRAINED_RUN else (w,):
+            by_length.setdefault(len(part), []).append((part, weight))
     column = p.reshape(-1, 1)
     for n, every in by_length.items():
-        for start in range(0, len(every), 4096):
-            at = every[start : start + 4096]
-            ids = _ids([words[i] for i in at], vocabulary)
+        for start in range(0, len(every), 4096 if n <= SHORT_WORD else 1024):
+            some, share = zip(*every[start : start + (4096 if n <= SHORT_WORD else 1024)], strict=True)
+            share = np.array(share)
+            if n > SHORT_WORD:
+                total += _long_counts(list(some), share, p, vocabulary)
+                continue
+            ids = _ids(list(some), vocabulary)
             alpha = _forward(ids, column)
-            beta = [np.zeros((len(at), 1)) for _ in range(n)] + [np.ones((len(at), 1))]
-            share = (weights[at] / alpha[n][:, 0]).reshape(-1, 1)
+            beta = [np.zeros((len(some), 1)) for _ in range(n)] + [np.ones((len(some), 1))]
+            share = (share / alpha[n][:, 0]).reshape(-1, 1)
             for j in range(n, 0, -1):
                 for k, piece in enumerate(ids[j - 1]):
                     step = column[piece] * beta[j]
                     beta[j - k - 1] = beta[j - k - 1] + step
                     total += np.bincount(piece, weights=(alpha[j - k - 1] * step * share)[:, 0], minlength=len(total))
+    total[-1] = 0
     return total
 
 
@@ -196,7 +265,7 @@ _worker: tuple[str, dict[str, int], np.ndarray] | None = None
 def _cache(name: str, labels: int) -> tuple[dict[str, int], np.ndarray]:
     global _worker
     if _worker is None or _worker[0] != name:
-        _worker = (name, {}, np.zeros((CACHED_WORDS + 1, labels)))
+        _worker = (name, {}, np.zeros((min(CACHED_WORDS, CACHED_BYTES // (8 * max(1, labels))) + 1, labels)))
     return _worker[1], _worker[2]
 
 
@@ -206,17 +275,18 @@ def _predictor(model: LanguageModel):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = pieces(model.vocabulary)
         known, scores = _cache(name, len(model.labels))
+        most = len(scores) - 1  # the row behind the last is of words without a letter
 
         def learn(words: set[str]) -> None:
             new = [w for w in words if w not in known]
-            if len(known) + len(new) > CACHED_WORDS:
+            if len(known) + len(new) > most:
                 known.clear()
                 new = list(words)
             if new:
                 good, at = [w for w in new if any(c.isalpha() for c in w)], len(known)
                 if good:
                     scores[at : at + len(good)] = word_scores([(" " + w).encode() for w in good], model.probabilities, vocabulary)
-                known.update((w, CACHED_WORDS) for w in new)
+                known.update((w, most) for w in new)
                 known.update((w, at + i) for i, w in enumerate(good))
 
         def judge(words: list[str]) -> tuple[str, float]:
@@ -224,11 +294,11 @@ def _predictor(model: LanguageModel):
                 return UNKNOWN, 0.0
             total = model.priors.copy()
             letters = False
-            for start in range(0, len(words), CACHED_WORDS // 2):
-                some = words[start : start + CACHED_WORDS // 2]
+            for start in range(0, len(words), most // 2):
+                some = words[start : start + most // 2]
                 learn(set(some))
                 at = np.fromiter(map(known.__getitem__, some), np.int64, len(some))
-                letters = letters or bool((at < CACHED_WORDS).any())
+                letters = letters or bool((at < most).any())
                 total = total + scores[at].sum(axis=0)
             if not letters:
                 return UNKNOWN, 0.0
@@ -239,7 +309,7 @@ def _predictor(model: LanguageModel):
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 words = [_words(t or "") for t in part.column("__text").to_pylist()]
-                if model.labels and len(together := set().union(*words)) < CACHED_WORDS // 2:
+                if model.labels and len(together := set().union(*words)) < most // 2:
                     learn(together)  # the new words of many texts go through the batched pass together
                 found = [judge(w) for w in words]
                 rest = [part.column(i) for i, f in enumerate(part.schema) if f.name != "__text"]

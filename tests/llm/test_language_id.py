@@ -17,14 +17,14 @@ def brute(word, p, vocabulary):
     for n in range(len(word)):
         for cut in itertools.combinations(range(1, len(word)), n):
             parts = [word[a:b] for a, b in zip((0, *cut), (*cut, len(word)), strict=True)]
-            if all(x in vocabulary for x in parts):
-                total += np.prod([p[vocabulary[x]] for x in parts], axis=0)
+            if all(x in vocabulary.ids for x in parts):
+                total += np.prod([p[vocabulary.ids[x]] for x in parts], axis=0)
     return np.log(total)
 
 
 @pytest.fixture(scope="module")
 def toy():
-    vocabulary = {w: i for i, w in enumerate(sorted({bytes([b]) for b in b" abcd"} | {b" a", b"ab", b"bc", b"abc", b" ab"}))}
+    vocabulary = li.Vocabulary({bytes([b]) for b in b" abcd"} | {b" a", b"ab", b"bc", b"abc", b" ab"})
     p = np.random.default_rng(1).random((len(vocabulary) + 1, 2))
     p[-1] = 0
     return vocabulary, p / p.sum(axis=0)
@@ -38,11 +38,45 @@ def test_forward_sums_all_segmentations(toy):
 
 def test_long_words_score_the_same_way(toy):
     vocabulary, p = toy
-    word = b" " + b"abcdab" * 3
-    assert np.allclose(li._long_word(word, p, vocabulary), li.word_scores([word], p, vocabulary)[0])
+    words = [b" abcdabcdab", b" abc", b" abcdab" * 3, b"d"]
+    assert np.allclose([li._long_score(w, p, vocabulary) for w in words], li.word_scores(words, p, vocabulary))
+    assert np.allclose(li._long_score(words[0], p, vocabulary), brute(words[0], p, vocabulary))
+    long = b"abcdab" * 4000  # twice as long is about twice as unlikely, whatever the window's place
+    assert np.allclose(2 * li._long_score(long, p, vocabulary), li._long_score(long * 2, p, vocabulary), rtol=1e-3)
     assert np.isfinite(li.word_scores([b" " + b"abcd" * 5000], p, vocabulary)).all()
 
 
+def test_long_words_count_the_same_way(toy, monkeypatch):
+    vocabulary, p = toy
+    words, weights = [b" abcdabcdab", b" abc", b" abcdab" * 3, b" dddddddddd"], np.array([2.0, 1.0, 3.0, 5.0])
+    want = li.expected_counts(words, weights, p[:, 1], vocabulary)
+    monkeypatch.setattr(li, "SHORT_WORD", 2)
+    assert np.allclose(li.expected_counts(words, weights, p[:, 1], vocabulary), want)
+
+
+def test_no_training_word_is_left_out():
+    vocabulary = li.pieces(PATH)
+    p = np.append(np.full(len(vocabulary), 1 / len(vocabulary)), 0)
+    size = np.array([len(x) for x in vocabulary.ids] + [0])
+    for word in (" もうすぐ着きます", " Donaudampfschifffahrtsgesellschaft", " " + "ภาษาไทย" * 40, " " + "x" * 1000):
+        counts = li.expected_counts([word.encode()], np.array([2.0]), p, vocabulary)
+        assert math.isclose(counts @ size, 2 * len(word.encode()), rel_tol=1e-9)  # every byte is covered once
+    assert b"".join(li.runs(("é日" * 99).encode(), 7)).decode() == "é日" * 99 and all(r.decode() for r in li.runs(("é日" * 99).encode(), 7))
+    assert vocabulary.longest > 30
+
+
+def test_held_out_accuracy_of_scripts_without_spaces(spark):
+    """Three languages of one script of three-byte letters, told apart by their words alone, which nothing separates."""
+    rng = np.random.default_rng(4)
+    letters = [chr(0x3042 + 2 * i) for i in range(30)]
+    lists = {lang: ["".join(rng.choice(letters, 3)) for _ in range(40)] for lang in ("aa", "bb", "cc")}
+    made = [(i, lang, "".join(rng.choice(words, 30))) for i, (lang, words) in enumerate(list(lists.items()) * 60)]
+    docs = spark.createDataFrame(made, "doc_id long, lang string, text string")
+    model = li.fit(docs.where("doc_id < 120"), PATH, rounds=4)
+    found = li.predict(docs.where("doc_id >= 120"), model, F.col("text"), {"lang": F.col("lang")}).collect()
+    assert len(found) == 60 and sum(r.lang == r.lang_pred for r in found) >= 57
+
+
 def test_expected_counts_are_the_gradient(toy):
     vocabulary, p = toy
     words, weights = [b" abc", b" abcab"], np.array([2.0, 3.0])
@@ -50,8 +84,8 @@ def test_expected_counts_are_the_gradient(toy):
     score = lambda q: float(li.word_scores(words, q, vocabulary)[:, 0] @ weights)
     for piece in (b"ab", b"c", b" a"):
         up = p.copy()
-        up[vocabulary[piece], 0] *= 1 + 1e-6
-        assert math.isclose((score(up) - score(p)) / 1e-6, counts[vocabulary[piece]], rel_tol=1e-3, abs_tol=1e-6)
+        up[vocabulary.ids[piece], 0] *= 1 + 1e-6
+        assert math.isclose((score(up) - score(p)) / 1e-6, counts[vocabulary.ids[piece]], rel_tol=1e-3, abs_tol=1e-6)
 
 
 def test_held_out_accuracy(spark):
