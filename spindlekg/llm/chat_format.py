@@ -10,9 +10,12 @@ A turn is rendered as `<s>role [INST] text [/INST]`, or `<s>role [ANSWER] text <
 from, and a line break. Control strings within roles and texts get a caret in front, besides the carets that are there,
 which is undone by taking one away; a control string without a caret is the template's.
 
+`streamed` makes such a log of whole messages: every text arrives in deltas, in three cases of four after a draft that is
+edited away, or regenerated, or deleted and regenerated.
+
 Edges, all tested: a null text is empty and a null role is the empty role; rows with a null conversation form one; null
 positions come first; ties are ordered by role, then text, and repeated rows are turns of their own in op3, where every
-row is a message; a message with only deltas is their text; an empty table returns no rows. Other columns are not read.
+row becomes a message; a message with only deltas is their text; an empty table returns no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,6 +36,31 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, rf"\^(\^*(?:{CONTROL}))", "$1")
 
 
+DELTAS = 4
+
+
+def streamed(rows: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text to events, of which the sequence is (turn, step): repeated rows are messages of their own.
+
+    What happens to a message depends on a hash of it, so the log is the same whenever it is made. Its first event alone
+    has the role.
+    """
+    counted = rows.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("n"))
+    each = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    each = each.withColumn("message", F.concat_ws(":", F.md5(F.concat_ws("\x1f", F.coalesce(F.col("turn").cast("string"), F.lit("-")), F.coalesce("role", F.lit("")), "text")), "copy"))
+    size = F.greatest(F.lit(1), F.ceil(F.length("text") / DELTAS).cast("int"))
+    part = lambda i: F.substring(F.col("text"), size * i + 1, size)
+    event = lambda step, kind, text: F.struct(F.lit(step).alias("step"), F.lit(kind).alias("kind"), text.alias("text"))
+    draft = event(0, "message", F.concat(F.lit("a first draft of "), part(1)))
+    more = event(1, "delta", F.lit(" with more to come"))
+    case = F.pmod(F.xxhash64("conv_id", "message"), F.lit(4))
+    starts = F.when(case == 0, F.array(event(0, "message", part(0)))).when(case == 1, F.array(event(2, "edit", part(0)), more, draft))
+    starts = starts.when(case == 2, F.array(event(2, "regenerate", part(0)), more, draft)).otherwise(F.array(event(2, "regenerate", part(0)), event(1, "delete", F.lit(None).cast("string")), draft))
+    deltas = F.array(*[event(2 + i, "delta", part(i)) for i in reversed(range(1, DELTAS))])
+    log = each.select("conv_id", "turn", "message", "role", F.explode(F.concat(deltas, starts)).alias("e"))
+    return log.select("conv_id", "message", F.struct("turn", "e.step").alias("seq"), "e.kind", F.when(F.col("e.step") == 0, F.col("role")).alias("role"), "e.text")
+
+
 def reconstruct(events: DataFrame) -> DataFrame:
     """events: conv_id, message, seq, kind, role, text. Returns conv_id, position, role, text, a row per message that is
     not deleted: position is its first seq, role its last role that is not null."""

@@ -46,8 +46,8 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
     more = spark.sql(f"SELECT * FROM VALUES (-7L, 0L, 'user', '{said}'), (-7L, 1L, 'assistant', '{said}') AS t(conv_id, turn, role, text)")
-    events = rows.unionByName(more).select("conv_id", F.monotonically_increasing_id().alias("message"), F.col("turn").alias("seq"), F.lit("message").alias("kind"), "role", "text")
-    return chat_format.digests(chat_format.read_back(chat_format.render(chat_format.reconstruct(events))))
+    messages = chat_format.reconstruct(chat_format.streamed(rows.unionByName(more))).withColumn("position", F.col("position.turn"))
+    return chat_format.digests(chat_format.read_back(chat_format.render(messages)))
 
 
 def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
