@@ -32,10 +32,11 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column])
     return found.select(*[F.col(f"`{c}`") if c in keys else F.col(f"{row}.`{c}`").alias(c) for c in df.columns])
 
 
-def heavy_keys(few: DataFrame, key: str, weight: str, shares: int = 256, least: int = 1_000) -> DataFrame | None:
+def heavy_keys(few: DataFrame, key: str, weight: str, shares: int = 256, least: int = 1_000, known: tuple[int, int] | None = None) -> DataFrame | None:
     """key and parts of the keys that have over 1/shares of all rows (and over `least`), or None if none has. few: a
-    table with a row per key, and how many rows have it. Fewer than `shares` keys can be heavy."""
-    every, most = few.agg(F.sum(weight), F.max(weight)).first()
+    table with a row per key, and how many rows have it. Fewer than `shares` keys can be heavy. known: the sum and the
+    largest of the weights, where they are known."""
+    every, most = known or few.agg(F.sum(weight), F.max(weight)).first()
     bound = max(least, (every or 0) / shares)
     return few.where(F.col(weight) > bound).select(key, F.ceil(F.col(weight) / bound).cast("int").alias("parts")) if (most or 0) > bound else None
 
