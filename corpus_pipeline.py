@@ -34,7 +34,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    clean = pii.pseudonymise(docs.select(*COLUMNS), queries.PSEUDONYM_KEY)
+    clean = pii.pseudonymise(docs.select(*COLUMNS), queries.pseudonym_key(spark))
     return clean.withColumn("n_chars", F.length("text").cast("long"))
 
 

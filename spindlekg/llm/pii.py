@@ -2,7 +2,7 @@
 
 Found and checked: payment cards (Luhn), IBANs (remainder by 97), dates (calendar, 1900 to 2099), IPv4 addresses
 (octets), social security numbers (number ranges), phone numbers (length), mail addresses, and values assigned to names
-such as `token` or `password`. A value is read as a number in the domain of its format, moved by a keyed permutation of
+such as `token` or `password` (with a digit in them, but for `password=`). A value is read as a number in the domain of its format, moved by a keyed permutation of
 that domain without fixed points, and written back in the same format with its check digits made right again. So equal
 values, however they are punctuated, have equal pseudonyms in every document, different values different ones, and
 whoever holds the key can undo them. Numbers that fail their check are left alone.
@@ -36,10 +36,10 @@ RUN = re.compile(r"[0-9][0-9 ().\-/]*[0-9]")
 #: In the order in which they are tried at one place.
 NUMBERS = {
     "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)",
-    "iso": r"(?<![\w/.-])\d{4}(?P<i>[-/.])\d{1,2}(?P=i)\d{1,2}(?![\w/-])",
+    "iso": r"(?<![\w/.-])\d{4}(?P<i>[-/.])\d{1,2}(?P=i)\d{1,2}(?:(?=[T_]\d)|(?![\w/-]))",
     "day": r"(?<![\w/.-])\d{1,2}(?P<d>[-/.])\d{1,2}(?P=d)\d{4}(?![\w/-])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "phone": r"(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4})(?![\w])",
+    "phone": r"(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4}|(?<![\w.])0[1-9](?:[ .-]\d{2}){4})(?![\w])",
     "card": r"(?<![\w])\d(?:[ -]?\d){12,18}(?!\d)",
 }
 NUMBER = re.compile("|".join(NUMBERS.values()), re.ASCII)
@@ -48,10 +48,11 @@ DIGITS = re.compile(r"[0-9]+")
 YEAR = re.compile(r"(?<= )(?:19|20)\d\d(?!\w)", re.ASCII)
 #: What a number most likely is as a whole, if more digits follow: a card in its usual groups, a North American phone.
 USUAL = {"card": re.compile(r"\d{4}([ -])(?:\d{4}\1\d{4}\1\d{4}|\d{6}\1\d{4,5})(?!\d)|\d{13,19}(?!\d)", re.ASCII), "phone": re.compile(r"\+1(?:\D*\d){10}", re.ASCII)}
-IBAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])", re.ASCII)
+IBAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])|[a-z]{2}\d{2}(?:[a-z0-9]{11,30}|(?: [a-z0-9]{4}){2,7}(?: [a-z0-9]{1,4})?)(?![A-Za-z0-9])", re.ASCII)
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-'")
 DOMAIN = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+")
-SECRET = re.compile(r"(?i)\b(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|secret[_-]?key)[\"']?\s*[=:]\s*[\"']?([A-Za-z0-9_/+=-]{8,})")
+#: A name may have words before and behind it, joined by underscores or hyphens (AWS_SECRET_ACCESS_KEY, db-password-prod).
+SECRET = re.compile(r"(?i)(?<![A-Za-z0-9])(?:token|secret|(passw(?:or)?d|pwd)|api[_-]?key|access[_-]?key|secret[_-]?key)(?:[_-][A-Za-z0-9]+){0,3}[\"']?(\s*[=:]\s*)[\"']?([A-Za-z0-9_/+=-]{8,})")
 CLASSES = ("0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 HEX = ("0123456789abcdef", "0123456789ABCDEF")
 
@@ -147,23 +148,28 @@ class Pseudonyms:
                 kept = len(code[1]) if not value[code.end() : code.end() + 1].isdigit() else 1
             if not 7 <= len(digits) - kept <= 14 or len(digits) > 15:
                 return None
+            if re.match(r"0[1-9][ .-]\d\d[ .-]", value):  # a national number stays one: the zero, then no zero
+                return refill(value, f"0{10**8 + self._walk('phone0', 9 * 10**8, int(digits) - 10**8):09d}")
             n = len(digits) - kept
             return refill(value, digits[:kept] + f"{self._walk(f'phone{digits[:kept]}:{n}', 10**n, int(digits[kept:])):0{n}d}")
         if kind == "iban":
-            body = value.replace(" ", "")
+            body, small = value.replace(" ", "").upper(), value.islower()
             number = lambda s: int("".join(str(int(c, 36)) for c in s))
             if number(body[4:] + body[:4]) % 97 != 1:
                 return None
             rest = self._letters("iban" + body[:2], body[4:], CLASSES)
-            return refill(value, body[:2] + f"{98 - number(rest + body[:2] + '00') % 97:02d}" + rest, "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+            made = refill(value.upper(), body[:2] + f"{98 - number(rest + body[:2] + '00') % 97:02d}" + rest, "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+            return made.lower() if small else made
         if kind in ("iso", "day"):
             return self._date(kind, value)
         if kind == "mail":
             local, _, domain = value.partition("@")
             return f"{self._letters('mail:' + domain.lower(), local, CLASSES)}@{domain}"
+        if kind == "word":  # what is assigned to a password without a blank, digits or not
+            kind = "secret"
+        elif kind == "secret" and not any(c in "0123456789" for c in value):
+            return None
         if kind == "secret":
-            if not any(c in "0123456789" for c in value):
-                return None
             for alphabet in HEX:
                 if set(value) <= set(alphabet):
                     return self._letters("hex", value, (alphabet,))
@@ -236,13 +242,13 @@ class Pseudonyms:
                 return False
             new = self.of(kind, text[start:end])
             if new is not None:
-                found.append((start, end, kind, new))
+                found.append((start, end, "secret" if kind == "word" else kind, new))
                 taken.insert(k, (start, end))
             return new is not None
 
         if "=" in text or ":" in text:
             for m in SECRET.finditer(text):
-                note(m.start(1), m.end(1), "secret")
+                note(m.start(3), m.end(3), "word" if m[1] and m[2] == "=" else "secret")
         at = text.find("@")
         while at >= 0:
             start = at
@@ -257,7 +263,7 @@ class Pseudonyms:
         done = 0
         for run in RUN.finditer(text):
             start = max(done, run.start() - 2)
-            iban = IBAN.match(text, run.start() - 2) if run.start() >= 2 and text[run.start() - 2 : run.start()].isupper() and not text[max(0, run.start() - 3) : run.start() - 2].isalnum() else None
+            iban = IBAN.match(text, run.start() - 2) if run.start() >= 2 and (text[run.start() - 2 : run.start()].isupper() or text[run.start() - 2 : run.start()].islower()) and not text[max(0, run.start() - 3) : run.start() - 2].isalnum() else None
             while iban:
                 end = iban.end()
                 if note(iban.start(), end, "iban"):

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from . import bpe, chat_format, ctph, html_extract, language_id, media, mixing, pii, simhash, url_filter
 from .common import materialize
 
-#: For the registered queries only: a deployment passes a secret of its own.
-PSEUDONYM_KEY = b"registered queries"
+#: The session setting with the key of the pseudonyms, and what is taken where it is unset, as in tests.
+PSEUDONYM_SETTING, PSEUDONYM_KEY = "spark.spindlekg.pseudonymKey", "registered queries"
 #: Shares of all tokens that are wanted of each domain.
 TARGET_WEIGHTS = {"good": 0.92, "poor": 0.06, "toxic": 0.02}
 
@@ -31,6 +31,10 @@ def splitting_pattern() -> str:
     return importlib.import_module("public_tokenizers").PATTERN
 
 
+def pseudonym_key(spark: SparkSession) -> bytes:
+    return spark.conf.get(PSEUDONYM_SETTING, PSEUDONYM_KEY).encode()
+
+
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -56,7 +60,7 @@ def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymise(docs, PSEUDONYM_KEY, found_col="found")
+    return pii.pseudonymise(docs, pseudonym_key(spark), found_col="found")
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime
+import random
 import re
 
 import pytest
@@ -98,3 +99,60 @@ def test_adjacent_numbers_are_as_alone(before, after):
     made, counts = MAKE.apply(f"call {before} {after} now")
     assert made == f"call {one[0]} {two[0]} now"
     assert sum(counts.values()) == sum(one[1].values()) + sum(two[1].values())
+
+
+@pytest.mark.parametrize("before, value, after, kind", [
+    ("AWS_SECRET_ACCESS_KEY=", "wJalrXUtnFEMI1K7MDENG", "\n", "secret"), ("export db-password-prod: '", "hunter2hunter2", "'", "secret"), ("password=", "hunterhunter", "&x", "secret"), ("my_token_2 = ", "a1b2c3d4e5", " end", "secret"),
+    ("at ", "2024-01-15", "T10:00:00Z", "iso"), ("file", "gb82west12345698765432", " ok", None), ("iban ", "gb82west12345698765432", ", ok", "iban"), ("iban ", "gb82 west 1234 5698 7654 32", ".", "iban"),
+    ("tel ", "06 12 34 56 78", "", "phone"), ("tel ", "06.12.34.56.78", " x", "phone"), ("x", "06 12 34 56 78", "", None), ("password: ", "required", " field", None), ("passwords=", "hunterhunter", "", None), ("token=", "identifier", ";", None), ("2024-01-15", "Table", "", None),
+])
+def test_values_in_odd_places(before, value, after, kind):
+    made, counts = MAKE.apply(before + value + after)
+    assert counts == ({kind: 1} if kind else {})
+    if kind:
+        new = made.removeprefix(before).removesuffix(after) if after else made.removeprefix(before)
+        assert new != value and len(new) == len(value) and [c.isalnum() for c in new] == [c.isalnum() for c in value] and new.islower() == value.islower()
+        assert UNDO.apply(made)[0] == before + value + after
+    else:
+        assert made == before + value + after
+
+
+def luhn(digits):
+    return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def planted(rng):
+    """A value of each kind with its check, made without the operator."""
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    while not luhn(card := "4" + digits(15)) or len(set(card)) < 3:
+        pass
+    bank = digits(18)
+    check = next(c for c in (f"{x:02d}" for x in range(2, 99)) if int(bank + "1314" + c) % 97 == 1)
+    ip = ".".join(str(rng.randrange(256)) for _ in range(4))
+    return {
+        "card": card, "iban": f"DE{check}{bank}", "ip": ip, "ssn": f"{rng.randrange(1, 600):03d}-{rng.randrange(1, 99):02d}-{rng.randrange(1, 9999):04d}".replace("666-", "667-"),
+        "iso": datetime.date.fromordinal(rng.randrange(700_000, 760_000)).isoformat(), "phone": f"+1 ({rng.randrange(200, 999)}) 555-{digits(4)}", "mail": f"{rng.choice('abc')}{digits(3)}.x@mail.example.org", "secret": f"api_key={digits(4)}a{digits(5)}",
+    }
+
+
+def test_planted_values_are_all_replaced_and_nothing_else(spark):
+    """Independent of what the operator finds: known values between known words, each value in several documents."""
+    rng = random.Random(7)
+    words, rows, truth = ["alpha", "b2", "c-3", "(d)", "e.", "1,234", "12%", "v1.2"], [], {}
+    values = [v for _ in range(12) for v in planted(rng).items()]
+    for i in range(200):
+        parts, marks = [], []
+        for kind, value in rng.sample(values, rng.randrange(4)):
+            parts += [rng.choice(words) + " x", value]
+            marks.append((kind, value))
+        truth[i] = (parts, marks)
+        rows.append((i, " | ".join([*parts, "end"])))
+    linked = {}
+    for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), b"key").collect():
+        parts, marks = truth[r.doc_id]
+        got = r.text.split(" | ")
+        assert got[-1] == "end" and got[:-1:2] == parts[::2]
+        for (kind, value), new in zip(marks, got[1::2], strict=True):
+            assert new != value and linked.setdefault((kind, value), new) == new
+            assert kind not in ("card", "iso", "ip") or (luhn(new) and len(new) == 16 if kind == "card" else datetime.date.fromisoformat(new) if kind == "iso" else all(0 <= int(x) < 256 for x in new.split(".")))
+    assert len(set(linked.values())) == len(linked)
