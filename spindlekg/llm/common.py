@@ -5,22 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.rows import fresh, heavy_keys, spread_join
 from ..sources.scratch import materialize
 
 __all__ = ["connected_components", "fresh", "hash_share", "heavy_keys", "materialize", "shuffle_partitions", "spread_join"]
 
 
-def fresh(df: DataFrame, *names: str) -> list[str]:
-    """The names, with underscores behind those that df has (in any case), so that no column of its own is lost."""
-    taken = {c.lower() for c in df.columns}
-    out = []
-    for name in names:
-        while name.lower() in taken:
-            name += "_"
-        out.append(name)
-    return out
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
@@ -30,53 +20,26 @@ def hash_share(key: Column, seed: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
-def heavy_keys(few: DataFrame, key: str, weight: str, shares: int = 256, least: int = 1_000) -> DataFrame | None:
-    """key and parts of the keys that have over 1/shares of all rows (and over `least`), or None if none has. few: a
-    table with a row per key, and how many rows have it. Fewer than `shares` keys can be heavy."""
-    all_, most = few.agg(F.sum(weight), F.max(weight)).first()
-    bound = max(least, (all_ or 0) / shares)
-    return few.where(F.col(weight) > bound).select(key, F.ceil(F.col(weight) / bound).cast("int").alias("parts")) if (most or 0) > bound else None
-
-
-def spread_join(many: DataFrame, few: DataFrame, key: str, heavy: DataFrame | None, how: str = "inner") -> DataFrame:
-    """many joined (inner or left) to few, which has one row per key. Rows of a heavy key are dealt to several tasks, by a
-    hash of their other columns, and that key's row of few goes to each. The heavy keys are few (see heavy_keys), so
-    they are sent to every executor."""
-    if heavy is None:
-        return many.join(few, key, how)
-    part, parts = fresh(many.join(few.limit(0), key), "__part", "__parts")
-    heavy = heavy.select(key, F.col("parts").alias(parts))
-    others = [F.col(f"`{c}`") for c, kind in many.dtypes if c != key and "map<" not in kind and kind != "void"]
-    place = F.coalesce(F.pmod(F.xxhash64(*others), F.col(parts)).cast("int"), F.lit(0)) if others else F.lit(0)
-    dealt = many.join(F.broadcast(heavy), key, "left").withColumn(part, place).drop(parts)
-    sent = few.join(F.broadcast(heavy), key, "left").withColumn(part, F.explode(F.sequence(F.lit(0), F.coalesce(parts, F.lit(1)) - 1))).drop(parts)
-    return dealt.join(sent, [key, part], how).drop(part)
-
-
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Components of an undirected graph by alternating large-star and small-star steps.
 
     edges: columns a, b (any orderable type, nulls and loops are ignored). Returns node, root: root is the smallest
     node of the component; every node of an edge appears once. Each step only joins and takes minima by key, so a hub
     never has its neighbours gathered, and the edges of a heavy one are dealt to several tasks; each round is cut by a
-    table in the shared folder.
+    table in the shared folder. It ends when all but the smallest node of each component have one neighbour.
     """
-    spark = edges.sparkSession
-    now = materialize(edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    seen = None
+    now = edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    now = materialize(now)
     for _ in range(rounds):
-        signature = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if (signature["n"], signature["h"]) == seen or signature["n"] == 0:
-            break
-        seen = (signature["n"], signature["h"])
         both = now.union(now.select("b", "a"))
         low = materialize(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("weight")).select("a", F.least("a", "m").alias("m"), "weight"))
-        hubs = heavy_keys(low, "a", "weight")  # no node has more neighbours in the small-star step than here
+        every, most, tangled = low.agg(F.sum("weight"), F.max("weight"), F.max(F.when(F.col("m") < F.col("a"), F.col("weight")))).first()
+        if (tangled or 0) <= 1:
+            return low.select(F.col("a").alias("node"), F.col("m").alias("root"))
+        hubs = heavy_keys(low, "a", "weight", known=(every, most))  # in the small-star step no node has more neighbours
         large = spread_join(both.where("b > a"), low.drop("weight"), "a", hubs).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         large = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         joined = spread_join(large, floor := large.groupBy("a").agg(F.min("b").alias("m")), "a", hubs)
         small = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(floor.select("a", F.col("m").alias("b")))
         now = materialize(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
-    return now.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root").union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    raise RuntimeError(f"components did not settle in {rounds} rounds")

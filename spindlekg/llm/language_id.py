@@ -39,7 +39,7 @@ SHORT_WORD = 24
 #: Training words of more bytes count as runs of at most so many, cut between characters. Scoring takes words whole.
 TRAINED_RUN = 96
 #: Words whose scores a worker holds, and the bytes that these scores take at most, whatever the number of labels.
-CACHED_WORDS, CACHED_BYTES = 300_000, 16 << 20
+CACHED_WORDS, CACHED_BYTES = 100_000, 16 << 20
 WORD = re.compile(r"[^\W\d_]+")
 
 

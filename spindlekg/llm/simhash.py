@@ -35,7 +35,7 @@ SEED = 42
 #: A tile holds this many fingerprints at least (but for small inputs) and at most; there are TILES at least.
 TILE_LEAST, TILE_MOST, TILES = 4_096, 65_536, 10
 BLOCK_ROWS, BLOCK_COLUMNS = 128, 2_048
-HELD_LINKS = 4_000_000
+HELD_LINKS = 500_000
 #: Each possible byte with its bits dealt to the eight bytes of a word, the highest bit first in memory order.
 SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8).reshape(-1, 1), axis=1).view(np.uint64).reshape(256)
 
@@ -223,7 +223,7 @@ def components(docs: DataFrame, id_col: Column, text: Column, size: int = 3, rad
     prints = materialize(fingerprints(docs, id_col, text, size))
     nodes = materialize(prints.groupBy("fp").agg(F.min("id").alias("low"), F.count("*").alias("rows")))
     links = near_pairs(nodes.select("fp"), radius)
-    roots = materialize(connected_components(links))
+    roots = connected_components(links)
     placed = nodes.select("fp", "low").join(roots.withColumnRenamed("node", "fp"), "fp")
     lows = materialize(placed.groupBy("root").agg(F.min("low").alias("joined"), F.count("*").alias("weight")))
     joined = spread_join(roots.withColumnRenamed("node", "fp"), lows, "root", heavy_keys(lows, "root", "weight")).select("fp", "joined")
@@ -413,12 +413,12 @@ def join_the_rest(nodes: DataFrame, texts: DataFrame, edges: DataFrame, verify_s
     posts = nodes.select("key", "n", F.posexplode("head").alias("at", "h"))
     often = posts.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h")
     posts = materialize(posts.join(often, "h", "left_semi").select("h", "key", "n", "at"))
-    roots = materialize(connected_components(edges))
+    roots = connected_components(edges)
     for leaders in (True, False):
         posts = _mixed(posts.select("h", "key", "n", "at"), roots)
         found = _alike(_apart(posts, similarity, leaders), nodes, texts, verify_size, similarity)
         if not found.isEmpty():
-            roots = materialize(connected_components(found.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))))
+            roots = connected_components(found.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     return roots
 
 
