@@ -13,7 +13,10 @@ Edges, all tested: null and empty texts have the fingerprint `3::`, which is lik
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Mapping
+import json
+import math
+from collections import Counter
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +31,9 @@ LETTERS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01
 MIX = np.frombuffer(hashlib.shake_128(b"bytes").digest(1024), dtype=np.uint32)
 STEP = [pow(0x01000193, k, 1 << 32) for k in range(WINDOW)]
 POWERS = np.array([pow(0x9E3779B1, k, 1 << 32) for k in range(4096)], dtype=np.uint32)
-#: Most buckets of neighbouring ids that edited texts are made in.
-BUCKETS = 1_024
+#: Characters that a bucket of neighbouring ids holds at most, about: it is sorted by one task.
+BUCKET_CHARS = 1 << 28
+LOWEST = -(1 << 63)
 
 
 def _signature(mixed: np.ndarray, ends: np.ndarray) -> str:
@@ -118,16 +122,27 @@ def fingerprints(docs: DataFrame, text: Column, keep: Mapping[str, Column]) -> D
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields[1:], T.StructField("fingerprint", T.StringType())]))
 
 
-def _bucket(key: Column, bounds: list[int], first: int = 0) -> Column:
-    """How many of the ascending bounds are below or at the key, as a balanced tree of comparisons."""
-    if not bounds:
-        return F.lit(first)
-    middle = len(bounds) // 2
-    return F.when(key < bounds[middle], _bucket(key, bounds[:middle], first)).otherwise(_bucket(key, bounds[middle + 1 :], first + middle + 1))
+def bounds(quantiles: Sequence[int]) -> list[tuple[int, int]]:
+    """Lower bounds (key, tie) of buckets, ascending. A key that is several quantiles is cut evenly by its ties."""
+    times = Counter(quantiles)
+    return [(key, LOWEST + i * (1 << 64) // times[key]) for key in sorted(times) for i in range(times[key])]
+
+
+def _bucket(key: Column, tie: Column, lows: list[tuple[int, int]]) -> Column:
+    """How many of the bounds are below or at the pair: among every so-manieth first, then in the stretch behind it."""
+    if not lows:
+        return F.lit(0)
+    step = math.isqrt(len(lows)) + 1
+    stretches = [[{"k": k, "t": t} for k, t in lows[i : i + step]] for i in range(0, len(lows), step)]
+    listed = F.from_json(F.lit(json.dumps(stretches)), "array<array<struct<k: bigint, t: bigint>>>")
+    own = F.struct(key.alias("k"), tie.alias("t"))
+    coarse = F.size(F.filter(listed, lambda s: F.get(s, 0) <= own))
+    fine = F.size(F.filter(F.get(listed, coarse - 1), lambda b: b <= own))
+    return F.when(coarse == 0, 0).otherwise((coarse - 1) * step + fine)
 
 
 def _edits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come ordered by bucket, then guests last, then key and text; each needs the text of the row after it."""
+    """Rows come ordered by bucket, then guests last, then key, tie and text; each needs the text of the row after it."""
     before: tuple | None = None  # id, text, fingerprint
     out: list[tuple] = []
     schema = None
@@ -164,23 +179,25 @@ def _edits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def edited_neighbours(docs: DataFrame, id_col: Column, text: Column) -> DataFrame:
     """Fingerprint each text, and its text with the last quarter replaced by the start of the next text by id.
 
-    Ids are numbers; null ids come first, repeated ids are ordered by text, and the last row's next is the first row.
-    Rows are dealt into buckets of neighbouring ids, in one shuffle of the texts; the first row of each bucket is also
-    sent, as a guest, to the end of the bucket before, so no task needs more than its own bucket, in order.
+    Ids are numbers; null ids come first, repeated ids are ordered by a hash of their text, and the last row's next is
+    the first row. Rows are dealt into buckets of neighbouring ids, as many as the texts need, in one shuffle of the
+    texts; rows of one id are dealt to several buckets where they are many. The first row of each bucket is also sent,
+    as a guest, to the end of the bucket before, so no task needs more than its own bucket, in order.
     """
     spark = docs.sparkSession
-    rows = docs.select(id_col.alias("id"), F.coalesce(id_col.cast("long"), F.lit(-(1 << 63))).alias("key"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
-    n = min(BUCKETS, shuffle_partitions(spark))
-    at = [i / n for i in range(1, n)]
-    cuts = rows.agg(F.percentile_approx("key", at, 100 * n)).first()[0] if at else []
-    bucket = _bucket(F.col("key"), sorted(set(cuts or [])))
-    firsts = {r["bucket"]: r["first"] for r in rows.groupBy(bucket.alias("bucket")).agg(F.min("key").alias("first")).collect()}
-    order = sorted(firsts)
-    before = {firsts[b]: order[i - 1] for i, b in enumerate(order)}
-    sent = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
-    host = F.when(F.col("key").isin(list(before)), F.try_element_at(sent, F.col("key"))) if before else F.lit(None)
-    places = F.filter(F.array(F.struct(bucket.cast("int").alias("bucket"), F.lit(0).alias("guest")), F.struct(host.cast("int").alias("bucket"), F.lit(1).alias("guest"))), lambda x: x["bucket"].isNotNull())
-    dealt = rows.select("id", "key", "text", F.explode(places).alias("place")).select("id", "key", "text", "place.bucket", "place.guest")
-    dealt = dealt.repartitionById(n, F.col("bucket")).sortWithinPartitions("bucket", "guest", "key", "text")
+    rows = docs.select(id_col.alias("id"), F.coalesce(id_col.cast("long"), F.lit(LOWEST)).alias("key"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    n = max(shuffle_partitions(spark), -(-chars // BUCKET_CHARS))
+    quantiles = rows.agg(F.percentile_approx("key", [i / n for i in range(1, n)], 10 * n)).first()[0] if n > 1 else []
+    rows = rows.withColumn("bucket", _bucket(F.col("key"), F.col("tie"), bounds(quantiles or [])).cast("int"))
+    firsts = sorted((r["bucket"], r["low"]["key"], r["low"]["tie"]) for r in rows.groupBy("bucket").agg(F.min(F.struct("key", "tie")).alias("low")).collect())
+    # a row per bucket: its first row, and the bucket before it (before the first one, the last)
+    hosts = spark.createDataFrame([(*first, firsts[i - 1][0]) for i, first in enumerate(firsts)], "bucket int, k long, t long, host int")
+    met = rows.join(F.broadcast(hosts), "bucket")
+    host = F.when((F.col("key") == F.col("k")) & (F.col("tie") == F.col("t")), F.col("host"))
+    places = F.filter(F.array(F.struct(F.col("bucket"), F.lit(0).alias("guest")), F.struct(host.alias("bucket"), F.lit(1).alias("guest"))), lambda x: x["bucket"].isNotNull())
+    dealt = met.select("id", "key", "tie", "text", F.explode(places).alias("place")).select("id", "key", "tie", "text", "place.bucket", "place.guest")
+    dealt = dealt.repartitionById(len(bounds(quantiles or [])) + 1, F.col("bucket")).sortWithinPartitions("bucket", "guest", "key", "tie", "text")
     kind = rows.schema["id"].dataType.simpleString()
     return dealt.select("id", "guest", "text").mapInArrow(_edits, f"id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

@@ -1,6 +1,7 @@
 import hashlib
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from spindlekg.llm import ctph, queries
@@ -65,7 +66,8 @@ def test_likeness():
 
 
 def edited(rows):
-    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    tie = lambda text: (xxhash.xxh64_intdigest(text.encode(), 42) + 2**63) % 2**64  # noqa: E731  as a signed number
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, tie(r[1] or ""), r[1] or ""))
     out = []
     for k, (i, t) in enumerate(rows):
         t, after = t or "", rows[(k + 1) % len(rows)][1] or ""
@@ -87,6 +89,20 @@ def test_neighbours_equal_brute_force(spark, small, partitions):
     assert sorted(map(tuple, got), key=repr) == edited([(r.doc_id, r.text) for r in small.collect()])
 
 
+def test_rows_of_one_id_are_dealt_out(spark):
+    """A third of the rows has the id 5, another third none; the rest is spread, with two ids far out."""
+    rows = [(5, f"five {i} " * 9) for i in range(40)] + [(None, f"none {i}") for i in range(40)] + [(i * 1000, f"t{i}") for i in range(40)] + [(2**62, "far"), (-(2**62), "far")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    assert sorted(map(tuple, ctph.edited_neighbours(df, F.col("id"), F.col("text")).collect()), key=repr) == edited(rows)
+    lows = ctph.bounds([5, 9, 5, 5, 5])
+    assert lows == [(5, -(2**63)), (5, -(2**62) * 1), (5, 0), (5, 2**62), (9, -(2**63))]
+    pairs = [(4, 0), (5, -(2**63)), (5, -5), (5, 0), (5, 2**63 - 1), (8, 1), (9, 0), (10**9, 0)]
+    at = spark.createDataFrame(pairs, "k long, t long")
+    for bounds in (lows, [], ctph.bounds(range(0, 2000, 2))):
+        got = at.select(ctph._bucket(F.col("k"), F.col("t"), bounds).alias("b")).collect()
+        assert [r.b for r in got] == [sum(b <= p for b in bounds) for p in pairs]
+
+
 def test_query_columns(spark):
     got = queries.op9_ctph(spark, "/root/testdata/sf0.001")
     assert got.columns == ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
