@@ -4,17 +4,23 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIRS: dict[str, str] = {}
+_SCOPES: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a new local folder where that is unset (tests)."""
+    """spark.checkpoint.dir, or a new local folder where that is unset and the session has one machine (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_DIRS:
         _OWN_DIRS[app] = "file://" + tempfile.mkdtemp(prefix="spindlekg-")
@@ -22,8 +28,30 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: cuts the lineage, and outlives any executor."""
+    """Write df as a table in the shared folder and read it back: cuts the lineage, and outlives any executor.
+
+    Tables stay until the shared folder is cleared, or the scope that they were made in is (see scope)."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/spindlekg/{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scope() -> Iterator[list[str]]:
+    """Within it, tables are noted in the list that it gives; remove them once what is made of them has been written."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield made
+    finally:
+        _SCOPES.remove(made)
+
+
+def remove(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete folders, through the file system that Spark writes them by."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

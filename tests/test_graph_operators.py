@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from spindlekg.functions import rows
 from spindlekg.operators import chains, graph, search, summary
-from spindlekg.sources import files, tables
+from spindlekg.sources import files, scratch, tables
 from spindlekg.streaming.imports import stream_import
 
 ENTITY = "doc_id string, seq int, text string, type string, attributes map<string, string>"
@@ -221,3 +221,15 @@ def test_graph_versions_and_stream(spark, tmp_path):
     assert tables.read_graph(spark, place).nodes.where("text = 'A'").first().props == a.props
     with pytest.raises(FileNotFoundError):
         tables.read_graph(spark, f"{tmp_path}/nothing")
+
+
+def test_tables_of_a_scope_can_be_removed(spark):
+    with scratch.scope() as outer:
+        with scratch.scope() as made:
+            table = scratch.materialize(spark.range(5))
+        kept = scratch.materialize(table)
+    assert len(made) == len(outer) == 1 and table.count() == 5
+    scratch.remove(spark, made)
+    assert kept.count() == 5
+    with pytest.raises(Exception, match="does not exist|PATH_NOT_FOUND"):
+        spark.read.parquet(made[0]).count()
