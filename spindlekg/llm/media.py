@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import heavy_keys, materialize, spread_join
 
 UNIT, PAD, RATE = 192, 32, 8_000
 LEAST, MOST, MEAN_BITS = 256, 8_192, 10
@@ -201,7 +201,9 @@ def read_back(media: DataFrame, shared: DataFrame) -> DataFrame:
     rest = media.where(~lone)
     lists = rest.select("media", "chunks", "own").dropDuplicates(["media"])
     places = lists.select("media", F.posexplode("chunks").alias("pos", "c")).where("c.shared").select("media", "pos", F.col("c.digest").alias("digest"))
-    parts = places.join(shared, "digest").groupBy("media").agg(F.collect_list(F.struct("pos", "bytes")).alias("parts"))
+    uses = materialize(places.groupBy("digest").agg(F.count("*").alias("n")))
+    parts = spread_join(places, shared, "digest", heavy_keys(uses, "digest", "n")).groupBy("media").agg(F.collect_list(F.struct("pos", "bytes")).alias("parts"))
     joined = lists.join(parts, "media").select("media", "chunks", "own", "parts").mapInArrow(_read_back, f"media binary, {READ_FIELDS}")
-    joined = rest.select("id", "n_bytes", "media_bytes", "media").join(joined, "media").select(whole.columns)
+    copies = materialize(rest.groupBy("media").agg(F.count("*").alias("n")))
+    joined = spread_join(rest.select("id", "n_bytes", "media_bytes", "media"), joined, "media", heavy_keys(copies, "media", "n")).select(whole.columns)
     return whole.union(joined).withColumn("media_sha256", F.lower(F.hex("media"))).drop("media")
