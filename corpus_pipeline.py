@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from spindlekg.llm import bpe, language_id, mixing, pii, queries, simhash
 from spindlekg.llm.common import materialize
+from spindlekg.sources.scratch import remove, scope
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 LEAST_SCORE = 0.5
@@ -58,10 +59,13 @@ STAGES = [("language_id", language_stage), ("simhash_dedup", dedup_stage), ("pii
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table, each written as a table and read again, as the next one's input."""
-    docs = queries.table(spark, sf_dir, "documents")
+    """All stages over the documents table, each written as a table and read again, as the next one's input. The tables
+    that a stage made on its way go when its result is written."""
+    docs, last = queries.table(spark, sf_dir, "documents"), len(STAGES) - 1
     for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
+        with scope() as made:
+            docs = stage(spark, docs, sf_dir)
+        if i < last:
             docs = materialize(docs)
+            remove(spark, made)
     return docs
