@@ -11,7 +11,8 @@ from ..operators import chains, entities, graph, relations, search, summary
 from ..sources import files, scratch, tables
 from ..streaming.imports import stream_import
 from .catalog import query
-from .text_queries import TRIM, _rules
+from ..functions.patterns import PROPERTIES, RELATION_PROPERTIES, RELATION_TREATMENTS
+from .text_queries import PROCESS_ENTITIES, PROCESS_HITS, PROPERTY_HITS, TRIM, _property_lists, _rules, _treatment_lists
 
 NOW, BEFORE = "TIMESTAMP '2024-01-02 00:00:00'", "TIMESTAMP '2024-01-01 00:00:00'"
 
@@ -422,12 +423,36 @@ def _(t):
     return tables.read_graph(t.spark, f"{path}/graph").nodes.select("label", "text")
 
 
-@query("w1_corpus_to_graph", None)
-def _(t):
-    """Chunks to entities and rule relations, imported into an empty graph: its edges."""
-    chunks = t("fx_chunks")
-    found = entities.merge_entities(t("fx_entities"), entities.extract_property_entities(chunks), entities.extract_process_entities(chunks))
-    rels = _rules(t, relations.link_entities_to_chunks(chunks, found)).withColumn("seq", F.struct("chunk_no", "hit_no", "entity_seq"))
+# ---- the whole way from chunks to a graph
+
+FOUND = f"""SELECT doc_id, para_no, chunk_no, text, type, rank, seq FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, para_no, chunk_no, text, type ORDER BY rank, seq) AS nth FROM (SELECT doc_id, para_no, chunk_no, text, type, 0 AS rank, seq FROM fx_entities
+UNION ALL SELECT doc_id, para_no, chunk_no, h.phrase, 'MechanicalProperty', 1, seq FROM ({PROPERTY_HITS.format(lists=_property_lists(PROPERTIES))}) UNION ALL SELECT doc_id, para_no, chunk_no, text, 'HeatTreatmentProcess', 2, seq FROM ({PROCESS_ENTITIES}))) WHERE rank = 0 OR nth = 1"""
+W1 = f"""WITH found AS ({FOUND}), links AS (SELECT * FROM (SELECT c.doc_id, c.para_no, c.chunk_no, e.text, count(*) OVER (PARTITION BY c.doc_id, c.para_no, c.chunk_no) AS n FROM fx_chunks c JOIN found e ON c.doc_id = e.doc_id AND c.para_no = e.para_no WHERE e.text <> '' AND contains(c.chunk_text, e.text)) WHERE n >= 2),
+ruled AS (SELECT h.doc_id, h.para_no, h.chunk_no, lower(trim(l.text)) AS head_entity_text, concat(h.h.value, h.h.unit) AS tail_entity_text, 'EXHIBITS_PROPERTY' AS relation_type FROM ({PROPERTY_HITS.format(lists=_property_lists(RELATION_PROPERTIES))}) h JOIN links l ON h.doc_id = l.doc_id AND h.para_no = l.para_no AND h.chunk_no = l.chunk_no AND h.h.name = lower(trim(l.text))
+UNION ALL SELECT h.doc_id, h.para_no, h.chunk_no, lower(trim(l.text)), h.text, 'UNDERGOES_TREATMENT' FROM ({PROCESS_HITS.format(lists=_treatment_lists(RELATION_TREATMENTS))}) h JOIN links l ON h.doc_id = l.doc_id AND h.para_no = l.para_no AND h.chunk_no = l.chunk_no AND contains(lower(h.text), lower(trim(l.text)))),
+said AS (SELECT doc_id, para_no, chunk_no, head_entity_text, tail_entity_text, relation_type FROM fx_relations WHERE doc_id % 5 <> 0),
+kept AS (SELECT DISTINCT s.doc_id, s.head_entity_text, s.tail_entity_text, s.relation_type FROM said s JOIN links a ON a.doc_id = s.doc_id AND a.para_no = s.para_no AND a.chunk_no = s.chunk_no AND a.text = s.head_entity_text JOIN links b ON b.doc_id = s.doc_id AND b.para_no = s.para_no AND b.chunk_no = s.chunk_no AND b.text = s.tail_entity_text WHERE NOT EXISTS (SELECT 1 FROM ruled r WHERE r.doc_id = s.doc_id AND r.para_no = s.para_no AND r.chunk_no = s.chunk_no AND r.head_entity_text = s.head_entity_text AND r.tail_entity_text = s.tail_entity_text)),
+combined AS (SELECT DISTINCT doc_id, head_entity_text, tail_entity_text, relation_type FROM ruled UNION SELECT * FROM kept),
+bare AS (SELECT doc_id FROM found GROUP BY doc_id HAVING count(*) > 1 EXCEPT SELECT doc_id FROM combined),
+every AS (SELECT * FROM combined UNION ALL SELECT DISTINCT a.doc_id, a.text, b.text, 'EXHIBITS_PROPERTY' FROM found a JOIN found b ON a.doc_id = b.doc_id WHERE a.type = 'HeatTreatmentProcess' AND b.type = 'MechanicalProperty' AND a.doc_id IN (SELECT doc_id FROM bare)),
+good AS (SELECT doc_id, text, type, min((chunk_no, rank, seq)) AS place FROM (SELECT doc_id, chunk_no, rank, seq, text, {TYPE} AS type FROM found) WHERE type IN {ALLOWED} AND trim(text) <> '' GROUP BY doc_id, text, type),
+types AS (SELECT doc_id, text, max_by(type, place) AS type FROM good GROUP BY doc_id, text), nodes AS (SELECT DISTINCT type, text FROM good),
+typed AS (SELECT e.doc_id, coalesce(h.type, 'Entity') AS head_label, e.head_entity_text AS head_text, {REL_TYPE} AS rel_type, coalesce(t.type, 'Entity') AS tail_label, e.tail_entity_text AS tail_text FROM every e LEFT JOIN types h ON e.doc_id = h.doc_id AND e.head_entity_text = h.text LEFT JOIN types t ON e.doc_id = t.doc_id AND e.tail_entity_text = t.text WHERE {REL_TYPE} IN {ALLOWED_RELS} AND e.head_entity_text <> '' AND e.tail_entity_text <> '')
+SELECT head_label, head_text, rel_type, tail_label, tail_text, 'first' AS batch_id, CAST(max(doc_id) AS VARCHAR) AS source_doc_id FROM typed WHERE (head_label, head_text) IN (SELECT (type, text) FROM nodes) AND (tail_label, tail_text) IN (SELECT (type, text) FROM nodes) GROUP BY ALL"""
+
+
+@query("w1_corpus_to_graph", W1)
+def _(t):
+    """Chunks to entities, rule relations, the model's that they lack, and the fallback; imported into an empty graph: its
+    edges. fx_relations stands for the model's answers, which every fifth document lacks."""
+    chunks, said = t("fx_chunks"), t("SELECT * FROM fx_relations WHERE doc_id % 5 <> 0").drop("object")
+    found = scratch.materialize(entities.merge_entities(t("fx_entities"), entities.extract_property_entities(chunks), entities.extract_process_entities(chunks)))
+    links = scratch.materialize(relations.link_entities_to_chunks(chunks, found))
+    ruled = scratch.materialize(_rules(t, links).drop("source_sentence"))
+    kept = relations.drop_known_pairs(relations.validate_relations(said, links), ruled)
+    combined = scratch.materialize(relations.combine_relations(ruled, kept))
+    every = combined.unionByName(relations.fallback_cross_relations(found, combined), allowMissingColumns=True)
+    rels = every.withColumn("seq", F.struct("rank", "chunk_no", "hit_no", "seq", "entity_seq"))
     ents = found.withColumn("seq", F.struct("chunk_no", "rank", "seq"))
     loaded, _ = graph.import_batch(graph.empty_graph(t.spark), ents, rels, "first", _at(NOW))
     return loaded.edges.select(*EDGE_COLUMNS[:-1])

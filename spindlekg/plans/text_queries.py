@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.patterns import PROPERTIES, RELATION_PROPERTIES, RELATION_TREATMENTS, TREATMENTS
 from ..functions.text import is_json, map_text
 from ..operators import chunking, entities, layout, relations
+from ..sources.scratch import materialize
 from .catalog import query
 
 TRIM = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
@@ -80,14 +81,29 @@ def _(t):
     return _long(chunking.chunk_fixed(t(PARAGRAPHED)).select("doc_id", "chunk_no", "chunk_text"), "chunk_no")
 
 
-SECTIONED = r"SELECT a.doc_id, concat('Front matter\nABSTRACT\n', a.text, '\nRESULTS\n1.1 Set up\n', b.text, '\n') AS text FROM fx_lines a JOIN fx_lines b ON a.doc_id = b.doc_id AND a.k = 0 AND b.k = 1"
+SECTION_LINES = 12
 
 
-@query("c2_split_sections", f"""WITH pair AS (SELECT a.doc_id, {TRIM.format('a.text')} AS one, {TRIM.format('b.text')} AS two FROM fx_lines a JOIN fx_lines b ON a.doc_id = b.doc_id AND a.k = 0 AND b.k = 1),
-every AS (SELECT doc_id, 0 AS k, '' AS section_title, 'Front matter' AS chunk_text FROM pair UNION ALL SELECT doc_id, 1, 'ABSTRACT', one FROM pair UNION ALL SELECT doc_id, 2, 'RESULTS 1.1 Set up', two FROM pair)
-SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS chunk_no, section_title, chunk_text FROM every WHERE chunk_text <> ''""")
+def _sectioned(t):
+    """The documents with a heading (and every other time a sub-heading) before each twelve lines, a line a paragraph."""
+    lines = t("fx_lines").withColumn("part", F.floor(F.col("k") / SECTION_LINES))
+    ordered = lambda at, c: F.transform(F.array_sort(F.collect_list(F.struct(at, F.col(c).alias("it")))), lambda x: x["it"])
+    parts = lines.groupBy("doc_id", "part").agg(F.array_join(ordered("k", "text"), "\n\n").alias("body"))
+    heading = F.when(F.col("part") % 2 == 0, F.lit("ABSTRACT\n")).otherwise(F.lit("RESULTS\n1.1 Set up\n"))
+    parts = parts.withColumn("body", F.concat(heading, "body", F.lit("\n")))
+    return parts.groupBy("doc_id").agg(F.concat(F.lit("Front matter\n"), F.array_join(ordered("part", "body"), "")).alias("text"))
+
+
+SECTION_PARTS = f"SELECT doc_id, k // {SECTION_LINES} AS part, row_number() OVER (PARTITION BY doc_id, k // {SECTION_LINES} ORDER BY k) AS i, text, length(text) AS n FROM (SELECT doc_id, k, {TRIM.format('text')} AS text FROM fx_lines) l WHERE text <> ''"
+
+
+@query("c2_split_sections", f"""WITH RECURSIVE parts AS ({SECTION_PARTS}),
+packed AS (SELECT doc_id, part, i, text, n AS size, 0 AS c FROM parts WHERE i = 1
+UNION ALL SELECT p.doc_id, p.part, p.i, p.text, CASE WHEN r.size + p.n <= 2000 THEN r.size + 2 + p.n ELSE p.n END, CASE WHEN r.size + p.n <= 2000 THEN r.c ELSE r.c + 1 END FROM packed r JOIN parts p ON p.doc_id = r.doc_id AND p.part = r.part AND p.i = r.i + 1),
+every AS (SELECT DISTINCT doc_id, CAST(-1 AS BIGINT) AS part, 0 AS c, '' AS section_title, 'Front matter' AS chunk_text FROM fx_lines UNION ALL SELECT doc_id, part, c, CASE WHEN part % 2 = 0 THEN 'ABSTRACT' ELSE 'RESULTS 1.1 Set up' END, string_agg(text, chr(10) || chr(10) ORDER BY i) FROM packed GROUP BY doc_id, part, c)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY part, c) - 1 AS chunk_no, section_title, chunk_text FROM every""")
 def _(t):
-    return _long(chunking.split_sections(t(SECTIONED)).select("doc_id", "chunk_no", "section_title", "chunk_text"), "chunk_no")
+    return _long(chunking.split_sections(_sectioned(t)).select("doc_id", "chunk_no", "section_title", "chunk_text"), "chunk_no")
 
 
 @query("c3_split_sentences", f"SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS seq, sentence FROM (SELECT doc_id, k, {TRIM.format('s')} AS sentence FROM (SELECT doc_id, unnest(range(len(string_split(text, '.')))) AS k, unnest(string_split(text, '.')) AS s FROM documents)) WHERE sentence <> ''")
@@ -124,13 +140,13 @@ def _(t):
     return entities.complete(prompts, lambda batch: [str(len(p)) for p in batch]).select("doc_id", "chunk_no", "response")
 
 
-@query("n3_parse_ner_responses", "SELECT doc_id, seq AS chunk_no, CAST(0 AS BIGINT) AS seq, concat('E', CAST(pk % 50 AS VARCHAR)) AS text, 'MaterialAlloy' AS type, CASE WHEN sk % 6 = 4 THEN '' ELSE concat('value=', CAST(qty AS VARCHAR)) END AS attributes FROM fx_rows WHERE sk % 6 <> 5")
+@query("n3_parse_ner_responses", "SELECT doc_id, seq AS chunk_no, CAST(0 AS BIGINT) AS seq, concat('E', CAST(pk AS VARCHAR), 'x', CAST(sk % 8 AS VARCHAR)) AS text, 'MaterialAlloy' AS type, CASE WHEN sk % 6 = 4 THEN '' ELSE concat('value=', CAST(qty AS VARCHAR)) END AS attributes FROM fx_rows WHERE sk % 6 <> 5")
 def _(t):
     found = entities.parse_ner_responses(t("fx_responses")).withColumn("attributes", map_text(F.col("attributes")))
     return _long(found.select("doc_id", "chunk_no", "seq", "text", "type", "attributes"), "seq")
 
 
-@query("n4_recover_json_objects", "SELECT doc_id, seq AS chunk_no, concat('E', CAST(pk % 50 AS VARCHAR)) AS text, 'MaterialAlloy' AS type FROM fx_rows WHERE sk % 6 = 4")
+@query("n4_recover_json_objects", "SELECT doc_id, seq AS chunk_no, concat('E', CAST(pk AS VARCHAR), 'x', CAST(sk % 8 AS VARCHAR)) AS text, 'MaterialAlloy' AS type FROM fx_rows WHERE sk % 6 = 4")
 def _(t):
     broken = t("fx_responses").where(~is_json(entities.strip_fences(F.col("response"))))
     return broken.select("doc_id", "chunk_no", F.explode(entities.recover_json_objects(F.col("response"))).alias("e")).select("doc_id", "chunk_no", "e.text", "e.type")
@@ -214,7 +230,7 @@ def _(t):
 
 @query("r4_route_to_model", f"WITH e AS (SELECT doc_id, para_no, chunk_no, count(*) AS n_entities FROM ({LINKS}) GROUP BY ALL), r AS (SELECT doc_id, para_no, chunk_no, count(*) AS n FROM ({RULES}) GROUP BY ALL) SELECT e.doc_id, e.chunk_no, e.n_entities, coalesce(r.n, 0) AS n_relations FROM e LEFT JOIN r USING (doc_id, para_no, chunk_no) WHERE coalesce(r.n, 0) < e.n_entities / 2")
 def _(t):
-    links = _links(t)
+    links = materialize(_links(t))
     return relations.route_to_model(links, _rules(t, links)).select("doc_id", "chunk_no", "n_entities", "n_relations")
 
 
