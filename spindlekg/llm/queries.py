@@ -23,6 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """rows of a table over as many tasks as there are cores, where its files would give fewer: for work that costs much
+    more than sending the rows. Larger tables have more splits than cores and are left as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def tokenizer_path(name: str) -> str:
     return importlib.import_module("public_tokenizers").path(name)
 
@@ -36,7 +43,7 @@ def pseudonym_key(spark: SparkSession) -> bytes:
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     model = language_id.fit(docs.where(~held_out), tokenizer_path("byte_bpe_multi_50k.tiktoken"))
     return language_id.predict(docs, model, F.col("text"), {"doc_id": F.col("doc_id"), "held_out": held_out})
@@ -55,17 +62,17 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_extract.extract(table(spark, sf_dir, "pages"), F.col("html"), {"page_id": F.col("page_id"), "url": F.col("url")})
+    return html_extract.extract(dealt(table(spark, sf_dir, "pages")), F.col("html"), {"page_id": F.col("page_id"), "url": F.col("url")})
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return pii.pseudonymise(docs, pseudonym_key(spark), found_col="found")
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     pattern = splitting_pattern()
-    return bpe.round_trip(table(spark, sf_dir, "documents"), F.col("text"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), pattern, {"doc_id": F.col("doc_id")})
+    return bpe.round_trip(dealt(table(spark, sf_dir, "documents").select("doc_id", "text")), F.col("text"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), pattern, {"doc_id": F.col("doc_id")})
 
 
 def labelled_domain() -> Column:
@@ -83,7 +90,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash.components(table(spark, sf_dir, "documents"), F.col("doc_id"), F.col("text"), size=3, radius=2)
+    found = simhash.components(dealt(table(spark, sf_dir, "documents").select("doc_id", "text")), F.col("doc_id"), F.col("text"), size=3, radius=2)
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -93,7 +100,7 @@ def op9_ctph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = media.read_back(*media.store(table(spark, sf_dir, "documents"), F.col("doc_id"), F.col("text")))
+    found = media.read_back(*media.store(dealt(table(spark, sf_dir, "documents").select("doc_id", "text")), F.col("doc_id"), F.col("text")))
     return found.select(F.col("id").alias("doc_id"), "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
 
 
