@@ -184,17 +184,37 @@ def as_edges(relations: DataFrame) -> DataFrame:
     return rows.select(F.col("head_entity_type").alias("head_label"), F.col("head_entity_text").alias("head_text"), F.col("relation_type").alias("rel_type"), F.col("tail_entity_type").alias("tail_label"), F.col("tail_entity_text").alias("tail_text"), "props", "doc_id", "seq")
 
 
-def import_batch(graph: Graph, entities: DataFrame, relations: DataFrame, batch_id: str | Column, now: Column) -> tuple[Graph, DataFrame]:
-    """The graph after an import, and its statistics (see import_stats). Records that are used more than once, and the
-    new nodes, are cut into tables, so that none is prepared twice."""
+@dataclass(frozen=True)
+class Batch:
+    """Records ready for import, as tables: entities and relations as given, valid and first of their kind, and rejected
+    entities."""
+
+    entities: DataFrame
+    relations: DataFrame
+    good: DataFrame
+    bad: DataFrame
+    kept: DataFrame
+
+
+def prepare_batch(entities: DataFrame, relations: DataFrame) -> Batch:
+    """Records that are used more than once are cut into tables, so that none is prepared twice."""
     good, bad = prepare_entities(entities)
     good = materialize(good)
-    kept = materialize(prepare_relations(relations, good))
+    return Batch(entities, relations, good, bad, materialize(prepare_relations(relations, good)))
+
+
+def apply_batch(graph: Graph, batch: Batch, batch_id: str | Column, now: Column) -> tuple[Graph, DataFrame]:
+    """The graph after the import of a batch, and the import's statistics."""
     source = F.col("doc_id").cast("string")
-    nodes = materialize(upsert_nodes(graph.nodes, stamp_batch(as_nodes(good), batch_id, source), now))
-    new_edges = stamp_batch(as_edges(kept), batch_id, source)
+    nodes = materialize(upsert_nodes(graph.nodes, stamp_batch(as_nodes(batch.good), batch_id, source), now))
+    new_edges = stamp_batch(as_edges(batch.kept), batch_id, source)
     edges = upsert_edges(graph.edges, new_edges, nodes, now)
-    return Graph(nodes, edges), import_stats(entities, relations, good, bad, kept, with_endpoints(new_edges, nodes))
+    return Graph(nodes, edges), import_stats(batch.entities, batch.relations, batch.good, batch.bad, batch.kept, with_endpoints(new_edges, nodes))
+
+
+def import_batch(graph: Graph, entities: DataFrame, relations: DataFrame, batch_id: str | Column, now: Column) -> tuple[Graph, DataFrame]:
+    """The graph after an import, and its statistics (see import_stats)."""
+    return apply_batch(graph, prepare_batch(entities, relations), batch_id, now)
 
 
 def import_stats(entities: DataFrame, relations: DataFrame, good: DataFrame, bad: DataFrame, kept: DataFrame, placed: DataFrame) -> DataFrame:

@@ -375,9 +375,13 @@ def _place(t) -> str:
     return f"{scratch.shared_dir(t.spark)}/spindlekg/{uuid.uuid4().hex}"
 
 
-@query("s1_read_document_files")
+@query("s1_read_document_files", "SELECT 'part ' || CAST(p_partkey // 500 AS VARCHAR) || '.v1' AS doc_id, CAST(sum(length(CAST(p_partkey AS VARCHAR)) + 1) AS BIGINT) AS length, string_agg(CAST(p_partkey AS VARCHAR) || chr(10), '' ORDER BY p_partkey) AS content FROM part GROUP BY p_partkey // 500")
 def _(t):
-    return files.read_document_files(t.spark, t.sf_dir, "*.parquet").select("doc_id", "length")
+    """Files in nested folders, of every five hundred parts one, with files of another kind beside them."""
+    rows = t("SELECT CAST(floor(p_partkey / 500) AS BIGINT) AS file, CAST(p_partkey AS STRING) AS value, p_partkey FROM part")
+    _named_files(t.spark, rows, ("p_partkey",), path := _place(t), lambda k: f"{k % 3}/deep {k % 2}/part {k}.v1.pdf")
+    _named_files(t.spark, rows, ("p_partkey",), f"{path}/1/other", lambda k: f"part {k}.txt")
+    return files.read_document_files(t.spark, path).select("doc_id", "length", F.col("content").cast("string").alias("content"))
 
 
 @query("s2_extractions_round_trip", "SELECT doc_id, para_no, chunk_no, seq, text, type FROM fx_entities")
@@ -397,6 +401,40 @@ def _(t):
     return summary.error_type_counts(files.read_error_logs(t.spark, path))
 
 
+def _named_files(spark, rows, order, path, name):
+    """Writes rows (file, value), a line each, as text files of which name gives the place below path, by the file's number."""
+    raw = f"{path}/raw"
+    rows.repartition("file").sortWithinPartitions("file", *order).select("file", "value").write.partitionBy("file").text(raw)
+    places = spark._jvm.org.apache.hadoop.fs.Path
+    system = places(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for made in system.globStatus(places(f"{raw}/file=*/part-*")):  # only names pass through the driver
+        to = places(f"{path}/{name(int(made.getPath().getParent().getName().split('=')[1]))}")
+        system.mkdirs(to.getParent())
+        system.rename(made.getPath(), to)
+    system.delete(places(raw), True)
+
+
+def _exports(t, rows, name, fields):
+    """A JSON array of records for every two thousand documents, a file each, and a broken file beside them."""
+    text = F.to_json(F.array_sort(F.collect_list(F.struct(*fields))))
+    made = rows.groupBy(F.floor(F.col("doc_id") / 2000).alias("file")).agg(text.alias("value"))
+    broken = t.spark.createDataFrame([(-1, '[{"text": ')], "file long, value string")
+    _named_files(t.spark, made.union(broken), (), path := _place(t), lambda k: f"g{k}_{name}.json")
+    return path
+
+
+@query("s4_entity_exports", "SELECT 'g' || CAST(doc_id // 2000 AS VARCHAR) AS doc_id, text, type, count(*) AS n FROM fx_entities GROUP BY ALL")
+def _(t):
+    path = _exports(t, t("fx_entities"), "entities", ("seq", "chunk_no", "text", "type"))
+    return files.read_json_records(t.spark, f"{path}/*_entities.json", files.ENTITY_SCHEMA, "_entities").groupBy("doc_id", "text", "type").agg(F.count("*").alias("n"))
+
+
+@query("s4_relation_exports", "SELECT 'g' || CAST(doc_id // 2000 AS VARCHAR) AS doc_id, head_entity_text, tail_entity_text, relation_type, count(*) AS n FROM fx_relations GROUP BY ALL")
+def _(t):
+    path = _exports(t, t("fx_relations"), "relations", ("seq", "head_entity_text", "tail_entity_text", "relation_type"))
+    return files.read_json_records(t.spark, f"{path}/*_relations.json", files.RELATION_SCHEMA, "_relations").groupBy("doc_id", "head_entity_text", "tail_entity_text", "relation_type").agg(F.count("*").alias("n"))
+
+
 @query("s5_summary_round_trip", OVERALL)
 def _(t):
     files.write_summary(summary.overall_summary(_document_summary(t)), path := _place(t))
@@ -412,15 +450,27 @@ def _(t):
     return tables.read_graph(t.spark, path).edges.select(*EDGE_COLUMNS)
 
 
-@query("t1_stream_import", f"SELECT label, text FROM (SELECT DISTINCT type AS label, text FROM ({GOOD}))")
-def _(t):
-    path = _place(t)
-    rows = t(ENTITY_ROWS)
+def _streamed(t):
+    """Documents with their entities and relations in two streams one after the other, the even ones first: a graph's path."""
+    some = lambda df, name, *c: df.groupBy("doc_id").agg(F.collect_list(F.struct(*c)).alias(name))  # noqa: E731  a document's own
+    docs = some(t(ENTITY_ROWS), "entities", "seq", "text", "type", "attributes").join(some(t("fx_relations"), "relations", "seq", "head_entity_text", "tail_entity_text", "relation_type", "object"), "doc_id", "full")
+    docs, path = scratch.materialize(docs), _place(t)
     for part in (0, 1):
-        rows.where(F.col("doc_id") % 2 == part).write.mode("append").parquet(f"{path}/in")
-    arriving = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(f"{path}/in")
-    stream_import(arriving, f"{path}/graph", f"{path}/checkpoint").awaitTermination()
-    return tables.read_graph(t.spark, f"{path}/graph").nodes.select("label", "text")
+        docs.where(F.col("doc_id") % 2 == part).write.mode("append").parquet(f"{path}/in")
+        arriving = t.spark.readStream.schema(docs.schema).parquet(f"{path}/in")
+        stream_import(arriving, f"{path}/graph", f"{path}/checkpoint").awaitTermination()
+    return f"{path}/graph"
+
+
+@query("t1_stream_import", f"SELECT label, text, props FROM ({NODES})")
+def _(t):
+    nodes = tables.read_graph(t.spark, _streamed(t)).nodes
+    return nodes.select("label", "text", map_text(F.col("props")).alias("props"))
+
+
+@query("t1_stream_import_edges", f"SELECT head_label, head_text, rel_type, tail_label, tail_text, source_doc_id FROM ({EDGES})")
+def _(t):
+    return tables.read_graph(t.spark, _streamed(t)).edges.select("head_label", "head_text", "rel_type", "tail_label", "tail_text", "source_doc_id")
 
 
 # ---- the whole way from chunks to a graph

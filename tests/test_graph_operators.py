@@ -206,23 +206,52 @@ def test_extractions_replace_only_their_own_buckets(spark, tmp_path):
     assert sorted(tuple(r) for r in files.read_extractions(spark, path).select("doc_id", "n").collect()) == [("a", 2), ("b", 1)]
 
 
+def as_documents(ents, rels):
+    some = lambda df, name: df.groupBy("doc_id").agg(F.collect_list(F.struct(*[c for c in df.columns if c != "doc_id"])).alias(name))
+    return some(ents, "entities").join(some(rels, "relations"), "doc_id", "full")
+
+
 def test_graph_versions_and_stream(spark, tmp_path):
     place = f"{tmp_path}/graph"
-    ents, _ = batch(spark)
-    ents.where("doc_id = 'd1'").write.parquet(f"{tmp_path}/in")
-    arriving = lambda: spark.readStream.schema(ents.schema).parquet(f"{tmp_path}/in")
+    docs = as_documents(*batch(spark))
+    docs.where("doc_id = 'd1'").write.parquet(f"{tmp_path}/in")
+    arriving = lambda: spark.readStream.schema(docs.schema).parquet(f"{tmp_path}/in")
     stream_import(arriving(), place, f"{tmp_path}/check").awaitTermination()
     first = tables.latest_version(spark, place)
-    ents.where("doc_id = 'd2'").write.mode("append").parquet(f"{tmp_path}/in")
+    docs.where("doc_id = 'd2'").write.mode("append").parquet(f"{tmp_path}/in")
     stream_import(arriving(), place, f"{tmp_path}/check").awaitTermination()
-    a = tables.read_graph(spark, place).nodes.where("text = 'A'").first()
-    assert a.props == {"k": "2", "x": "old"} and tables.latest_version(spark, place) > first
+    loaded = tables.read_graph(spark, place)
+    a = loaded.nodes.where("text = 'A'").first()
+    assert a.props == {"k": "2", "x": "old"} and tables.latest_version(spark, place) == first + 1
+    assert [(r.head_text, r.rel_type, r.tail_text) for r in loaded.edges.collect()] == [("A", "UNDERGOES_TREATMENT", "T6")]
+    history = {r.batch_id: r for r in tables.read_history(spark, place).collect()}
+    assert sorted(history) == ["stream_000000000000", "stream_000000000001"] and json.loads(history["stream_000000000000"].stats)["relations_upserted"] == 1
+    assert {r.status for r in history.values()} == {"failed", "completed"}
     stream_import(arriving(), place, f"{tmp_path}/other").awaitTermination()  # batch 0 again, without its checkpoint: skipped
-    assert tables.read_graph(spark, place).nodes.where("text = 'A'").first().props == a.props
+    assert tables.latest_version(spark, place) == first + 1
     with pytest.raises(FileNotFoundError):
         tables.read_graph(spark, f"{tmp_path}/nothing")
 
 
+def test_a_write_replaces_only_what_it_touches(spark, tmp_path):
+    place = f"{tmp_path}/graph"
+    ents, rels = batch(spark)
+    old, _ = graph.import_batch(graph.empty_graph(spark), ents, rels, "b1", day(1))
+    assert tables.write_graph(old, place) == 1
+    bucket = old.nodes.where("text = 'A'").select(tables.bucket_of("label", "text")).first()[0]
+    only = {"nodes": {bucket}, "edges": set()}
+    part = tables.read_graph(spark, place, only=only)
+    assert part.edges.count() == 0 and [r.text for r in part.nodes.where("text in ('A', 'T6')").collect()] == ["A"]
+    assert tables.write_graph(graph.Graph(part.nodes.withColumn("batch_id", F.lit("b2")), part.edges), place, touched=only) == 2
+    new = tables.read_graph(spark, place)
+    assert {(r.text, r.batch_id) for r in new.nodes.collect()} == {("A", "b2"), ("T6", "b1")} and new.edges.count() == 1
+    assert {r.batch_id for r in tables.read_graph(spark, place, 1).nodes.collect()} == {"b1"}
+    tables.remove_versions(spark, place, keep=1)
+    assert tables.read_graph(spark, place).nodes.count() == 2 and tables.latest_version(spark, place) == 2
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        tables.read_graph(spark, place, 1)
+
+
 def test_tables_of_a_scope_can_be_removed(spark):
     with scratch.scope() as outer:
         with scratch.scope() as made:

@@ -41,11 +41,3 @@ def test_query_equals_its_oracle(spark, duck, name):
     got = [r.asDict() for r in df.collect()]
     assert got
     assert rows(got, df.columns) == rows([dict(zip(want.columns, r, strict=True)) for r in want.fetchall()], df.columns)
-
-
-def test_flagship_has_rows(spark):
-    assert registry.flagship(spark, DATA).count() > 0
-
-
-def test_documents_are_files(spark):
-    assert registry.queries()["s1_read_document_files"](spark, DATA).where("doc_id = 'documents'").count() == 1
