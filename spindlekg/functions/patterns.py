@@ -18,6 +18,7 @@ class PropertyRule:
 
     @property
     def pattern(self) -> str:
+        # Fixed value: what may stand between alias and number, and what a number is, decide which texts match.
         return rf"(?iU)({'|'.join(self.aliases)})[^\d]{{0,10}}([0-9]+\.?[0-9]*)\s*{self.unit_pattern or self.unit}"
 
 
@@ -42,6 +43,7 @@ HEAT_CONDITION = TreatmentRule(r"(?iU)(\d+℃)[^\d]{0,5}(\d+[小时h])")
 TREATMENTS = (HEAT_STAGE, HEAT_STEP, HEAT_CONDITION)
 RELATION_TREATMENTS = (HEAT_STAGE_STRICT, HEAT_STEP, HEAT_CONDITION)
 
+# Types, their aliases and ranks, section headings and display colours, which results show.
 ENTITY_TYPES = ("MaterialAlloy", "AlloyComponent", "HeatTreatmentProcess", "ResearchSubject", "ResearchMethod", "MechanicalProperty", "MicrostructureFeature", "Application", "SourceDocument")
 RELATION_TYPES = ("HAS_COMPONENT", "EXHIBITS_PROPERTY", "UNDERGOES_TREATMENT", "INVESTIGATED_BY", "HAS_MICROSTRUCTURE", "HAS_APPLICATION", "MENTIONED_IN")
 ENTITY_TYPE_ALIASES = {"Alloy": "MaterialAlloy", "合金": "MaterialAlloy", "工艺": "HeatTreatmentProcess", "性能": "MechanicalProperty", "方法": "ResearchMethod", "试验": "ResearchMethod", "结构": "MicrostructureFeature"}
