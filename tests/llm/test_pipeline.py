@@ -160,21 +160,17 @@ def test_many_texts_of_one_fingerprint_take_no_more_rounds(spark):
     assert (few, many) == (10, 200) and jobs_many <= jobs_few + 5
 
 
-def test_the_whole(spark, corpus, tmp_path):
+def test_the_whole(spark, corpus, tmp_path, monkeypatch):
+    """And the tables that the stages made on their way are removed, but for the stages' results and the last stage's."""
+    removed = []
+    monkeypatch.setattr(corpus_pipeline, "remove", lambda s, paths: (removed.extend(paths), scratch.remove(s, paths)))
     corpus.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{DATA}/labels.parquet").coalesce(1).write.parquet(f"{tmp_path}/labels.parquet")
-    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    with scratch.scope() as left:
+        got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len(removed) > 20 and len(left) < 8 and not set(removed) & set(left)
     model = language_id.fit(corpus, queries.tokenizer_path("byte_bpe_multi_50k.tiktoken"))
     rows = plain_pii(plain_dedup(plain_language(plain(corpus.collect()), model)), queries.pseudonym_key(spark))
     mixed = STAGES["mixing"](spark, spark.createDataFrame(rows, DOCUMENT), str(tmp_path))
     same([(r.doc_id, r.lang, r.source, r.decoded_sha256) for r in got], [(r.doc_id, r.lang, r.source, hashlib.sha256(r.text.encode()).hexdigest()) for r in mixed.collect()])
     assert len(got) > 100
-
-
-def test_scratch_tables_of_a_run_go(spark, tmp_path, monkeypatch):
-    made, removed = [], []
-    monkeypatch.setattr(scratch, "remove", lambda s, paths, was=scratch.remove: (removed.extend(paths), was(s, paths)))
-    monkeypatch.setattr(corpus_pipeline, "remove", scratch.remove)
-    with scratch.scope() as made:
-        assert corpus_pipeline.run(spark, DATA).count() > 0
-    assert len(removed) > 20 and len(made) < 8
