@@ -24,6 +24,8 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
+from .common import trimmed
+
 #: Characters of a text that are encoded at once, about.
 AT_ONCE = 50_000
 BOUNDARY = re.compile(r"(?<=[0-9A-Za-z])(?=[ \n])|(?<=[ \n])(?=[ \n][0-9A-Za-z])")
@@ -71,7 +73,7 @@ def encode(text: str | None, path: str, pattern: str) -> list[int]:
 def _round_trip(path: str, pattern: str, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoding(path, pattern)
-        for batch in batches:
+        for batch in trimmed(batches):
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 rows: list[tuple] = []

@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rows import fresh, heavy_keys, spread_join
 from ..sources.scratch import materialize
 
-__all__ = ["connected_components", "fresh", "hash_share", "heavy_keys", "materialize", "shuffle_partitions", "spread_join"]
+__all__ = ["connected_components", "fresh", "hash_share", "heavy_keys", "materialize", "shuffle_partitions", "spread_join", "trimmed"]
+
+
+_malloc_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def trimmed(batches: Iterator) -> Iterator:
+    """The batches; between them, what a worker has freed goes back to the system, as workers live on for other tasks."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+        if _malloc_trim is not None:
+            _malloc_trim(0)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

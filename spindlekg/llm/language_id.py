@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hash_share, materialize
+from .common import hash_share, materialize, trimmed
 
 UNKNOWN = "und"
 #: Words up to this many bytes are summed as they are, words of one length together; longer ones one by one.
@@ -39,7 +39,7 @@ SHORT_WORD = 24
 #: Training words of more bytes count as runs of at most so many, cut between characters. Scoring takes words whole.
 TRAINED_RUN = 96
 #: Words whose scores a worker holds, and the bytes that these scores take at most, whatever the number of labels.
-CACHED_WORDS, CACHED_BYTES = 100_000, 16 << 20
+CACHED_WORDS, CACHED_BYTES = 200_000, 16 << 20
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -202,7 +202,7 @@ def _words(text: str) -> list[str]:
 
 
 def _training_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in trimmed(batches):
         counts: Counter = Counter()
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             counts.update((label, w) for w in _words(text or ""))
@@ -237,7 +237,7 @@ def fit(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
         def count(batches: Iterator[pd.DataFrame], current: np.ndarray = current) -> Iterator[pd.DataFrame]:
             local = pieces(vocabulary)
             total: dict[str, np.ndarray] = {}
-            for batch in batches:
+            for batch in trimmed(batches):
                 for label, some in batch.groupby("label"):
                     if label in labels:
                         add = expected_counts([(" " + w).encode() for w in some["word"]], some["n"].to_numpy(float), current[:, labels.index(label)], local)
@@ -305,7 +305,7 @@ def _predictor(model: LanguageModel):
             best = int(total.argmax())
             return model.labels[best], 1.0 / sum(math.exp(min(0.0, x)) for x in total - total[best])
 
-        for batch in batches:
+        for batch in trimmed(batches):
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 words = [_words(t or "") for t in part.column("__text").to_pylist()]

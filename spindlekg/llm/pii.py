@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import trimmed
+
 ROUNDS = 8
 FIRST_DAY, DAYS = datetime.date(1900, 1, 1).toordinal(), 73_049
 
@@ -297,7 +299,7 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text", found_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Pseudonyms(key)
-        for batch in batches:
+        for batch in trimmed(batches):
             at = batch.schema.get_field_index("__text")
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)

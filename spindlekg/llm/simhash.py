@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import connected_components, fresh, heavy_keys, materialize, shuffle_partitions, spread_join
+from .common import connected_components, fresh, heavy_keys, materialize, shuffle_partitions, spread_join, trimmed
 
 SEED = 42
 #: A tile holds this many fingerprints at least (but for small inputs) and at most; there are TILES at least.
@@ -68,7 +68,7 @@ def _fingerprint(words: list[bytes], size: int) -> int:
 
 def _fingerprints(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in trimmed(batches):
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 found = np.array([fingerprint(t, size) for t in part.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
@@ -163,7 +163,7 @@ def tile_links(left: np.ndarray, right: np.ndarray | None, radius: int) -> list[
 
 def _compare(radius: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in trimmed(batches):
             for tiles in batch["tiles"]:
                 sides: dict[int, list[np.ndarray]] = {}
                 for t in tiles:
@@ -178,7 +178,7 @@ def _compare(radius: int):
 
 
 def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
+    for batch in trimmed(batches):
         for tile, some in batch.groupby("tile", sort=False):
             yield pd.DataFrame({"tile": [tile], "packed": [some["fp"].to_numpy(np.int64).tobytes()]})
 
@@ -282,7 +282,7 @@ SAMPLED, COMMON_LEAST, COMMON_MOST = 16, 3, 200_000
 
 def _every_set(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in trimmed(batches):
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 sets = [shingle_set((t or "").encode().lower().split(), size).view(np.int64) for t in part.column(1).to_pylist()]
@@ -317,7 +317,7 @@ def _shapes(size: int, verify_size: int, similarity: float, common: tuple[np.nda
     """Columns node, none, id, text to node, none, id, fp, n (the size of the set), parity and head (its prefix)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in trimmed(batches):
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 prints, sizes, parities, heads = [], [], [], []
