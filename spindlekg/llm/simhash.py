@@ -384,15 +384,21 @@ def _mixed(posts: DataFrame, roots: DataFrame) -> DataFrame:
     return materialize(placed.join(spread, "h", "left_semi"))
 
 
-def _apart(mixed: DataFrame, similarity: float, leaders: bool) -> DataFrame:
+#: Rounds in which sets meet only one set of each shingle, another one each time.
+LEADER_ROUNDS = 3
+
+
+def _apart(mixed: DataFrame, similarity: float, leaders: int | None) -> DataFrame:
     """Pairs (a < b) of keys under different roots that share a shingle of their prefixes, less those of which the sizes
-    and the places of that shingle rule out the similarity; with leaders, only pairs with a shingle's first set.
+    and the places of that shingle rule out the similarity; with leaders, only pairs with one set of each shingle: the
+    first by root and key in round 0, else the first by a hash of the key and the round.
 
     The first shingle that two similar sets share stands among the first n - ceil(2t / (1 + t) n) + 1 of the smaller one.
     """
     every = mixed.select("h", F.col("key").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"), F.col("root").alias("ra"))
-    if leaders:
-        first = mixed.groupBy("h").agg(F.min(F.struct("root", "key", "n", "at")).alias("f"))
+    if leaders is not None:
+        order = F.col("root") if leaders == 0 else F.xxhash64("key", F.lit(leaders))
+        first = mixed.groupBy("h").agg(F.min(F.struct(order.alias("order"), "root", "key", "n", "at")).alias("f"))
         other = first.select(F.col("h").alias("g"), F.col("f.key").alias("b"), F.col("f.n").alias("nb"), F.col("f.at").alias("ib"), F.col("f.root").alias("rb"))
         order = F.lit(True)
     else:
@@ -408,13 +414,13 @@ def _apart(mixed: DataFrame, similarity: float, leaders: bool) -> DataFrame:
 
 def join_the_rest(nodes: DataFrame, texts: DataFrame, edges: DataFrame, verify_size: int, similarity: float) -> DataFrame:
     """node (a key), root of the components of edges (a, b) and of every other pair of nodes whose sets have at least this
-    Jaccard similarity. Pairs within a component are not made: first each shingle's first set is compared with the
-    others, then, when what that finds has been joined, all that are still apart."""
+    Jaccard similarity. Pairs within a component are not made: for some rounds one set of each shingle is compared
+    with the others and what that finds is joined, then all that are still apart are compared."""
     posts = nodes.select("key", "n", F.posexplode("head").alias("at", "h"))
     often = posts.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h")
     posts = materialize(posts.join(often, "h", "left_semi").select("h", "key", "n", "at"))
     roots = connected_components(edges)
-    for leaders in (True, False):
+    for leaders in (*range(LEADER_ROUNDS), None):
         posts = _mixed(posts.select("h", "key", "n", "at"), roots)
         found = _alike(_apart(posts, similarity, leaders), nodes, texts, verify_size, similarity)
         if not found.isEmpty():
