@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, ctph, html_extract, language_id, media, mixing, pii, simhash, url_filter
+from . import bpe, chat_format, ctph, divergence, html_extract, language_id, media, mixing, packing, pii, repair, simhash, url_filter
 from .common import materialize
 
 #: The session setting with the key of the pseudonyms, and what is taken where it is unset, as in tests.
@@ -104,10 +104,26 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = dealt(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+    return divergence.audit(docs, F.col("text"), F.col("lang"), F.col("source"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    pieces = packing.pack(docs, F.col("doc_id"), F.col("text"), tokenizer_path("byte_bpe_50k.json"), splitting_pattern())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.audited(rows, repair.damage(rows))
+
+
 def queries() -> dict[str, Query]:
-    found = (op1_language_id, op2_url_filter, op3_chat_format, op4_html_extract, op5_pii, op6_byte_bpe, op7_mixing, op8_simhash_dedup, op9_ctph, op10_media_columns)
+    found = (op1_language_id, op2_url_filter, op3_chat_format, op4_html_extract, op5_pii, op6_byte_bpe, op7_mixing, op8_simhash_dedup, op9_ctph, op10_media_columns, op11_source_divergence, op12_packing, op13_conversation_repair)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": url_filter.oracle(), "op3_chat_format": chat_format.oracle()}
+    return {"op2_url_filter": url_filter.oracle(), "op3_chat_format": chat_format.oracle(), "op11_source_divergence": divergence.oracle()}
