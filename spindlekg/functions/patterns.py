@@ -9,7 +9,8 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class PropertyRule:
-    """`alias, up to ten characters that are no digit, number, unit`, whatever the case."""
+    """`alias, up to ten characters that are no digit, number, unit`, whatever the case. Aliases and unit are patterns
+    without anchors and without looking ahead or behind, so that a phrase found in a text is found in itself alike."""
 
     name: str
     aliases: tuple[str, ...]
@@ -24,7 +25,10 @@ class PropertyRule:
 
 @dataclass(frozen=True)
 class TreatmentRule:
+    """A pattern, and texts of which each match holds one (none: not known)."""
+
     pattern: str
+    literals: tuple[str, ...] = ()
 
 
 # Aliases, units and treatment words that results must agree on.
@@ -36,10 +40,10 @@ PROPERTIES = (
 )
 TOUGHNESS = PropertyRule("断裂韧性", ("断裂韧性", "fracture toughness", "KIC"), "MPa·m^0.5", r"MPa·m\^?0\.?5")
 RELATION_PROPERTIES = (*PROPERTIES, TOUGHNESS)
-HEAT_STAGE = TreatmentRule(r"(?iU)(T\d+|双级|单级)\s*(热处理|时效)")
-HEAT_STAGE_STRICT = TreatmentRule(r"(?iU)(T6|T4|双级|单级)\s*(热处理|时效)")
-HEAT_STEP = TreatmentRule(r"(?iU)(固溶|时效|退火|淬火|回火)\s*处理")
-HEAT_CONDITION = TreatmentRule(r"(?iU)(\d+℃)[^\d]{0,5}(\d+[小时h])")
+HEAT_STAGE = TreatmentRule(r"(?iU)(T\d+|双级|单级)\s*(热处理|时效)", ("热处理", "时效"))
+HEAT_STAGE_STRICT = TreatmentRule(r"(?iU)(T6|T4|双级|单级)\s*(热处理|时效)", ("热处理", "时效"))
+HEAT_STEP = TreatmentRule(r"(?iU)(固溶|时效|退火|淬火|回火)\s*处理", ("处理",))
+HEAT_CONDITION = TreatmentRule(r"(?iU)(\d+℃)[^\d]{0,5}(\d+[小时h])", ("℃",))
 TREATMENTS = (HEAT_STAGE, HEAT_STEP, HEAT_CONDITION)
 RELATION_TREATMENTS = (HEAT_STAGE_STRICT, HEAT_STEP, HEAT_CONDITION)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -54,3 +54,18 @@ def spread_join(many: DataFrame, few: DataFrame, key: str, heavy: DataFrame | No
     dealt = many.join(F.broadcast(heavy), key, "left").withColumn(part, place).drop(parts)
     sent = few.join(F.broadcast(heavy), key, "left").withColumn(part, F.explode(F.sequence(F.lit(0), F.coalesce(parts, F.lit(1)) - 1))).drop(parts)
     return dealt.join(sent, [key, part], how).drop(part)
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], stretch: str, order: Sequence[str], value: Column, name: str) -> DataFrame:
+    """df with `name`: the sum of value over the rows of the keys so far, in the order of stretch and then of `order`.
+
+    Sums run within each stretch, and what stretches add up to runs over them, so rows of one key are sorted in as many
+    tasks as it has stretches, and only a row per stretch meets in one. Null keys are keys like others."""
+    place, before = fresh(df, "__place", "__before")
+    inner = Window.partitionBy(place).orderBy(*order)
+    # a struct is never null, so the join below keeps null keys, and its partitioning is the window's
+    within = df.withColumn(place, F.struct(*quoted(*keys, stretch))).withColumn(name, F.sum(value).over(inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    ends = within.groupBy(place).agg(F.sum(value).alias(before))
+    earlier = Window.partitionBy(*[F.col(f"{place}.`{k}`") for k in keys]).orderBy(F.col(f"{place}.`{stretch}`"))
+    offsets = ends.select(place, F.coalesce(F.sum(before).over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(before))
+    return within.join(offsets, place).withColumn(name, F.col(name) + F.col(before)).drop(place, before)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -35,6 +35,11 @@ def ordered_join(items: Column, separator: str) -> Column:
     return F.array_join(F.transform(F.array_sort(items), lambda x: x[1]), separator)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once, however often body names it within functions of arrays."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def lookup(mapping: dict[str, str], key: Column) -> Column:
     """The key's value, else the key itself."""
     if not mapping:

@@ -2,34 +2,54 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.patterns import SECTION_HEADINGS
-from ..functions.text import nonblank_parts, utrim
+from ..functions.text import let, nonblank_parts, utrim
 
-STATE = "struct<chunks: array<string>, held: array<string>, size: int>"
+#: Parts that are folded at a time, so that the list of starts is copied once for so many.
+FOLDED = 256
+STATE = "struct<starts: array<int>, size: long, open: boolean>"
 
 
-def pack_fixed(parts: Column, max_size: int, min_size: int, separator: str) -> Column:
-    """Greedy packing of an array of parts: flush before a part that would pass max_size, and on reaching min_size."""
+def chunk_starts(lengths: Column, max_size: int, min_size: int | None = None, gap: int = 0) -> Column:
+    """Where chunks start in an array of the parts' lengths: a part joins the chunk before it while both are no longer
+    than max_size, and a chunk of min_size or more takes no further part. gap: what a joint adds to a chunk's size.
+
+    A fold over numbers alone, in two levels, of which the outer one adds the starts of FOLDED parts at once.
+    """
+    none = F.array().cast("array<int>")
+
+    def add(state: Column, place: Column, length: Column) -> Column:
+        joins = state["open"] & (state["size"] + length <= max_size)
+        size = F.when(joins, state["size"] + length + gap).otherwise(length.cast("long"))
+        starts = F.when(joins, state["starts"]).otherwise(F.concat(state["starts"], F.array(place)))
+        return F.struct(starts.alias("starts"), size.alias("size"), (F.lit(True) if min_size is None else size < min_size).alias("open")).cast(STATE)
+
+    def add_block(state: Column, block: Column, all_lengths: Column) -> Column:
+        base = block * FOLDED
+        part = F.transform(F.slice(all_lengths, base + 1, FOLDED), lambda n, i: F.struct((base + i).alias("place"), n.alias("n")))
+        start = F.struct(none.alias("starts"), state["size"].alias("size"), state["open"].alias("open")).cast(STATE)
+        inner = F.aggregate(part, start, lambda s, x: add(s, x["place"], x["n"]))
+        return let(inner, lambda found: F.struct(F.concat(state["starts"], found["starts"]).alias("starts"), found["size"].alias("size"), found["open"].alias("open")).cast(STATE))
+
+    first = F.struct(none.alias("starts"), F.lit(0).cast("long").alias("size"), F.lit(False).alias("open")).cast(STATE)
+    blocks = lambda n: F.sequence(F.lit(0), F.floor((F.size(n) - 1) / FOLDED).cast("int"))
+    return let(lengths, lambda n: F.when(F.size(n) > 0, F.aggregate(blocks(n), first, lambda s, b: add_block(s, b, n), lambda s: s["starts"])).otherwise(none))
 
-    def add(state: Column, part: Column) -> Column:
-        full = (state["size"] + F.length(part) > max_size) & (F.size(state["held"]) > 0)
-        chunks = F.when(full, F.concat(state["chunks"], F.array(F.array_join(state["held"], separator)))).otherwise(state["chunks"])
-        held = F.concat(F.when(full, F.array().cast("array<string>")).otherwise(state["held"]), F.array(part))
-        size = F.when(full, F.lit(0)).otherwise(state["size"]) + F.length(part)
-        done = size >= min_size
-        return F.struct(
-            F.when(done, F.concat(chunks, F.array(F.array_join(held, separator)))).otherwise(chunks).alias("chunks"),
-            F.when(done, F.array().cast("array<string>")).otherwise(held).alias("held"),
-            F.when(done, F.lit(0)).otherwise(size).alias("size"),
-        )
 
-    start = F.struct(F.array().cast("array<string>").alias("chunks"), F.array().cast("array<string>").alias("held"), F.lit(0).alias("size"))
-    return F.aggregate(parts, start.cast(STATE), add, lambda s: F.when(F.size(s["held"]) > 0, F.concat(s["chunks"], F.array(F.array_join(s["held"], separator)))).otherwise(s["chunks"]))
+def _cut(parts: Column, starts: Callable[[Column], Column], separator: str) -> Column:
+    """The chunks of an array of parts, each one slice of it; starts is given the parts' lengths."""
+    chunk = lambda p, s: F.transform(s, lambda at, i: F.array_join(F.slice(p, at + 1, F.coalesce(F.get(s, i + 1), F.size(p)) - at), separator))
+    return let(parts, lambda p: let(starts(F.transform(p, lambda x: F.length(x))), lambda s: chunk(p, s)))
+
+
+def pack_fixed(parts: Column, max_size: int, min_size: int, separator: str) -> Column:
+    """Greedy packing of an array of parts: flush before a part that would pass max_size, and on reaching min_size."""
+    return _cut(parts, lambda n: chunk_starts(n, max_size, min_size), separator)
 
 
 def _exploded(df: DataFrame, chunks: Column, title: Column | None = None) -> DataFrame:
@@ -46,13 +66,7 @@ def chunk_fixed(df: DataFrame, text_col: str = "text", max_size: int = 2000, min
 
 def _pack_paragraphs(parts: Column, max_size: int) -> Column:
     """Paragraphs joined while the text so far and the next stay within max_size."""
-
-    def add(out: Column, part: Column) -> Column:
-        last = F.try_element_at(out, F.lit(-1))
-        joins = F.length(last) + F.length(part) <= max_size
-        return F.when((F.size(out) > 0) & joins, F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.concat(last, F.lit("\n\n"), part)))).otherwise(F.concat(out, F.array(part)))
-
-    return F.aggregate(parts, F.array().cast("array<string>"), add)
+    return _cut(parts, lambda n: chunk_starts(n, max_size, gap=2), "\n\n")
 
 
 def split_sections(df: DataFrame, text_col: str = "text", headings: Sequence[str] = SECTION_HEADINGS, max_size: int = 2000, min_size: int = 500) -> DataFrame:

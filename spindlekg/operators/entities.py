@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.patterns import PROPERTIES, TREATMENTS, PropertyRule, TreatmentRule
-from ..functions.rows import first_by, fresh
+from ..functions.rows import first_by, fresh, heavy_keys
 from ..functions.text import canonical_map, collapse_spaces, is_json, utrim
+from ..sources.responses import ResponseStore
+from ..sources.scratch import bucketed, materialize
 
 ENTITY = "struct<text: string, type: string, attributes: map<string, string>>"
 
@@ -32,12 +36,8 @@ def build_ner_prompts(chunks: DataFrame, template: str, empty: str = "无内容"
     return chunks.withColumn("prompt", fill_template(template, {"text_segment": F.when(text == "", empty).otherwise(text)}, heading))
 
 
-def complete(prompts: DataFrame, answer: Callable[[list[str]], list[str]], prompt_col: str = "prompt", batch: int = 64) -> DataFrame:
-    """prompts with `response`, and `error` where there is none: the caller's batch function over the different prompts.
-
-    A batch that raises, or that returns another number of answers than it got prompts, is asked again prompt by prompt;
-    a prompt that fails alone, or whose answer is null, has the response "[]" and an error that says why.
-    """
+def _asking(answer: Callable[[list[str]], list[str]], batch: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The caller's function over rows (digest, prompt), in batches; see complete."""
 
     def one(prompt: str) -> tuple[str, str | None]:
         try:
@@ -58,15 +58,53 @@ def complete(prompts: DataFrame, answer: Callable[[list[str]], list[str]], promp
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             for start in range(0, len(rows), batch):
-                part = rows.iloc[start : start + batch, 0].tolist()
-                found = several(part)
-                yield pd.DataFrame({"prompt": part, "response": [x for x, _ in found], "error": [e for _, e in found]}, dtype=object)
+                part = rows.iloc[start : start + batch]
+                found = several(part["prompt"].tolist())
+                yield pd.DataFrame({"digest": part["digest"].tolist(), "response": [x for x, _ in found], "error": [e for _, e in found]}, dtype=object)
+
+    return run
+
+
+def complete(prompts: DataFrame, answer: Callable[[list[str]], list[str]], prompt_col: str = "prompt", batch: int = 64, store: ResponseStore | None = None, per_write: int = 100_000) -> DataFrame:
+    """prompts with `response`, and `error` where there is none: the caller's batch function over the different prompts.
 
-    asked = prompts.select(F.col(f"`{prompt_col}`").alias("prompt")).where("prompt is not null").distinct()
-    answers = asked.mapInPandas(run, "prompt string, response string, error string").withColumnRenamed("prompt", prompt_col)
-    found = prompts.drop("response", "error").join(answers, prompt_col, "left")
-    unasked = F.when(F.col(f"`{prompt_col}`").isNull(), F.lit("no prompt"))
-    return found.withColumn("response", F.coalesce("response", F.lit("[]"))).withColumn("error", F.coalesce("error", unasked))
+    A batch that raises, or that returns another number of answers than it got prompts, is asked again prompt by prompt;
+    a prompt that fails alone, or whose answer is null, has the response "[]" and an error that says why.
+
+    Answers go into the store, which is asked first: a prompt that any run had answered is not asked again, one that
+    failed is, once a run. Different prompts are asked and written about `per_write` at a time, so that a run that dies
+    loses one write's answers at most; what is asked is asked here, and the result only reads. Without a store, one in
+    the scratch folder serves this run.
+
+    Digests are counted first. Prompts are shuffled once, by digest, into buckets, in which they are made different and
+    meet their answers; prompts that have over 1/256 of all rows are not shuffled, as their answers are few.
+    """
+    store = store or ResponseStore(prompts.sparkSession)
+    (key,) = fresh(prompts, "__digest")
+    rows = prompts.drop("response", "error").withColumn(key, F.sha2(F.col(f"`{prompt_col}`").cast("binary"), 256))
+    some, none = rows.where(F.col(key).isNotNull()), rows.where(F.col(key).isNull())
+    counts = materialize(some.groupBy(key).agg(F.count("*").alias("weight")))
+    heavy = heavy_keys(counts, key, "weight")
+    held = bucketed(some if heavy is None else some.join(F.broadcast(heavy.select(key)), key, "left_anti"), key)
+    hot = None if heavy is None else materialize(some.join(F.broadcast(heavy.select(key)), key, "left_semi"))
+
+    each = lambda df: df.groupBy(F.col(key).alias("digest")).agg(F.first(f"`{prompt_col}`").alias("prompt"))
+    different = each(held) if hot is None else each(held).union(each(hot))
+    known = store.read().where("error is null").select("digest")
+    todo = materialize(different.join(known, "digest", "left_anti"))
+    n, files = todo.count(), todo.inputFiles()
+    step = max(1, len(files) * per_write // max(1, n))
+    for start in range(0, len(files) if n else 0, step):
+        part = todo.sparkSession.read.schema(todo.schema).parquet(*files[start : start + step])
+        store.append(part.mapInPandas(_asking(answer, batch), "digest string, response string, error string"))
+
+    answers = store.read().withColumnRenamed("digest", key)
+    found = held.join(answers, key, "left")
+    if hot is not None:
+        few = answers.join(F.broadcast(heavy.select(key)), key, "left_semi")  # under 256 rows
+        found = found.unionByName(hot.join(F.broadcast(few), key, "left"))
+    unasked = none.withColumn("response", F.lit("[]")).withColumn("error", F.lit("no prompt"))
+    return found.unionByName(unasked).drop(key)
 
 
 def strip_fences(text: Column) -> Column:
@@ -118,26 +156,28 @@ def parse_ner_responses(answers: DataFrame, response_col: str = "response") -> D
     return rows.withColumn("text", F.col("e.text")).withColumn("type", F.col("e.type")).withColumn("attributes", F.coalesce("e.attributes", F.create_map().cast("map<string, string>"))).drop("e")
 
 
-def _hits(text: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-
-
 def property_hits(text: Column, rules: Sequence[PropertyRule]) -> Column:
-    """An array of (rule, name, phrase, value, unit) structs, a row's hits rule by rule. One scan per rule and group."""
-    made = []
-    for i, rule in enumerate(rules):
-        pairs = F.arrays_zip(_hits(text, rule.pattern, 0).alias("phrase"), _hits(text, rule.pattern, 2).alias("value"))
-        made.append(_tagged(pairs, i, rule))
-    return F.concat(*made)
+    """An array of (rule, name, phrase, value, unit) structs, a row's hits rule by rule. Texts without any alias are not
+    looked at; others are gone through once a rule, and values are read from the phrases found."""
+    named = text.rlike(f"(?iU)(?:{'|'.join(alias for rule in rules for alias in rule.aliases)})")
+    hits = F.concat(*[F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), _tagged(i, rule)) for i, rule in enumerate(rules)])
+    return F.when(named, hits)
 
 
-def _tagged(pairs: Column, i: int, rule: PropertyRule) -> Column:
-    return F.transform(pairs, lambda h: F.struct(F.lit(i).alias("rule"), F.lit(rule.name).alias("name"), h["phrase"].alias("phrase"), h["value"].alias("value"), F.lit(rule.unit).alias("unit")))
+def _tagged(i: int, rule: PropertyRule) -> Callable[[Column], Column]:
+    value = lambda phrase: F.regexp_extract(phrase, rule.pattern, 2)
+    return lambda phrase: F.struct(F.lit(i).alias("rule"), F.lit(rule.name).alias("name"), phrase.alias("phrase"), value(phrase).alias("value"), F.lit(rule.unit).alias("unit"))
 
 
 def treatment_hits(text: Column, rules: Sequence[TreatmentRule]) -> Column:
-    """An array of phrases, rule by rule."""
-    return F.concat(*[_hits(text, r.pattern, 0) for r in rules])
+    """An array of phrases, rule by rule; a rule is only looked for in texts that hold one of its literals."""
+
+    def found(rule: TreatmentRule) -> Column:
+        hits = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
+        held = reduce(or_, [F.contains(text, F.lit(literal)) for literal in rule.literals]) if rule.literals else F.lit(True)
+        return F.when(held, hits).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(*[found(r) for r in rules])
 
 
 KEYS = ("doc_id", "para_no", "chunk_no")

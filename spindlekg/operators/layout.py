@@ -1,21 +1,41 @@
-"""Page layout to paragraphs: ordered folds over spans, blocks and paragraphs, each within one block or paragraph."""
+"""Page layout to paragraphs: spans to blocks, blocks in reading order by page, blocks to paragraphs."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import collapse_spaces, is_blank, utrim
+from ..functions.rows import fresh, running_sum
+from ..functions.text import collapse_spaces, is_blank, let, utrim
 
 
-def _join_lines(lines: Column) -> Column:
-    """Lines (structs of order and text) as one text: a hyphen at the end so far goes and the line follows directly."""
+def _joined(parts: Column, only_before_lower: bool) -> Column:
+    """An array of texts as one. A hyphen at the end of a part goes, with white space before it, and the next part follows
+    directly: always, or only where that starts with a lower-case letter. Between others there is a space.
 
-    def add(text: Column, line: Column) -> Column:
-        hyphen = F.concat(F.regexp_replace(text, r"(?U)\s*-$", ""), F.regexp_replace(line["text"], r"(?U)^\s+", ""))
-        return F.when(text == "", line["text"]).when(text.endswith("-"), hyphen).otherwise(F.concat(text, F.lit(" "), line["text"]))
+    What becomes of a part depends on its neighbours alone, so no text grows step by step. A part that is only a hyphen,
+    and goes, takes the space before it along. A blank part is a space; it keeps the parts around it apart.
+    """
+    blank = lambda p: p.rlike(r"(?U)^\s*$")
+    marked = lambda ps: F.filter(F.transform(ps, lambda p, i: F.struct(p.alias("text"), (F.coalesce(blank(F.get(ps, i - 1)), F.lit(False))).alias("apart"))), lambda p: ~blank(p["text"]))
+
+    def joins(q: Column, i: Column) -> Column:
+        """Whether part i follows the one before it directly."""
+        here, before = F.get(q, i), F.get(q, i - 1)
+        after_hyphen = before["text"].endswith("-") & ~here["apart"]
+        return F.coalesce(after_hyphen & here["text"].rlike(r"^\p{Ll}") if only_before_lower else after_hyphen, F.lit(False))
+
+    def vanishes(q: Column, i: Column) -> Column:
+        """Whether part i is a hyphen that goes, and that no hyphen before it has joined already."""
+        return joins(q, i + 1) & ~joins(q, i) & F.coalesce(F.get(q, i)["text"].rlike(r"(?U)^\s*-$"), F.lit(False))
 
-    return F.aggregate(lines, F.lit(""), add)
+    def piece(q: Column, x: Column, i: Column) -> Column:
+        text = x["text"] if only_before_lower else F.when(joins(q, i), F.regexp_replace(x["text"], r"(?U)^\s+", "")).otherwise(x["text"])
+        text = F.when(joins(q, i + 1), F.regexp_replace(text, r"(?U)\s*-$", "")).otherwise(text)
+        text = F.when(vanishes(q, i + 1), F.regexp_replace(text, r"(?U)\s+$", "")).otherwise(text)
+        return F.concat(F.when((i == 0) | joins(q, i) | vanishes(q, i), F.lit("")).otherwise(F.lit(" ")), text)
+
+    return F.coalesce(let(parts, lambda ps: let(marked(ps), lambda q: F.array_join(F.transform(q, lambda x, i: piece(q, x, i)), ""))), F.lit(""))
 
 
 def assemble_blocks(spans: DataFrame) -> DataFrame:
@@ -32,14 +52,15 @@ def assemble_blocks(spans: DataFrame) -> DataFrame:
     lines = spans.groupBy("doc_id", "page", "block_no", "line_no").agg(line_text.alias("text"), *held).where(~is_blank(F.col("text")))
     again = [f(c).alias(c) for c, f in bounds.items() if c in spans.columns]
     blocks = lines.groupBy("doc_id", "page", "block_no").agg(F.array_sort(F.collect_list(F.struct("line_no", "text"))).alias("lines"), *again)
-    return blocks.withColumn("text", utrim(_join_lines(F.col("lines")))).drop("lines").where("text <> ''")
+    return blocks.withColumn("text", utrim(_joined(F.transform("lines", lambda x: x["text"]), False))).drop("lines").where("text <> ''")
 
 
 def order_blocks(blocks: DataFrame) -> DataFrame:
-    """Blocks that are complete, with `reading_order` from 1: page, then top, then block number."""
+    """Blocks that are complete, with `reading_order` from 1: page, then top, then block number. Blocks are sorted within
+    pages; of a document only the pages' counts meet."""
     whole = blocks.where(F.col("page").isNotNull() & F.col("y0").isNotNull() & F.col("y1").isNotNull() & F.col("page_height").isNotNull() & ~is_blank(F.col("text")))
-    order = Window.partitionBy("doc_id").orderBy("page", "y0", "block_no")
-    return whole.withColumn("text", utrim("text")).withColumn("reading_order", F.row_number().over(order))
+    counted = running_sum(whole.withColumn("text", utrim("text")), ["doc_id"], "page", ["y0", "block_no"], F.lit(1), "reading_order")
+    return counted.withColumn("reading_order", F.col("reading_order").cast("int"))
 
 
 def drop_header_footer(blocks: DataFrame, ratio: float = 0.05) -> DataFrame:
@@ -48,11 +69,12 @@ def drop_header_footer(blocks: DataFrame, ratio: float = 0.05) -> DataFrame:
 
 
 def mark_paragraphs(blocks: DataFrame, gap_ratio: float = 0.01) -> DataFrame:
-    """Ordered blocks with `para_no` from 1: a paragraph starts on a new page or after a gap of over gap_ratio pages."""
-    order = Window.partitionBy("doc_id").orderBy("reading_order")
-    starts = F.lag("page").over(order).isNull() | (F.col("page") != F.lag("page").over(order)) | (F.col("y0") - F.lag("y1").over(order) > F.col("page_height") * gap_ratio)
-    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return blocks.withColumn("__starts", starts.cast("int")).withColumn("para_no", F.sum("__starts").over(running)).drop("__starts")
+    """Ordered blocks with `para_no` from 1: a paragraph starts on a new page or after a gap of over gap_ratio pages. As a
+    page starts one, what was before matters within pages only, and of a document only the pages' counts meet."""
+    (starts,) = fresh(blocks, "__starts")
+    bottom = F.lag("y1").over(Window.partitionBy("doc_id", "page").orderBy("reading_order"))
+    marked = blocks.withColumn(starts, F.coalesce(F.col("y0") - bottom > F.col("page_height") * gap_ratio, F.lit(True)).cast("int"))
+    return running_sum(marked, ["doc_id"], "page", ["reading_order"], F.col(starts), "para_no").drop(starts)
 
 
 def merge_paragraphs(blocks: DataFrame) -> DataFrame:
@@ -60,14 +82,10 @@ def merge_paragraphs(blocks: DataFrame) -> DataFrame:
 
     A hyphen at the end goes if the next block starts with a lower-case letter; white space is collapsed.
     """
-
-    def add(text: Column, block: Column) -> Column:
-        joins = text.endswith("-") & block["text"].rlike(r"^\p{Ll}")
-        return F.when(text == "", block["text"]).when(joins, F.concat(F.regexp_replace(text, r"(?U)\s*-$", ""), block["text"])).otherwise(F.concat(text, F.lit(" "), block["text"]))
-
     ordered = F.array_sort(F.collect_list(F.struct("reading_order", "text", "block_no", "y0")))
     merged = blocks.groupBy("doc_id", "para_no").agg(F.min("page").alias("page"), ordered.alias("b"))
-    return merged.select("doc_id", "para_no", "page", collapse_spaces(F.aggregate("b", F.lit(""), add)).alias("text"), F.transform("b", lambda x: x["block_no"]).alias("block_nos"), F.transform("b", lambda x: x["y0"]).alias("tops")).where("text <> ''")
+    text = collapse_spaces(_joined(F.transform("b", lambda x: F.coalesce(x["text"], F.lit(""))), True))
+    return merged.select("doc_id", "para_no", "page", text.alias("text"), F.transform("b", lambda x: x["block_no"]).alias("block_nos"), F.transform("b", lambda x: x["y0"]).alias("tops")).where("text <> ''")
 
 
 def paragraphs(blocks: DataFrame, margin: float = 0.05, gap_ratio: float = 0.01) -> DataFrame:

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.patterns import RELATION_PRIORITY, RELATION_PROPERTIES, RELATION_TREATMENTS, PropertyRule, TreatmentRule
-from ..functions.rows import first_by, fresh
+from ..functions.rows import first_by, fresh, heavy_keys, spread_join
 from ..functions.text import is_json, utrim
+from ..sources.scratch import materialize
 from .entities import dedup_records, fill_template, property_hits, strip_fences, treatment_hits
 
 CHUNK = ("doc_id", "para_no", "chunk_no")
@@ -111,14 +112,32 @@ def combine_relations(rule: DataFrame, model: DataFrame, scope: Sequence[str] =
     return dedup_records(every, scope, [c for c in ("rank", "chunk_no", "hit_no", "seq", "entity_seq") if c in every.columns])
 
 
-def fallback_cross_relations(entities: DataFrame, relations: DataFrame, from_type: str = "HeatTreatmentProcess", to_type: str = "MechanicalProperty", relation_type: str = "EXHIBITS_PROPERTY") -> DataFrame:
+#: A tile of a document's product has about so many texts on each side.
+TILE = 128
+
+
+def fallback_cross_relations(entities: DataFrame, relations: DataFrame, from_type: str = "HeatTreatmentProcess", to_type: str = "MechanicalProperty", relation_type: str = "EXHIBITS_PROPERTY", tile: int = TILE) -> DataFrame:
     """For documents with two entities or more and no relation: every different text of one type with every one of the
-    other. The pairing is an equi-join on the document, of texts made different first."""
-    several = entities.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    without = several.join(relations.select("doc_id").distinct(), "doc_id", "left_anti")
-    side = lambda kind, name: entities.where(F.col("type") == kind).join(without, "doc_id", "left_semi").select("doc_id", F.col("text").alias(name)).distinct()
-    pairs = side(from_type, "head_entity_text").join(side(to_type, "tail_entity_text"), "doc_id")
-    return pairs.withColumn("relation_type", F.lit(relation_type)).withColumn("attributes", F.create_map(F.lit("source"), F.lit("rule")))
+    other, from texts made different first.
+
+    The product of a document is cut into tiles, by hashes of its texts, and a tile is a key of the equi-join: each text
+    is sent once to each tile of the other side, one in `tile` of what the product has, and a document's pairs are made in
+    as many tasks as it has tiles.
+    """
+    of = lambda kind: F.count(F.when(F.col("type") == kind, 1))
+    docs = entities.groupBy("doc_id").agg(F.count("*").alias("n"), of(from_type).alias("n_from"), of(to_type).alias("n_to")).where("n > 1 AND n_from > 0 AND n_to > 0")
+    tiles = [F.ceil(F.col(c) / tile).cast("int").alias(name) for c, name in (("n_from", "rows"), ("n_to", "columns"))]
+    docs = materialize(docs.join(relations.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", *tiles, (F.col("n_from") + F.col("n_to")).alias("weight")))
+    heavy = heavy_keys(docs, "doc_id", "weight")
+
+    def side(kind: str, name: str, own: str, other: str) -> DataFrame:
+        texts = entities.where((F.col("type") == kind) & F.col("doc_id").isNotNull()).select("doc_id", F.col("text").alias(name)).distinct()
+        placed = spread_join(texts, docs.select("doc_id", "rows", "columns"), "doc_id", heavy)
+        number = {own: F.pmod(F.xxhash64(name), F.col(own)).cast("int").alias(f"{own}_at"), other: F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(f"{other}_at")}
+        return placed.select("doc_id", name, *number.values())
+
+    pairs = side(from_type, "head_entity_text", "rows", "columns").join(side(to_type, "tail_entity_text", "columns", "rows"), ["doc_id", "rows_at", "columns_at"])
+    return pairs.select("doc_id", "head_entity_text", "tail_entity_text", F.lit(relation_type).alias("relation_type"), F.create_map(F.lit("source"), F.lit("rule")).alias("attributes"))
 
 
 def resolve_multiple_relations(relations: DataFrame, strategy: str = "keep_all", priority: dict[str, int] | None = None, scope: Sequence[str] = ("doc_id",)) -> DataFrame:

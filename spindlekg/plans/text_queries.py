@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.patterns import PROPERTIES, RELATION_PROPERTIES, RELATION_TREATMENTS, TREATMENTS
 from ..functions.text import is_json, map_text
 from ..operators import chunking, entities, layout, relations
+from ..sources.responses import ResponseStore
 from ..sources.scratch import materialize
 from .catalog import query
 
@@ -140,6 +141,15 @@ def _(t):
     return entities.complete(prompts, lambda batch: [str(len(p)) for p in batch]).select("doc_id", "chunk_no", "response")
 
 
+@query("n2_response_store", "SELECT doc_id, chunk_no, CASE WHEN EXISTS (SELECT 1 FROM fx_chunks k WHERE k.doc_id % 2 = 0 AND k.chunk_text = c.chunk_text) THEN '' ELSE 'asked later: ' END || CAST(length(chunk_text) AS VARCHAR) AS response FROM fx_chunks c")
+def _(t):
+    """A second run with another model over all chunks: those that the first run asked keep their answers."""
+    store = ResponseStore(t.spark)
+    prompts = lambda where: t(f"SELECT doc_id, chunk_no, chunk_text AS prompt FROM fx_chunks WHERE {where}")
+    entities.complete(prompts("doc_id % 2 = 0"), lambda batch: [str(len(p)) for p in batch], store=store)
+    return entities.complete(prompts("true"), lambda batch: [f"asked later: {len(p)}" for p in batch], store=store).select("doc_id", "chunk_no", "response")
+
+
 @query("n3_parse_ner_responses", "SELECT doc_id, seq AS chunk_no, CAST(0 AS BIGINT) AS seq, concat('E', CAST(pk AS VARCHAR), 'x', CAST(sk % 8 AS VARCHAR)) AS text, 'MaterialAlloy' AS type, CASE WHEN sk % 6 = 4 THEN '' ELSE concat('value=', CAST(qty AS VARCHAR)) END AS attributes FROM fx_rows WHERE sk % 6 <> 5")
 def _(t):
     found = entities.parse_ner_responses(t("fx_responses")).withColumn("attributes", map_text(F.col("attributes")))

@@ -39,6 +39,19 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, *keys: str) -> DataFrame:
+    """Like materialize, as an external table bucketed and sorted by the keys, so that groupings and joins by them need
+    not shuffle it again. There are as many buckets as shuffle partitions; a key with a large share of all rows must have
+    been taken out before."""
+    spark = df.sparkSession
+    name = f"spindlekg_{uuid.uuid4().hex}"
+    path, n = f"{shared_dir(spark)}/spindlekg/{name}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    df.repartition(n, *keys).write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(n, *keys).sortBy(*keys).saveAsTable(name)
+    return spark.table(name)
+
+
 @contextmanager
 def scope() -> Iterator[list[str]]:
     """Within it, tables are noted in the list that it gives; remove them once what is made of them has been written."""
