@@ -56,6 +56,10 @@ def spread_join(many: DataFrame, few: DataFrame, key: str, heavy: DataFrame | No
     return dealt.join(sent, [key, part], how).drop(part)
 
 
+#: How many numbers of a sequence make a stretch, where nothing in the data does.
+STRETCH = 4096
+
+
 def running_sum(df: DataFrame, keys: Sequence[str], stretch: str, order: Sequence[str], value: Column, name: str) -> DataFrame:
     """df with `name`: the sum of value over the rows of the keys so far, in the order of stretch and then of `order`.
 
@@ -69,3 +73,15 @@ def running_sum(df: DataFrame, keys: Sequence[str], stretch: str, order: Sequenc
     earlier = Window.partitionBy(*[F.col(f"{place}.`{k}`") for k in keys]).orderBy(F.col(f"{place}.`{stretch}`"))
     offsets = ends.select(place, F.coalesce(F.sum(before).over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(before))
     return within.join(offsets, place).withColumn(name, F.col(name) + F.col(before)).drop(place, before)
+
+
+def before(df: DataFrame, keys: Sequence[str], stretch: str, order: Sequence[str], value: Column, name: str) -> DataFrame:
+    """df with `name`: the value of the row before in the order of stretch and then of `order`, null at a key's first row.
+    The first row of a stretch gets it from the last of the stretch before; see running_sum."""
+    place, last = fresh(df, "__place", "__last")
+    inner = Window.partitionBy(place).orderBy(*order)
+    within = df.withColumn(place, F.struct(*quoted(*keys, stretch))).withColumn(name, F.lag(F.struct(value.alias("v"))).over(inner))
+    ends = within.groupBy(place).agg(F.max_by(F.struct(value.alias("v")), F.struct(*order)).alias(last))
+    earlier = Window.partitionBy(*[F.col(f"{place}.`{k}`") for k in keys]).orderBy(F.col(f"{place}.`{stretch}`"))
+    carried = ends.select(place, F.lag(last).over(earlier).alias(last))
+    return within.join(carried, place).withColumn(name, F.coalesce(name, last)["v"]).drop(place, last)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.patterns import PROCESS_KEYWORDS, STAGE_KEYS
-from ..functions.rows import heavy_keys, spread_join
+from ..functions.rows import STRETCH, fresh, heavy_keys, running_sum, spread_join
 from ..functions.text import is_json, utrim
 from ..sources.scratch import materialize
 
@@ -82,11 +82,15 @@ def order_key(name: Column, step: Column | None, has_property: Column | None = N
 
 
 def infer_process_order(steps: DataFrame, keywords: Sequence[tuple[str, int]] = PROCESS_KEYWORDS) -> DataFrame:
-    """steps (doc_id, seq, name, and step or property if known) with order_key and position from 1, stable by seq."""
+    """steps (doc_id, seq, name, and step or property if known) with order_key and position from 1, stable by seq. Steps are
+    sorted by order key and stretch of STRETCH numbers, so a long document is in several tasks."""
     step = F.col("step") if "step" in steps.columns else None
     prop = F.coalesce(F.col("property") != "", F.lit(False)) if "property" in steps.columns else None
     keyed = steps.withColumn("order_key", order_key(F.col("name"), step, prop, keywords))
-    return keyed.withColumn("position", F.row_number().over(Window.partitionBy("doc_id").orderBy("order_key", "seq")))
+    (stretch,) = fresh(keyed, "__stretch")
+    keyed = keyed.withColumn(stretch, F.struct("order_key", F.floor(F.col("seq") / STRETCH).alias("part")))
+    placed = running_sum(keyed, ["doc_id"], stretch, ["order_key", "seq"], F.lit(1), "position").drop(stretch)
+    return placed.withColumn("position", F.col("position").cast("int"))
 
 
 def property_label(name: Column, value: Column) -> Column:
@@ -116,12 +120,13 @@ def chain_edges(composition: DataFrame, ordered_steps: DataFrame, properties: Da
         listed = listed.join(known.withColumnRenamed("node", end), ["doc_id", end], "left_semi")
     listed = listed.select("doc_id", "src", "dst", "relationship", "part", "seq")
     free = ordered_steps.join(given.select("doc_id").distinct(), "doc_id", "left_anti")
-    order = Window.partitionBy("doc_id").orderBy("position")
-    linked = free.withColumn("next", F.lead("name").over(order)).withColumn("n", F.count("*").over(Window.partitionBy("doc_id")))
+    # positions are without gaps, so the next step is an equi-join away, and the last one is that without a next
+    after = free.select("doc_id", (F.col("position") - 1).alias("position"), F.col("name").alias("next"), F.lit(True).alias("more"))
+    linked = free.join(after, ["doc_id", "position"], "left")
     first = linked.where("position = 1").join(composition.select("doc_id").distinct(), "doc_id", "left_semi")
     raw = first.select("doc_id", F.lit(COMPOSITION_NODE).alias("src"), F.col("name").alias("dst"), F.lit(RAW_MATERIAL).alias("relationship"), F.lit(1).alias("part"), F.lit(0).cast("long").alias("seq"))
-    flow = linked.where("position < n").select("doc_id", F.col("name").alias("src"), F.col("next").alias("dst"), F.lit(FLOW), F.lit(2), F.col("position").cast("long"))
-    ends = linked.where("position = n").select("doc_id", F.col("name").alias("src"))
+    flow = linked.where("more").select("doc_id", F.col("name").alias("src"), F.col("next").alias("dst"), F.lit(FLOW), F.lit(2), F.col("position").cast("long"))
+    ends = linked.where("more IS NULL").select("doc_id", F.col("name").alias("src"))
     effect = properties.select("doc_id", property_label(F.col("name"), F.col("value")).alias("dst"), F.col("seq").cast("long").alias("seq")).join(ends, "doc_id").select("doc_id", "src", "dst", F.lit(EFFECT), F.lit(3), "seq")
     every = listed.union(raw).union(flow).union(effect)
     last = every.groupBy("doc_id", "src", "dst").agg(F.max_by("relationship", F.struct("part", "seq")).alias("relationship"))

@@ -1,13 +1,14 @@
-"""Cutting texts into chunks: row-local folds, and windows for the similarity method."""
+"""Cutting texts into chunks: row-local folds, and likeness of neighbouring sentences by vectors or by words."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.patterns import SECTION_HEADINGS
+from ..functions.rows import STRETCH, before, running_sum
 from ..functions.text import let, nonblank_parts, utrim
 
 #: Parts that are folded at a time, so that the list of starts is copied once for so many.
@@ -109,24 +110,82 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when(size > 0, dot(a, b) / size).otherwise(0.0)
 
 
+def _joined_at_cuts(rows: DataFrame) -> DataFrame:
+    """Sentences (doc_id, seq, sentence, __stretch, __cut: 1 where a chunk starts) to doc_id, chunk_no from 0, chunk_text."""
+    numbered = running_sum(rows, ["doc_id"], "__stretch", ["seq"], F.col("__cut"), "chunk_no")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "sentence"))), lambda s: s["sentence"]), ". ")
+    return numbered.groupBy("doc_id", "chunk_no").agg(F.concat(text, F.lit(".")).alias("chunk_text"))
+
+
+def _with_limits(rows: DataFrame, limits: DataFrame) -> DataFrame:
+    """rows (doc_id, __stretch, ...) with the columns of limits, a row per document. Limits go to each stretch of their
+    document first, so the rows of a long one are not gathered."""
+    key = F.struct("doc_id").alias("__doc")
+    places = rows.select(F.struct("doc_id", "__stretch").alias("__place")).distinct()
+    placed = places.withColumn("__doc", F.struct("__place.doc_id")).join(limits.select(key, *[c for c in limits.columns if c != "doc_id"]), "__doc").drop("__doc")
+    return rows.withColumn("__place", F.struct("doc_id", "__stretch")).join(placed, "__place").drop("__place")
+
+
 def chunk_by_similarity(sentences: DataFrame, vector_col: str = "embedding") -> DataFrame:
     """Sentences (doc_id, seq, sentence, vector) to chunks: a chunk starts where the likeness to the sentence before is
-    at most the document's mean less its population standard deviation. Returns doc_id, chunk_no from 0, chunk_text."""
-    order = Window.partitionBy("doc_id").orderBy("seq")
-    rows = sentences.withColumn("__near", cosine(F.lag(vector_col).over(order), F.col(vector_col)))
-    rows = rows.withColumn("__near", F.when(F.lag("seq").over(order).isNotNull(), F.col("__near"))).drop(vector_col)
-    whole = Window.partitionBy("doc_id")
-    limit = F.avg("__near").over(whole) - F.stddev_pop("__near").over(whole)
-    rows = rows.withColumn("__cut", F.coalesce((F.col("__near") <= limit).cast("int"), F.lit(0)))
-    rows = rows.withColumn("chunk_no", F.sum("__cut").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "sentence"))), lambda s: s["sentence"]), ". ")
-    return rows.groupBy("doc_id", "chunk_no").agg(F.concat(text, F.lit(".")).alias("chunk_text"))
+    at most the document's mean less its population standard deviation. Returns doc_id, chunk_no from 0, chunk_text.
+
+    Stretches of STRETCH sentences are sorted apart, and take the last vector of the stretch before."""
+    rows = sentences.withColumn("__stretch", F.floor(F.col("seq") / STRETCH))
+    rows = before(rows, ["doc_id"], "__stretch", ["seq"], F.struct(F.col(vector_col).alias("vector")), "__before")
+    rows = rows.withColumn("__near", F.when(F.col("__before").isNotNull(), cosine(F.col("__before.vector"), F.col(vector_col)))).drop("__before", vector_col)
+    limits = rows.groupBy("doc_id").agg((F.avg("__near") - F.stddev_pop("__near")).alias("__limit"))
+    rows = _with_limits(rows, limits).withColumn("__cut", F.coalesce((F.col("__near") <= F.col("__limit")).cast("int"), F.lit(0)))
+    return _joined_at_cuts(rows)
+
+
+#: Cohesion is kept as so many parts of one, so that sums over a document are exact.
+PARTS = 1_000_000
+
+
+def lexical_cohesion(sentences: DataFrame, window: int = 3) -> DataFrame:
+    """Sentences (doc_id, seq without gaps, sentence) to doc_id, seq, cohesion of each but the first: the cosine of the
+    term counts of the `window` sentences before it and of it and those after it, as a whole number of 1/1000000.
+
+    Terms are runs of letters and digits, lower-cased. Each term of a sentence is sent to the gaps whose windows hold the
+    sentence, where counts add up by (gap, term) and products by gap: no window of a document is gathered."""
+    words = F.regexp_extract_all(F.lower("sentence"), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
+    terms = sentences.select("doc_id", "seq", F.explode(words).alias("term")).groupBy("doc_id", "seq", "term").agg(F.count("*").alias("n"))
+    # a sentence is left of the gaps before the `window` sentences after it, and right of those before itself and the ones before it
+    gaps = F.transform(F.sequence(F.lit(1 - window), F.lit(window)), lambda k: F.struct((F.col("seq") + k).alias("gap"), (k > 0).alias("left")))
+    sent = terms.select("doc_id", "term", "n", F.explode(gaps).alias("g")).select("doc_id", F.col("g.gap").alias("seq"), "term", F.when(F.col("g.left"), F.col("n")).otherwise(0).alias("l"), F.when(F.col("g.left"), 0).otherwise(F.col("n")).alias("r"))
+    both = sent.groupBy("doc_id", "seq", "term").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+    sums = both.groupBy("doc_id", "seq").agg(F.sum(F.col("l") * F.col("r")).alias("lr"), F.sum(F.col("l") * F.col("l")).alias("ll"), F.sum(F.col("r") * F.col("r")).alias("rr"))
+    near = F.floor(F.col("lr") * F.lit(float(PARTS)) / (F.sqrt("ll") * F.sqrt("rr")))
+    held = sums.select(F.struct("doc_id", F.col("seq").cast("long").alias("seq")).alias("__gap"), F.when((F.col("ll") > 0) & (F.col("rr") > 0), near).otherwise(0).cast("long").alias("cohesion"))
+    gap = sentences.where("seq > 0").select(F.struct("doc_id", F.col("seq").cast("long").alias("seq")).alias("__gap"))
+    found = gap.join(held, "__gap", "left")
+    return found.select("__gap.doc_id", "__gap.seq", F.coalesce("cohesion", F.lit(0).cast("long")).alias("cohesion"))
+
+
+def chunk_lexical(df: DataFrame, text_col: str = "text", separator: str = ".", window: int = 3) -> DataFrame:
+    """Texts to chunks of whole sentences, by their words alone: a chunk starts where the cohesion of the sentences before
+    and after is at most the document's mean less its population standard deviation, which is decided in whole numbers.
+    Returns doc_id, chunk_no from 0, chunk_text."""
+    sentences = split_sentences(df, text_col, separator)
+    near = lexical_cohesion(sentences, window)
+    whole = lambda c: F.sum(F.col(c).cast("decimal(38,0)"))
+    limits = near.withColumn("__square", F.col("cohesion") * F.col("cohesion")).groupBy("doc_id").agg(F.count("*").cast("decimal(12,0)").alias("__n"), whole("cohesion").cast("decimal(19,0)").alias("__sum"), whole("__square").cast("decimal(25,0)").alias("__squares"))
+    key = lambda: F.struct("doc_id", F.col("seq").cast("long").alias("seq")).alias("__gap")
+    rows = sentences.select("*", key()).join(near.select(key(), "cohesion"), "__gap", "left").drop("__gap").withColumn("__stretch", F.floor(F.col("seq") / STRETCH))
+    # documents of one sentence have no limits, and no cut
+    limited = sentences.select("doc_id").distinct().select(F.struct("doc_id").alias("__d")).join(limits.select(F.struct("doc_id").alias("__d"), "__n", "__sum", "__squares"), "__d", "left").select("__d.doc_id", "__n", "__sum", "__squares")
+    rows = _with_limits(rows, limited)
+    over = F.col("__sum") - F.col("__n") * F.col("cohesion").cast("decimal(7,0)")  # n times the mean less this one
+    below = (over >= 0) & (over * over >= F.col("__n") * F.col("__squares") - F.col("__sum") * F.col("__sum"))
+    return _joined_at_cuts(rows.withColumn("__cut", F.coalesce(below.cast("int"), F.lit(0))))
 
 
 def chunk_documents(df: DataFrame, method: str = "fixed", **options) -> DataFrame:
-    """Cut by the method named: fixed, sections, or similarity (for rows of sentences with vectors); unknown: fixed."""
-    if method == "sections":
+    """Cut by the method named: fixed; sections, or pdf, which is another name for it; similarity, by vectors for rows of
+    sentences (doc_id, seq, sentence, a vector) and by words for texts; any other: fixed."""
+    if method in ("sections", "pdf"):
         return split_sections(df, **options)
-    if method == "similarity" and {"seq", "sentence"} <= set(df.columns):
-        return chunk_by_similarity(df, **options)
+    if method == "similarity":
+        return chunk_by_similarity(df, **options) if {"seq", "sentence"} <= set(df.columns) else chunk_lexical(df, **options)
     return chunk_fixed(df, **options)

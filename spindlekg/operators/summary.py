@@ -66,12 +66,25 @@ def overall_summary(summary: DataFrame) -> DataFrame:
     return summary.agg(F.count("*").alias("total"), done.alias("completed"), (F.count("*") - done).alias("failed"), F.coalesce(F.sum("entity_count"), F.lit(0)).alias("entities"), F.coalesce(F.sum("relation_count"), F.lit(0)).alias("relations"))
 
 
-def kg_summary(entities: DataFrame, relations: DataFrame, log: DataFrame, k: int = 10) -> DataFrame:
-    """One record: maps of counts by entity type, relation type and error, the number of model failures and the first k."""
-    held = lambda df, key, name: df.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, "n")))).alias(name))  # noqa: E731  a row per type
+def top_kinds(counts: DataFrame, key: str, k: int) -> tuple[DataFrame, DataFrame]:
+    """(the k kinds with the most rows, ties by name, as key and n; one row with `kinds` and `n` of all the others)."""
+    kept = counts.orderBy(F.desc("n"), key).limit(k)
+    every = counts.agg(F.count("*").alias("kinds"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    held = kept.agg(F.count("*").alias("held_kinds"), F.coalesce(F.sum("n"), F.lit(0)).alias("held_n"))
+    return kept, every.crossJoin(held).select((F.col("kinds") - F.col("held_kinds")).alias("kinds"), (F.col("n") - F.col("held_n")).alias("n"))  # a row each
+
+
+def kg_summary(entities: DataFrame, relations: DataFrame, log: DataFrame, k: int = 10, kinds: int = 100) -> DataFrame:
+    """One record: maps of counts by entity type, relation type and error, the number of model failures and the first k.
+
+    A log may have as many errors as lines and a type may be any text, so each map holds the most frequent `kinds`, with
+    their exact counts, and the lines of all other errors are one number, other_errors."""
+    held = lambda df, key, name: df.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, "n")))).alias(name))
     total, first = model_failures(log, k)
     samples = first.agg(F.transform(F.array_sort(F.collect_list(F.struct("file", "line_no", "line"))), lambda x: x["line"]).alias("failure_samples"))
-    parts = [held(entity_type_counts(entities), "type", "entity_types"), held(relation_type_counts(relations), "relation_type", "relation_types"), held(error_type_counts(log), "error", "errors"), total.withColumnRenamed("n", "model_failures"), samples]
+    errors, others = top_kinds(error_type_counts(log).where("error IS NOT NULL"), "error", kinds)
+    types = [held(counts.orderBy(F.desc("n"), key).limit(kinds), key, name) for counts, key, name in ((entity_type_counts(entities), "type", "entity_types"), (relation_type_counts(relations), "relation_type", "relation_types"))]
+    parts = [*types, held(errors, "error", "errors"), others.select(F.col("n").alias("other_errors")), total.withColumnRenamed("n", "model_failures"), samples]
     out = parts[0].withColumn("__one", F.lit(1))
     for part in parts[1:]:
         out = out.join(part.withColumn("__one", F.lit(1)), "__one")  # one row each

@@ -98,11 +98,14 @@ def _sectioned(t):
 SECTION_PARTS = f"SELECT doc_id, k // {SECTION_LINES} AS part, row_number() OVER (PARTITION BY doc_id, k // {SECTION_LINES} ORDER BY k) AS i, text, length(text) AS n FROM (SELECT doc_id, k, {TRIM.format('text')} AS text FROM fx_lines) l WHERE text <> ''"
 
 
-@query("c2_split_sections", f"""WITH RECURSIVE parts AS ({SECTION_PARTS}),
+SECTIONS = f"""WITH RECURSIVE parts AS ({SECTION_PARTS}),
 packed AS (SELECT doc_id, part, i, text, n AS size, 0 AS c FROM parts WHERE i = 1
 UNION ALL SELECT p.doc_id, p.part, p.i, p.text, CASE WHEN r.size + p.n <= 2000 THEN r.size + 2 + p.n ELSE p.n END, CASE WHEN r.size + p.n <= 2000 THEN r.c ELSE r.c + 1 END FROM packed r JOIN parts p ON p.doc_id = r.doc_id AND p.part = r.part AND p.i = r.i + 1),
 every AS (SELECT DISTINCT doc_id, CAST(-1 AS BIGINT) AS part, 0 AS c, '' AS section_title, 'Front matter' AS chunk_text FROM fx_lines UNION ALL SELECT doc_id, part, c, CASE WHEN part % 2 = 0 THEN 'ABSTRACT' ELSE 'RESULTS 1.1 Set up' END, string_agg(text, chr(10) || chr(10) ORDER BY i) FROM packed GROUP BY doc_id, part, c)
-SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY part, c) - 1 AS chunk_no, section_title, chunk_text FROM every""")
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY part, c) - 1 AS chunk_no, section_title, chunk_text FROM every"""
+
+
+@query("c2_split_sections", SECTIONS)
 def _(t):
     return _long(chunking.split_sections(_sectioned(t)).select("doc_id", "chunk_no", "section_title", "chunk_text"), "chunk_no")
 
@@ -120,9 +123,30 @@ def _(t):
     return chunking.chunk_by_similarity(t("fx_sentences"))
 
 
-@query("c5_chunk_documents", FIXED)
+SENTENCES = f"SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS seq, sentence FROM (SELECT doc_id, k, {TRIM.format('s')} AS sentence FROM (SELECT doc_id, unnest(range(len(string_split(text, '.')))) AS k, unnest(string_split(text, '.')) AS s FROM documents)) WHERE sentence <> ''"
+LEXICAL = rf"""sentences AS ({SENTENCES}),
+terms AS (SELECT doc_id, seq, term, count(*) AS n FROM (SELECT doc_id, seq, unnest(regexp_extract_all(lower(sentence), '[\p{{L}}\p{{N}}]+')) AS term FROM sentences) GROUP BY ALL),
+sent AS (SELECT doc_id, seq + k AS seq, term, CASE WHEN k > 0 THEN n ELSE 0 END AS l, CASE WHEN k > 0 THEN 0 ELSE n END AS r FROM terms, (SELECT unnest(range(-2, 4)) AS k)),
+sums AS (SELECT doc_id, seq, sum(l * r) AS lr, sum(l * l) AS ll, sum(r * r) AS rr FROM (SELECT doc_id, seq, term, sum(l) AS l, sum(r) AS r FROM sent GROUP BY ALL) GROUP BY ALL),
+near AS (SELECT s.doc_id, s.seq, CAST(coalesce(CASE WHEN ll > 0 AND rr > 0 THEN floor(CAST(lr AS DOUBLE) * 1000000.0::DOUBLE / (sqrt(CAST(ll AS DOUBLE)) * sqrt(CAST(rr AS DOUBLE)))) ELSE 0 END, 0) AS BIGINT) AS cohesion FROM sentences s LEFT JOIN sums USING (doc_id, seq) WHERE s.seq > 0),
+limits AS (SELECT doc_id, count(*) AS n, sum(cohesion)::HUGEINT AS s, sum(cohesion * cohesion)::HUGEINT AS q FROM near GROUP BY doc_id),
+cuts AS (SELECT s.doc_id, s.seq, s.sentence, CASE WHEN l.s - l.n * k.cohesion >= 0 AND (l.s - l.n * k.cohesion) * (l.s - l.n * k.cohesion) >= l.n * l.q - l.s * l.s THEN 1 ELSE 0 END AS cut FROM sentences s LEFT JOIN near k USING (doc_id, seq) LEFT JOIN limits l USING (doc_id)),
+lexical AS (SELECT doc_id, chunk_no, string_agg(sentence, '. ' ORDER BY seq) || '.' AS chunk_text FROM (SELECT *, CAST(sum(cut) OVER (PARTITION BY doc_id ORDER BY seq ROWS UNBOUNDED PRECEDING) AS BIGINT) AS chunk_no FROM cuts) GROUP BY doc_id, chunk_no)"""
+
+
+@query("c4_chunk_lexical", f"WITH {LEXICAL} SELECT * FROM lexical")
+def _(t):
+    return _long(chunking.chunk_lexical(t("SELECT doc_id, text FROM documents")), "chunk_no")
+
+
+@query("c5_chunk_documents", f"""WITH {LEXICAL}, plain AS ({FIXED}) SELECT 'similarity' AS method, doc_id, chunk_no, chunk_text FROM lexical
+UNION ALL SELECT 'no such method', doc_id, chunk_no, chunk_text FROM plain UNION ALL SELECT 'pdf', doc_id, chunk_no, chunk_text FROM ({SECTIONS})""")
 def _(t):
-    return _long(chunking.chunk_documents(t(PARAGRAPHED), "no such method").select("doc_id", "chunk_no", "chunk_text"), "chunk_no")
+    """Each document by each method: its words, its sections, and by one that there is not."""
+    docs, plain = t("SELECT doc_id, text FROM documents"), t(PARAGRAPHED)
+    tables = {"similarity": docs, "pdf": _sectioned(t), "no such method": plain}
+    made = [_long(chunking.chunk_documents(df, name).select(F.lit(name).alias("method"), "doc_id", "chunk_no", "chunk_text"), "chunk_no") for name, df in tables.items()]
+    return made[0].unionByName(made[1]).unionByName(made[2])
 
 
 # ---- entities

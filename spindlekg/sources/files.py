@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.rows import running_sum
+
 ENTITY_SCHEMA = "text string, type string, attributes map<string, string>, source_text string"
 RELATION_SCHEMA = "head_entity_text string, head_entity_type string, tail_entity_text string, tail_entity_type string, relation_type string, attributes map<string, string>, confidence_score double, source_sentence string"
 #: Extraction tables are dealt into this many folders by a hash of the document.
@@ -19,9 +21,10 @@ def read_document_files(spark: SparkSession, path: str, glob: str = "*.pdf") ->
 
 
 def write_extractions(df: DataFrame, path: str, buckets: int = BUCKETS) -> None:
-    """Write records with a doc_id, partitioned by a hash of it; only the partitions that df has are replaced."""
+    """Write records with a doc_id, partitioned by a hash of it; only the partitions that df has are replaced. A folder
+    with many rows is written by several tasks, by their size."""
     placed = df.withColumn("doc_bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
-    placed.repartition("doc_bucket").write.partitionBy("doc_bucket").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    placed.hint("rebalance", "doc_bucket").write.partitionBy("doc_bucket").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def read_extractions(spark: SparkSession, path: str) -> DataFrame:
@@ -38,11 +41,13 @@ def read_json_records(spark: SparkSession, glob: str, schema: str, suffix: str =
 
 
 def read_error_logs(spark: SparkSession, glob: str) -> DataFrame:
-    """file, line_no from 0, line, for every line of every log, blank ones too."""
-    whole = spark.read.text(glob, wholetext=True)
-    whole = whole.where("value <> ''")
-    lines = F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")
-    return whole.select(F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1).alias("file"), F.posexplode(lines).alias("line_no", "line"))
+    """file, line_no from 0, line, for every line of every log, blank ones too. A long log is read by many tasks: lines are
+    numbered within each block of a file that one task reads, and the blocks' counts are added up per file."""
+    lines = spark.read.option("lineSep", "\n").text(glob)
+    # ids rise within a task, which reads the lines of a block one after the other
+    rows = lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), F.regexp_replace("value", r"\r\z", "").alias("line"))
+    numbered = running_sum(rows, ["path"], "block", ["id"], F.lit(1), "n")
+    return numbered.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), (F.col("n") - 1).cast("int").alias("line_no"), "line")
 
 
 def read_kg_outputs(spark: SparkSession, path: str, entities: str = "*_entities.json", relations: str = "*_relations.json", logs: str = "error_*.log") -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -237,8 +237,8 @@ def test_a_write_replaces_only_what_it_touches(spark, tmp_path):
     place = f"{tmp_path}/graph"
     ents, rels = batch(spark)
     old, _ = graph.import_batch(graph.empty_graph(spark), ents, rels, "b1", day(1))
-    assert tables.write_graph(old, place) == 1
-    bucket = old.nodes.where("text = 'A'").select(tables.bucket_of("label", "text")).first()[0]
+    assert tables.write_graph(old, place, buckets=64) == 1
+    bucket = old.nodes.where("text = 'A'").select(tables.bucket_of(64, "label", "text")).first()[0]
     only = {"nodes": {bucket}, "edges": set()}
     part = tables.read_graph(spark, place, only=only)
     assert part.edges.count() == 0 and [r.text for r in part.nodes.where("text in ('A', 'T6')").collect()] == ["A"]
@@ -262,3 +262,112 @@ def test_tables_of_a_scope_can_be_removed(spark):
     assert kept.count() == 5
     with pytest.raises(Exception, match="does not exist|PATH_NOT_FOUND"):
         spark.read.parquet(made[0]).count()
+
+
+def test_of_two_writers_of_a_version_one_wins(spark, tmp_path, monkeypatch):
+    ents, rels = batch(spark)
+    place = f"file://{tmp_path}/graph"
+    g, _ = graph.import_batch(graph.empty_graph(spark), ents, rels, "b1", day(1))
+    assert tables.write_graph(g, place) == 1
+    told = spark.createDataFrame([("mine", "completed")], "batch_id string, status string")
+    seen = tables.latest_version
+
+    def overtaken(session, path):
+        """The version before is read, and then another write is done."""
+        found = seen(session, path)
+        monkeypatch.setattr(tables, "latest_version", seen)
+        assert tables.write_graph(graph.Graph(g.nodes.limit(1), g.edges.limit(0)), path, spark.createDataFrame([("theirs",)], "batch_id string")) == 2
+        return found
+
+    for exists in (True, False):  # whether the other's version is seen before the rename, or stands in its way
+        monkeypatch.setattr(tables, "latest_version", overtaken if exists else lambda *_: 1)
+        if not exists:
+            files_ = tables._files
+
+            class Blind:
+                def __init__(self, system):
+                    self.system = system
+
+                def exists(self, path):
+                    return False
+
+                def __getattr__(self, name):
+                    return getattr(self.system, name)
+
+            monkeypatch.setattr(tables, "_files", lambda s, p: (lambda f, at: (Blind(f), at))(*files_(s, p)))
+        with pytest.raises(tables.Conflict):
+            tables.write_graph(g, place, told)
+        monkeypatch.undo()
+        assert tables.latest_version(spark, place) == 2 and tables.read_graph(spark, place).nodes.count() == 1
+        assert [r.batch_id for r in tables.read_history(spark, place).collect()] == ["theirs"]
+        assert len(list((tmp_path / "graph" / "data").iterdir())) == 2 and not [p for p in (tmp_path / "graph" / "versions").rglob("_*") if p.is_dir() and p.name != "_temporary"]
+
+
+def test_data_of_a_write_that_died_is_removed(spark, tmp_path):
+    ents, rels = batch(spark)
+    place = f"file://{tmp_path}/graph"
+    g, _ = graph.import_batch(graph.empty_graph(spark), ents, rels, "b1", day(1))
+    tables.write_graph(g, place)
+    g.nodes.write.parquet(f"{place}/data/dead/nodes")
+    g.nodes.write.parquet(f"{place}/versions/_dead/list")
+    tables.remove_versions(spark, place)
+    assert (tmp_path / "graph/data/dead").exists()  # it may still be written
+    tables.remove_versions(spark, place, unlisted_after=-1)
+    assert not (tmp_path / "graph/data/dead").exists() and not (tmp_path / "graph/versions/_dead").exists()
+    assert tables.read_graph(spark, place).nodes.count() == 2
+
+
+def test_a_batch_writes_its_own_history_row_only(spark, tmp_path):
+    place = f"file://{tmp_path}/graph"
+    for n in range(12):
+        row = spark.createDataFrame([(f"b{n % 10}", "completed" if n < 10 else None, f"note {n}")], "batch_id string, status string, user_note string").withColumn("created_at", day(1 + n // 3))
+        tables.write_graph(graph.empty_graph(spark), place, row, buckets=4)
+    sizes = [sum(f.stat().st_size for f in (tmp_path / "graph/versions").glob(f"version={v:08d}/history/*.parquet")) for v in (2, 12)]
+    assert abs(sizes[0] - sizes[1]) < 100
+    tables.remove_versions(spark, place, keep=1)
+    found = {r.batch_id: r for r in tables.read_history(spark, place).collect()}
+    assert len(found) == 10 and found["b1"].status == "completed" and found["b1"].user_note == "note 11" and found["b1"].created_at.day == 1
+    assert tables.read_history(spark, place, 3).count() == 3
+    assert tables.latest_version(spark, place) == 12
+
+
+def test_buckets_follow_the_size_of_a_whole_graph(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "ROWS_PER_BUCKET", 10)
+    some = lambda n: graph.Graph(graph.empty_graph(spark).nodes.unionByName(spark.range(n).select(F.lit("L").alias("label"), F.col("id").cast("string").alias("text")), allowMissingColumns=True), graph.empty_graph(spark).edges)
+    place = f"file://{tmp_path}/graph"
+    for n, buckets in ((0, 1), (45, 5), (300, 30)):
+        version = tables.write_graph(some(n), place)
+        assert tables.bucket_count(spark, place, version) == buckets and tables.read_graph(spark, place).nodes.count() == n
+    only = {"nodes": {3}, "edges": set()}
+    part = tables.read_graph(spark, place, only=only)
+    assert 0 < part.nodes.count() < 60
+    tables.write_graph(graph.Graph(part.nodes.limit(0), part.edges), place, touched=only)
+    assert tables.read_graph(spark, place).nodes.count() == 300 - part.nodes.count()
+
+
+def test_lines_of_a_log_in_many_blocks_are_numbered(spark, tmp_path):
+    lines = [f"line {i}" + ("\r" if i % 5 == 0 else "") if i % 7 else "" for i in range(3000)]
+    (tmp_path / "error_a.log").write_text("\n".join(lines) + "\n", newline="")
+    (tmp_path / "error_b.log").write_text("one\n\ntwo", newline="")
+    (tmp_path / "error_c.log").write_text("", newline="")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        read = files.read_error_logs(spark, f"{tmp_path}/error_*.log")
+        assert spark.read.text(f"{tmp_path}/error_a.log").rdd.getNumPartitions() > 8
+        found = sorted((r.file, r.line_no, r.line) for r in read.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = [("error_a.log", i, x.rstrip("\r")) for i, x in enumerate(lines)] + [("error_b.log", i, x) for i, x in enumerate(["one", "", "two"])]
+    assert found == sorted(want)
+
+
+def test_a_log_of_many_kinds_gives_a_short_record(spark):
+    log = spark.range(20_000).select(F.lit("f").alias("file"), F.col("id").alias("line_no"), F.concat("id", F.lit(": x")).alias("line"))
+    log = log.union(spark.range(500).select(F.lit("f"), F.col("id"), F.concat(F.lit("kind "), F.col("id") % 5, F.lit(": LLM 失败"))))
+    none = spark.createDataFrame([], "type string, relation_type string")
+    found = summary.kg_summary(none, none, log, kinds=8).first()
+    assert len(found.errors) == 8 and all(found.errors[f"kind {i}"] == 100 for i in range(5))
+    assert sum(found.errors.values()) + found.other_errors == 20_500 and found.other_errors == 19_997
+    assert found.model_failures == 500 and found.entity_types == {}
+    empty = summary.kg_summary(none, none, log.limit(0)).first()
+    assert empty.errors == {} and empty.other_errors == 0

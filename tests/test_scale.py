@@ -260,3 +260,63 @@ def test_texts_without_literals_give_nothing_and_others_all(spark):
         assert sorted(map(tuple, got)) == sorted(want) and want
     found = df.select("chunk_no", F.explode(entities.treatment_hits(F.coalesce("chunk_text", F.lit("")), entities.TREATMENTS)).alias("h")).collect()
     assert sorted(map(tuple, found)) == [(4, "T6 时效"), (4, "固溶 处理"), (5, "500℃ for 2h")]
+
+
+# ---- likeness of sentences
+
+
+def lexical(text, window=3):
+    """Chunks by whole numbers, straight from the rule."""
+    import math
+    from collections import Counter
+
+    sentences = [s.strip() for s in text.split(".") if s.strip()]
+    terms = [Counter(re.findall(r"[^\W_]+", s.lower())) for s in sentences]
+    near = []
+    for i in range(1, len(sentences)):
+        left, right = sum(terms[max(0, i - window) : i], Counter()), sum(terms[i : i + window], Counter())
+        size = math.sqrt(sum(n * n for n in left.values())) * math.sqrt(sum(n * n for n in right.values()))
+        near.append(math.floor(sum(n * right[t] for t, n in left.items()) * 1_000_000.0 / size) if size else 0)
+    n, total, squares = len(near), sum(near), sum(x * x for x in near)
+    out = [sentences[:1]]
+    for x, s in zip(near, sentences[1:]):
+        over = total - n * x
+        if over >= 0 and over * over >= n * squares - total * total:
+            out.append([])
+        out[-1].append(s)
+    return [". ".join(c) + "." for c in out if c]
+
+
+def test_lexical_chunks_equal_the_rule(spark, monkeypatch):
+    from spindlekg.functions import rows
+
+    monkeypatch.setattr(chunking, "STRETCH", 4)
+    rnd = random.Random(3)
+    topics = [["steel", "alloy", "yield", "a"], ["cat", "dog", "the", "a"], ["Ünd", "日本", "7", "a"]]
+    texts = [". ".join(" ".join(rnd.choices(topics[(i // 6) % 3], k=rnd.randint(1, 6))) for i in range(rnd.choice([1, 2, 3, 20, 50]))) for _ in range(40)] + ["", None, "no end", "...", "-. -. -"]
+    df = spark.createDataFrame(list(enumerate(texts)) + [(None, "one topic. one topic. two things. two things")], "doc_id long, text string")
+    found = {}
+    for r in chunking.chunk_documents(df, "similarity").orderBy("doc_id", "chunk_no").collect():
+        found.setdefault(r.doc_id, []).append(r.chunk_text)
+    want = {i: lexical(t) for i, t in [*enumerate(texts), (None, "one topic. one topic. two things. two things")] if t and lexical(t)}
+    assert found == want
+    assert rows.STRETCH == 4096
+
+
+def test_similarity_over_many_stretches_equals_one(spark, monkeypatch):
+    rnd = random.Random(12)
+    data = [(d, i, f"s{i}", [rnd.random(), rnd.random() * (i % 9 == 0), rnd.random()]) for d in (1, 2, None) for i in range(200)]
+    df = spark.createDataFrame(data, "doc_id long, seq int, sentence string, embedding array<double>")
+    whole = sorted((str(r.doc_id), r.chunk_no, r.chunk_text) for r in chunking.chunk_by_similarity(df).collect())
+    monkeypatch.setattr(chunking, "STRETCH", 7)
+    assert sorted((str(r.doc_id), r.chunk_no, r.chunk_text) for r in chunking.chunk_by_similarity(df).collect()) == whole
+    order = Window.partitionBy("doc_id").orderBy("seq")
+    rows = df.withColumn("near", chunking.cosine(F.lag("embedding").over(order), F.col("embedding"))).withColumn("near", F.when(F.col("seq") > 0, F.col("near")))
+    limit = F.avg("near").over(Window.partitionBy("doc_id")) - F.stddev_pop("near").over(Window.partitionBy("doc_id"))
+    assert rows.withColumn("limit", limit).where("near <= limit").count() == len(whole) - 3
+
+
+def test_pdf_names_the_sections(spark):
+    df = spark.createDataFrame([("x", "Front\nABSTRACT\nshort\nMETHODS\nlong")], "doc_id string, text string")
+    found = [(r.section_title, r.chunk_text) for r in chunking.chunk_documents(df, "pdf").orderBy("chunk_no").collect()]
+    assert found == [("", "Front"), ("ABSTRACT", "short"), ("METHODS", "long")]
