@@ -103,12 +103,13 @@ def _(t):
 ENTITY_ROWS = "SELECT doc_id, seq, text, type, map('n', CAST(seq AS STRING), CASE WHEN seq % 2 = 0 THEN 'even' ELSE 'odd' END, CAST(doc_id AS STRING)) AS attributes FROM fx_entities"
 
 
-def _graphs(t):
-    """The graph of the even documents, and after the odd ones."""
+def _graphs(t, edges=True):
+    """The graph of the even documents, and after the odd ones. edges: whether the edges are read, too."""
     ents, rels = t(ENTITY_ROWS), t("fx_relations")
     part = lambda df, odd: df.where(F.col("doc_id") % 2 == odd)
     old, _ = graph.import_batch(graph.empty_graph(t.spark), part(ents, 0), part(rels, 0), "old", _at(BEFORE))
-    old = graph.Graph(old.nodes, scratch.materialize(old.edges))  # as a graph is kept between imports
+    if edges:
+        old = graph.Graph(old.nodes, scratch.materialize(old.edges))  # as a graph is kept between imports
     new, stats = graph.import_batch(old, part(ents, 1), part(rels, 1), "new", _at(NOW))
     return old, new, stats
 
@@ -119,7 +120,7 @@ NODES = f"SELECT label, text, concat_ws(';', 'even=' || CAST(coalesce(new_even,
 
 @query("g10_upsert_nodes", NODES)
 def _(t):
-    return _graphs(t)[1].nodes.withColumn("props", map_text(F.col("props"))).select("label", "text", "props", "source_doc_id", "batch_id", "created_at", "updated_at")
+    return _graphs(t, edges=False)[1].nodes.withColumn("props", map_text(F.col("props"))).select("label", "text", "props", "source_doc_id", "batch_id", "created_at", "updated_at")
 
 
 def _placed(parity: str) -> str:
@@ -184,6 +185,17 @@ def _(t):
     return graph.batch_history(t("fx_history"))
 
 
+@query("g17_history_of_a_batch", "SELECT * FROM fx_history WHERE batch_id = 'batch_7'")
+def _(t):
+    return graph.batch_history(t("fx_history"), batch_id="batch_7")
+
+
+@query("g17_history_of_a_document", "SELECT * FROM fx_history WHERE doc_id = (SELECT min(doc_id) FROM fx_history) ORDER BY created_at DESC, batch_id LIMIT 20")
+def _(t):
+    first = t("SELECT min(doc_id) AS doc_id FROM fx_history").first()["doc_id"]
+    return graph.batch_history(t("fx_history"), doc_id=first)
+
+
 @query("g18_active_batches", "SELECT batch_id, doc_id, status, created_at FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY created_at DESC, batch_id) AS nth FROM fx_history WHERE status IN ('active', 'completed')) WHERE nth = 1")
 def _(t):
     return graph.active_batches(t("fx_history"))
@@ -217,6 +229,24 @@ def _(t):
     return _seeds(t)
 
 
+NAMED = "SELECT id, label, CASE WHEN id LIKE 'N%' THEN text END AS name_zh, CASE WHEN id LIKE 'R%' THEN concat('Region of ', text) END AS name_en, CASE WHEN id LIKE 'S%' THEN concat('supplies nation_1, ', text) END AS description_zh, CASE WHEN id LIKE 'C%' THEN text END AS text FROM fx_nodes"
+
+
+@query("q1_search_nodes_by_name", f"SELECT id, label FROM ({NAMED}) WHERE contains(lower(coalesce(name_zh, '')), 'nation_1') OR contains(lower(coalesce(name_en, '')), 'nation_1') OR contains(lower(coalesce(description_zh, '')), 'nation_1') OR contains(lower(coalesce(text, '')), 'nation_1')")
+def _(t):
+    """Nodes with names in two languages and a description, each of which a keyword may be in."""
+    return search.search_nodes(t(NAMED), "NATION_1").select("id", "label")
+
+
+@query("q2_kept_adjacency", f"SELECT h.id, CAST(h.dist AS BIGINT) AS dist, 'first' AS search FROM ({HOP2}) h UNION ALL SELECT id, CAST(dist AS BIGINT), 'second' FROM ({HOP1.replace('nation_1', 'nation_2')})")
+def _(t):
+    """Two searches on the adjacency that is written once."""
+    near = search.adjacency(t("fx_edges"))
+    one = search.distances(t("fx_edges"), _seeds(t), 2, near).withColumn("search", F.lit("first"))
+    two = search.distances(t("fx_edges"), search.search_nodes(t("fx_nodes"), "nation_2"), 1, near).withColumn("search", F.lit("second"))
+    return _long(one.union(two), "dist")
+
+
 @query("q2_expand_khop", f"SELECT n.id, n.label, n.text, CAST(h.dist AS BIGINT) AS dist FROM fx_nodes n JOIN ({HOP2}) h ON n.id = h.id")
 def _(t):
     return _long(search.expand_khop(t("fx_nodes"), t("fx_edges"), _seeds(t), 2)[0].select("id", "label", "text", "dist"), "dist")
@@ -248,6 +278,17 @@ def _(t):
     return chains.stage_prompts(t("SELECT doc_id, text FROM documents"), stages)
 
 
+@query("p1_stage_prompts_with_tables", """WITH cells AS (SELECT doc_id, seq, (seq - 1) // 2 AS table_no, (seq - 1) % 2 AS row_no, name || chr(9) || value AS line FROM fx_chain_comp),
+bodies AS (SELECT doc_id, table_no, string_agg(line || chr(10), '' ORDER BY row_no) AS body FROM cells GROUP BY doc_id, table_no),
+tables AS (SELECT doc_id, string_agg(chr(10) || '表格' || CAST(table_no AS VARCHAR) || ':' || chr(10) || body, '' ORDER BY table_no) AS tables FROM bodies GROUP BY doc_id)
+SELECT d.doc_id, 'composition' AS stage, 'List. 正文：' || chr(10) || substring(text, 1, 500) || chr(10) || coalesce(tables, '') AS prompt FROM documents d LEFT JOIN tables USING (doc_id)""")
+def _(t):
+    """The composition of a document as its tables, of two rows each."""
+    stages = t.spark.createDataFrame([("composition", "List. ", 500)], "stage string, instruction string, n_chars int")
+    cells = t("SELECT doc_id, CAST(floor((seq - 1) / 2) AS BIGINT) AS table_no, (seq - 1) % 2 AS row_no, array(name, value) AS cells FROM fx_chain_comp")
+    return chains.stage_prompts(t("SELECT doc_id, text FROM documents"), stages, cells)
+
+
 @query("p2_normalize_responses", "SELECT r.doc_id, r.seq, c.name, CASE WHEN r.pk % 5 = 4 THEN NULL ELSE c.value END AS value FROM fx_rows r JOIN fx_chain_comp c ON r.doc_id = c.doc_id AND r.seq = c.seq WHERE r.pk % 5 <> 3")
 def _(t):
     items = chains.normalize_responses(t("fx_stage_responses"), ["composition", "alloy_compositions"])
