@@ -1,13 +1,15 @@
 """Main text of web pages by a tree-structured graphical model over the DOM.
 
 Every block element, and every run of text directly within one, is a node with a hidden state: content or not. A node
-has evidence (tag, words in class and id, length, share of links, punctuation), a parent and child a potential. Sum-
+has evidence (tag, words in class and id, length, share of links, punctuation, and whether it stands inside, before or
+after the part of the page that structure alone makes its heart), a parent and child a potential. Sum-
 product messages go up the tree and down again and give each run's probability of being content; the weights are those
 that make the labels of the training pages (html_pages, made by rule) most likely, found by gradient ascent with the
 same messages. Runs likelier content than not are the text.
 
 Edges, all tested: null and empty pages, and pages without text, have empty text; anything that is not a tag is text;
-unclosed and stray tags are mended; pages of any length are read whole; repeated rows each return a row; an empty table
+unclosed and stray tags are mended; a quote opens an attribute's value only behind an equals sign, and is a character of
+it if nothing closes it; a tag that nothing ends goes to the end of the page; references do not reach over tags; pages of any length are read whole; repeated rows each return a row; an empty table
 returns no rows. Extra columns are not read and not returned.
 """
 
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -27,8 +30,11 @@ from pyspark.sql import types as T
 from .html_pages import NAMES, Page
 
 TRAINING_PAGES, STEPS = 600, 120
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-NAME = re.compile(r"""(?:^|[\s"'/])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+#: An attribute as tokenizers take it: a quote opens a value only right behind the equals sign, and one that nothing closes
+#: is a character like others.
+ATTRIBUTE = r"""[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+"""
+TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[\s/]++|{ATTRIBUTE})*+)(?:>|\Z)", re.S)
+NAME = re.compile(rf"(?:(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))|{ATTRIBUTE}", re.I)
 WORD = re.compile(r"[a-z]+")
 #: Text of these is never text of the page.
 RAW = frozenset(("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "select", "object", "noembed", "xmp"))
@@ -37,8 +43,8 @@ BLOCKS = ("p", "div", "article", "main", "section", "nav", "header", "footer", "
 BLOCK = {t: i for i, t in enumerate(BLOCKS)}
 #: A tag on the left closes the nearest open one on the right, if no tag of the last set is in between.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
-NAME_WORDS = {w: i for i, kind in enumerate(NAMES) for name in NAMES[kind] for w in WORD.findall(name) if w not in ("box", "site", "top", "page", "side", "text", "body", "main", "area", "list", "reader", "slot")}
-NAME_WORDS |= {"sidebar": 3, "contentinfo": 2, "complementary": 3, "navigation": 0, "teaser": 3, "sponsors": 4, "adsense": 4, "reply": 7, "disqus": 7, "outbrain": 4, "footnav": 0, "cookies": 5, "adbox": 4}
+NAME_WORDS = {w: i for i, kind in enumerate(NAMES) for name in NAMES[kind] for w in WORD.findall(name) if w not in ("box", "site", "top", "page", "side", "text", "body", "main", "area", "list", "reader", "slot", "de", "en", "pub", "pie", "pied", "principal", "articles", "pagina")}
+NAME_WORDS |= {"sidebar": 3, "contentinfo": 2, "complementary": 3, "navigation": 0, "teaser": 3, "sponsors": 4, "adsense": 4, "reply": 7, "disqus": 7, "outbrain": 4, "footnav": 0, "cookies": 5, "adbox": 4, "pied": 2, "pie": 2, "pub": 4}
 N_NAMES = len(NAMES)
 
 
@@ -70,10 +76,11 @@ def parse(page: str) -> Tree:
     pieces: list[str] = []
     linked = link_depth = 0
     inline_names: list[frozenset] = []
+    open_tags: Counter[str] = Counter()  # so that an end tag of nothing costs one look
 
     def flush() -> None:
         nonlocal linked
-        text = " ".join(html.unescape("".join(pieces)).split())
+        text = " ".join("".join(pieces).split())
         if text:
             tree.add(stack[-1][1], len(BLOCKS) + 1, inline_names[-1] if inline_names else frozenset(), text, linked)
         pieces.clear()
@@ -81,13 +88,14 @@ def parse(page: str) -> Tree:
 
     def said(raw: str) -> None:
         nonlocal linked
-        pieces.append(raw)
+        pieces.append(html.unescape(raw))  # a reference ends at a tag
         if link_depth:
-            linked += len(raw)
+            linked += len(pieces[-1])
 
     def close(depth: int) -> None:
         flush()
         inline_names.clear()
+        open_tags.subtract(name for name, _ in stack[depth:])
         del stack[depth:]
 
     at, size = 0, len(page)
@@ -118,7 +126,7 @@ def parse(page: str) -> Tree:
                 inline_names.clear()
                 link_depth = 0
                 closes, fence = CLOSES.get(name, ({"p"}, set()))
-                for d in range(len(stack) - 1, 0, -1):
+                for d in range(len(stack) - 1, 0, -1) if any(open_tags[t] for t in closes) else ():
                     if stack[d][0] in closes:
                         close(d)
                         break
@@ -126,18 +134,20 @@ def parse(page: str) -> Tree:
                         break
                 if name not in VOID:
                     stack.append((name, tree.add(stack[-1][1], BLOCK[name], _names(m[3]))))
+                    open_tags[name] += 1
             elif name == "a":
                 link_depth = 1
             elif name not in VOID and (own := _names(m[3])):
                 inline_names.append(own)
         elif name in BLOCK:
             link_depth = 0
+            if not open_tags[name]:
+                flush()
+                continue
             for d in range(len(stack) - 1, 0, -1):
                 if stack[d][0] == name:
                     close(d)
                     break
-            else:
-                flush()
         elif name == "a":
             link_depth = 0
     flush()
@@ -149,8 +159,9 @@ BINS = np.array([2, 4, 8, 16, 40, 100, 250])
 KINDS = list(NAMES)
 PLACE_TAGS = {BLOCK[t]: KINDS.index(k) for t, k in {"nav": "nav", "menu": "nav", "header": "head", "footer": "foot", "aside": "side", "form": "form", "search": "form", "button": "form", "label": "form", "article": "body", "main": "body"}.items()}
 NOWHERE = N_NAMES
-#: tag, names of the node, parent's tag, length, share of links, ends like a sentence, commas, bias, the nearest and the next place around
-SIZES = (len(BLOCKS) + 2, N_NAMES, len(BLOCKS) + 2, len(BINS) + 1, 5, 2, 4, 1, N_NAMES + 1, (N_NAMES + 1) ** 2)
+#: tag, names of the node, parent's tag, length, share of links, ends like a sentence, commas, bias, the nearest and the next place around, where it
+#: is of the heart, and that with the nearest place
+SIZES = (len(BLOCKS) + 2, N_NAMES, len(BLOCKS) + 2, len(BINS) + 1, 5, 2, 4, 1, N_NAMES + 1, (N_NAMES + 1) ** 2, 3, 3 * (N_NAMES + 1))
 OFFSETS = np.concatenate(([0], np.cumsum(SIZES)))
 N_FEATURES = int(OFFSETS[-1])
 #: Kinds of edge, by the child: a run, or one of these groups of elements.
@@ -166,12 +177,46 @@ def _place(tag: int, names: frozenset) -> int:
     return PLACE_TAGS.get(tag, NOWHERE)
 
 
+HEARTS, BOXES = frozenset(BLOCK[t] for t in ("article", "main")), frozenset(BLOCK[t] for t in ("div", "section", "article", "main", "body", "html", "td", "center"))
+INSIDE, BEFORE, AFTER = range(3)
+
+
+def where_of_heart(tree: Tree, length: list[int], linked: list[int]) -> list[int]:
+    """For each node, whether it is inside the page's heart, before or after it, by structure alone: from the root, the way
+    goes on to the child that has an article, else a first heading, else the most text that is no link, as long as boxes
+    hold most of the text; what stands beside the way is outside."""
+    n = len(tree.parent)
+    kids: list[list[int]] = [[] for _ in range(n)]
+    rank, last = [(0, 0)] * n, list(range(n))
+    for i in range(n - 1, -1, -1):
+        own = (2 * (tree.tag[i] in HEARTS) or int(tree.tag[i] == BLOCK["h1"]), 0)
+        rank[i] = max(rank[i], own)
+        p = tree.parent[i]
+        if p >= 0:
+            rank[p], last[p] = max(rank[p], rank[i]), max(last[p], last[i])
+            if length[i]:
+                kids[p].append(i)
+    where, at = [INSIDE] * n, 0
+    while kids[at] and tree.tag[at] not in HEARTS:
+        plain = lambda i: length[i] - linked[i]
+        boxes = [i for i in kids[at] if tree.tag[i] in BOXES]
+        if not boxes or 2 * sum(map(plain, boxes)) < plain(at):
+            break
+        heart = max(boxes, key=lambda i: (rank[i], plain(i), -i))
+        for i in kids[at]:
+            if i != heart:
+                where[i : last[i] + 1] = [BEFORE if i < heart else AFTER] * (last[i] + 1 - i)
+        at = heart
+    return where
+
+
 @dataclass
 class Forest:
     """Trees side by side: nodes ordered by depth, features as (node, feature) pairs."""
 
     parent: np.ndarray
     levels: list[np.ndarray]
+    slot: np.ndarray  # a node's place in its level
     group: np.ndarray
     node: np.ndarray
     feature: np.ndarray
@@ -192,6 +237,7 @@ def forest(trees: list[Tree]) -> Forest:
                 linked[tree.parent[i]] += linked[i]
         words = np.searchsorted(BINS, np.array(length) // 6, "right")
         near, next_near = [NOWHERE] * n, [NOWHERE] * n
+        where = where_of_heart(tree, length, linked)
         for i in range(n):
             p = tree.parent[i]
             place = _place(tree.tag[i], tree.names[i])
@@ -204,14 +250,17 @@ def forest(trees: list[Tree]) -> Forest:
             own += [OFFSETS[1] + x for x in tree.names[i]]
             if p >= 0:
                 own.append(OFFSETS[2] + tree.tag[p])
-            own += [OFFSETS[8] + near[i], OFFSETS[9] + near[i] * (N_NAMES + 1) + next_near[i]]
+            own += [OFFSETS[8] + near[i], OFFSETS[9] + near[i] * (N_NAMES + 1) + next_near[i], OFFSETS[10] + where[i], OFFSETS[11] + 3 * near[i] + where[i]]
             if tree.text[i] is not None:
                 own += [OFFSETS[5] + (tree.text[i][-1] in ".!?…:;\"”»。！？"), OFFSETS[6] + min(3, tree.text[i].count(",") + tree.text[i].count(". "))]
             nodes += [base + i] * len(own)
             features += own
     depths = np.array(depth, np.int64)
-    levels = [np.flatnonzero(depths == d) for d in range(int(depths.max()) + 1)] if len(depths) else []
-    return Forest(np.array(parent, np.int64), levels, np.array(group, np.int64), np.array(nodes, np.int64), np.array(features, np.int64), sorted(runs, key=lambda r: r[:2]))
+    levels = np.split(np.argsort(depths, kind="stable"), np.cumsum(np.bincount(depths))[:-1]) if len(depths) else []
+    slot = np.zeros(len(depths), np.int64)
+    for at in levels:
+        slot[at] = np.arange(len(at))
+    return Forest(np.array(parent, np.int64), levels, slot, np.array(group, np.int64), np.array(nodes, np.int64), np.array(features, np.int64), sorted(runs, key=lambda r: r[:2]))
 
 
 def _normal(x: np.ndarray) -> np.ndarray:
@@ -230,12 +279,12 @@ def marginals(f: Forest, weights: np.ndarray, edges: np.ndarray) -> tuple[np.nda
         own[:, s] = np.bincount(f.node, weights=weights[f.feature, s], minlength=n)
     pair = edges[f.group]
     up, inside = np.zeros((n, 2)), own.copy()
-    for at in reversed(f.levels[1:]):
+    for above, at in reversed(list(zip(f.levels, f.levels[1:]))):
         x = pair[at] + inside[at][:, None, :]
         top = x.max(axis=2)
         up[at] = top + np.log(np.exp(x - top[:, :, None]).sum(axis=2))
         for s in (0, 1):
-            inside[:, s] += np.bincount(f.parent[at], weights=up[at, s], minlength=n)
+            inside[above, s] += np.bincount(f.slot[f.parent[at]], weights=up[at, s], minlength=len(above))
     belief = inside.copy()
     joint = np.full((n, 2, 2), 0.0)
     for at in f.levels[1:]:
@@ -252,9 +301,9 @@ def marginals(f: Forest, weights: np.ndarray, edges: np.ndarray) -> tuple[np.nda
 MARK = re.compile(r"q\d+([gb])q ?")
 
 
-def _labelled(seed: int) -> tuple[Tree, list[int]]:
+def _labelled(seed: int, unknown: float = 0.25) -> tuple[Tree, list[int]]:
     """A training page's tree and the state of each of its nodes: an element is content if most of its text is."""
-    tree = parse(Page(seed).html())
+    tree = parse(Page(seed, unknown).html())
     n = len(tree.parent)
     good, total = np.zeros(n), np.zeros(n)
     for i in range(n - 1, -1, -1):

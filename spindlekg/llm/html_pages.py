@@ -8,25 +8,26 @@ from __future__ import annotations
 import random
 
 SYLLABLES = ("ka", "to", "mi", "re", "lun", "sor", "ve", "da", "pil", "no", "gra", "esh", "ur", "tin", "bo", "cal", "é", "ü", "ña", "ost")
-#: Class and id names as web pages use them; fixed values.
+#: Class and id names as web pages in English, German, French and Spanish use them; fixed values.
 NAMES = {
-    "nav": ("nav", "menu", "navbar", "main-nav", "site-menu", "breadcrumbs", "breadcrumb", "topnav", "pagination", "toc"),
-    "head": ("header", "site-header", "masthead", "top", "page-header", "branding"),
-    "foot": ("footer", "site-footer", "colophon", "bottom", "copyright", "legal"),
-    "side": ("sidebar", "aside", "widget", "side", "rail", "related", "recommended", "tags", "popular", "author-box"),
-    "ad": ("ad", "ads", "advert", "advertisement", "banner", "sponsored", "promo", "ad-slot", "sponsor"),
-    "note": ("cookie-notice", "cookie", "notice", "consent", "alert", "gdpr", "popup", "modal", "newsletter", "subscribe", "disclaimer", "share", "social"),
-    "form": ("form", "search", "search-form", "login", "signup", "contact-form"),
-    "talk": ("comments", "comment", "comment-list", "responses", "replies", "discussion", "comments-area", "reader-comments"),
-    "body": ("content", "article", "post", "entry-content", "main", "story", "article-body", "post-content", "text", "body-text"),
+    "nav": ("nav", "menu", "navbar", "main-nav", "site-menu", "breadcrumbs", "breadcrumb", "topnav", "pagination", "toc", "navigation", "hauptmenue", "navegacion", "menue", "brotkrumen", "menu-principal"),
+    "head": ("header", "site-header", "masthead", "top", "page-header", "branding", "kopfzeile", "kopf", "entete", "en-tete", "cabecera", "encabezado"),
+    "foot": ("footer", "site-footer", "colophon", "bottom", "copyright", "legal", "fusszeile", "fussbereich", "impressum", "pied", "pied-de-page", "pie", "pie-de-pagina"),
+    "side": ("sidebar", "aside", "widget", "side", "rail", "related", "recommended", "tags", "popular", "author-box", "seitenleiste", "randspalte", "barre-laterale", "lateral", "barra-lateral", "articles-lies", "relacionados"),
+    "ad": ("ad", "ads", "advert", "advertisement", "banner", "sponsored", "promo", "ad-slot", "sponsor", "werbung", "anzeige", "publicite", "pub", "publicidad", "anuncio"),
+    "note": ("cookie-notice", "cookie", "notice", "consent", "alert", "gdpr", "popup", "modal", "newsletter", "subscribe", "disclaimer", "share", "social", "hinweis", "meldung", "avis", "avertissement", "aviso", "notificacion"),
+    "form": ("form", "search", "search-form", "login", "signup", "contact-form", "suche", "anmeldung", "formular", "recherche", "formulaire", "connexion", "buscar", "formulario"),
+    "talk": ("comments", "comment", "comment-list", "responses", "replies", "discussion", "comments-area", "reader-comments", "kommentare", "leserkommentare", "commentaires", "commentaire", "comentarios", "comentario", "opiniones"),
+    "body": ("content", "article", "post", "entry-content", "main", "story", "article-body", "post-content", "text", "body-text", "inhalt", "artikel", "beitrag", "contenu", "texte", "contenido", "articulo", "cuerpo"),
 }
 
 
 class Page:
-    """html, and in order the words of each labelled piece of text."""
+    """html, and in order the words of each labelled piece of text. unknown: the share of names that are made up, so that
+    structure has to tell."""
 
-    def __init__(self, seed: int):
-        self.rng = random.Random(seed)
+    def __init__(self, seed: int, unknown: float = 0.25):
+        self.rng, self.unknown = random.Random(seed), unknown
         self.out: list[str] = []
         self.content: set[str] = set()
         self.n = 0
@@ -47,7 +48,7 @@ class Page:
         return f"{mark} {text}"
 
     def names(self, kind: str) -> str:
-        name = self.rng.choice(NAMES[kind])
+        name = self.word() + self.word() if self.rng.random() < self.unknown else self.rng.choice(NAMES[kind])
         return self.rng.choice((f' class="{name}"', f' id="{name}"', f' class="x {name} wide"', f' id="{name}" class="box"'))
 
     def links(self, many: int) -> str:
