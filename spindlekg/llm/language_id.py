@@ -7,7 +7,7 @@ piece counts of each training word, Spark adds them up, and the driver only sees
 
 Edges, all tested: null text and text without a letter give `und` with score 0.0; an empty table gives no rows; repeated
 rows each give a row; ties go to the label that sorts first; with no usable label every text gives `und`. Words of any
-length are scored whole. Extra columns of the input are not read and not returned.
+length are counted and scored whole. Extra columns of the input are not read and not returned.
 """
 
 from __future__ import annotations
@@ -36,8 +36,9 @@ from .common import hash_share, materialize, trimmed
 UNKNOWN = "und"
 #: Words up to this many bytes are summed as they are, words of one length together; longer ones one by one.
 SHORT_WORD = 24
-#: Training words of more bytes count as runs of at most so many, cut between characters. Scoring takes words whole.
-TRAINED_RUN = 96
+#: Training words of up to so many bytes are counted together, those of one length at a time; longer ones one by one, in
+#: blocks of so many bytes. The sums are the same.
+LONG_WORD, COUNT_BLOCK = 256, 1 << 16
 #: Words whose scores a worker holds, and the bytes that these scores take at most, whatever the number of labels.
 CACHED_WORDS, CACHED_BYTES = 200_000, 16 << 20
 WORD = re.compile(r"[^\W\d_]+")
@@ -134,20 +135,6 @@ def word_scores(words: list[bytes], p: np.ndarray, vocabulary: Vocabulary) -> np
     return out
 
 
-def runs(word: bytes, most: int) -> list[bytes]:
-    """The word in even runs of at most `most` bytes (or a few more, where a character is longer), none within a character."""
-    parts, at = -(-len(word) // most), 0
-    out = []
-    for i in range(1, parts + 1):
-        end = len(word) * i // parts
-        while end < len(word) and word[end] & 0xC0 == 0x80:
-            end += 1
-        if end > at:
-            out.append(word[at:end])
-        at = max(at, end)
-    return out
-
-
 def _long_counts(words: list[bytes], weights: np.ndarray, p: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
     """Expected uses of each piece in words of one length, by forward and backward sums in logarithms."""
     n, m, none = len(words[0]), len(words), len(vocabulary)
@@ -168,14 +155,60 @@ def _long_counts(words: list[bytes], weights: np.ndarray, p: np.ndarray, vocabul
     return total
 
 
+def _log_sum(values: list[float]) -> float:
+    top = max(values)
+    return top + math.log(sum(math.exp(v - top) for v in values))
+
+
+def _whole_word_counts(word: bytes, logs: list[float], vocabulary: Vocabulary, block: int = COUNT_BLOCK) -> dict[int, float]:
+    """Expected uses of each piece in one word of any length. Forward sums are kept where blocks begin, and made again
+    block by block for the backward pass, so only a block's sums are held."""
+    text, n, span = word.decode("latin-1"), len(word), vocabulary.longest
+    minus = -math.inf
+
+    def forward(start: int, stop: int, before: list[float]) -> list[float]:
+        """Sums up to start + 1 .. stop, behind those up to the `span` places before."""
+        sums = list(before)
+        matches = ((end + 1, piece) for end, piece in vocabulary.machine.iter(text, max(0, start - span + 1), stop) if end >= start)
+        for _, ending in groupby(matches, key=itemgetter(0)):
+            sums.append(_log_sum([sums[-size] + logs[i] for _, (size, i) in ending]))
+        return sums
+
+    starts = list(range(0, n, block))
+    marks = [[minus] * (span - 1) + [0.0]]
+    for start in starts:
+        marks.append(forward(start, min(n, start + block), marks[-1])[-span:])
+    whole, after = marks[-1][-1], [0.0] + [minus] * (span - 1)  # sums from n on, and of the places behind
+    found: dict[int, float] = {}
+    for at, start in reversed(list(enumerate(starts))):
+        stop = min(n, start + block)
+        sums = forward(start, stop, marks[at])[span - 1 :]  # up to start, start + 1, ...
+        begin: list[list[tuple[int, int]]] = [[] for _ in range(stop - start)]
+        for end, (size, i) in vocabulary.machine.iter(text, start, min(n, stop + span)):
+            if end + 1 - size < stop:
+                begin[end + 1 - size - start].append((size, i))
+        back = [minus] * (stop - start) + after
+        for i in range(stop - start - 1, -1, -1):
+            steps = [(piece, logs[piece] + back[i + size]) for size, piece in begin[i]]
+            back[i] = _log_sum([x for _, x in steps])
+            for piece, x in steps:
+                found[piece] = found.get(piece, 0.0) + math.exp(sums[i] + x - whole)
+        after = back[:span]
+    return found
+
+
 def expected_counts(words: list[bytes], weights: np.ndarray, p: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
-    """Expected uses of each piece over all segmentations of the weighted words; p: one label's probabilities. Words of
-    over TRAINED_RUN bytes count as their runs."""
+    """Expected uses of each piece over all segmentations of the weighted words; p: one label's probabilities."""
     total = np.zeros(len(vocabulary) + 1)
     by_length: dict[int, list[tuple[bytes, float]]] = {}
+    logs: list[float] = []
     for w, weight in zip(words, weights.tolist(), strict=True):
-        for part in runs(w, TRAINED_RUN) if len(w) > TRAINED_RUN else (w,):
-            by_length.setdefault(len(part), []).append((part, weight))
+        if len(w) <= LONG_WORD:
+            by_length.setdefault(len(w), []).append((w, weight))
+            continue
+        logs = logs or [math.log(x) if x > 0 else -math.inf for x in p.tolist()]
+        for piece, n in _whole_word_counts(w, logs, vocabulary).items():
+            total[piece] += weight * n
     column = p.reshape(-1, 1)
     for n, every in by_length.items():
         for start in range(0, len(every), 4096 if n <= SHORT_WORD else 1024):

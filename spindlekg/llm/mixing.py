@@ -26,9 +26,10 @@ from pyspark.sql import functions as F
 from .common import fresh, hash_share, materialize
 
 BUCKETS = 4_096
-#: Words of one text depend on each other, so a naive sum is far too sure of a long one: by default, a text's evidence
-#: counts as that of so many words at most. None adds up every word's.
-EVIDENCE_WORDS = 256
+#: How alike the words of one text are in what they tell of its domain, as a correlation. A naive sum over n words that
+#: depend on each other is far too sure: it counts as that of n / (1 + (n - 1) c) independent ones, by one rule for texts of
+#: any length. 0 adds up every word's.
+DEPENDENCE = 1 / 256
 ONLY = "all"
 
 
@@ -74,15 +75,15 @@ def _adder(odds: Column):
     return lambda total, bucket: total + F.get(odds, bucket)
 
 
-def with_posteriors(docs: DataFrame, model: DomainModel, text: Column, tokens: str = "__tokens", posterior: str = "__p", evidence_words: int | None = EVIDENCE_WORDS) -> DataFrame:
+def with_posteriors(docs: DataFrame, model: DomainModel, text: Column, tokens: str = "__tokens", posterior: str = "__p", dependence: float = DEPENDENCE) -> DataFrame:
     """docs with two more columns: the number of words, and an array of each domain's probability. No shuffle. The two
-    names must be new; every column of docs stays. evidence_words: see EVIDENCE_WORDS."""
+    names must be new; every column of docs stays. dependence: see DEPENDENCE."""
     if {tokens.lower(), posterior.lower()} & {c.lower() for c in docs.columns}:
         raise ValueError(f"docs already has a column {tokens} or {posterior}")
     buckets, powers = fresh(docs, "__buckets", "__powers")
     table = lambda row: F.split(F.lit(",".join(f"{x:.5f}" for x in row)), ",").cast("array<double>")  # noqa: E731  folded to a constant
     found = docs.withColumn(buckets, F.transform(words(text), _bucket)).withColumn(tokens, F.size(buckets).cast("long"))
-    calm = F.lit(1.0) if evidence_words is None else F.least(F.lit(1.0), F.lit(float(evidence_words)) / F.greatest(F.col(tokens), F.lit(1)))
+    calm = F.lit(1.0) / (F.lit(1.0) + F.lit(float(dependence)) * (F.greatest(F.col(tokens), F.lit(1)) - 1))
     scores = [F.lit(float(model.log_shares[0]))]
     for share, row in zip(model.log_shares[1:], model.log_odds[1:], strict=True):
         scores.append(F.lit(float(share)) + calm * F.aggregate(buckets, F.lit(0.0), _adder(table(row))))

@@ -54,14 +54,36 @@ def test_long_words_count_the_same_way(toy, monkeypatch):
     assert np.allclose(li.expected_counts(words, weights, p[:, 1], vocabulary), want)
 
 
+@pytest.mark.parametrize("block", [3, 8, 1 << 16])
+def test_words_counted_in_blocks_count_the_same_way(toy, block):
+    vocabulary, p = toy
+    for word in (b" abc", b" abcdabcdab", b" abcdab" * 9, b" " + b"d" * 40, b"a"):
+        found = np.zeros(len(vocabulary) + 1)
+        for piece, n in li._whole_word_counts(word, np.log(p[:, 1], where=p[:, 1] > 0, out=np.full(len(p), -np.inf)).tolist(), vocabulary, block).items():
+            found[piece] = n
+        assert np.allclose(found, li.expected_counts([word], np.array([1.0]), p[:, 1], vocabulary))
+
+
+def test_a_training_word_of_a_thousand_bytes_counts_as_brute_force(toy):
+    """Against counts that come from the change of the whole sum with each piece's probability."""
+    vocabulary, p = toy
+    word, column = b" abcdab" * 150, p[:, 1]
+    counts = li.expected_counts([word], np.array([1.0]), column, vocabulary)
+    for piece in range(len(vocabulary)):
+        moved = [column.copy(), column.copy()]
+        moved[0][piece] *= 1 + 1e-5
+        moved[1][piece] *= 1 - 1e-5
+        scores = [li._long_score(word, m.reshape(-1, 1), vocabulary)[0] for m in moved]
+        assert counts[piece] == pytest.approx((scores[0] - scores[1]) / 2e-5, rel=1e-4, abs=1e-4)
+
+
 def test_no_training_word_is_left_out():
     vocabulary = li.pieces(PATH)
     p = np.append(np.full(len(vocabulary), 1 / len(vocabulary)), 0)
     size = np.array([len(x) for x in vocabulary.ids] + [0])
-    for word in (" もうすぐ着きます", " Donaudampfschifffahrtsgesellschaft", " " + "ภาษาไทย" * 40, " " + "x" * 1000):
+    for word in (" もうすぐ着きます", " Donaudampfschifffahrtsgesellschaft", " " + "ภาษาไทย" * 40, " " + "x" * 1000, " " + "ภาษาไทย" * 9000):
         counts = li.expected_counts([word.encode()], np.array([2.0]), p, vocabulary)
-        assert math.isclose(counts @ size, 2 * len(word.encode()), rel_tol=1e-9)  # every byte is covered once
-    assert b"".join(li.runs(("é日" * 99).encode(), 7)).decode() == "é日" * 99 and all(r.decode() for r in li.runs(("é日" * 99).encode(), 7))
+        assert math.isclose(counts @ size, 2 * len(word.encode()), rel_tol=1e-6)  # every byte is covered once
     assert vocabulary.longest > 30
 
 

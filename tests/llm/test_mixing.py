@@ -60,14 +60,15 @@ def test_held_out_accuracy(spark):
     assert {r.d: r.right / r.n for r in found}["good"] > 0.9
 
 
-def test_evidence_of_long_texts(spark):
-    """By default a text's words count as so many at most; without that, every word adds up, whatever the length."""
+def test_evidence_by_one_rule_for_every_length(spark):
+    """A text's words count as so many independent ones as their dependence leaves; without it every word adds up."""
     m = mixing.DomainModel(("a", "b"), np.log([0.5, 0.5]), np.array([np.zeros(mixing.BUCKETS), np.full(mixing.BUCKETS, 0.01)]))
-    df = spark.createDataFrame([(n, "w " * n) for n in (1, 256, 257, 1000, 20_000)], "n int, text string")
+    sizes = (1, 2, 200, 256, 257, 1000, 20_000)
+    df = spark.createDataFrame([(n, "w " * n) for n in sizes], "n int, text string")
     p = lambda **o: [r["__p"][1] for r in mixing.with_posteriors(df, m, F.col("text"), **o).orderBy("n").collect()]
     sure = lambda n: 1 / (1 + np.exp(-0.01 * n))
-    assert np.allclose(p(), [sure(n) for n in (1, 256, 256, 256, 256)], atol=1e-6)
-    assert np.allclose(p(evidence_words=None), [sure(n) for n in (1, 256, 257, 1000, 20_000)], atol=1e-6)
+    assert np.allclose(p(), [sure(n / (1 + (n - 1) / 256)) for n in sizes], atol=1e-6)
+    assert np.allclose(p(dependence=0), [sure(n) for n in sizes], atol=1e-6)
 
 
 def test_plan_runs_no_python(spark):
