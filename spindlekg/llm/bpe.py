@@ -1,9 +1,10 @@
 """Byte-level BPE encoding and decoding with the tiktoken library and a local rank file.
 
 Long texts are cut where the splitting pattern always has a match boundary, so that the pieces' ids, one after the
-other, are the whole text's: before a space or line break that follows a letter or digit (no match holds white space
-after anything else), and before the last white space of a run that a letter or digit follows (the pattern leaves that
-one to the next match). A run of LONG_RUN white spaces or more, less its last one if anything follows, is one match;
+other, are the whole text's. A match of the pattern is white space alone, or one space and no more of it, or begins with a
+letter, number or sign and goes on with its kind. So there is a boundary before a space or line break that follows
+anything but white space, in any script; before the last of several that something follows (the pattern leaves that one to
+the next match); and, for scripts without spaces, between a letter and a sentence's punctuation. A run of LONG_RUN white spaces or more, less its last one if anything follows, is one match;
 it is encoded as such without the pattern, whose engine recurses over runs. Decoding gives raw bytes, so ids that cut a
 character are no loss.
 
@@ -28,7 +29,9 @@ from .common import trimmed
 
 #: Characters of a text that are encoded at once, about.
 AT_ONCE = 50_000
-BOUNDARY = re.compile(r"(?<=[0-9A-Za-z])(?=[ \n])|(?<=[ \n])(?=[ \n][0-9A-Za-z])")
+#: Letters of blocks that are letters throughout, in every version of Unicode that the engines know.
+LETTERS = "A-Za-z\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
+BOUNDARY = re.compile(rf"(?<=\S)(?=[ \n])|(?<=[ \n])(?=[ \n]\S)|(?<=[{LETTERS}])(?=[,.;:!?\u3001\u3002\uff0c\uff01\uff1f\uff1b\uff1a])")
 
 #: Unicode's white space, as the pattern's engine has it (Python's own class has four control characters more).
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"

@@ -93,12 +93,22 @@ class _Forest:
             x = self.parent[x]
         return x
 
+    def roots(self) -> np.ndarray:
+        found = np.array(self.parent)
+        while (above := found[found]).tobytes() != found.tobytes():
+            found = above
+        return found
+
     def join(self, a: int, b: int) -> bool:
         a, b = self.root(a), self.root(b)
         self.parent[max(a, b)] = min(a, b)
         return a != b
 
 
+#: Links that are tried one by one before those that they made needless are dropped.
+STEPS = 8192
+
+
 def tile_links(left: np.ndarray, right: np.ndarray | None, radius: int) -> list[tuple[int, int]]:
     """Links (distance of radius or less) within a tile (right: None) or between two, as pairs of fingerprints.
 
@@ -146,7 +156,13 @@ def tile_links(left: np.ndarray, right: np.ndarray | None, radius: int) -> list[
     shift = 0 if right is None else len(rows)
 
     def take(i: np.ndarray, j: np.ndarray) -> None:
-        links.extend((int(rows[x]), int(columns[y])) for x, y in zip(i.tolist(), j.tolist(), strict=True) if forest.join(x, y + shift))
+        """The links, in order, that join what was apart. Those within a group that is joined go without a step each."""
+        while len(i):
+            roots = forest.roots()
+            apart = roots[i] != roots[j + shift]
+            i, j = i[apart], j[apart]
+            links.extend((int(rows[x]), int(columns[y])) for x, y in zip(i[:STEPS].tolist(), j[:STEPS].tolist(), strict=True) if forest.join(x, y + shift))
+            i, j = i[STEPS:], j[STEPS:]
 
     if held is not None:
         if held:

@@ -85,3 +85,22 @@ def test_edges(edges, nothing):
     assert len(found) == edges.count() and {r.n_tokens for r in found if r.doc_id in (1, 2)} == {0}
     assert {r.doc_id: bytes(r.decoded).decode() for r in found}[8] == "日本語テキスト。123 <s>"
     assert bpe.round_trip(nothing, F.col("text"), PATH, PATTERN, {}).count() == 0
+
+
+@pytest.mark.parametrize("text, least", [("привет мир это текст " * 30_000, 8), ("日本語の文章です。" * 60_000, 8), ("ελληνικά και άλλα\n" * 30_000, 8), ("한국어 문장입니다. " * 40_000, 8)])
+def test_long_texts_of_any_script_are_cut(text, least):
+    assert len(list(bpe.pieces(text))) >= least
+    assert bpe.encode(text, PATH, PATTERN) == bpe.encoding(PATH, PATTERN).encode_ordinary(text)
+
+
+def test_cuts_are_match_boundaries():
+    import random
+
+    rnd, coder, cuts = random.Random(5), bpe.encoding(PATH, PATTERN), 0
+    alphabet = "ab Zé  \n\n\tж日本。，.!?'s_-0９٣ᾴᲀ\x1c　 ́中かガ한"
+    for _ in range(2000):
+        text = "".join(rnd.choices(alphabet, k=rnd.randint(1, 60)))
+        parts = list(bpe.pieces(text, 3))
+        cuts += len(parts) - 1
+        assert "".join(parts) == text and [i for p in parts for i in coder.encode_ordinary(p)] == coder.encode_ordinary(text)
+    assert cuts > 3000

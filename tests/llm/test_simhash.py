@@ -189,3 +189,29 @@ def test_near_duplicates_of_one_fingerprint_in_a_chain(spark):
     assert len({reference(t, 3) for t in texts}) == 1
     assert sorted(alike(made)) == [(2, 0), (2, 1)]
     assert kept_ids(spark, made) == [1]
+
+
+def test_links_within_a_joined_group_cost_no_step_each():
+    """A forest of a set in which nearly all are linked, equal to that of one link after the other."""
+    rng = np.random.default_rng(1)
+    bits = {tuple(sorted(rng.integers(0, 30, 2).tolist())) for _ in range(2000)}
+    prints = np.array(sorted({0x123456789ABCDEF ^ (1 << a) ^ (1 << b) for a, b in bits if a != b}), np.uint64)
+    for radius in (2, 4):
+        found = simhash.tile_links(prints, None, radius)
+        by_count = sorted(range(len(prints)), key=lambda i: (int(prints[i]).bit_count(), int(prints[i])))
+        order = [int(prints[i]) for i in by_count]
+        links = sorted((d, i, j) for i in range(len(order)) for j in range(i + 1, len(order)) if (d := (order[i] ^ order[j]).bit_count()) <= radius)
+        root = list(range(len(order)))
+
+        def top(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        want = []
+        for _, i, j in links:
+            a, b = top(i), top(j)
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                want.append((order[i], order[j]))
+        assert found == want
