@@ -220,7 +220,7 @@ def _(t):
 @query("n7_merge_entities", f"""WITH every AS (SELECT doc_id, chunk_no, text, type, 0 AS rank, seq FROM fx_entities UNION ALL SELECT doc_id, chunk_no, text, 'MechanicalProperty', 1, seq FROM ({PROPERTY_ENTITIES}) UNION ALL SELECT doc_id, chunk_no, text, 'HeatTreatmentProcess', 2, seq FROM ({PROCESS_ENTITIES}))
 SELECT doc_id, chunk_no, text, type, CAST(rank AS BIGINT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, chunk_no, text, type ORDER BY rank, seq) AS nth FROM every) WHERE rank = 0 OR nth = 1""")
 def _(t):
-    chunks = t("fx_chunks")
+    chunks = materialize(t("fx_chunks"))
     merged = entities.merge_entities(t("fx_entities"), entities.extract_property_entities(chunks), entities.extract_process_entities(chunks))
     return _long(merged.select("doc_id", "chunk_no", "text", "type", "rank"), "rank")
 
@@ -238,13 +238,15 @@ RULE_TREATMENTS = f"SELECT h.doc_id, h.para_no, h.chunk_no, lower(trim(l.text))
 RULES = f"SELECT * FROM ({RULE_PROPERTIES}) UNION ALL SELECT * FROM ({RULE_TREATMENTS})"
 
 
-def _links(t):
-    return relations.link_entities_to_chunks(t("fx_chunks"), t("fx_entities"))
+def _links(t, chunks=None):
+    return relations.link_entities_to_chunks(t("fx_chunks") if chunks is None else chunks, t("fx_entities"))
 
 
-def _rules(t, links=None):
-    links = _links(t) if links is None else links
-    return relations.rule_property_relations(t("fx_chunks"), links).unionByName(relations.rule_treatment_relations(t("fx_chunks"), links))
+def _rules(t, links=None, chunks=None):
+    """Relations by the rules; chunks and links are read twice, so they are tables."""
+    chunks = materialize(t("fx_chunks")) if chunks is None else chunks
+    links = materialize(_links(t, chunks)) if links is None else links
+    return relations.rule_property_relations(chunks, links).unionByName(relations.rule_treatment_relations(chunks, links))
 
 
 @query("r1_link_entities_to_chunks", f"SELECT doc_id, para_no, chunk_no, text, type, entity_seq FROM ({LINKS})")
@@ -254,18 +256,21 @@ def _(t):
 
 @query("r2_rule_property_relations", f"SELECT doc_id, chunk_no, head_entity_text, tail_entity_text, relation_type, entity_seq FROM ({RULE_PROPERTIES})")
 def _(t):
-    return relations.rule_property_relations(t("fx_chunks"), _links(t)).select("doc_id", "chunk_no", "head_entity_text", "tail_entity_text", "relation_type", "entity_seq")
+    chunks = materialize(t("fx_chunks"))
+    return relations.rule_property_relations(chunks, _links(t, chunks)).select("doc_id", "chunk_no", "head_entity_text", "tail_entity_text", "relation_type", "entity_seq")
 
 
 @query("r3_rule_treatment_relations", f"SELECT doc_id, chunk_no, head_entity_text, tail_entity_text, relation_type, entity_seq FROM ({RULE_TREATMENTS})")
 def _(t):
-    return relations.rule_treatment_relations(t("fx_chunks"), _links(t)).select("doc_id", "chunk_no", "head_entity_text", "tail_entity_text", "relation_type", "entity_seq")
+    chunks = materialize(t("fx_chunks"))
+    return relations.rule_treatment_relations(chunks, _links(t, chunks)).select("doc_id", "chunk_no", "head_entity_text", "tail_entity_text", "relation_type", "entity_seq")
 
 
 @query("r4_route_to_model", f"WITH e AS (SELECT doc_id, para_no, chunk_no, count(*) AS n_entities FROM ({LINKS}) GROUP BY ALL), r AS (SELECT doc_id, para_no, chunk_no, count(*) AS n FROM ({RULES}) GROUP BY ALL) SELECT e.doc_id, e.chunk_no, e.n_entities, coalesce(r.n, 0) AS n_relations FROM e LEFT JOIN r USING (doc_id, para_no, chunk_no) WHERE coalesce(r.n, 0) < e.n_entities / 2")
 def _(t):
-    links = materialize(_links(t))
-    return relations.route_to_model(links, _rules(t, links)).select("doc_id", "chunk_no", "n_entities", "n_relations")
+    chunks = materialize(t("fx_chunks"))
+    links = materialize(_links(t, chunks))
+    return relations.route_to_model(links, _rules(t, links, chunks)).select("doc_id", "chunk_no", "n_entities", "n_relations")
 
 
 @query("r5_build_re_prompts", f"SELECT doc_id, chunk_no, replace(replace('{RE_TEMPLATE}', '{{text_segment}}', any_value(chunk_text)), '{{entities_list}}', string_agg('- ' || text || ' (' || type || ')', chr(10) ORDER BY entity_seq)) AS prompt FROM ({LINKS}) GROUP BY doc_id, para_no, chunk_no".replace("\n", "' || chr(10) || '") if "\n" in RE_TEMPLATE else None)
