@@ -60,19 +60,27 @@ def spread_join(many: DataFrame, few: DataFrame, key: str, heavy: DataFrame | No
 STRETCH = 4096
 
 
-def running_sum(df: DataFrame, keys: Sequence[str], stretch: str, order: Sequence[str], value: Column, name: str) -> DataFrame:
+def place_of(keys: Sequence[str], stretch: str) -> Column:
+    """Where running_sum sorts a row: its keys and stretch, as a struct, which is never null, so that joins keep null keys."""
+    return F.struct(*quoted(*keys, stretch))
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], stretch: str, order: Sequence[str], value: Column, name: str, place: str | None = None) -> DataFrame:
     """df with `name`: the sum of value over the rows of the keys so far, in the order of stretch and then of `order`.
 
     Sums run within each stretch, and what stretches add up to runs over them, so rows of one key are sorted in as many
-    tasks as it has stretches, and only a row per stretch meets in one. Null keys are keys like others."""
-    place, before = fresh(df, "__place", "__before")
-    inner = Window.partitionBy(place).orderBy(*order)
-    # a struct is never null, so the join below keeps null keys, and its partitioning is the window's
-    within = df.withColumn(place, F.struct(*quoted(*keys, stretch))).withColumn(name, F.sum(value).over(inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    ends = within.groupBy(place).agg(F.sum(value).alias(before))
-    earlier = Window.partitionBy(*[F.col(f"{place}.`{k}`") for k in keys]).orderBy(F.col(f"{place}.`{stretch}`"))
-    offsets = ends.select(place, F.coalesce(F.sum(before).over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(before))
-    return within.join(offsets, place).withColumn(name, F.col(name) + F.col(before)).drop(place, before)
+    tasks as it has stretches, and only a row per stretch meets in one. Null keys are keys like others. place: a column of
+    df that has place_of them, and stays, so that several steps share one shuffle."""
+    own, before = fresh(df, "__place", "__before")
+    at = place or own
+    inner = Window.partitionBy(at).orderBy(*order)
+    placed = df if place else df.withColumn(at, place_of(keys, stretch))
+    within = placed.withColumn(name, F.sum(value).over(inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    ends = within.groupBy(at).agg(F.sum(value).alias(before))
+    earlier = Window.partitionBy(*[F.col(f"{at}.`{k}`") for k in keys]).orderBy(F.col(f"{at}.`{stretch}`"))
+    offsets = ends.select(at, F.coalesce(F.sum(before).over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(before))
+    found = within.join(offsets, at).withColumn(name, F.col(name) + F.col(before)).drop(before)
+    return found if place else found.drop(at)
 
 
 def before(df: DataFrame, keys: Sequence[str], stretch: str, order: Sequence[str], value: Column, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.rows import fresh, running_sum
+from ..functions.rows import fresh, place_of, running_sum
 from ..functions.text import collapse_spaces, is_blank, let, utrim
 
 
@@ -55,12 +55,21 @@ def assemble_blocks(spans: DataFrame) -> DataFrame:
     return blocks.withColumn("text", utrim(_joined(F.transform("lines", lambda x: x["text"]), False))).drop("lines").where("text <> ''")
 
 
+#: Where a block is sorted: its document and page, one shuffle for all steps (see running_sum).
+PLACE = "__place"
+
+
+def _ordered(blocks: DataFrame) -> DataFrame:
+    whole = blocks.where(F.col("page").isNotNull() & F.col("y0").isNotNull() & F.col("y1").isNotNull() & F.col("page_height").isNotNull() & ~is_blank(F.col("text")))
+    placed = whole.withColumn("text", utrim("text")).withColumn(PLACE, place_of(["doc_id"], "page"))
+    counted = running_sum(placed, ["doc_id"], "page", ["y0", "block_no"], F.lit(1), "reading_order", PLACE)
+    return counted.withColumn("reading_order", F.col("reading_order").cast("int"))
+
+
 def order_blocks(blocks: DataFrame) -> DataFrame:
     """Blocks that are complete, with `reading_order` from 1: page, then top, then block number. Blocks are sorted within
     pages; of a document only the pages' counts meet."""
-    whole = blocks.where(F.col("page").isNotNull() & F.col("y0").isNotNull() & F.col("y1").isNotNull() & F.col("page_height").isNotNull() & ~is_blank(F.col("text")))
-    counted = running_sum(whole.withColumn("text", utrim("text")), ["doc_id"], "page", ["y0", "block_no"], F.lit(1), "reading_order")
-    return counted.withColumn("reading_order", F.col("reading_order").cast("int"))
+    return _ordered(blocks).drop(PLACE)
 
 
 def drop_header_footer(blocks: DataFrame, ratio: float = 0.05) -> DataFrame:
@@ -68,13 +77,17 @@ def drop_header_footer(blocks: DataFrame, ratio: float = 0.05) -> DataFrame:
     return blocks.where((F.col("y0") >= F.col("page_height") * ratio) & (F.col("y1") <= F.col("page_height") * (1 - ratio)))
 
 
+def _marked(placed: DataFrame, gap_ratio: float) -> DataFrame:
+    (starts,) = fresh(placed, "__starts")
+    bottom = F.lag("y1").over(Window.partitionBy(PLACE).orderBy("reading_order"))
+    marked = placed.withColumn(starts, F.coalesce(F.col("y0") - bottom > F.col("page_height") * gap_ratio, F.lit(True)).cast("int"))
+    return running_sum(marked, ["doc_id"], "page", ["reading_order"], F.col(starts), "para_no", PLACE).drop(starts, PLACE)
+
+
 def mark_paragraphs(blocks: DataFrame, gap_ratio: float = 0.01) -> DataFrame:
     """Ordered blocks with `para_no` from 1: a paragraph starts on a new page or after a gap of over gap_ratio pages. As a
     page starts one, what was before matters within pages only, and of a document only the pages' counts meet."""
-    (starts,) = fresh(blocks, "__starts")
-    bottom = F.lag("y1").over(Window.partitionBy("doc_id", "page").orderBy("reading_order"))
-    marked = blocks.withColumn(starts, F.coalesce(F.col("y0") - bottom > F.col("page_height") * gap_ratio, F.lit(True)).cast("int"))
-    return running_sum(marked, ["doc_id"], "page", ["reading_order"], F.col(starts), "para_no").drop(starts)
+    return _marked(blocks.withColumn(PLACE, place_of(["doc_id"], "page")), gap_ratio)
 
 
 def merge_paragraphs(blocks: DataFrame) -> DataFrame:
@@ -89,8 +102,8 @@ def merge_paragraphs(blocks: DataFrame) -> DataFrame:
 
 
 def paragraphs(blocks: DataFrame, margin: float = 0.05, gap_ratio: float = 0.01) -> DataFrame:
-    """All steps from blocks to paragraphs."""
-    return merge_paragraphs(mark_paragraphs(drop_header_footer(order_blocks(blocks), margin), gap_ratio))
+    """All steps from blocks to paragraphs: a shuffle by page, and one by paragraph."""
+    return merge_paragraphs(_marked(drop_header_footer(_ordered(blocks), margin), gap_ratio))
 
 
 def nest_document(paragraphs: DataFrame, title: str = "正文") -> DataFrame:
