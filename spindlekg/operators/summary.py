@@ -69,9 +69,8 @@ def overall_summary(summary: DataFrame) -> DataFrame:
 def top_kinds(counts: DataFrame, key: str, k: int) -> tuple[DataFrame, DataFrame]:
     """(the k kinds with the most rows, ties by name, as key and n; one row with `kinds` and `n` of all the others)."""
     kept = counts.orderBy(F.desc("n"), key).limit(k)
-    every = counts.agg(F.count("*").alias("kinds"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    held = kept.agg(F.count("*").alias("held_kinds"), F.coalesce(F.sum("n"), F.lit(0)).alias("held_n"))
-    return kept, every.crossJoin(held).select((F.col("kinds") - F.col("held_kinds")).alias("kinds"), (F.col("n") - F.col("held_n")).alias("n"))  # a row each
+    size = lambda df, sign: df.agg((F.count("*") * sign).alias("kinds"), (F.coalesce(F.sum("n"), F.lit(0)) * sign).alias("n"))
+    return kept, size(counts, 1).union(size(kept, -1)).agg(F.sum("kinds").alias("kinds"), F.sum("n").alias("n"))
 
 
 def kg_summary(entities: DataFrame, relations: DataFrame, log: DataFrame, k: int = 10, kinds: int = 100) -> DataFrame:
