@@ -119,7 +119,7 @@ def chain_edges(composition: DataFrame, ordered_steps: DataFrame, properties: Da
     for end in ("src", "dst"):
         listed = listed.join(known.withColumnRenamed("node", end), ["doc_id", end], "left_semi")
     listed = listed.select("doc_id", "src", "dst", "relationship", "part", "seq")
-    free = ordered_steps.join(given.select("doc_id").distinct(), "doc_id", "left_anti")
+    free = materialize(ordered_steps.join(given.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", "position", "name"))
     # positions are without gaps, so the next step is an equi-join away, and the last one is that without a next
     after = free.select("doc_id", (F.col("position") - 1).alias("position"), F.col("name").alias("next"), F.lit(True).alias("more"))
     linked = free.join(after, ["doc_id", "position"], "left")

@@ -59,17 +59,17 @@ def assemble_blocks(spans: DataFrame) -> DataFrame:
 PLACE = "__place"
 
 
-def _ordered(blocks: DataFrame) -> DataFrame:
+def _placed(blocks: DataFrame) -> DataFrame:
+    """Blocks that are complete, with their place."""
     whole = blocks.where(F.col("page").isNotNull() & F.col("y0").isNotNull() & F.col("y1").isNotNull() & F.col("page_height").isNotNull() & ~is_blank(F.col("text")))
-    placed = whole.withColumn("text", utrim("text")).withColumn(PLACE, place_of(["doc_id"], "page"))
-    counted = running_sum(placed, ["doc_id"], "page", ["y0", "block_no"], F.lit(1), "reading_order", PLACE)
-    return counted.withColumn("reading_order", F.col("reading_order").cast("int"))
+    return whole.withColumn("text", utrim("text")).withColumn(PLACE, place_of(["doc_id"], "page"))
 
 
 def order_blocks(blocks: DataFrame) -> DataFrame:
     """Blocks that are complete, with `reading_order` from 1: page, then top, then block number. Blocks are sorted within
     pages; of a document only the pages' counts meet."""
-    return _ordered(blocks).drop(PLACE)
+    counted = running_sum(_placed(blocks), ["doc_id"], "page", ["y0", "block_no"], F.lit(1), "reading_order", PLACE)
+    return counted.withColumn("reading_order", F.col("reading_order").cast("int")).drop(PLACE)
 
 
 def drop_header_footer(blocks: DataFrame, ratio: float = 0.05) -> DataFrame:
@@ -102,8 +102,11 @@ def merge_paragraphs(blocks: DataFrame) -> DataFrame:
 
 
 def paragraphs(blocks: DataFrame, margin: float = 0.05, gap_ratio: float = 0.01) -> DataFrame:
-    """All steps from blocks to paragraphs: a shuffle by page, and one by paragraph."""
-    return merge_paragraphs(_marked(drop_header_footer(_ordered(blocks), margin), gap_ratio))
+    """All steps from blocks to paragraphs: a shuffle by page, and one by paragraph. A paragraph lies within a page, so the
+    order within pages is enough here."""
+    body = drop_header_footer(_placed(blocks), margin)
+    ranked = body.withColumn("reading_order", F.row_number().over(Window.partitionBy(PLACE).orderBy("y0", "block_no")))
+    return merge_paragraphs(_marked(ranked, gap_ratio))
 
 
 def nest_document(paragraphs: DataFrame, title: str = "正文") -> DataFrame:
