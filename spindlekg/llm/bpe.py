@@ -25,7 +25,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
-from .common import trimmed
+from .common import keeps, trimmed
 
 #: Characters of a text that are encoded at once, about.
 AT_ONCE = 50_000
@@ -48,6 +48,9 @@ def encoding(path: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+keeps("byte_bpe", encoding.cache_clear)
+
+
 def pieces(text: str, at_once: int = AT_ONCE) -> Iterator[str]:
     """The text in pieces of about at_once characters, or more where it has no safe boundary."""
     start = 0
@@ -76,7 +79,7 @@ def encode(text: str | None, path: str, pattern: str) -> list[int]:
 def _round_trip(path: str, pattern: str, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoding(path, pattern)
-        for batch in trimmed(batches):
+        for batch in trimmed(batches, "byte_bpe"):
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 rows: list[tuple] = []

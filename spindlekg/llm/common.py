@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,20 +12,36 @@ from pyspark.sql import functions as F
 from ..functions.rows import fresh, heavy_keys, spread_join
 from ..sources.scratch import materialize
 
-__all__ = ["connected_components", "fresh", "hash_share", "heavy_keys", "materialize", "shuffle_partitions", "spread_join", "trimmed"]
+__all__ = ["connected_components", "fresh", "hash_share", "heavy_keys", "keeps", "materialize", "shuffle_partitions", "spread_join", "trimmed"]
 
 
 _malloc_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+#: What frees the tables that a Python worker keeps for its next tasks, by the operator that they are of.
+_free: dict[str, Callable[[], None]] = {}
 
 
-def trimmed(batches: Iterator) -> Iterator:
-    """The batches; between them, what a worker has freed goes back to the system, as workers live on for other tasks."""
+def keeps(operator: str, free: Callable[[], None]) -> None:
+    """Say how to free what workers keep for tasks of an operator."""
+    _free[operator] = free
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    if _malloc_trim is not None:
+        _malloc_trim(0)
+
+
+def trimmed(batches: Iterator, operator: str = "") -> Iterator:
+    """The batches of a task of the operator. Workers live on for other tasks: what they keep for other operators is freed
+    first, and between batches and at the end what is free goes back to the system."""
+    for other, free in _free.items():
+        if other != operator:
+            free()
+    _give_back()
     for batch in batches:
         yield batch
         del batch
-        pa.default_memory_pool().release_unused()
-        if _malloc_trim is not None:
-            _malloc_trim(0)
+        _give_back()
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

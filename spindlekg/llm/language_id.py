@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hash_share, materialize, trimmed
+from .common import hash_share, keeps, materialize, trimmed
 
 UNKNOWN = "und"
 #: Words up to this many bytes are summed as they are, words of one length together; longer ones one by one.
@@ -235,7 +235,7 @@ def _words(text: str) -> list[str]:
 
 
 def _training_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in trimmed(batches):
+    for batch in trimmed(batches, "language_id"):
         counts: Counter = Counter()
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             counts.update((label, w) for w in _words(text or ""))
@@ -270,7 +270,7 @@ def fit(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
         def count(batches: Iterator[pd.DataFrame], current: np.ndarray = current) -> Iterator[pd.DataFrame]:
             local = pieces(vocabulary)
             total: dict[str, np.ndarray] = {}
-            for batch in trimmed(batches):
+            for batch in trimmed(batches, "language_id"):
                 for label, some in batch.groupby("label"):
                     if label in labels:
                         add = expected_counts([(" " + w).encode() for w in some["word"]], some["n"].to_numpy(float), current[:, labels.index(label)], local)
@@ -302,6 +302,15 @@ def _cache(name: str, labels: int) -> tuple[dict[str, int], np.ndarray]:
     return _worker[1], _worker[2]
 
 
+def _free() -> None:
+    global _worker
+    _worker = None
+    pieces.cache_clear()
+
+
+keeps("language_id", _free)
+
+
 def _predictor(model: LanguageModel):
     name = hashlib.sha256(model.probabilities.tobytes() + "\0".join((model.vocabulary, *model.labels)).encode()).hexdigest()
 
@@ -338,7 +347,7 @@ def _predictor(model: LanguageModel):
             best = int(total.argmax())
             return model.labels[best], 1.0 / sum(math.exp(min(0.0, x)) for x in total - total[best])
 
-        for batch in trimmed(batches):
+        for batch in trimmed(batches, "language_id"):
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 words = [_words(t or "") for t in part.column("__text").to_pylist()]

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
 from .bpe import LONG_RUN, RUNS, WHOLE, pieces
-from .common import trimmed
+from .common import keeps, trimmed
 
 #: Context sizes, longest first; each divides the one before it.
 TIERS = (1024, 512, 256)
@@ -62,6 +62,9 @@ def encodings(path: str, pattern: str) -> tuple[tiktoken.Encoding, tiktoken.Enco
     return tuple(tiktoken.Encoding("packing", pat_str=p, mergeable_ranks=ranks, special_tokens={}) for p in (pattern, WHOLE))
 
 
+keeps("packing", encodings.cache_clear)
+
+
 def encode(text: str | None, path: str, pattern: str) -> np.ndarray:
     """The ids of a text and the separator."""
     split, whole = encodings(path, pattern)
@@ -173,7 +176,7 @@ def _pack(path: str, pattern: str, tiers: tuple[int, ...], group_tokens: int, st
             kinds = [kind, *[pa.int64()] * 2, pa.binary(), *[pa.int64()] * 5]
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
-        for batch in trimmed(batches):
+        for batch in trimmed(batches, "packing"):
             kind, names = batch.schema.field(1).type, [batch.schema.field(1).name, *[c.split()[0] for c in OUTPUT.split(", ")]]
             for i in range(batch.num_rows):
                 ids = encode(batch.column(0)[i].as_py(), path, pattern)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spindlekg.llm import language_id as li
 from spindlekg.llm import queries
+from spindlekg.llm.common import trimmed
 
 PATH = queries.tokenizer_path("byte_bpe_multi_50k.tiktoken")
 
@@ -127,3 +128,10 @@ def test_edges(spark, edges, nothing, small):
     assert li.predict(nothing, model, F.col("text"), {"doc_id": F.col("doc_id")}).count() == 0
     untrained = li.fit(nothing, PATH)
     assert {r.lang_pred for r in li.predict(edges, untrained, F.col("text"), {}).collect()} == {"und"}
+
+
+def test_what_a_worker_keeps_goes_with_the_next_operator():
+    li.pieces(PATH)
+    li._cache("model", 4)
+    assert list(trimmed(iter([1, 2]), "language_id")) == [1, 2] and li._worker is not None
+    assert list(trimmed(iter([1, 2]), "simhash")) == [1, 2] and li._worker is None and li.pieces.cache_info().currsize == 0
