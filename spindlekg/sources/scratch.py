@@ -6,11 +6,13 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIRS: dict[str, str] = {}
-_SCOPES: list[list[str]] = []
+#: The list of the scope that this thread is in.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,14 +29,19 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN_DIRS[app]
 
 
+def _note(path: str) -> None:
+    made = _SCOPE.get()
+    if made is not None:
+        made.append(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write df as a table in the shared folder and read it back: cuts the lineage, and outlives any executor.
 
     Tables stay until the shared folder is cleared, or the scope that they were made in is (see scope)."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/spindlekg/{uuid.uuid4().hex}"
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    _note(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -46,21 +53,21 @@ def bucketed(df: DataFrame, *keys: str) -> DataFrame:
     spark = df.sparkSession
     name = f"spindlekg_{uuid.uuid4().hex}"
     path, n = f"{shared_dir(spark)}/spindlekg/{name}", int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    _note(path)
     df.repartition(n, *keys).write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(n, *keys).sortBy(*keys).saveAsTable(name)
     return spark.table(name)
 
 
 @contextmanager
 def scope() -> Iterator[list[str]]:
-    """Within it, tables are noted in the list that it gives; remove them once what is made of them has been written."""
+    """Within it, tables that this thread makes are noted in the list that it gives; remove them once what is made of them
+    has been written."""
     made: list[str] = []
-    _SCOPES.append(made)
+    before = _SCOPE.set(made)
     try:
         yield made
     finally:
-        _SCOPES.remove(made)
+        _SCOPE.reset(before)
 
 
 def remove(spark: SparkSession, paths: Iterable[str]) -> None:

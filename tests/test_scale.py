@@ -2,6 +2,7 @@
 
 import random
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import Window
@@ -323,3 +324,19 @@ def test_pdf_names_the_sections(spark):
     df = spark.createDataFrame([("x", "Front\nABSTRACT\nshort\nMETHODS\nlong")], "doc_id string, text string")
     found = [(r.section_title, r.chunk_text) for r in chunking.chunk_documents(df, "pdf").orderBy("chunk_no").collect()]
     assert found == [("", "Front"), ("ABSTRACT", "short"), ("METHODS", "long")]
+
+
+def test_threads_note_their_own_tables(spark):
+    """Two pieces of work at once: neither has the other's tables in its scope, so neither removes them."""
+
+    def work(n):
+        with scratch.scope() as made:
+            for _ in range(n):
+                scratch.materialize(spark.range(3))
+        return made
+
+    with scratch.scope() as outer, ThreadPoolExecutor(2) as pool:
+        scratch.materialize(spark.range(3))
+        found = list(pool.map(work, (2, 3)))
+    assert [len(outer), *map(len, found)] == [1, 2, 3] and len({*outer, *found[0], *found[1]}) == 6
+    scratch.remove(spark, [*outer, *found[0], *found[1]])
