@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,18 +76,51 @@ def top_kinds(counts: DataFrame, key: str, k: int) -> tuple[DataFrame, DataFrame
     return kept, size(counts, 1).union(size(kept, -1)).agg(F.sum("kinds").alias("kinds"), F.sum("n").alias("n"))
 
 
-def kg_summary(entities: DataFrame, relations: DataFrame, log: DataFrame, k: int = 10, kinds: int = 100) -> DataFrame:
+#: How many kinds of a summary are joined to one text before texts are.
+KINDS_AT_ONCE = 512
+
+
+def _maps(counts: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """One row: a map of kind and n for each part."""
+    held = lambda part: F.collect_list(F.when(F.col("part") == part, F.struct("kind", "n")))
+    return counts.agg(*[F.map_from_entries(F.array_sort(held(p))).alias(p) for p in parts])
+
+
+def _texts(counts: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """One row: the `kind=n` pairs of each part in the order of kinds, joined by `;`, null where there are none.
+
+    Kinds are sorted and joined in many tasks, some hundreds at a time, so what meets in one task is the text alone. It is
+    long: concat_ws sizes its result first, where array_join would grow it."""
+    joined = lambda texts: F.concat_ws(";", F.transform(F.array_sort(F.collect_list(texts)), lambda x: x["text"]))
+    order = counts.repartitionByRange("part", "kind").sortWithinPartitions("part", "kind").withColumn("at", F.monotonically_increasing_id())
+    pairs = order.withColumn("text", F.concat("kind", F.lit("="), F.col("n").cast("string")))
+    few = pairs.groupBy("part", F.floor(F.col("at") / KINDS_AT_ONCE).alias("stretch")).agg(joined(F.struct("at", "text")).alias("text"))
+    of = lambda part: F.col("part") == part
+    return few.agg(*[F.when(F.count_if(of(p)) > 0, joined(F.when(of(p), F.struct("stretch", "text")))).alias(p) for p in parts])
+
+
+def kg_summary(entities: DataFrame, relations: DataFrame, log: DataFrame, k: int = 10, kinds: int | None = None, text: bool = False) -> DataFrame:
     """One record: maps of counts by entity type, relation type and error, the number of model failures and the first k.
 
-    A log may have as many errors as lines and a type may be any text, so each map holds the most frequent `kinds`, with
-    their exact counts, and the lines of all other errors are one number, other_errors."""
-    held = lambda df, key, name: df.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, "n")))).alias(name))
+    Each map holds every kind. A log may have as many errors as lines, and a map of them all is built in one task; with
+    `text`, there are `kind=n;...` texts in place of maps, which take far less. The same counts are a row per kind in
+    entity_type_counts, relation_type_counts and error_type_counts. With `kinds`, only so many of the most frequent are
+    held, and the lines of all other errors are one number, other_errors (else 0)."""
+    counts = {"entity_types": entity_type_counts(entities), "relation_types": relation_type_counts(relations), "errors": error_type_counts(log).where("error IS NOT NULL")}
     total, first = model_failures(log, k)
     samples = first.agg(F.transform(F.array_sort(F.collect_list(F.struct("file", "line_no", "line"))), lambda x: x["line"]).alias("failure_samples"))
-    errors, others = top_kinds(error_type_counts(log).where("error IS NOT NULL"), "error", kinds)
-    types = [held(counts.orderBy(F.desc("n"), key).limit(kinds), key, name) for counts, key, name in ((entity_type_counts(entities), "type", "entity_types"), (relation_type_counts(relations), "relation_type", "relation_types"))]
-    parts = [*types, held(errors, "error", "errors"), others.select(F.col("n").alias("other_errors")), total.withColumnRenamed("n", "model_failures"), samples]
-    out = parts[0].withColumn("__one", F.lit(1))
-    for part in parts[1:]:
-        out = out.join(part.withColumn("__one", F.lit(1)), "__one")  # one row each
+    others = None
+    if kinds is not None:
+        others = top_kinds(counts["errors"], "error", kinds)[1].select(F.col("n").alias("other_errors"))
+        counts = {part: top_kinds(df, df.columns[0], kinds)[0] for part, df in counts.items()}
+    every = reduce(DataFrame.union, [df.select(F.lit(part).alias("part"), F.col(df.columns[0]).alias("kind"), "n") for part, df in counts.items()])
+    held = (_texts if text else _maps)(every, list(counts))
+    few = [total.withColumnRenamed("n", "model_failures"), samples]
+    if others is None:
+        held = held.withColumn("other_errors", F.lit(0).cast("long"))
+    else:
+        few.append(others)
+    out = held.withColumn("__one", F.lit(1))
+    for part in few:
+        out = out.join(F.broadcast(part.withColumn("__one", F.lit(1))), "__one")  # one row each
     return out.drop("__one")

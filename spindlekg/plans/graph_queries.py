@@ -403,10 +403,10 @@ def _(t):
     return summary.overall_summary(_document_summary(t))
 
 
-@query("a7_kg_summary", f"SELECT (SELECT string_agg(type || '=' || n, ';' ORDER BY type) FROM (SELECT type, count(*) AS n FROM fx_entities GROUP BY type)) AS entity_types, (SELECT string_agg(relation_type || '=' || n, ';' ORDER BY relation_type) FROM (SELECT relation_type, count(*) AS n FROM fx_relations GROUP BY 1)) AS relation_types, (SELECT string_agg(error || '=' || n, ';' ORDER BY error) FROM (SELECT * FROM ({ERRORS}) ORDER BY n DESC, error LIMIT 100)) AS errors, (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM (SELECT * FROM ({ERRORS}) ORDER BY n DESC, error OFFSET 100)) AS other_errors, (SELECT count(*) FROM fx_log WHERE {FAILED}) AS model_failures, CAST(10 AS BIGINT) AS n_samples")
+@query("a7_kg_summary", f"SELECT (SELECT string_agg(type || '=' || n, ';' ORDER BY type) FROM (SELECT type, count(*) AS n FROM fx_entities GROUP BY type)) AS entity_types, (SELECT string_agg(relation_type || '=' || n, ';' ORDER BY relation_type) FROM (SELECT relation_type, count(*) AS n FROM fx_relations GROUP BY 1)) AS relation_types, (SELECT string_agg(error || '=' || n, ';' ORDER BY error) FROM ({ERRORS})) AS errors, (SELECT count(*) FROM fx_log WHERE {FAILED}) AS model_failures, CAST(10 AS BIGINT) AS n_samples")
 def _(t):
-    found = summary.kg_summary(t("fx_entities"), t("fx_relations"), t("fx_log"))
-    return found.select(*[map_text(F.col(c).cast("map<string, string>")).alias(c) for c in ("entity_types", "relation_types", "errors")], "other_errors", "model_failures", F.size("failure_samples").cast("long").alias("n_samples"))
+    found = summary.kg_summary(t("fx_entities"), t("fx_relations"), t("fx_log"), text=True)
+    return found.select("entity_types", "relation_types", "errors", "model_failures", F.size("failure_samples").cast("long").alias("n_samples"))
 
 
 # ---- files and streams

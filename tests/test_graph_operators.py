@@ -371,3 +371,17 @@ def test_a_log_of_many_kinds_gives_a_short_record(spark):
     assert found.model_failures == 500 and found.entity_types == {}
     empty = summary.kg_summary(none, none, log.limit(0)).first()
     assert empty.errors == {} and empty.other_errors == 0
+
+
+def test_a_summary_holds_every_kind(spark):
+    kinds = {f"kind {i}": 1 + i % 3 for i in range(1500)}
+    log = spark.createDataFrame([("f", i, f"{kind}: x") for i, kind in enumerate(k for k, n in kinds.items() for _ in range(n))], "file string, line_no int, line string")
+    ents = spark.range(450).select(F.concat(F.lit("t"), F.col("id") % 150).alias("type"))
+    rels = spark.range(120).select(F.concat(F.lit("r"), "id").alias("relation_type"))
+    want = {"entity_types": {f"t{i}": 3 for i in range(150)}, "relation_types": {f"r{i}": 1 for i in range(120)}, "errors": kinds}
+    record = summary.kg_summary(ents, rels, log).first()
+    assert {part: record[part] for part in want} == want and record.other_errors == 0
+    record = summary.kg_summary(ents, rels, log, text=True).first()
+    assert {part: record[part] for part in want} == {part: ";".join(f"{k}={n}" for k, n in sorted(held.items())) for part, held in want.items()}
+    empty = summary.kg_summary(ents.limit(0), rels.limit(0), log.limit(0), text=True).first()
+    assert (empty.entity_types, empty.errors, empty.model_failures, empty.failure_samples) == (None, None, 0, [])
