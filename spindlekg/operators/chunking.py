@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections import Counter, deque
+from collections.abc import Callable, Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,10 +45,13 @@ def chunk_starts(lengths: Column, max_size: int, min_size: int | None = None, ga
     return let(lengths, lambda n: F.when(F.size(n) > 0, F.aggregate(blocks(n), first, lambda s, b: add_block(s, b, n), lambda s: s["starts"])).otherwise(none))
 
 
+def _slices(parts: Column, starts: Column, separator: str) -> Column:
+    return F.transform(starts, lambda at, i: F.array_join(F.slice(parts, at + 1, F.coalesce(F.get(starts, i + 1), F.size(parts)) - at), separator))
+
+
 def _cut(parts: Column, starts: Callable[[Column], Column], separator: str) -> Column:
     """The chunks of an array of parts, each one slice of it; starts is given the parts' lengths."""
-    chunk = lambda p, s: F.transform(s, lambda at, i: F.array_join(F.slice(p, at + 1, F.coalesce(F.get(s, i + 1), F.size(p)) - at), separator))
-    return let(parts, lambda p: let(starts(F.transform(p, lambda x: F.length(x))), lambda s: chunk(p, s)))
+    return let(parts, lambda p: let(starts(F.transform(p, lambda x: F.length(x))), lambda s: _slices(p, s, separator)))
 
 
 def pack_fixed(parts: Column, max_size: int, min_size: int, separator: str) -> Column:
@@ -143,42 +149,52 @@ def chunk_by_similarity(sentences: DataFrame, vector_col: str = "embedding") ->
 PARTS = 1_000_000
 
 
-def lexical_cohesion(sentences: DataFrame, window: int = 3) -> DataFrame:
-    """Sentences (doc_id, seq without gaps, sentence) to doc_id, seq, cohesion of each but the first: the cosine of the
-    term counts of the `window` sentences before it and of it and those after it, as a whole number of 1/1000000.
+def _cohesion(sentences: Iterable[str], window: int) -> list[int]:
+    """The cohesion of each sentence but the first, given its terms with a blank between: the cosine of the term counts of
+    the `window` sentences before it and of it and those after it, as a whole number of 1/1000000.
+
+    Products of two sentences are made once; those of two windows are sums of them."""
+    held: deque[Counter] = deque(maxlen=2 * window)
+    with_before = []  # for each sentence, its product with itself, the one before it and so on
+    for sentence in sentences:
+        terms = Counter(sentence.split())
+        held.appendleft(terms)
+        with_before.append([sum(terms[t] * other[t] for t in terms.keys() & other.keys()) for other in held])
+    n = len(with_before)
+    within = [sum(sum(with_before[i][: i - at + 1]) + sum(with_before[i][1 : i - at + 1]) for i in range(at, min(n, at + window))) for at in range(n)]
+    # the first windows are shorter on the left
+    left = [sum(sum(with_before[i]) + sum(with_before[i][1:]) for i in range(at)) if at < window else within[at - window] for at in range(n)]
+    across = [sum(sum(with_before[i][i - at + 1 : i - at + 1 + window]) for i in range(at, min(n, at + window))) for at in range(n)]
+    return [math.floor(across[i] * float(PARTS) / (math.sqrt(left[i]) * math.sqrt(within[i]))) if left[i] and within[i] else 0 for i in range(1, n)]
+
+
+def _lexical_starts(window: int) -> Callable[[Column], Column]:
+    """Where chunks start in an array of sentences' terms: at the first, and where the cohesion is at most the mean less
+    the population standard deviation, in whole numbers of any size."""
+
+    def starts(sentences: list[str]) -> list[int]:
+        near = _cohesion(sentences, window)
+        n, total = len(near), sum(near)
+        spread = n * sum(x * x for x in near) - total * total
+        return [0, *(i for i, x in enumerate(near, 1) if total >= n * x and (total - n * x) ** 2 >= spread)][: len(sentences)]
+
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array((starts(text.as_py() or []) for text in texts), pa.list_(pa.int32()))
 
-    Terms are runs of letters and digits, lower-cased. Each term of a sentence is sent to the gaps whose windows hold the
-    sentence, where counts add up by (gap, term) and products by gap: no window of a document is gathered."""
-    words = F.regexp_extract_all(F.lower("sentence"), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
-    terms = sentences.select("doc_id", "seq", F.explode(words).alias("term")).groupBy("doc_id", "seq", "term").agg(F.count("*").alias("n"))
-    # a sentence is left of the gaps before the `window` sentences after it, and right of those before itself and the ones before it
-    gaps = F.transform(F.sequence(F.lit(1 - window), F.lit(window)), lambda k: F.struct((F.col("seq") + k).alias("gap"), (k > 0).alias("left")))
-    sent = terms.select("doc_id", "term", "n", F.explode(gaps).alias("g")).select("doc_id", F.col("g.gap").alias("seq"), "term", F.when(F.col("g.left"), F.col("n")).otherwise(0).alias("l"), F.when(F.col("g.left"), 0).otherwise(F.col("n")).alias("r"))
-    both = sent.groupBy("doc_id", "seq", "term").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-    sums = both.groupBy("doc_id", "seq").agg(F.sum(F.col("l") * F.col("r")).alias("lr"), F.sum(F.col("l") * F.col("l")).alias("ll"), F.sum(F.col("r") * F.col("r")).alias("rr"))
-    near = F.floor(F.col("lr") * F.lit(float(PARTS)) / (F.sqrt("ll") * F.sqrt("rr")))
-    held = sums.select(F.struct("doc_id", F.col("seq").cast("long").alias("seq")).alias("__gap"), F.when((F.col("ll") > 0) & (F.col("rr") > 0), near).otherwise(0).cast("long").alias("cohesion"))
-    gap = sentences.where("seq > 0").select(F.struct("doc_id", F.col("seq").cast("long").alias("seq")).alias("__gap"))
-    found = gap.join(held, "__gap", "left")
-    return found.select("__gap.doc_id", "__gap.seq", F.coalesce("cohesion", F.lit(0).cast("long")).alias("cohesion"))
+    return F.arrow_udf(run, "array<int>")
 
 
 def chunk_lexical(df: DataFrame, text_col: str = "text", separator: str = ".", window: int = 3) -> DataFrame:
     """Texts to chunks of whole sentences, by their words alone: a chunk starts where the cohesion of the sentences before
     and after is at most the document's mean less its population standard deviation, which is decided in whole numbers.
-    Returns doc_id, chunk_no from 0, chunk_text."""
-    sentences = split_sentences(df, text_col, separator)
-    near = lexical_cohesion(sentences, window)
-    whole = lambda c: F.sum(F.col(c).cast("decimal(38,0)"))
-    limits = near.withColumn("__square", F.col("cohesion") * F.col("cohesion")).groupBy("doc_id").agg(F.count("*").cast("decimal(12,0)").alias("__n"), whole("cohesion").cast("decimal(19,0)").alias("__sum"), whole("__square").cast("decimal(25,0)").alias("__squares"))
-    key = lambda: F.struct("doc_id", F.col("seq").cast("long").alias("seq")).alias("__gap")
-    rows = sentences.select("*", key()).join(near.select(key(), "cohesion"), "__gap", "left").drop("__gap").withColumn("__stretch", F.floor(F.col("seq") / STRETCH))
-    # documents of one sentence have no limits, and no cut
-    limited = sentences.select("doc_id").distinct().select(F.struct("doc_id").alias("__d")).join(limits.select(F.struct("doc_id").alias("__d"), "__n", "__sum", "__squares"), "__d", "left").select("__d.doc_id", "__n", "__sum", "__squares")
-    rows = _with_limits(rows, limited)
-    over = F.col("__sum") - F.col("__n") * F.col("cohesion").cast("decimal(7,0)")  # n times the mean less this one
-    below = (over >= 0) & (over * over >= F.col("__n") * F.col("__squares") - F.col("__sum") * F.col("__sum"))
-    return _joined_at_cuts(rows.withColumn("__cut", F.coalesce(below.cast("int"), F.lit(0))))
+    Returns doc_id, chunk_no from 0, chunk_text. Row-local, no shuffle.
+
+    Terms are runs of letters and digits, lower-cased; only they go to the Python helper, and only places come back."""
+    texts = df.select("doc_id", nonblank_parts(F.coalesce(F.col(text_col), F.lit("")), separator).alias("sentences"))
+    terms = F.transform("sentences", lambda s: F.regexp_replace(F.lower(s), r"[^\p{L}\p{N}]+", " "))
+    cut = texts.withColumn("starts", _lexical_starts(window)(terms))
+    chunks = F.transform(_slices(F.col("sentences"), F.col("starts"), ". "), lambda c: F.concat(c, F.lit(".")))
+    return cut.select("doc_id", F.posexplode(chunks).alias("chunk_no", "chunk_text"))
 
 
 def chunk_documents(df: DataFrame, method: str = "fixed", **options) -> DataFrame:

@@ -340,3 +340,9 @@ def test_threads_note_their_own_tables(spark):
         found = list(pool.map(work, (2, 3)))
     assert [len(outer), *map(len, found)] == [1, 2, 3] and len({*outer, *found[0], *found[1]}) == 6
     scratch.remove(spark, [*outer, *found[0], *found[1]])
+
+
+def test_lexical_chunks_shuffle_nothing(spark):
+    """A text's chunks come from its own row; its terms once went to disk six times each."""
+    df = spark.createDataFrame([(1, "a b. c d. a b"), (2, None)], "doc_id long, text string")
+    assert "Exchange" not in chunking.chunk_documents(df, "similarity")._jdf.queryExecution().executedPlan().toString()
