@@ -385,3 +385,20 @@ def test_a_summary_holds_every_kind(spark):
     assert {part: record[part] for part in want} == {part: ";".join(f"{k}={n}" for k, n in sorted(held.items())) for part, held in want.items()}
     empty = summary.kg_summary(ents.limit(0), rels.limit(0), log.limit(0), text=True).first()
     assert (empty.entity_types, empty.errors, empty.model_failures, empty.failure_samples) == (None, None, 0, [])
+
+
+def test_views_of_a_written_view_read_its_table(spark, tmp_path):
+    """Four branches of the entities each ordered all rows anew."""
+    from spindlekg.plans.catalog import Source
+
+    t = Source(spark, "/root/testdata/sf0.001")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan(t("fx_entities")) and "Window" not in plan(t.written("fx_rows")("fx_entities"))
+    assert t.written("fx_rows")("fx_relations").exceptAll(t("fx_relations")).isEmpty()
+
+
+def test_record_keys_are_digests_of_32_bytes(spark):
+    from spindlekg.operators.entities import record_key
+
+    df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    assert [len(r[0]) for r in df.select(record_key(df, ["text"])).collect()] == [32]
