@@ -402,3 +402,15 @@ def test_record_keys_are_digests_of_32_bytes(spark):
 
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     assert [len(r[0]) for r in df.select(record_key(df, ["text"])).collect()] == [32]
+
+
+def test_properties_are_taken_apart_after_the_last_rows_are_known(spark):
+    """Rows of one key with the same names of properties: all but the last were taken apart, too."""
+    from spindlekg.operators.graph import _reduce
+
+    rows = [("t", "x", {"a": str(i)} | ({"b": str(i)} if i % 2 else {}) | ({"c": None} if i == 7 else {}), "new", str(i), i, 0) for i in range(9)]
+    df = spark.createDataFrame(rows, "label string, text string, props map<string,string>, batch_id string, source_doc_id string, doc_id long, seq long")
+    found = _reduce(df, ("label", "text"), ("doc_id", "seq"))
+    assert [(r.props, r.batch_id, r.source_doc_id) for r in found.collect()] == [({"a": "8", "b": "7", "c": None}, "new", "8")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan[plan.index("Generate") :]
