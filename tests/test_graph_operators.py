@@ -414,3 +414,18 @@ def test_properties_are_taken_apart_after_the_last_rows_are_known(spark):
     assert [(r.props, r.batch_id, r.source_doc_id) for r in found.collect()] == [({"a": "8", "b": "7", "c": None}, "new", "8")]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" in plan[plan.index("Generate") :]
+
+
+def test_stream_import_leaves_no_scratch_tables(spark, tmp_path, monkeypatch):
+    """The tables of every batch stayed in the shared folder for as long as the stream ran."""
+    import os
+
+    from spindlekg.sources import scratch, tables
+    from spindlekg.streaming.imports import stream_import
+
+    monkeypatch.setattr(scratch, "shared_dir", lambda _: f"{tmp_path}/shared")
+    kind = "doc_id long, entities array<struct<seq: long, text: string, type: string>>, relations array<struct<seq: long, head_entity_text: string, tail_entity_text: string, relation_type: string>>"
+    spark.createDataFrame([(1, [(1, "A", "Alloy"), (2, "x", "MechanicalProperty")], [(1, "A", "x", "HAS_PROPERTY")])], kind).write.parquet(f"{tmp_path}/in")
+    stream_import(spark.readStream.schema(kind).parquet(f"{tmp_path}/in"), f"{tmp_path}/graph", f"{tmp_path}/checkpoint").awaitTermination()
+    assert tables.read_graph(spark, f"{tmp_path}/graph").edges.count() == 1
+    assert os.listdir(f"{tmp_path}/shared/spindlekg") == []
