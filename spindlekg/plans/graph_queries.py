@@ -444,9 +444,11 @@ def _(t):
 
 
 def _named_files(spark, rows, order, path, name):
-    """Writes rows (file, value), a line each, as text files of which name gives the place below path, by the file's number."""
+    """Writes rows (file, value), a line each, as text files of which name gives the place below path, by the file's number.
+    order: of a file's lines, or None if each has one; gzipped if the name ends so."""
     raw = f"{path}/raw"
-    rows.repartition("file").sortWithinPartitions("file", *order).select("file", "value").write.partitionBy("file").text(raw)
+    lines = rows if order is None else rows.repartition("file").sortWithinPartitions("file", *order)
+    lines.select("file", "value").write.partitionBy("file").option("compression", "gzip" if name(0).endswith(".gz") else "none").text(raw)
     places = spark._jvm.org.apache.hadoop.fs.Path
     system = places(path).getFileSystem(spark._jsc.hadoopConfiguration())
     for made in system.globStatus(places(f"{raw}/file=*/part-*")):  # only names pass through the driver
@@ -461,20 +463,20 @@ def _exports(t, rows, name, fields):
     text = F.to_json(F.array_sort(F.collect_list(F.struct(*fields))))
     made = rows.groupBy(F.floor(F.col("doc_id") / 2000).alias("file")).agg(text.alias("value"))
     broken = t.spark.createDataFrame([(-1, '[{"text": ')], "file long, value string")
-    _named_files(t.spark, made.union(broken), (), path := _place(t), lambda k: f"g{k}_{name}.json")
+    _named_files(t.spark, made.union(broken), None, path := _place(t), lambda k: f"g{k}_{name}.json.gz")
     return path
 
 
 @query("s4_entity_exports", "SELECT 'g' || CAST(doc_id // 2000 AS VARCHAR) AS doc_id, text, type, count(*) AS n FROM fx_entities GROUP BY ALL")
 def _(t):
-    path = _exports(t, t("fx_entities"), "entities", ("seq", "chunk_no", "text", "type"))
-    return files.read_json_records(t.spark, f"{path}/*_entities.json", files.ENTITY_SCHEMA, "_entities").groupBy("doc_id", "text", "type").agg(F.count("*").alias("n"))
+    path = _exports(t, t.written("fx_rows")("fx_entities"), "entities", ("seq", "chunk_no", "text", "type"))
+    return files.read_json_records(t.spark, f"{path}/*_entities.json.gz", files.ENTITY_SCHEMA, "_entities").groupBy("doc_id", "text", "type").agg(F.count("*").alias("n"))
 
 
 @query("s4_relation_exports", "SELECT 'g' || CAST(doc_id // 2000 AS VARCHAR) AS doc_id, head_entity_text, tail_entity_text, relation_type, count(*) AS n FROM fx_relations GROUP BY ALL")
 def _(t):
     path = _exports(t, t("fx_relations"), "relations", ("seq", "head_entity_text", "tail_entity_text", "relation_type"))
-    return files.read_json_records(t.spark, f"{path}/*_relations.json", files.RELATION_SCHEMA, "_relations").groupBy("doc_id", "head_entity_text", "tail_entity_text", "relation_type").agg(F.count("*").alias("n"))
+    return files.read_json_records(t.spark, f"{path}/*_relations.json.gz", files.RELATION_SCHEMA, "_relations").groupBy("doc_id", "head_entity_text", "tail_entity_text", "relation_type").agg(F.count("*").alias("n"))
 
 
 @query("s5_summary_round_trip", OVERALL)

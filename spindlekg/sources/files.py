@@ -32,11 +32,11 @@ def read_extractions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json_records(spark: SparkSession, glob: str, schema: str, suffix: str = "") -> DataFrame:
-    """JSON arrays of records, one file per document; files that are no JSON are skipped. doc_id is the file's name
-    without the suffix and extension."""
+    """JSON arrays of records, one file per document, gzipped or not; files that are no JSON are skipped. doc_id is the
+    file's name without the suffix and extension."""
     wanted = f"{schema}, _corrupt_record string"
     rows = spark.read.schema(wanted).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(glob)
-    rows = rows.withColumn("doc_id", F.regexp_extract(F.input_file_name(), r"([^/]+?)" + suffix + r"\.[^./]*$", 1))
+    rows = rows.withColumn("doc_id", F.regexp_extract(F.input_file_name(), r"([^/]+?)" + suffix + r"\.[^./]*?(?:\.gz)?$", 1))
     return rows.where("_corrupt_record IS NULL").drop("_corrupt_record")
 
 

@@ -429,3 +429,14 @@ def test_stream_import_leaves_no_scratch_tables(spark, tmp_path, monkeypatch):
     stream_import(spark.readStream.schema(kind).parquet(f"{tmp_path}/in"), f"{tmp_path}/graph", f"{tmp_path}/checkpoint").awaitTermination()
     assert tables.read_graph(spark, f"{tmp_path}/graph").edges.count() == 1
     assert os.listdir(f"{tmp_path}/shared/spindlekg") == []
+
+
+def test_json_records_may_be_gzipped(spark, tmp_path):
+    import gzip
+
+    from spindlekg.sources import files
+
+    (tmp_path / "g1_entities.json.gz").write_bytes(gzip.compress(b'[{"text": "A", "type": "Alloy"}]'))
+    (tmp_path / "a.b_entities.json").write_bytes(b'[{"text": "B", "type": "Alloy"}]')
+    found = files.read_json_records(spark, f"{tmp_path}/*_entities.json*", files.ENTITY_SCHEMA, "_entities")
+    assert sorted((r.doc_id, r.text) for r in found.collect()) == [("a.b", "B"), ("g1", "A")]
